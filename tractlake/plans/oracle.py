@@ -189,3 +189,56 @@ def with_ctes(body: str) -> str:
     """Prefix the SQL body with every base CTE (DuckDB skips unused ones)."""
     parts = ",\n".join(f"{k} AS ({v}\n)" for k, v in CTES.items())
     return f"WITH {parts}\n{body}"
+
+CTES["notices"] = """
+SELECT CASE WHEN event_type IN ('signup', 'purchase', 'error') THEN 'feeds@example.org'
+            ELSE 'noreply@example.org' END AS sender,
+       CASE WHEN event_type = 'signup' THEN 'Feed Update ' || CAST(event_id AS VARCHAR)
+            ELSE upper(event_type) || ' notice ' || CAST(event_id AS VARCHAR) END AS subject,
+       ts AS email_ts, event_id
+FROM events"""
+
+CTES["ledger"] = """
+SELECT email_ts + INTERVAL 1 HOUR AS retrieve_ts, email_ts, subject AS email_subject,
+       contains(subject, 'Feed Update') AS is_feed_update, event_id % 2 = 0 AS updated,
+       'landing/' || strftime(email_ts, '%Y%m%d') AS stage_location
+FROM notices WHERE sender = 'feeds@example.org' AND email_ts < TIMESTAMP '2024-01-15 00:00:00'"""
+
+CTES["sel"] = """
+SELECT sender, subject, email_ts, event_id, contains(subject, 'Feed Update') AS is_feed_update
+FROM notices WHERE sender = 'feeds@example.org'"""
+
+CTES["pending"] = """
+SELECT * FROM sel s
+WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.updated AND l.email_ts = s.email_ts)
+  AND is_feed_update"""
+
+CTES["appended"] = """
+SELECT retrieve_ts, email_ts, email_subject, is_feed_update, updated, stage_location FROM ledger
+UNION ALL
+SELECT CAST(TIMESTAMP '2024-02-01 00:00:00' AS TIMESTAMP), email_ts, subject, is_feed_update, false,
+       'landing/' || strftime(email_ts, '%Y%m%d')
+FROM sel s WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.email_ts = s.email_ts)"""
+
+CTES["supplier_codes"] = """
+SELECT * FROM supplier JOIN nations ON s_nationkey = n_nationkey"""
+
+CTES["feed_lines"] = """
+SELECT 'feed_' || lower(code) || '.txt' AS file,
+       CAST(s_suppkey AS VARCHAR) || chr(9) || (CASE WHEN s_suppkey % 13 = 5 THEN ' ' ELSE s_name END)
+       || (CASE WHEN s_suppkey % 11 = 3 THEN chr(9) || ' ' || chr(9) ELSE chr(9) END)
+       || CAST(s_nationkey AS VARCHAR) || chr(9) || CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS VARCHAR)
+       AS value
+FROM supplier_codes"""
+
+CTES["page_listing"] = """
+SELECT page_id, url AS path, CAST(length(html) AS BIGINT) AS size, string_split(url, '/')[-1] AS entry
+FROM pages"""
+
+CTES["template_listing"] = r"""
+SELECT page_id, 'data/templates/' ||
+  CASE WHEN contains(url, '/en/') THEN 'Seq' || regexp_extract(url, '/(\d+)', 1)
+       WHEN contains(url, '/fr/') THEN 'seq' || regexp_extract(url, '/(\d+)', 1)
+       WHEN contains(url, '/es/') THEN 'Seq'
+       ELSE 'notes' || regexp_extract(url, '/(\d+)', 1) END || '.xls' AS path
+FROM pages"""

@@ -357,3 +357,161 @@ def fact_upsert_last_wins(spark, d):
 def fact_full(spark, d):
     plans = cat.plan_groups(S.catalog_rows(), S.LOAD_YEAR)
     return facts.build_fact(_geo(spark, d), S.sequences(spark, d), S.lookup_rows(), plans)
+
+
+# ------------------------------------------------------------------ ledger
+
+from tractlake.operators import feeds, ledger, listing  # noqa: E402
+
+
+def _selected(spark, d):
+    return ledger.select_notices(S.notices(spark, d), S.FEED_SENDER, S.FEED_PHRASE)
+
+
+def _pending(spark, d):
+    return ledger.pending_notices(_selected(spark, d), S.ledger(spark, d))
+
+
+def _appended(spark, d):
+    return ledger.append_unseen(S.ledger(spark, d), _selected(spark, d), S.RETRIEVE_TS)
+
+
+@register("ledger_pending", "SELECT sender, subject, email_ts, event_id, is_feed_update FROM pending")
+def ledger_pending(spark, d):
+    return _pending(spark, d)
+
+
+@register("ledger_append", "SELECT * FROM appended")
+def ledger_append(spark, d):
+    return _appended(spark, d)
+
+
+@register("ledger_close", f"""
+SELECT retrieve_ts, email_ts, email_subject, is_feed_update,
+  CASE WHEN CAST(email_ts AS DATE) <= DATE '{S.CLOSE_DAY}' THEN true ELSE updated END AS updated,
+  stage_location FROM appended""")
+def ledger_close(spark, d):
+    return ledger.close_ledger(_appended(spark, d), S.CLOSE_DAY)
+
+
+@register("ledger_current_batch", """
+SELECT stage_location, CAST(strptime(right(stage_location, 8), '%Y%m%d') AS DATE) AS batch_date
+FROM (SELECT arg_max('landing/' || strftime(email_ts, '%Y%m%d'), email_ts) AS stage_location
+      FROM pending)""")
+def ledger_current_batch(spark, d):
+    return ledger.current_batch(_pending(spark, d))
+
+
+# ------------------------------------------------------------------- feeds
+
+@register("feed_scan_by_date", """
+SELECT event_id, ts, user_id, event_type, value FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-20'""")
+def feed_scan_by_date(spark, d):
+    e = S.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return feeds.scan_by_date(e, "ts", "2024-01-20")
+
+
+@register("feed_drift_union", """
+SELECT c_custkey AS id, c_name AS name, c_nationkey AS nationkey, c_mktsegment AS segment FROM customer
+UNION ALL BY NAME
+SELECT s_suppkey AS id, s_name AS name, s_acctbal AS acctbal, s_nationkey AS nationkey FROM supplier""")
+def feed_drift_union(spark, d):
+    a = S.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nationkey"), F.col("c_mktsegment").alias("segment"))
+    b = S.table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("acctbal"), F.col("s_nationkey").alias("nationkey"))
+    return feeds.union_drift([a, b])
+
+
+@register("feed_clean_columns", """
+SELECT s_suppkey AS ssuppkey, s_name AS suppliername, s_nationkey AS nationkey, s_acctbal AS acctbal
+FROM supplier""")
+def feed_clean_columns(spark, d):
+    s = S.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    return feeds.clean_columns(s.toDF("s-suppkey", "supplier-name", "nation-key", "acct-bal"))
+
+
+@register("feed_typed_load", """
+SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, code AS state,
+  CAST(s_suppkey % 10 + 1 AS DECIMAL(2,0)) AS rating,
+  'https://example.org/city/' || CAST(s_suppkey AS VARCHAR) AS url,
+  CAST(CAST(s_acctbal AS DECIMAL(12,2)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,6)) AS lat,
+  CAST(s_nationkey * -1 AS DECIMAL(10,6)) AS lon,
+  CAST(CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END AS DECIMAL(1,0)) AS active
+FROM supplier_codes""")
+def feed_typed_load(spark, d):
+    return feeds.typed_load(S.city_feed(spark, d), feeds.CITY_RATINGS)
+
+
+@register("feed_tsv_repair", """
+, w AS (SELECT file, max(len(string_split(value, chr(9)))) AS w FROM feed_lines GROUP BY file)
+, fixed AS (
+  SELECT l.file, string_split(CASE WHEN w.w > 4 THEN replace(l.value, chr(9) || ' ' || chr(9), chr(9))
+                                   ELSE l.value END, chr(9)) AS p
+  FROM feed_lines l JOIN w USING (file))
+SELECT file, p[1] AS id, p[2] AS name, p[3] AS nationkey, p[4] AS acctbal FROM fixed""")
+def feed_tsv_repair(spark, d):
+    return feeds.read_tsv_repaired(S.feed_lines(spark, d), S.FEED_LINE_COLUMNS)
+
+
+# ----------------------------------------------------------------- listing
+
+def page_rules(path, entry):
+    return [
+        ("paged_en", path.contains("/en/") & entry.contains("page=")),
+        ("anchored", entry.contains("#")),
+        ("org_plain", path.contains(".org/") & ~entry.contains("?")),
+        ("french", path.contains("/fr/")),
+    ]
+
+
+@register("listing_classify", """
+SELECT page_id, path, size, target FROM (
+  SELECT page_id, path, size,
+    CASE WHEN contains(path, '/en/') AND contains(entry, 'page=') THEN 'paged_en'
+         WHEN contains(entry, '#') THEN 'anchored'
+         WHEN contains(path, '.org/') AND NOT contains(entry, '?') THEN 'org_plain'
+         WHEN contains(path, '/fr/') THEN 'french' END || '.' || string_split(entry, '.')[-1] AS target
+  FROM page_listing) WHERE target IS NOT NULL""")
+def listing_classify(spark, d):
+    return listing.classify_files(S.page_listing(spark, d), page_rules)
+
+
+@register("listing_sequence_no", r"""
+SELECT page_id, path, CAST(regexp_extract(path, 'templates/(?:S|s)eq(\d*)\.xls', 1) AS INTEGER) AS seq
+FROM template_listing
+WHERE regexp_matches(path, 'templates/(?:S|s)eq(\d*)\.xls')
+  AND regexp_extract(path, 'templates/(?:S|s)eq(\d*)\.xls', 1) <> ''""")
+def listing_sequence_no(spark, d):
+    return listing.extract_sequence_no(S.template_listing(spark, d))
+
+
+@register("listing_new_files", """
+, keyed AS (SELECT page_id, path, size,
+   CASE WHEN starts_with(path, 'https://') THEN 'raw/' || substr(path, 9) ELSE path END AS key
+   FROM page_listing)
+SELECT * FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM keyed l WHERE l.size > 10000 AND l.key = k.key)""")
+def listing_new_files(spark, d):
+    lst = S.page_listing(spark, d).withColumn("key", listing.map_path("path", "https://", "raw/"))
+    landed = lst.filter(F.col("size") > 10000)
+    return listing.new_files_only(lst, landed)
+
+
+@register("listing_sequence_paths", """
+, roots AS (SELECT 'seq_by_state/' || n_name || '/' AS root, lower(code) AS code FROM nations
+            UNION ALL SELECT 'seq_by_state/' || r_name || '/', 'us' FROM region)
+, lv AS (SELECT root, code,
+           unnest(['All_Geographies_Not_Tracts_Block_Groups', 'Tracts_Block_Groups_Only']) AS level
+         FROM roots)
+, kinds AS (SELECT *, unnest(['e', 'm']) AS kind FROM lv)
+SELECT root, level, code AS region_code, kind,
+       root || level || '/' || kind || '20175' || code || '0012000.txt' AS path
+FROM kinds WHERE NOT (level = 'Tracts_Block_Groups_Only' AND code = 'us')""")
+def listing_sequence_paths(spark, d):
+    codes = listing.region_code_from_listing(S.sequence_listing(spark, d, 2017), 2017)
+    folders = codes.select(F.regexp_extract("folder", r"^(.*/)", 1).alias("root"),
+                           F.regexp_extract("folder", r"([^/]*)$", 1).alias("level"),
+                           "region_code")
+    return listing.sequence_paths(folders, 2017, 12)

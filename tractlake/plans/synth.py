@@ -284,3 +284,114 @@ def template_sheet(spark, d) -> DataFrame:
         .otherwise(F.col("p_type")).alias(TEMPLATE_MEASURES[2]),
         F.concat(F.col("p_name"), F.lit(" ("), F.col("p_size").cast("string"), F.lit(")"))
         .alias(TEMPLATE_MEASURES[3]))
+
+
+# ------------------------------------------------------------------ feeds
+
+FEED_SENDER = "feeds@example.org"
+OTHER_SENDER = "noreply@example.org"
+FEED_PHRASE = "Feed Update"
+LEDGER_UNTIL = "2024-01-15"
+RETRIEVE_TS = "2024-02-01 00:00:00"
+CLOSE_DAY = "2024-01-20"
+
+
+def notices(spark, d) -> DataFrame:
+    """Mailbox notices from events: sender by event type, feed subject for
+    sign-ups, notice time = event time."""
+    e = table(spark, d, "events")
+    et = F.col("event_type")
+    eid = F.col("event_id").cast("string")
+    sender = F.when(et.isin("signup", "purchase", "error"), F.lit(FEED_SENDER)) \
+        .otherwise(F.lit(OTHER_SENDER))
+    subject = F.when(et == "signup", F.concat(F.lit(FEED_PHRASE + " "), eid)) \
+        .otherwise(F.concat(F.upper(et), F.lit(" notice "), eid))
+    return e.select(sender.alias("sender"), subject.alias("subject"),
+                    F.col("ts").alias("email_ts"), F.col("event_id"))
+
+
+def ledger(spark, d) -> DataFrame:
+    """Ledger of the notices seen before ``LEDGER_UNTIL``; even ids done."""
+    n = notices(spark, d).filter((F.col("sender") == FEED_SENDER)
+                                 & (F.col("email_ts") < F.lit(LEDGER_UNTIL).cast("timestamp_ntz")))
+    return n.select(
+        (F.col("email_ts") + F.expr("INTERVAL 1 HOUR")).alias("retrieve_ts"),
+        F.col("email_ts"), F.col("subject").alias("email_subject"),
+        F.col("subject").contains(FEED_PHRASE).alias("is_feed_update"),
+        (F.col("event_id") % 2 == 0).alias("updated"),
+        F.concat(F.lit("landing/"), F.date_format("email_ts", "yyyyMMdd")).alias("stage_location"))
+
+
+def supplier_codes(spark, d) -> DataFrame:
+    s = table(spark, d, "supplier")
+    return s.join(nations(spark, d).select("n_nationkey", "code"),
+                  F.col("s_nationkey") == F.col("n_nationkey"))
+
+
+def city_feed(spark, d) -> DataFrame:
+    """All-text rows shaped like the city ratings feed, from suppliers."""
+    s = supplier_codes(spark, d)
+    sid = F.col("s_suppkey").cast("string")
+    return s.select(
+        sid.alias("id"), F.col("s_name").alias("name"), F.col("code").alias("state"),
+        (F.col("s_suppkey") % 10 + 1).cast("string").alias("rating"),
+        F.concat(F.lit("https://example.org/city/"), sid).alias("url"),
+        (F.col("s_acctbal").cast("decimal(12,2)") * F.lit(0.01).cast("decimal(3,2)"))
+        .cast("string").alias("lat"),
+        (F.col("s_nationkey") * -1).cast("string").alias("lon"),
+        F.when(F.col("s_acctbal") > 0, F.lit("1")).otherwise(F.lit("0")).alias("active"))
+
+
+def feed_lines(spark, d) -> DataFrame:
+    """Tab-separated feed lines, one file per supplier nation.
+
+    Some lines carry a stray tab-blank-tab (their file needs repair); some
+    have a blank name, i.e. a legal tab-blank-tab.
+    """
+    s = supplier_codes(spark, d)
+    k = F.col("s_suppkey")
+    name = F.when(k % 13 == 5, F.lit(" ")).otherwise(F.col("s_name"))
+    sep2 = F.when(k % 11 == 3, F.lit("\t \t")).otherwise(F.lit("\t"))
+    text = F.concat(k.cast("string"), F.lit("\t"), name, sep2,
+                    F.col("s_nationkey").cast("string"), F.lit("\t"),
+                    F.col("s_acctbal").cast("decimal(12,2)").cast("string"))
+    return s.select(F.concat(F.lit("feed_"), F.lower("code"), F.lit(".txt")).alias("file"),
+                    text.alias("value"))
+
+
+FEED_LINE_COLUMNS = ["id", "name", "nationkey", "acctbal"]
+
+
+# ----------------------------------------------------------------- listing
+
+def page_listing(spark, d) -> DataFrame:
+    p = table(spark, d, "pages")
+    return p.select("page_id", F.col("url").alias("path"), F.length("html").cast("long").alias("size"))
+
+
+def template_listing(spark, d) -> DataFrame:
+    """Template file paths named after the pages (some without a number)."""
+    p = table(spark, d, "pages")
+    u = F.col("url")
+    num = F.regexp_extract(u, r"/(\d+)", 1)
+    name = (F.when(u.contains("/en/"), F.concat(F.lit("Seq"), num))
+            .when(u.contains("/fr/"), F.concat(F.lit("seq"), num))
+            .when(u.contains("/es/"), F.lit("Seq"))
+            .otherwise(F.concat(F.lit("notes"), num)))
+    return p.select("page_id", F.concat(F.lit("data/templates/"), name, F.lit(".xls")).alias("path"))
+
+
+def sequence_listing(spark, d, year: int) -> DataFrame:
+    """Folder listing of the sequence files: one region folder per nation
+    (and one national folder per world region), both level folders, a
+    ``g{year}5{code}.txt`` file and an estimate file in each."""
+    from tractlake.operators.listing import LEVEL_FOLDERS
+    n = nations(spark, d).select(F.col("n_name").alias("nm"), F.lower("code").alias("code"))
+    r = table(spark, d, "region").select(F.col("r_name").alias("nm"), F.lit("us").alias("code"))
+    roots = n.unionByName(r).withColumn("root", F.concat(F.lit("seq_by_state/"), F.col("nm"),
+                                                          F.lit("/")))
+    lv = roots.withColumn("level", F.explode(F.array(*[F.lit(x) for x in LEVEL_FOLDERS])))
+    files = lv.withColumn("file", F.explode(F.array(
+        F.concat(F.lit(f"g{year}5"), F.col("code"), F.lit(".txt")),
+        F.concat(F.lit(f"e{year}5"), F.col("code"), F.lit("0001000.txt")))))
+    return files.select(F.concat("root", "level", F.lit("/"), "file").alias("path"))
