@@ -515,3 +515,113 @@ def listing_sequence_paths(spark, d):
                            F.regexp_extract("folder", r"([^/]*)$", 1).alias("level"),
                            "region_code")
     return listing.sequence_paths(folders, 2017, 12)
+
+
+# ----------------------------------------------------------------- sources
+
+import uuid  # noqa: E402
+
+import pandas as pd  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from tractlake.session import scratch_dir  # noqa: E402
+from tractlake.sources import archives, files, workbooks  # noqa: E402
+from tractlake.streaming import ingest  # noqa: E402
+
+
+@register("archive_expand", "SELECT page_id, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
+def archive_expand(spark, d):
+    p = S.table(spark, d, "pages").select(
+        "page_id", "html", F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"))
+    zips = archives.pack_archives(p, "landing/pages", "name", "html", "page_id")
+    members = archives.expand_archives(zips, keep_dirs=False, flatten=True)
+    return members.select(
+        F.regexp_extract("member", r"(\d+)\.html$", 1).cast("long").alias("page_id"),
+        F.length(F.decode("content", "UTF-8")).cast("long").alias("n_chars"))
+
+
+_SHEET_HEADER = ["STATE", "LOGRECNO", "GEOID", "Name", "SUMLEV"]
+
+
+def _geo_workbooks(batches):
+    for pdf in batches:
+        for year, by_year in pdf.groupby("year"):
+            sheets = []
+            for state, rows in by_year.groupby("STATE"):
+                header = list(_SHEET_HEADER)
+                vals = rows[_SHEET_HEADER].values.tolist()
+                vals = [[int(v) if (i == 1 and v.isdigit() and not v.startswith("0")) else v
+                         for i, v in enumerate(r)] for r in vals]
+                if state == "SA":
+                    header.append("NOTE")
+                    vals = [r + ["extra column"] for r in vals]
+                sheets.append((state, header, vals))
+            yield pd.DataFrame({"path": [f"geo/{int(year)}/mini_geo-{uuid.uuid4().hex}.xlsx"],
+                                "content": [workbooks.workbook_bytes(sheets)]})
+
+
+@register("workbook_stack", "SELECT * FROM geo")
+def workbook_stack(spark, d):
+    books = S.geo_sheet(spark, d).mapInPandas(_geo_workbooks, archives.PACK_SCHEMA)
+    rows = workbooks.read_workbook_rows(books)
+    stacked = workbooks.stack_sheets(rows, _SHEET_HEADER + ["NOTE"])
+    stacked = stacked.withColumn("year", F.regexp_extract("path", r"geo/(\d{4})/", 1).cast("int"))
+    return geo.build_geo(stacked)
+
+
+_STAGED = T.StructType([T.StructField("supplier_id", T.LongType()),
+                        T.StructField("supplier_name", T.StringType()),
+                        T.StructField("nation_id", T.IntegerType()),
+                        T.StructField("balance", T.DecimalType(12, 2))])
+
+
+@register("positional_roundtrip", """
+SELECT s_suppkey AS supplier_id, s_name AS supplier_name, s_nationkey AS nation_id,
+       CAST(s_acctbal AS DECIMAL(12,2)) AS balance FROM supplier""")
+def positional_roundtrip(spark, d):
+    s = S.table(spark, d, "supplier").select(
+        "s_suppkey", "s_name", "s_nationkey", F.col("s_acctbal").cast("decimal(12,2)"))
+    path = scratch_dir(spark, "staged")
+    files.write_staged_csv(s, path)
+    return files.read_positional(spark, path, _STAGED)
+
+
+@register("sequence_file_load", "SELECT fileid, filetype, stusab, chariter, sequence, logrecno, "
+          + ", ".join(S.SEQ3) + ", year FROM seq3")
+def sequence_file_load(spark, d):
+    path = scratch_dir(spark, "seqfiles")
+    S.seq3(spark, d).write.mode("overwrite").partitionBy("year").option("nullValue", files.SEQUENCE_NULL).csv(path)
+    schema = lookup.sequence_wide(S.lookup_rows(), 3)
+    return files.read_sequence(spark, path, schema, base_path=path)
+
+
+@register("yearly_read", """
+SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+WHERE year(o_orderdate) IN (1995, 1997, 1998, 1999, 2000, 2001)""")
+def yearly_read(spark, d):
+    base = scratch_dir(spark, "yearly")
+    o = S.table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", F.year("o_orderdate").cast("int").alias("oyear"))
+    o.write.mode("overwrite").partitionBy("oyear").parquet(base)
+    years = [1995] + list(range(1997, 2002))
+    df = files.read_yearly(spark, years, lambda y: f"{base}/oyear={y}",
+                           year_pattern=r"oyear=(\d{4})")
+    return df.select("o_orderkey", "o_custkey", "year")
+
+
+@register("stream_ingest_once", """
+SELECT event_id, ts, user_id, event_type FROM events WHERE event_type = 'signup'""")
+def stream_ingest_once(spark, d):
+    ev = S.table(spark, d, "events")
+    landing = scratch_dir(spark, "landing")
+    ev.write.mode("overwrite").parquet(landing)
+    out, ckpt = scratch_dir(spark, "ingested"), scratch_dir(spark, "stream-ckpt")
+
+    def clean(s):
+        s = s.filter(F.col("event_type") == "signup").select("event_id", "ts", "user_id",
+                                                             "event_type")
+        return ingest.dedupe_notices(s, "ts", ["event_id"])
+
+    ingest.stream_ingest(spark, landing, ev.schema, out, ckpt, clean)
+    ingest.stream_ingest(spark, landing, ev.schema, out, ckpt, clean)  # second run: no-op
+    return ingest.read_ingested(spark, out)
