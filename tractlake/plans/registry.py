@@ -618,9 +618,8 @@ def stream_ingest_once(spark, d):
     out, ckpt = scratch_dir(spark, "ingested"), scratch_dir(spark, "stream-ckpt")
 
     def clean(s):
-        s = s.filter(F.col("event_type") == "signup").select("event_id", "ts", "user_id",
-                                                             "event_type")
-        return ingest.dedupe_notices(s, "ts", ["event_id"])
+        return s.filter(F.col("event_type") == "signup").select("event_id", "ts", "user_id",
+                                                                "event_type")
 
     ingest.stream_ingest(spark, landing, ev.schema, out, ckpt, clean)
     ingest.stream_ingest(spark, landing, ev.schema, out, ckpt, clean)  # second run: no-op

@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def dedupe_notices(df: DataFrame, ts: str, keys, delay: str = "1 day") -> DataFrame:
+def dedupe_notices(df: DataFrame, ts: str, keys, delay: str) -> DataFrame:
     """Drop repeated notices within the watermark delay.
 
+    Opt-in: a row whose event time is older than the watermark (the latest
+    event time seen minus ``delay``) is late and is dropped, so ``delay``
+    must cover how far out of time order files can arrive. The default
+    ingest path does not dedupe; the checkpoint already reads each file once.
     ``withWatermark`` needs a zoned timestamp; stored timestamps without
     zone are cast first (the session zone is UTC).
     """
