@@ -624,3 +624,49 @@ def stream_ingest_once(spark, d):
     ingest.stream_ingest(spark, landing, ev.schema, out, ckpt, clean)
     ingest.stream_ingest(spark, landing, ev.schema, out, ckpt, clean)  # second run: no-op
     return ingest.read_ingested(spark, out)
+
+
+def _template_books(batches):
+    cols = ["FILEID", "FILETYPE", "STUSAB", "CHARITER", "SEQUENCE", "LOGRECNO"] + S.TEMPLATE_MEASURES
+    for pdf in batches:
+        paths, bodies = [], []
+        for rec in pdf.to_dict("records"):
+            vals = [None if (isinstance(v, float) and v != v) else v for v in
+                    (rec[c] for c in cols)]
+            paths.append(f"templates/Seq{rec['SEQUENCE']}.xls")
+            bodies.append(workbooks.workbook_bytes([("Sheet1", cols, [vals])]))
+        yield pd.DataFrame({"path": paths, "content": bodies})
+
+
+@register("template_files_read", "SELECT varid, seq, label, ordinal FROM template_long")
+def template_files_read(spark, d):
+    """Template workbooks (one per part) read back into lookup rows."""
+    books = S.template_sheet(spark, d).mapInPandas(_template_books, archives.PACK_SCHEMA)
+    rows = workbooks.read_workbook_rows(books)
+    return workbooks.read_templates(rows, listing.TEMPLATE_FILE_PATTERN)
+
+
+@register("listing_match_archives", """
+SELECT page_id, path, size FROM page_listing WHERE regexp_matches(path, '[0-9]+[.]html$')""")
+def listing_match_archives(spark, d):
+    return listing.match_files(S.page_listing(spark, d), r"[0-9]+[.]html$")
+
+
+@register("spine_year_range", "SELECT * FROM spine WHERE year BETWEEN 1996 AND 1999")
+def spine_year_range(spark, d):
+    return geo.build_spine(_geo(spark, d), 1996, 1999)
+
+
+@register("fact_full_per_group", _fact_sql(["legacy", "lines", "orders_mix", "shipping"]))
+def fact_full_per_group(spark, d):
+    """The reference pattern for the whole catalog: one temporary table per
+    group, then one upsert per group in ascending name order. Same result
+    as ``fact_full``; kept as the before side of the before/after bench."""
+    plans = cat.plan_groups(S.catalog_rows(), S.LOAD_YEAR)
+    g = _geo(spark, d)
+    seqs = S.sequences(spark, d)
+    fact = facts.empty_fact(g, plans)
+    for p in plans:
+        if not p.empty:
+            fact = facts.upsert_fact(fact, facts.group_frame(p, seqs, S.lookup_rows(), g))
+    return fact

@@ -34,7 +34,8 @@ def customers(spark, d) -> DataFrame:
     c = table(spark, d, "customer").select(
         F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey"),
         F.col("c_mktsegment").alias("seg"))
-    return c.join(nations(spark, d), F.col("nationkey") == F.col("n_nationkey")).select(
+    # nation has 25 rows at every scale factor: a proven size bound
+    return c.join(F.broadcast(nations(spark, d)), F.col("nationkey") == F.col("n_nationkey")).select(
         "custkey", "nationkey", "seg", "code", "n_name", "n_regionkey")
 
 
@@ -55,10 +56,16 @@ def _codes(df: DataFrame) -> DataFrame:
 
 def geo_sheet(spark, d) -> DataFrame:
     """Stacked geo sheets of all years: STATE, LOGRECNO, GEOID, Name,
-    SUMLEV (extra, dropped by the loader), year."""
+    SUMLEV (extra, dropped by the loader), year.
+
+    One pass over the (year, customer) pairs emits the tract, block-group
+    and ZIP rows of each customer (``inline``, no union of re-scans). County,
+    state and metro rows come from the distinct (year, nation, segment)
+    table, which is bounded by years x nations x segments whatever the
+    scale, so its re-use costs nothing.
+    """
     cy = _codes(customer_years(spark, d)).withColumns({
         "tract6": pad_left_keep("custkey", 6),
-        "cust6": pad_left_keep("custkey", 6),
         "zip5": pad_left_keep("custkey", 5),
     })
     ck = F.col("custkey").cast("string")
@@ -67,42 +74,43 @@ def geo_sheet(spark, d) -> DataFrame:
                   .otherwise(F.concat(F.lit("Census Tract "), ck, F.lit(", "), F.col("seg"),
                                       F.lit(" County, "), F.col("n_name"))))
 
-    def sheet(df, stusab, logrecno, geoid, name):
-        return df.select(stusab.alias("STATE"), logrecno.alias("LOGRECNO"),
-                         geoid.alias("GEOID"), name.alias("Name"),
-                         F.substring(geoid, 1, 3).alias("SUMLEV"), F.col("year"))
+    def row(stusab, logrecno, geoid, name):
+        return F.struct(stusab.alias("STATE"), logrecno.alias("LOGRECNO"), geoid.alias("GEOID"),
+                        name.alias("Name"), F.substring(geoid, 1, 3).alias("SUMLEV"))
+
+    def sheet(df, *rows):
+        return df.select(F.inline(F.array(*rows)), F.col("year"))
 
     code = F.col("code")
     tract_id = F.concat(F.col("st2"), F.col("cty3"), F.col("tract6"))
-    tracts = sheet(cy, code, F.concat(F.lit("1"), F.col("cust6")),
-                   F.concat(F.lit("14000US"), tract_id), tract_name)
-    groups = sheet(cy, code, F.concat(F.lit("2"), F.col("cust6")),
-                   F.concat(F.lit("15000US"), tract_id, F.lit("1")),
-                   F.concat(F.lit("Block Group 1, "), tract_name))
-    zips = sheet(cy, code, F.concat(F.lit("86"), F.col("cust6")),
-                 F.concat(F.lit("86000US"), F.col("zip5")),
-                 F.concat(F.lit("ZCTA5 "), F.col("zip5")))
-    cty = cy.select("year", "nationkey", "code", "n_name", "seg", "st2", "cty3").distinct()
-    counties = sheet(cty, code,
-                     F.concat(F.lit("5"), pad_left_keep(F.ascii("seg"), 6)),
-                     F.concat(F.lit("05000US"), F.col("st2"), F.col("cty3")),
-                     F.concat(F.col("seg"), F.lit(" County, "), F.col("n_name")))
-    st = cy.select("year", "nationkey", "code", "n_name", "st2").distinct()
-    states = sheet(st, code, F.col("nationkey").cast("string"),
-                   F.concat(F.lit("04000US"), F.col("st2")), F.col("n_name"))
-    rg = (cy.select("year", F.col("n_regionkey").alias("r_regionkey")).distinct()
-          .join(table(spark, d, "region"), "r_regionkey"))
+    per_customer = sheet(
+        cy,
+        row(code, F.concat(F.lit("1"), F.col("tract6")), F.concat(F.lit("14000US"), tract_id),
+            tract_name),
+        row(code, F.concat(F.lit("2"), F.col("tract6")),
+            F.concat(F.lit("15000US"), tract_id, F.lit("1")),
+            F.concat(F.lit("Block Group 1, "), tract_name)),
+        row(code, F.concat(F.lit("86"), F.col("tract6")), F.concat(F.lit("86000US"), F.col("zip5")),
+            F.concat(F.lit("ZCTA5 "), F.col("zip5"))))
+    cty = cy.select("year", "nationkey", "code", "n_name", "seg", "st2", "cty3",
+                    "n_regionkey").distinct()
+    counties = sheet(cty, row(code, F.concat(F.lit("5"), pad_left_keep(F.ascii("seg"), 6)),
+                              F.concat(F.lit("05000US"), F.col("st2"), F.col("cty3")),
+                              F.concat(F.col("seg"), F.lit(" County, "), F.col("n_name"))))
+    st = cty.select("year", "nationkey", "code", "n_name", "st2").distinct()
+    states = sheet(st, row(code, F.col("nationkey").cast("string"),
+                           F.concat(F.lit("04000US"), F.col("st2")), F.col("n_name")))
+    rg = (cty.select("year", F.col("n_regionkey").alias("r_regionkey")).distinct()
+          .join(F.broadcast(table(spark, d, "region")), "r_regionkey"))
     us = F.lit("US")
-    metros = sheet(rg, us, F.concat(F.lit("3"), pad_left_keep("r_regionkey", 6)),
-                   F.concat(F.lit("31000US"), (F.col("r_regionkey") * 10 + 10000).cast("string")),
-                   F.concat(F.col("r_name"), F.lit(" Metro Area")))
-    regions = sheet(rg, us, F.concat(F.lit("9"), pad_left_keep("r_regionkey", 6)),
-                    F.concat(F.lit("02000US"), F.col("r_regionkey").cast("string")),
-                    F.col("r_name"))
-    out = tracts
-    for part in (groups, zips, counties, states, metros, regions):
-        out = out.unionByName(part)
-    return out
+    regional = sheet(
+        rg,
+        row(us, F.concat(F.lit("3"), pad_left_keep("r_regionkey", 6)),
+            F.concat(F.lit("31000US"), (F.col("r_regionkey") * 10 + 10000).cast("string")),
+            F.concat(F.col("r_name"), F.lit(" Metro Area"))),
+        row(us, F.concat(F.lit("9"), pad_left_keep("r_regionkey", 6)),
+            F.concat(F.lit("02000US"), F.col("r_regionkey").cast("string")), F.col("r_name")))
+    return per_customer.unionByName(counties).unionByName(states).unionByName(regional)
 
 
 def _dec(c):
