@@ -76,3 +76,48 @@ def test_table_ops(spark):
     with pytest.raises(Exception, match="two types"):
         bad = c.union(spark.createDataFrame([("g3", "share", "B1_1", "count", 2009, 9999)], c.schema))
         cat.metric_types(bad).collect()
+
+
+# Formula shapes as they occur in a survey metric catalog.
+SHAPES = [
+    ("B15002_011 + B15002_028", "B15002_011 + B15002_028"),
+    ("count_civilian_labor_force_unemployed / count_civilian_labor_force",
+     "count_civilian_labor_force_unemployed / NULLIF(count_civilian_labor_force, 0)"),
+    ("B25004_004 / (B25003_002 + B25004_004 + B25004_005)",
+     "B25004_004 / NULLIF((B25003_002 + B25004_004 + B25004_005), 0)"),
+    ("count_population_16yr_and_over - count_in_labor_force",
+     "count_population_16yr_and_over - count_in_labor_force"),
+]
+
+
+@pytest.mark.parametrize("formula, guarded", SHAPES)
+def test_guard_on_catalog_shapes(formula, guarded):
+    assert cat.guard_text(formula) == guarded
+
+
+def test_chained_sums_expand_in_order():
+    rows_ = [dict(group_name="edu", metric_name="a", formula="B15002_014 + B15002_031",
+                  statistic="count", start_year=2009, end_year=9999),
+             dict(group_name="edu", metric_name="b", formula="B15002_015 + B15002_032",
+                  statistic="count", start_year=2009, end_year=9999),
+             dict(group_name="edu", metric_name="a_or_b", formula="a + b", statistic="count",
+                  start_year=2009, end_year=9999),
+             dict(group_name="edu", metric_name="share", formula="a / a_or_b", statistic="rate",
+                  start_year=2009, end_year=9999)]
+    p = cat.plan_groups(rows_, 2017)[0]
+    m = dict(p.metrics)
+    assert m["a_or_b"] == "(B15002_014 + B15002_031) + (B15002_015 + B15002_032)"
+    assert m["share"].startswith("(B15002_014 + B15002_031) / NULLIF(")
+    assert p.measures == ["B15002_014", "B15002_015", "B15002_031", "B15002_032"]
+
+
+def test_chained_formula_values(spark):
+    from decimal import Decimal as D
+    rows_ = [dict(group_name="g", metric_name="t", formula="B1_001 + B1_002", statistic="count",
+                  start_year=2009, end_year=9999),
+             dict(group_name="g", metric_name="r", formula="B1_001 / t", statistic="rate",
+                  start_year=2009, end_year=9999)]
+    p = cat.plan_groups(rows_, 2017)[0]
+    df = spark.createDataFrame([(D("1"), D("2")), (D("0"), D("0"))], "B1_001 decimal(16,2), B1_002 decimal(16,2)")
+    got = df.select(*[F.expr(sql).cast(p.types[n]).alias(n) for n, sql in p.metrics]).collect()
+    assert [(r.t, r.r) for r in got] == [(D("3.00"), D("0.333333")), (D("0.00"), None)]

@@ -55,3 +55,13 @@ def test_typed_load_failures(spark, over, msg):
 def test_feed_layout_widths():
     assert len(feeds.DIRECTORY) == 30 and len(feeds.RATINGS) == 4
     assert len(feeds.CITY_RATINGS) == 8 and len(feeds.DICTIONARY) == 3
+
+
+def test_salted_join_same_result_as_plain_join(spark):
+    from tractlake.operators.skew import salted_lookup_join
+    big = spark.range(2000).selectExpr("CASE WHEN id % 10 < 8 THEN 'hot' ELSE cast(id % 7 AS string) END AS k",
+                                       "id")
+    small = big.groupBy("k").count()
+    plain = rows(big.join(small, "k"))
+    salted = rows(salted_lookup_join(big, small, ["k"], buckets=8))
+    assert plain == salted

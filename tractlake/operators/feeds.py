@@ -76,20 +76,22 @@ def typed_load(df: DataFrame, layout, by_position: bool = True) -> DataFrame:
 
     Columns are matched by position (``by_position``) or name. Numbers are
     cast under ANSI rules, so text in a number column, or a number that does
-    not fit its precision, fails the job; empty text counts as NULL.
+    not fit its precision, fails the job. An empty field is NULL; a blank
+    number is NULL too, while blank text stays as it is.
     """
     src = df.columns
     cols = []
     for i, (name, typ, _) in enumerate(layout):
         c = F.col(f"`{src[i]}`") if by_position else F.col(name)
-        c = F.when(F.trim(c) == "", F.lit(None)).otherwise(c)
+        empty = (c == "") if isinstance(typ, T.StringType) else (F.trim(c) == "")
+        c = F.when(empty, F.lit(None)).otherwise(c)
         cols.append(c.cast(typ).alias(name))
     return check_widths(df.select(*cols), layout)
 
 
 def read_tsv_repaired(lines: DataFrame, columns, file_col: str = "file",
                       text_col: str = "value", bad: str = "\t \t",
-                      good: str = "\t") -> DataFrame:
+                      good: str = "\t", salt_buckets: int = 16) -> DataFrame:
     """Split tab-separated lines into text columns, repairing bad files.
 
     A file whose widest line has more fields than ``columns`` would not
@@ -97,12 +99,14 @@ def read_tsv_repaired(lines: DataFrame, columns, file_col: str = "file",
     splitting. Files that parse are left alone, even when they contain
     ``bad`` legitimately. A line that is still too wide after the repair
     fails the job. The per-file width is a grouped max (partial aggregation,
-    one row per file) joined back on the file name.
+    one row per file) joined back on the file name with a salted join, so a
+    single file holding most of the lines is still split over many tasks.
     """
+    from tractlake.operators.skew import salted_lookup_join
     n = len(columns)
     width = F.size(F.split(F.col(text_col), "\t", -1))
     stats = lines.groupBy(file_col).agg(F.max(width).alias("_w"))
-    j = lines.join(stats, file_col)
+    j = salted_lookup_join(lines, stats, [file_col], salt_buckets)
     fixed = F.when(F.col("_w") > n, F.replace(F.col(text_col), F.lit(bad), F.lit(good))) \
         .otherwise(F.col(text_col))
     parts = j.select(F.col(file_col), F.split(fixed, "\t", -1).alias("_p"))
@@ -120,3 +124,28 @@ def scan_by_date(df: DataFrame, ts: str, after: str) -> DataFrame:
     """
     from tractlake.functions.columns import date_after
     return df.filter(date_after(ts, after))
+
+
+def archive_lines(members: DataFrame, header: bool = True) -> DataFrame:
+    """Text lines of archive members: (file, line_no, value).
+
+    ``file`` is the member's landed path. Each member's text is split on
+    line breaks locally (no shuffle); with ``header`` its first line is
+    dropped. A trailing empty line is ignored.
+    """
+    text = F.decode(F.col("content"), "UTF-8")
+    lines = members.select(F.col("path").alias("file"),
+                           F.posexplode(F.split(text, "\r?\n", -1)).alias("line_no", "value"))
+    lines = lines.filter(F.col("value") != "")
+    if header:
+        lines = lines.filter(F.col("line_no") > 0)
+    return lines
+
+
+def read_feed_archives(members: DataFrame, layout, header: bool = True,
+                       salt_buckets: int = 16) -> DataFrame:
+    """Feed zips (already expanded) → repaired, typed feed table."""
+    lines = archive_lines(members, header)
+    names = [n for n, _, _ in layout]
+    split = read_tsv_repaired(lines, names, salt_buckets=salt_buckets)
+    return typed_load(split.drop("file"), layout)

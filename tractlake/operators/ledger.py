@@ -30,7 +30,9 @@ def pending_notices(notices: DataFrame, ledger: DataFrame) -> DataFrame:
 
     Anti join against the ledger's done rows on the notice timestamp.
     """
-    done = ledger.filter(F.col("updated")).select(F.col("email_ts"))
+    # distinct keys: the aggregate is hash-partitioned on the join key, so
+    # the anti join adds no exchange on this side
+    done = ledger.filter(F.col("updated")).select(F.col("email_ts")).distinct()
     return notices.join(done, "email_ts", "left_anti").filter(F.col("is_feed_update"))
 
 
@@ -40,7 +42,7 @@ def append_unseen(ledger: DataFrame, notices: DataFrame, retrieve_ts,
 
     New rows start not done, with their landing folder.
     """
-    new = notices.join(ledger.select("email_ts"), "email_ts", "left_anti")
+    new = notices.join(ledger.select("email_ts").distinct(), "email_ts", "left_anti")
     rows = new.select(
         F.lit(retrieve_ts).cast("timestamp_ntz").alias("retrieve_ts"),
         F.col("email_ts"), F.col("subject").alias("email_subject"),

@@ -96,7 +96,7 @@ def member_path(archive_path, member) -> Column:
 
 def new_files_only(listing: DataFrame, landed: DataFrame, key: str = "key") -> DataFrame:
     """Entries whose key is not landed yet; a rerun finds nothing new."""
-    return listing.join(landed.select(key), key, "left_anti")
+    return listing.join(landed.select(key).distinct(), key, "left_anti")
 
 
 def region_code_from_listing(listing: DataFrame, year: int, path: str = "path") -> DataFrame:

@@ -562,7 +562,10 @@ def _geo_workbooks(batches):
 
 @register("workbook_stack", "SELECT * FROM geo")
 def workbook_stack(spark, d):
-    books = S.geo_sheet(spark, d).mapInPandas(_geo_workbooks, archives.PACK_SCHEMA)
+    # Spread the (synthetic) workbook writing over every core: AQE would
+    # otherwise coalesce this small input into one Python task.
+    sheet = S.geo_sheet(spark, d).repartition(spark.sparkContext.defaultParallelism)
+    books = sheet.mapInPandas(_geo_workbooks, archives.PACK_SCHEMA)
     rows = workbooks.read_workbook_rows(books)
     stacked = workbooks.stack_sheets(rows, _SHEET_HEADER + ["NOTE"])
     stacked = stacked.withColumn("year", F.regexp_extract("path", r"geo/(\d{4})/", 1).cast("int"))
@@ -641,7 +644,8 @@ def _template_books(batches):
 @register("template_files_read", "SELECT varid, seq, label, ordinal FROM template_long")
 def template_files_read(spark, d):
     """Template workbooks (one per part) read back into lookup rows."""
-    books = S.template_sheet(spark, d).mapInPandas(_template_books, archives.PACK_SCHEMA)
+    sheet = S.template_sheet(spark, d).repartition(spark.sparkContext.defaultParallelism)
+    books = sheet.mapInPandas(_template_books, archives.PACK_SCHEMA)
     rows = workbooks.read_workbook_rows(books)
     return workbooks.read_templates(rows, listing.TEMPLATE_FILE_PATTERN)
 
@@ -670,3 +674,32 @@ def fact_full_per_group(spark, d):
         if not p.empty:
             fact = facts.upsert_fact(fact, facts.group_frame(p, seqs, S.lookup_rows(), g))
     return fact
+
+
+def _ratings_zips(batches):
+    import io as _io
+    import zipfile as _zf
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        key = int(pdf["key"].min())
+        buf = _io.BytesIO()
+        with _zf.ZipFile(buf, "w", _zf.ZIP_DEFLATED) as z:
+            for code, grp in pdf.groupby("code"):
+                z.writestr(f"part{key}/ratings_{code}.txt",
+                           "\n".join([S.RATINGS_HEADER] + grp["line"].tolist()) + "\n")
+        yield pd.DataFrame({"path": [f"landing/feeds/ratings-{key}.zip"],
+                            "content": [buf.getvalue()]})
+
+
+@register("feed_zip_load", """
+SELECT CAST(s_suppkey AS VARCHAR) AS testratingid,
+  CASE WHEN s_suppkey % 13 = 5 THEN ' ' ELSE 'U' || CAST(s_nationkey AS VARCHAR) END AS universalid,
+  CAST(s_suppkey % 10 + 1 AS DECIMAL(2,0)) AS rating,
+  'https://example.org/r/' || CAST(s_suppkey AS VARCHAR) AS url
+FROM supplier""")
+def feed_zip_load(spark, d):
+    """Feed zips → members → lines → per-file repair → typed ratings table."""
+    zips = S.ratings_lines(spark, d).mapInPandas(_ratings_zips, archives.PACK_SCHEMA)
+    members = archives.expand_archives(zips, keep_dirs=False, flatten=False)
+    return feeds.read_feed_archives(members, feeds.RATINGS)

@@ -19,11 +19,35 @@ from pyspark.sql import functions as F
 from tractlake.functions.columns import pad_left_keep
 
 
+_MEMO: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, d: str, make):
+    """Per-session memo of a lazy DataFrame definition.
+
+    DataFrames are immutable plan descriptions, so one definition serves
+    every query of the session, as a registered table would; this saves the
+    file listing and footer read of each ``spark.read`` and the Python-side
+    construction of the shared dimension frames. No data is cached.
+    """
+    key = (id(spark), d, kind)
+    hit = _MEMO.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = make()
+    _MEMO[key] = (spark, df)
+    return df
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return _memo(name, spark, d, lambda: spark.read.parquet(f"{d}/{name}.parquet"))
 
 
 def nations(spark, d) -> DataFrame:
+    return _memo("nations", spark, d, lambda: _nations(spark, d))
+
+
+def _nations(spark, d) -> DataFrame:
     """Nation with its two-letter region code ``S`` + letter (upper case)."""
     n = table(spark, d, "nation")
     return n.select("n_nationkey", "n_name", "n_regionkey",
@@ -31,6 +55,10 @@ def nations(spark, d) -> DataFrame:
 
 
 def customers(spark, d) -> DataFrame:
+    return _memo("customers", spark, d, lambda: _customers(spark, d))
+
+
+def _customers(spark, d) -> DataFrame:
     c = table(spark, d, "customer").select(
         F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey"),
         F.col("c_mktsegment").alias("seg"))
@@ -47,11 +75,15 @@ def customer_years(spark, d) -> DataFrame:
     return cy.join(customers(spark, d), "custkey")
 
 
-def _codes(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "st2": F.lpad(F.col("nationkey").cast("string"), 2, "0"),
-        "cty3": F.lpad(F.ascii("seg").cast("string"), 3, "0"),
-    })
+def _pad(x: str, n: int) -> str:
+    """SQL twin of ``pad_left_keep``: left-pad to ``n``, never cut."""
+    v = f"CAST({x} AS STRING)"
+    return f"(CASE WHEN length({v}) < {n} THEN lpad({v}, {n}, '0') ELSE {v} END)"
+
+
+def _row(stusab: str, logrecno: str, geoid: str, name: str) -> str:
+    return (f"named_struct('STATE', {stusab}, 'LOGRECNO', {logrecno}, 'GEOID', {geoid}, "
+            f"'Name', {name}, 'SUMLEV', substr({geoid}, 1, 3))")
 
 
 def geo_sheet(spark, d) -> DataFrame:
@@ -60,78 +92,56 @@ def geo_sheet(spark, d) -> DataFrame:
 
     One pass over the (year, customer) pairs emits the tract, block-group
     and ZIP rows of each customer (``inline``, no union of re-scans). County,
-    state and metro rows come from the distinct (year, nation, segment)
-    table, which is bounded by years x nations x segments whatever the
-    scale, so its re-use costs nothing.
+    state and metro rows come from one aggregate over grouping sets, whose
+    output is bounded by years x nations x segments whatever the scale.
+    Projections are SQL snippets (one call each, not one per function).
     """
-    cy = _codes(customer_years(spark, d)).withColumns({
-        "tract6": pad_left_keep("custkey", 6),
-        "zip5": pad_left_keep("custkey", 5),
-    })
-    ck = F.col("custkey").cast("string")
-    tract_name = (F.when(F.col("custkey") % 10 == 0,
-                         F.concat(F.lit("Census Tract "), ck, F.lit(", "), F.col("n_name")))
-                  .otherwise(F.concat(F.lit("Census Tract "), ck, F.lit(", "), F.col("seg"),
-                                      F.lit(" County, "), F.col("n_name"))))
-
-    def row(stusab, logrecno, geoid, name):
-        return F.struct(stusab.alias("STATE"), logrecno.alias("LOGRECNO"), geoid.alias("GEOID"),
-                        name.alias("Name"), F.substring(geoid, 1, 3).alias("SUMLEV"))
-
-    def sheet(df, *rows):
-        return df.select(F.inline(F.array(*rows)), F.col("year"))
-
-    code = F.col("code")
-    tract_id = F.concat(F.col("st2"), F.col("cty3"), F.col("tract6"))
-    per_customer = sheet(
-        cy,
-        row(code, F.concat(F.lit("1"), F.col("tract6")), F.concat(F.lit("14000US"), tract_id),
-            tract_name),
-        row(code, F.concat(F.lit("2"), F.col("tract6")),
-            F.concat(F.lit("15000US"), tract_id, F.lit("1")),
-            F.concat(F.lit("Block Group 1, "), tract_name)),
-        row(code, F.concat(F.lit("86"), F.col("tract6")), F.concat(F.lit("86000US"), F.col("zip5")),
-            F.concat(F.lit("ZCTA5 "), F.col("zip5"))))
-    cty = cy.select("year", "nationkey", "code", "n_name", "seg", "st2", "cty3",
-                    "n_regionkey").distinct()
-    counties = sheet(cty, row(code, F.concat(F.lit("5"), pad_left_keep(F.ascii("seg"), 6)),
-                              F.concat(F.lit("05000US"), F.col("st2"), F.col("cty3")),
-                              F.concat(F.col("seg"), F.lit(" County, "), F.col("n_name"))))
-    st = cty.select("year", "nationkey", "code", "n_name", "st2").distinct()
-    states = sheet(st, row(code, F.col("nationkey").cast("string"),
-                           F.concat(F.lit("04000US"), F.col("st2")), F.col("n_name")))
-    rg = (cty.select("year", F.col("n_regionkey").alias("r_regionkey")).distinct()
-          .join(F.broadcast(table(spark, d, "region")), "r_regionkey"))
-    us = F.lit("US")
-    regional = sheet(
-        rg,
-        row(us, F.concat(F.lit("3"), pad_left_keep("r_regionkey", 6)),
-            F.concat(F.lit("31000US"), (F.col("r_regionkey") * 10 + 10000).cast("string")),
-            F.concat(F.col("r_name"), F.lit(" Metro Area"))),
-        row(us, F.concat(F.lit("9"), pad_left_keep("r_regionkey", 6)),
-            F.concat(F.lit("02000US"), F.col("r_regionkey").cast("string")), F.col("r_name")))
-    return per_customer.unionByName(counties).unionByName(states).unionByName(regional)
-
-
-def _dec(c):
-    return F.col(c).cast("decimal(16,2)")
-
-
-def _n(cond):
-    return F.sum(F.when(cond, 1).otherwise(0))
+    cy = customer_years(spark, d).selectExpr(
+        "year", "custkey", "nationkey", "seg", "code", "n_name", "n_regionkey",
+        "lpad(CAST(nationkey AS STRING), 2, '0') AS st2",
+        "lpad(CAST(ascii(seg) AS STRING), 3, '0') AS cty3",
+        f"{_pad('custkey', 6)} AS tract6", f"{_pad('custkey', 5)} AS zip5",
+        "CASE WHEN custkey % 10 = 0 THEN concat('Census Tract ', custkey, ', ', n_name) "
+        "ELSE concat('Census Tract ', custkey, ', ', seg, ' County, ', n_name) END AS tract_name")
+    tract_id = "concat(st2, cty3, tract6)"
+    per_customer = cy.selectExpr(
+        "inline(array("
+        + _row("code", "concat('1', tract6)", f"concat('14000US', {tract_id})", "tract_name") + ", "
+        + _row("code", "concat('2', tract6)", f"concat('15000US', {tract_id}, '1')",
+               "concat('Block Group 1, ', tract_name)") + ", "
+        + _row("code", "concat('86', tract6)", "concat('86000US', zip5)", "concat('ZCTA5 ', zip5)")
+        + "))", "year")
+    sets = [["year", "n_regionkey", "nationkey", "seg"], ["year", "n_regionkey", "nationkey"],
+            ["year", "n_regionkey"]]
+    agg = (cy.groupingSets(sets, "year", "n_regionkey", "nationkey", "seg")
+           .agg(F.expr("max(code) AS code"), F.expr("max(n_name) AS n_name"),
+                F.expr("grouping_id() AS gid")))
+    agg = agg.join(F.broadcast(table(spark, d, "region")),
+                   F.col("n_regionkey") == F.col("r_regionkey"))
+    st2 = "lpad(CAST(nationkey AS STRING), 2, '0')"
+    cty3 = "lpad(CAST(ascii(seg) AS STRING), 3, '0')"
+    county = _row("code", f"concat('5', {_pad('ascii(seg)', 6)})",
+                  f"concat('05000US', {st2}, {cty3})", "concat(seg, ' County, ', n_name)")
+    state = _row("code", "CAST(nationkey AS STRING)", f"concat('04000US', {st2})", "n_name")
+    metro = _row("'US'", f"concat('3', {_pad('r_regionkey', 6)})",
+                 "concat('31000US', CAST(r_regionkey * 10 + 10000 AS STRING))",
+                 "concat(r_name, ' Metro Area')")
+    region = _row("'US'", f"concat('9', {_pad('r_regionkey', 6)})",
+                  "concat('02000US', CAST(r_regionkey AS STRING))", "r_name")
+    aggregated = agg.selectExpr(
+        f"inline(CASE WHEN gid = 0 THEN array({county}) WHEN gid = 1 THEN array({state}) "
+        f"ELSE array({metro}, {region}) END)", "year")
+    return per_customer.unionByName(aggregated)
 
 
 def _seq_frame(agg: DataFrame, spark, d, seqno: int, measures) -> DataFrame:
     """Attach region code and the six fixed columns to per-customer rows."""
     c = customers(spark, d).select("custkey", "code")
-    j = agg.join(c, "custkey")
-    return j.select(
-        F.lit("ACSSF").alias("fileid"),
-        F.concat(F.col("year").cast("string"), F.lit("e5")).alias("filetype"),
-        F.lower("code").alias("stusab"), F.lit("000").alias("chariter"),
-        F.lit(f"{seqno:04d}").alias("sequence"),
-        F.concat(F.lit("1"), pad_left_keep("custkey", 6)).alias("logrecno"),
-        F.col("year"), *[F.col(m).cast("decimal(16,2)").alias(m) for m in measures])
+    return agg.join(c, "custkey").selectExpr(
+        "'ACSSF' AS fileid", "concat(CAST(year AS STRING), 'e5') AS filetype",
+        "lower(code) AS stusab", "'000' AS chariter", f"'{seqno:04d}' AS sequence",
+        f"concat('1', {_pad('custkey', 6)}) AS logrecno", "year",
+        *[f"CAST({m} AS DECIMAL(16,2)) AS {m}" for m in measures])
 
 
 SEQ1 = ["B10001_001", "B10001_002", "B10001_003", "B10001_004", "B10001_005"]
@@ -139,29 +149,33 @@ SEQ2 = ["B20001_001", "B20001_002", "B20001_003", "B20001_004", "B20001_005"]
 SEQ3 = ["C30001_001", "C30001_002", "C30001_003", "C30001_004", "C30001_005"]
 
 
+def _aggs(*exprs):
+    return [F.expr(e) for e in exprs]
+
+
 def seq1(spark, d) -> DataFrame:
     """Orders per customer and order year: count, by status, total price."""
-    o = table(spark, d, "orders")
-    s = F.col("o_orderstatus")
-    agg = (o.groupBy(F.year("o_orderdate").cast("int").alias("year"),
-                     F.col("o_custkey").alias("custkey"))
-           .agg(F.count(F.lit(1)).alias(SEQ1[0]), _n(s == "F").alias(SEQ1[1]),
-                _n(s == "O").alias(SEQ1[2]), _n(s == "P").alias(SEQ1[3]),
-                F.sum(_dec("o_totalprice")).alias(SEQ1[4])))
+    o = table(spark, d, "orders").selectExpr(
+        "CAST(year(o_orderdate) AS INT) AS year", "o_custkey AS custkey", "o_orderstatus AS s",
+        "CAST(o_totalprice AS DECIMAL(16,2)) AS p")
+    agg = o.groupBy("year", "custkey").agg(*_aggs(
+        f"count(1) AS {SEQ1[0]}", f"sum(CASE WHEN s = 'F' THEN 1 ELSE 0 END) AS {SEQ1[1]}",
+        f"sum(CASE WHEN s = 'O' THEN 1 ELSE 0 END) AS {SEQ1[2]}",
+        f"sum(CASE WHEN s = 'P' THEN 1 ELSE 0 END) AS {SEQ1[3]}", f"sum(p) AS {SEQ1[4]}"))
     return _seq_frame(agg, spark, d, 1, SEQ1)
 
 
 def margin1(spark, d) -> DataFrame:
     """Margins twin of ``seq1``: a tenth of each estimate."""
     e = seq1(spark, d)
-    return e.withColumns({m: (F.col(m) * F.lit(0.1).cast("decimal(2,1)")).cast("decimal(16,2)")
-                          for m in SEQ1})
+    keep = [c for c in e.columns if c not in SEQ1]
+    return e.selectExpr(*keep, *[f"CAST({m} * CAST(0.1 AS DECIMAL(2,1)) AS DECIMAL(16,2)) AS {m}"
+                                 for m in SEQ1])
 
 
 def _orders_key(spark, d):
-    return table(spark, d, "orders").select(
-        F.col("o_orderkey"), F.col("o_custkey").alias("custkey"),
-        F.year("o_orderdate").cast("int").alias("oyear"))
+    return table(spark, d, "orders").selectExpr(
+        "o_orderkey", "o_custkey AS custkey", "CAST(year(o_orderdate) AS INT) AS oyear")
 
 
 def seq2(spark, d) -> DataFrame:
@@ -171,28 +185,30 @@ def seq2(spark, d) -> DataFrame:
     so the join with orders moves a quarter of the rows.
     """
     li = table(spark, d, "lineitem")
-    f = F.col("l_returnflag")
-    per_order = li.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_dec("l_quantity")).alias("q"),
-        _n(f == "A").alias("a"), _n(f == "N").alias("nn"), _n(f == "R").alias("r"))
+    per_order = li.groupBy("l_orderkey").agg(*_aggs(
+        "count(1) AS n", "sum(CAST(l_quantity AS DECIMAL(16,2))) AS q",
+        "sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS a",
+        "sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS nn",
+        "sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS r"))
     j = per_order.join(_orders_key(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
-    agg = j.groupBy(F.col("oyear").alias("year"), "custkey").agg(
-        F.sum("n").alias(SEQ2[0]), F.sum("q").alias(SEQ2[1]), F.sum("a").alias(SEQ2[2]),
-        F.sum("nn").alias(SEQ2[3]), F.sum("r").alias(SEQ2[4]))
+    agg = j.groupBy(F.col("oyear").alias("year"), "custkey").agg(*_aggs(
+        f"sum(n) AS {SEQ2[0]}", f"sum(q) AS {SEQ2[1]}", f"sum(a) AS {SEQ2[2]}",
+        f"sum(nn) AS {SEQ2[3]}", f"sum(r) AS {SEQ2[4]}"))
     return _seq_frame(agg, spark, d, 2, SEQ2)
 
 
 def seq3(spark, d) -> DataFrame:
     """Line items per customer and ship year (years differ from seq 1/2)."""
     li = table(spark, d, "lineitem")
-    s = F.col("l_linestatus")
-    per_order = li.groupBy("l_orderkey", F.year("l_shipdate").cast("int").alias("syear")).agg(
-        F.count(F.lit(1)).alias("n"), _n(s == "O").alias("o"), _n(s == "F").alias("f"),
-        F.sum(_dec("l_extendedprice")).alias("p"), F.sum(_dec("l_discount")).alias("dc"))
+    per_order = li.groupBy("l_orderkey", F.expr("CAST(year(l_shipdate) AS INT) AS syear")).agg(
+        *_aggs("count(1) AS n", "sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS o",
+               "sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS f",
+               "sum(CAST(l_extendedprice AS DECIMAL(16,2))) AS p",
+               "sum(CAST(l_discount AS DECIMAL(16,2))) AS dc"))
     j = per_order.join(_orders_key(spark, d), F.col("l_orderkey") == F.col("o_orderkey"))
-    agg = j.groupBy(F.col("syear").alias("year"), "custkey").agg(
-        F.sum("n").alias(SEQ3[0]), F.sum("o").alias(SEQ3[1]), F.sum("f").alias(SEQ3[2]),
-        F.sum("p").alias(SEQ3[3]), F.sum("dc").alias(SEQ3[4]))
+    agg = j.groupBy(F.col("syear").alias("year"), "custkey").agg(*_aggs(
+        f"sum(n) AS {SEQ3[0]}", f"sum(o) AS {SEQ3[1]}", f"sum(f) AS {SEQ3[2]}",
+        f"sum(p) AS {SEQ3[3]}", f"sum(dc) AS {SEQ3[4]}"))
     return _seq_frame(agg, spark, d, 3, SEQ3)
 
 
@@ -403,3 +419,22 @@ def sequence_listing(spark, d, year: int) -> DataFrame:
         F.concat(F.lit(f"g{year}5"), F.col("code"), F.lit(".txt")),
         F.concat(F.lit(f"e{year}5"), F.col("code"), F.lit("0001000.txt")))))
     return files.select(F.concat("root", "level", F.lit("/"), "file").alias("path"))
+
+
+RATINGS_HEADER = "test-rating-id\tuniversal-id\trating\turl"
+
+
+def ratings_lines(spark, d) -> DataFrame:
+    """Ratings feed lines from suppliers, one feed file per nation.
+
+    Every line of a nation whose key is 1 mod 4 carries a stray
+    tab-blank-tab (the whole file needs repair); some ids are blank, which
+    is a legal tab-blank-tab in the other files.
+    """
+    s = supplier_codes(spark, d)
+    k = F.col("s_suppkey")
+    uid = F.when(k % 13 == 5, F.lit(" ")).otherwise(F.concat(F.lit("U"), F.col("s_nationkey").cast("string")))
+    sep = F.when(F.col("s_nationkey") % 4 == 1, F.lit("\t \t")).otherwise(F.lit("\t"))
+    line = F.concat(k.cast("string"), F.lit("\t"), uid, sep, (k % 10 + 1).cast("string"),
+                    F.lit("\thttps://example.org/r/"), k.cast("string"))
+    return s.select(F.lower("code").alias("code"), k.alias("key"), line.alias("line"))

@@ -91,3 +91,10 @@ def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataF
         r = r.option("pathGlobFilter", glob)
     df = r.text(path)
     return df.select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def scan_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
+    """Whole-table read: a catalog table name, or a folder of files."""
+    if "/" in name_or_path or ":" in name_or_path:
+        return spark.read.format(fmt).load(name_or_path)
+    return spark.table(name_or_path)
