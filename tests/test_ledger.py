@@ -52,3 +52,17 @@ def test_nothing_pending(spark):
     pend = ledger.pending_notices(sel, done)
     assert pend.count() == 0
     assert ledger.current_batch(pend).collect()[0].stage_location is None
+
+
+def test_snapshot_versions_switch(spark):
+    import tempfile
+    led, sel = setup(spark)
+    root = tempfile.mkdtemp(prefix="tl-ledger-")
+    assert ledger.read_current(spark, root) is None
+    ledger.write_snapshot(led, root, 1)
+    cur = ledger.read_current(spark, root)
+    nxt = ledger.close_ledger(ledger.append_unseen(cur, sel, "2024-02-01 00:00:00"), "2024-01-31")
+    ledger.write_snapshot(nxt, root, 2)
+    assert ledger.current_version(spark, root) == 2
+    assert ledger.read_current(spark, root).count() == 4
+    assert all(r.updated for r in ledger.read_current(spark, root).collect())

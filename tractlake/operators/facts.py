@@ -80,6 +80,49 @@ def join_sequences(frames, keys=JOIN_KEYS, strategy: str = "union") -> DataFrame
     return checked.select(*keys, *measures)
 
 
+def unique_by_key(seq: DataFrame, keys=JOIN_KEYS) -> DataFrame:
+    """One row per key of a sequence frame; a repeated key fails the job.
+
+    The aggregate's shuffle is on the join keys, so it doubles as the
+    shuffle of the join that follows: the check costs no extra exchange.
+    """
+    keys = list(keys)
+    ms = [c for c in seq.columns if c not in keys]
+    agg = seq.groupBy(*keys).agg(*[F.first(m).alias(m) for m in ms],
+                                 F.count(F.lit(1)).alias("_n"))
+    checked = agg.filter(F.when(F.col("_n") > 1, F.raise_error(
+        F.lit("duplicate key inside one sequence"))).otherwise(F.lit(True)))
+    return checked.select(*keys, *ms)
+
+
+def areas_with_measures(areas: DataFrame, sequences: dict, lookup_rows, measures,
+                        years=None, missing: str = "raise") -> DataFrame:
+    """Areas LEFT JOIN each needed sequence on (year, region, record).
+
+    Only area rows matter downstream, so each sequence is joined to the areas
+    directly: every sequence is shuffled once with just its own measures,
+    and because a left join keeps the left side's hash partitioning, the area
+    side is shuffled once for the whole chain (no wide intermediate rows).
+    ``areas`` must carry ``year``, ``stusab_key`` and ``logrecno``.
+    """
+    plan = sequence_plan(measures, lookup_rows, missing)
+    out = areas
+    for s, ms in plan.items():
+        f = _keyed(prune_measures(sequences[s], ms))
+        if years is not None:
+            f = f.filter(F.col("year").between(years[0], years[1]))
+        out = out.join(unique_by_key(f), JOIN_KEYS, "left")
+    absent = [m for m in measures if m not in out.columns]
+    if absent:
+        out = out.withColumns({m: F.lit(None).cast("decimal(16,2)") for m in absent})
+    return out
+
+
+def _area_keys(geo: DataFrame) -> DataFrame:
+    return geo.select(F.col("year").cast("int").alias("year"), "geoid",
+                      region_key().alias("stusab_key"), "logrecno")
+
+
 def select_metrics(data: DataFrame, metrics, keep=JOIN_KEYS) -> DataFrame:
     """``formula AS name`` for each metric, keys kept.
 
@@ -155,18 +198,17 @@ def group_frame(plan: GroupPlan, sequences: dict, lookup_rows, geo: DataFrame,
                 missing: str = "raise") -> DataFrame:
     """One group's metrics for every area of every year in its window.
 
-    The reference pattern (one temporary table per group): sequences pruned
-    and combined, formulas selected, then right-joined to the areas.
+    The reference pattern (one temporary table per group): the group's
+    sequences pruned and joined to the areas of the window years (every area
+    row survives, as with the reference's right join), formulas selected.
     An empty window (first year after last) yields no rows.
     """
     names = [n for n, _ in plan.metrics]
     lo, hi = plan.first_year, plan.last_year
-    wide = measures_frame(sequences, lookup_rows, plan.measures, (lo, hi), missing)
-    data = select_metrics(wide, plan.metrics)
-    areas = geo.filter(F.col("year").between(lo, hi))
-    out = attach_area(data, areas, names)
-    return out.select("year", "geoid",
-                      *[F.col(n).cast(plan.types[n]).alias(n) for n in names])
+    areas = _area_keys(geo.filter(F.col("year").between(lo, hi)))
+    data = areas_with_measures(areas, sequences, lookup_rows, plan.measures, (lo, hi), missing)
+    return data.select("year", "geoid",
+                       *[F.expr(sql).cast(plan.types[n]).alias(n) for n, sql in plan.metrics])
 
 
 def _check_unique(src: DataFrame, key, cols) -> DataFrame:
@@ -214,11 +256,11 @@ def build_fact(geo: DataFrame, sequences: dict, lookup_rows, plans,
                missing: str = "raise") -> DataFrame:
     """The wide fact table in one pass.
 
-    All groups' measures are read once per sequence and combined by key
-    (one shuffle); the areas are joined once on the same keys (so that
-    exchange is shared); each metric column is then
-    ``coalesce(group_n, …, group_1)`` where a group's value counts only in
-    its year window. Groups run in ascending name order and a later non-NULL
+    All groups' measures are read once per sequence (only the needed
+    columns) and left-joined to the areas on (year, region, record): one
+    shuffle per sequence and one for the areas, whatever the number of
+    sequences. Each metric column is then ``coalesce(group_n, …, group_1)``
+    where a group's value counts only in its year window. Groups run in ascending name order and a later non-NULL
     value wins, as with one UPDATE per metric and group.
     """
     live = [p for p in plans if not p.empty]
@@ -230,14 +272,12 @@ def build_fact(geo: DataFrame, sequences: dict, lookup_rows, plans,
             if n not in types:
                 types[n] = p.types[n]
                 order.append(n)
-    areas = geo.select(F.col("year").cast("int").alias("year"), "geoid",
-                       region_key().alias("stusab_key"), "logrecno")
+    areas = _area_keys(geo)
     if not live:
         return areas.select("year", "geoid", *[F.lit(None).cast(types[n]).alias(n) for n in order])
     lo = min(p.first_year for p in live)
     hi = max(p.last_year for p in live)
-    wide = measures_frame(sequences, lookup_rows, measures, (lo, hi), missing)
-    joined = areas.join(wide, JOIN_KEYS, "left")
+    joined = areas_with_measures(areas, sequences, lookup_rows, measures, (lo, hi), missing)
     yr = F.col("year")
     cols = []
     for n in order:

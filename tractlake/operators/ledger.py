@@ -73,3 +73,41 @@ def current_batch(pending: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataFrame
     folder = batch_folder("email_ts", prefix)
     agg = pending.agg(F.max_by(folder, F.col("email_ts")).alias("stage_location"))
     return agg.select("stage_location", batch_date("stage_location").alias("batch_date"))
+
+
+# ---------------------------------------------------------------- snapshots
+
+VERSION_COL = "v"
+
+
+def write_snapshot(df: DataFrame, root: str, version: int) -> str:
+    """Write the next ledger version to its own folder ``root/v=<version>``.
+
+    A version folder is written once and never rewritten, so readers of the
+    current version are never disturbed; rerunning a failed write of the same
+    version replaces only that folder. Write the feed tables first and the
+    ledger last: a crash in between leaves the old version current, and the
+    rerun picks the same notices up again.
+    """
+    path = f"{root}/{VERSION_COL}={version:012d}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def current_version(spark, root: str) -> int | None:
+    """Newest committed version under ``root`` (metadata: one value)."""
+    try:
+        versions = spark.read.parquet(root).select(VERSION_COL).distinct()
+    except Exception:  # noqa: BLE001 - no version written yet
+        return None
+    row = versions.agg(F.max(VERSION_COL).alias("m")).collect()[0]
+    return None if row["m"] is None else int(row["m"])
+
+
+def read_current(spark, root: str, schema=None) -> DataFrame | None:
+    """The current ledger: the newest version folder, read on its own."""
+    v = current_version(spark, root)
+    if v is None:
+        return None
+    r = spark.read if schema is None else spark.read.schema(schema)
+    return r.parquet(f"{root}/{VERSION_COL}={v:012d}")
