@@ -193,7 +193,7 @@ def workbook_bytes(sheets) -> bytes:
     return buf.getvalue()
 
 
-def read_templates(rows: DataFrame, pattern: str, skip: int = 6) -> DataFrame:
+def read_templates(rows: DataFrame, pattern: str, skip: int = 6, keep=()) -> DataFrame:
     """Lookup rows (varid, seq, label, ordinal) from template workbooks.
 
     ``rows`` come from :func:`read_workbook_rows`. Only files whose path
@@ -202,15 +202,19 @@ def read_templates(rows: DataFrame, pattern: str, skip: int = 6) -> DataFrame:
     position ``skip`` on are the measure ids and the cells their labels; the
     unpivot walks the (header, values) arrays, so sheets of any width share
     one plan. Empty labels are dropped; a measure labelled on two rows keeps
-    the label of the first row.
+    the label of the first row. Columns in ``keep`` (e.g. ``year``) are
+    carried as part of the key.
     """
+    keep = list(keep)
     digits = F.regexp_extract("path", pattern, 1)
     t = rows.filter(F.col("path").rlike(pattern) & (digits != "")) \
         .withColumn("seq", digits.cast("int"))
-    cells = t.select("seq", "row_no", F.posexplode(F.arrays_zip("header", "values")).alias("pos", "cell"))
+    cells = t.select(*keep, "path", "seq", "row_no",
+                     F.posexplode(F.arrays_zip("header", "values")).alias("pos", "cell"))
     cells = cells.filter((F.col("pos") >= skip) & F.col("cell.values").isNotNull())
-    long = cells.select("seq", "row_no", F.col("cell.header").alias("varid"),
-                        F.col("cell.values").alias("label"),
+    long = cells.select(*keep, "seq", F.struct("path", "row_no").alias("_at"),
+                        F.col("cell.header").alias("varid"), F.col("cell.values").alias("label"),
                         (F.col("pos") - skip + 1).cast("int").alias("ordinal"))
-    first = long.groupBy("seq", "varid", "ordinal").agg(F.min_by("label", "row_no").alias("label"))
-    return first.select("varid", "seq", "label", "ordinal")
+    first = long.groupBy(*keep, "seq", "varid", "ordinal").agg(
+        F.min_by("label", "_at").alias("label"))
+    return first.select(*keep, "varid", "seq", "label", "ordinal")
