@@ -519,8 +519,6 @@ def listing_sequence_paths(spark, d):
 
 # ----------------------------------------------------------------- sources
 
-import uuid  # noqa: E402
-
 import pandas as pd  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
@@ -556,7 +554,10 @@ def _geo_workbooks(batches):
                     header.append("NOTE")
                     vals = [r + ["extra column"] for r in vals]
                 sheets.append((state, header, vals))
-            yield pd.DataFrame({"path": [f"geo/{int(year)}/mini_geo-{uuid.uuid4().hex}.xlsx"],
+            # deterministic name: a retried task writes the same workbook path
+            first = by_year.iloc[0]
+            name = f"{first['STATE']}{first['LOGRECNO']}-{len(by_year)}"
+            yield pd.DataFrame({"path": [f"geo/{int(year)}/mini_geo-{name}.xlsx"],
                                 "content": [workbooks.workbook_bytes(sheets)]})
 
 
