@@ -408,16 +408,24 @@ def template_listing(spark, d) -> DataFrame:
 def sequence_listing(spark, d, year: int) -> DataFrame:
     """Folder listing of the sequence files: one region folder per nation
     (and one national folder per world region), both level folders, a
-    ``g{year}5{code}.txt`` file and an estimate file in each."""
+    ``g{year}5{code}.txt`` file in each, and one estimate file per supplier
+    in its nation's folders (so the listing grows with the data)."""
     from tractlake.operators.listing import LEVEL_FOLDERS
-    n = nations(spark, d).select(F.col("n_name").alias("nm"), F.lower("code").alias("code"))
+    levels = F.array(*[F.lit(x) for x in LEVEL_FOLDERS])
+    n = nations(spark, d).select(F.col("n_nationkey"), F.col("n_name").alias("nm"),
+                                 F.lower("code").alias("code"))
     r = table(spark, d, "region").select(F.col("r_name").alias("nm"), F.lit("us").alias("code"))
-    roots = n.unionByName(r).withColumn("root", F.concat(F.lit("seq_by_state/"), F.col("nm"),
-                                                          F.lit("/")))
-    lv = roots.withColumn("level", F.explode(F.array(*[F.lit(x) for x in LEVEL_FOLDERS])))
-    files = lv.withColumn("file", F.explode(F.array(
-        F.concat(F.lit(f"g{year}5"), F.col("code"), F.lit(".txt")),
-        F.concat(F.lit(f"e{year}5"), F.col("code"), F.lit("0001000.txt")))))
+    roots = n.drop("n_nationkey").unionByName(r)
+    g_files = roots.select(F.concat(F.lit("seq_by_state/"), "nm", F.lit("/")).alias("root"),
+                           F.explode(levels).alias("level"),
+                           F.concat(F.lit(f"g{year}5"), "code", F.lit(".txt")).alias("file"))
+    s = table(spark, d, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    e_files = s.select(F.concat(F.lit("seq_by_state/"), "nm", F.lit("/")).alias("root"),
+                       F.explode(levels).alias("level"),
+                       F.concat(F.lit(f"e{year}5"), "code",
+                                F.format_string("%04d", F.col("s_suppkey") % 10000),
+                                F.lit("000.txt")).alias("file"))
+    files = g_files.unionByName(e_files)
     return files.select(F.concat("root", "level", F.lit("/"), "file").alias("path"))
 
 
