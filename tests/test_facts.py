@@ -114,3 +114,17 @@ def test_group_frame_empty_window_and_unknown_measure(spark, three):
 
 def test_lowest_sequence_wins():
     assert facts.sequence_plan(["B1_001"], LOOKUP) == {1: ["B1_001"]}
+
+
+def test_name_in_three_groups_last_non_null_wins(spark, three):
+    catalog = [dict(group_name=g, metric_name="m", formula=f, statistic="count",
+                    start_year=2010, end_year=9999)
+               for g, f in (("a", "B1_001"), ("b", "B2_001"), ("c", "C3_001"))]
+    plans = cat.plan_groups(catalog, 2017)
+    seqs = {1: three[0], 2: three[1], 3: three[2]}
+    geo4 = spark.createDataFrame(GEO + [(2017, "14000US3", "AL", "0000003")],
+                                 "year int, geoid string, stusab string, logrecno string")
+    out = {r.geoid: r.m for r in facts.build_fact(geo4, seqs, LOOKUP, plans).collect()
+           if r.year == 2017}
+    assert out == {"14000US1": D("1.00"), "14000US2": D("20.00"), "14000US3": D("300.00"),
+                   "14000US9": None}

@@ -146,7 +146,9 @@ def build_fact_table(spark: SparkSession, areas: DataFrame, sequences: dict, loo
                      year_override=None) -> DataFrame:
     """Catalog + lookup (metadata, collected) → fact table in one plan."""
     plans = cat.plan_groups(catalog_df.collect(), load_year, year_override)
-    rows = lookup_df.select("varid", "seq", "ordinal").collect()
+    wanted = sorted({m for p in plans for m in p.measures})
+    # only the lookup rows of measures the catalog names reach the driver
+    rows = lookup_df.filter(F.col("varid").isin(wanted)).select("varid", "seq", "ordinal").collect()
     fact = facts.build_fact(areas, sequences, rows, plans)
     if out:
         files.load_table(fact, out, partition_by=["year"])
