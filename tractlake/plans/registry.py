@@ -6,12 +6,17 @@ returns a lazy DataFrame. Column names and types are the same on both sides.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tractlake.operators import catalog as cat
-from tractlake.operators import facts, geo, lookup
+from tractlake.operators import facts, feeds, geo, ledger, listing, lookup
 from tractlake.plans import oracle as O
 from tractlake.plans import synth as S
+from tractlake.session import scratch_dir
+from tractlake.sources import archives, files, workbooks
+from tractlake.streaming import ingest
 
 REGISTRY: dict = {}
 
@@ -44,10 +49,6 @@ _MBA_STATS = {"count_orders": "count", "count_units": "count",
               "lines_per_order": "rate", "quantity_per_line": "mean"}
 
 
-def metric_plan(rows, year):
-    return cat.plan_groups(rows, year)
-
-
 @register("metric_by_area", f"""
 , data AS (
   SELECT * FROM (SELECT year, stusab, logrecno, B10001_001 FROM seq1) s1
@@ -361,7 +362,6 @@ def fact_full(spark, d):
 
 # ------------------------------------------------------------------ ledger
 
-from tractlake.operators import feeds, ledger, listing  # noqa: E402
 
 
 def _selected(spark, d):
@@ -519,12 +519,7 @@ def listing_sequence_paths(spark, d):
 
 # ----------------------------------------------------------------- sources
 
-import pandas as pd  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
-from tractlake.session import scratch_dir  # noqa: E402
-from tractlake.sources import archives, files, workbooks  # noqa: E402
-from tractlake.streaming import ingest  # noqa: E402
 
 
 @register("archive_expand", "SELECT page_id, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
@@ -704,3 +699,14 @@ def feed_zip_load(spark, d):
     zips = S.ratings_lines(spark, d).mapInPandas(_ratings_zips, archives.PACK_SCHEMA)
     members = archives.expand_archives(zips, keep_dirs=False, flatten=False)
     return feeds.read_feed_archives(members, feeds.RATINGS)
+
+
+@register("catalog_csv_load", """
+SELECT trim(group_name) AS group_name, trim(metric_name) AS metric_name, formula, statistic,
+       start_year, end_year, notes FROM catalog_table""")
+def catalog_csv_load(spark, d):
+    """Catalog written as a CSV file with a header, read back by position."""
+    path = scratch_dir(spark, "catalog")
+    c = S.catalog_table(spark, d).drop("ordinal")
+    files.write_staged_csv(c.toDF("group", "name", "formula", "stat", "first", "last", "notes"), path)
+    return files.read_catalog(spark, path).drop("ordinal")
