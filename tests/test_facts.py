@@ -1,3 +1,4 @@
+from decimal import ROUND_HALF_UP
 from decimal import Decimal as D
 
 import pytest
@@ -128,3 +129,47 @@ def test_name_in_three_groups_last_non_null_wins(spark, three):
            if r.year == 2017}
     assert out == {"14000US1": D("1.00"), "14000US2": D("20.00"), "14000US3": D("300.00"),
                    "14000US9": None}
+
+
+def test_wide_catalog_beyond_codegen_field_limit(spark):
+    """132 metrics over 12 sequences (more than spark.sql.codegen.maxFields)
+    against a brute-force computation in plain Python."""
+    keys = [("al", "000000%d" % i) for i in range(1, 4)]
+    seqs, lk, catalog, expect = {}, [], [], {}
+    for s in range(1, 13):
+        ms = [f"B{s:02d}_{j:03d}" for j in range(1, 11)]
+        data = []
+        for n, (code, rec) in enumerate(keys):
+            if s % 4 == 0 and n == 2:
+                continue  # a record missing from some sequences
+            data.append((code, rec, 2017, *[D(s * 100 + j * 10 + n) for j in range(1, 11)]))
+        seqs[s] = spark.createDataFrame(
+            data, "stusab string, logrecno string, year int, "
+            + ", ".join(f"{m} decimal(16,2)" for m in ms))
+        lk += [dict(varid=m, seq=s, ordinal=j) for j, m in enumerate(ms, 1)]
+        for j, m in enumerate(ms, 1):
+            catalog.append(dict(group_name=f"g{s:02d}", metric_name=f"m{s}_{j}", formula=m,
+                                statistic="count", start_year=2017, end_year=9999))
+        catalog.append(dict(group_name=f"g{s:02d}", metric_name=f"r{s}",
+                            formula=f"m{s}_1 / ({ms[1]} + m{s}_3)", statistic="rate",
+                            start_year=2017, end_year=9999))
+        for n, (code, rec) in enumerate(keys):
+            present = not (s % 4 == 0 and n == 2)
+            for j in range(1, 11):
+                expect[(rec, f"m{s}_{j}")] = D(s * 100 + j * 10 + n) if present else None
+            if present:
+                num, den = D(s * 100 + 10 + n), D(s * 100 + 20 + n) + D(s * 100 + 30 + n)
+                expect[(rec, f"r{s}")] = (num / den).quantize(D("0.000001"), rounding=ROUND_HALF_UP)
+            else:
+                expect[(rec, f"r{s}")] = None
+    areas = spark.createDataFrame([(2017, f"g{rec}", code.upper(), rec) for code, rec in keys],
+                                  "year int, geoid string, stusab string, logrecno string")
+    plans = cat.plan_groups(catalog, 2017)
+    out = facts.build_fact(areas, seqs, lk, plans)
+    assert len(out.columns) == 2 + 132
+    got = {}
+    for r in out.collect():
+        for k, v in r.asDict().items():
+            if k not in ("year", "geoid"):
+                got[(r.geoid[1:], k)] = v
+    assert got == expect
