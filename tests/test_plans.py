@@ -62,3 +62,22 @@ def test_fact_fold_single_combine(plans):
     # areas join them once; no sort-merge chain of full outer joins
     p = plans["fact_full"]
     assert "FullOuter" not in p
+
+
+def test_fact_fold_shuffles_areas_once_without_broadcast(spark):
+    """Large-input plan: the areas are exchanged once and each sequence is
+    left-joined without re-shuffling the growing result."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()["fact_full"](spark, SF_SMALL)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    top = [ln for ln in final.splitlines() if "LeftOuter" in ln]
+    assert len(top) == 3  # one left join per sequence
+    area_exchanges = [ln for ln in final.splitlines()
+                      if "Exchange hashpartitioning(year" in ln and "stusab_key" in ln]
+    # one exchange for the areas + one per sequence (its uniqueness aggregate)
+    assert len(area_exchanges) == 1 + 3
