@@ -48,8 +48,40 @@ def _number_text(v: str) -> str:
     return str(int(f)) if f.is_integer() and "e" not in v.lower() else v
 
 
+def _cell_value(c, shared):
+    t = c.get("t")
+    if t == "inlineStr":
+        return "".join(x.text or "" for x in c.iter(f"{{{NS['m']}}}t"))
+    v = c.find("m:v", NS)
+    if v is None:
+        return None
+    val = v.text or ""
+    if t == "s":
+        return shared[int(val)]
+    if t in (None, "n"):
+        return _number_text(val)
+    return val
+
+
+def _sheet_rows(z, part, shared):
+    """Rows of one sheet, parsed as a stream (one row element in memory)."""
+    row_tag = f"{{{NS['m']}}}row"
+    with z.open(part) as fh:
+        for _, elem in ET.iterparse(fh, events=("end",)):
+            if elem.tag != row_tag:
+                continue
+            cells = {}
+            for c in elem.findall("m:c", NS):
+                val = _cell_value(c, shared)
+                if val is not None:
+                    cells[_col_index(c.get("r"))] = val
+            width = max(cells) + 1 if cells else 0
+            yield [cells.get(i) for i in range(width)]
+            elem.clear()
+
+
 def _sheets(body: bytes):
-    """Yield (sheet name, list of row lists) for each sheet in order."""
+    """Yield (sheet name, row iterator) for each sheet in workbook order."""
     with zipfile.ZipFile(io.BytesIO(body)) as z:
         names = set(z.namelist())
         shared = []
@@ -64,41 +96,22 @@ def _sheets(body: bytes):
             rid = sh.get(f"{{{NS['r']}}}id")
             part = target[rid].lstrip("/")
             part = part if part.startswith("xl/") else "xl/" + part
-            root = ET.fromstring(z.read(part))
-            rows = []
-            for row in root.iter(f"{{{NS['m']}}}row"):
-                cells = {}
-                for c in row.findall("m:c", NS):
-                    t = c.get("t")
-                    if t == "inlineStr":
-                        val = "".join(x.text or "" for x in c.iter(f"{{{NS['m']}}}t"))
-                    else:
-                        v = c.find("m:v", NS)
-                        if v is None:
-                            continue
-                        val = v.text or ""
-                        if t == "s":
-                            val = shared[int(val)]
-                        elif t in (None, "n"):
-                            val = _number_text(val)
-                    cells[_col_index(c.get("r"))] = val
-                width = max(cells) + 1 if cells else 0
-                rows.append([cells.get(i) for i in range(width)])
-            yield sh.get("name"), rows
+            yield sh.get("name"), _sheet_rows(z, part, shared)
 
 
-def _rows(batches):
+def _rows(batches, batch_rows: int = 1000):
     cols = ROW_SCHEMA.fieldNames()
     for pdf in batches:
         for path, body in zip(pdf["path"], pdf["content"]):
             for no, (sheet, rows) in enumerate(_sheets(body)):
-                if not rows:
+                first = next(rows, None)
+                if first is None:
                     continue
-                header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(rows[0])]
+                header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(first)]
                 out = []
-                for i, r in enumerate(rows[1:], 1):
+                for i, r in enumerate(rows, 1):
                     out.append((path, sheet, no, i, header, (r + [None] * len(header))[:len(header)]))
-                    if len(out) >= 1000:
+                    if len(out) >= batch_rows:
                         yield pd.DataFrame(out, columns=cols)
                         out = []
                 if out:
