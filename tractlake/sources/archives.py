@@ -3,8 +3,9 @@
 Input is the ``binaryFile`` shape (``path``, ``content``). Expansion runs in
 ``mapInPandas``: each task opens the archives of its partition one at a
 time with the standard ``zipfile`` module and yields member rows in small
-Arrow batches, so no archive meets another in memory and archives spread
-over the cluster by file split.
+Arrow batches (bounded by member count and bytes), so archives spread over
+the cluster by file split. ``binaryFile`` packs files into partitions of at
+most ``spark.sql.files.maxPartitionBytes``, which bounds a task's input.
 """
 
 from __future__ import annotations
@@ -25,11 +26,14 @@ MEMBER_SCHEMA = T.StructType([
 ])
 
 
-def _members(batches, keep_dirs: bool, flatten: bool, max_rows: int = 64):
+def _members(batches, keep_dirs: bool, flatten: bool, max_rows: int = 64,
+             max_bytes: int = 64 << 20):
+    """Member rows, flushed every ``max_rows`` members or ``max_bytes`` of
+    content, whichever comes first, so one output batch stays bounded."""
     for pdf in batches:
         for archive, body in zip(pdf["path"], pdf["content"]):
             folder = archive.rsplit("/", 1)[0] + "/" if "/" in archive else ""
-            rows = []
+            rows, size = [], 0
             with zipfile.ZipFile(io.BytesIO(body)) as z:
                 for info in z.infolist():
                     is_dir = info.filename.endswith("/")
@@ -40,9 +44,10 @@ def _members(batches, keep_dirs: bool, flatten: bool, max_rows: int = 64):
                         name = name.split("/")[-1]
                     data = b"" if is_dir else z.read(info)
                     rows.append((archive, info.filename, folder + name, data))
-                    if len(rows) >= max_rows:
+                    size += len(data)
+                    if len(rows) >= max_rows or size >= max_bytes:
                         yield pd.DataFrame(rows, columns=MEMBER_SCHEMA.fieldNames())
-                        rows = []
+                        rows, size = [], 0
             if rows:
                 yield pd.DataFrame(rows, columns=MEMBER_SCHEMA.fieldNames())
 
