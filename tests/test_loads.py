@@ -53,7 +53,7 @@ def test_load_geo_and_lookup(spark, root):
 
 
 def _seq_line(code, rec, *vals):
-    return ",".join(["ACSSF", "2017e5", code, "000", "0001", rec, *vals])
+    return ",".join(["SUMFILE", "2017e5", code, "000", "0001", rec, *vals])
 
 
 def test_load_sequences_and_fact(spark, root):

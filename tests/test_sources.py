@@ -67,7 +67,7 @@ def test_sequence_null_marker(spark):
     from pyspark.sql.types import _parse_datatype_string
     s = _parse_datatype_string("fileid string, filetype string, stusab string, chariter string, "
                                "sequence string, logrecno string, B1 decimal(16,2)")
-    df = files.read_sequence(spark, _write("ACSSF,2017e5,al,000,0001,0000001,.\n"), s)
+    df = files.read_sequence(spark, _write("SUMFILE,2017e5,al,000,0001,0000001,.\n"), s)
     assert df.collect()[0].B1 is None
 
 
@@ -92,10 +92,10 @@ def test_sequence_short_row_and_bad_number_abort_on_load(spark):
     from pyspark.sql.types import _parse_datatype_string
     s = _parse_datatype_string("fileid string, filetype string, stusab string, chariter string, "
                                "sequence string, logrecno string, B1 decimal(16,2), B2 decimal(16,2)")
-    short = files.read_sequence(spark, _write("ACSSF,2017e5,al,000,0001,0000001,5\n"), s)
+    short = files.read_sequence(spark, _write("SUMFILE,2017e5,al,000,0001,0000001,5\n"), s)
     with pytest.raises(Exception):
         files.load_table(short, tempfile.mkdtemp(prefix="tl-out-") + "/t")
-    bad = files.read_sequence(spark, _write("ACSSF,2017e5,al,000,0001,0000001,5,x\n"), s)
+    bad = files.read_sequence(spark, _write("SUMFILE,2017e5,al,000,0001,0000001,5,x\n"), s)
     # a query that ignores B2 does not parse it (CSV column pruning) ...
     assert bad.select("logrecno").collect()[0].logrecno == "0000001"
     # ... which is why a load writes every column: there the bad number fails

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tractlake.operators.catalog import CatalogError, GroupPlan
 
 SEQ_KEYS = ["stusab", "logrecno"]
+# The six leading text columns of every sequence file.
 FIXED_SEQ_COLUMNS = ["fileid", "filetype", "stusab", "chariter", "sequence", "logrecno"]
 JOIN_KEYS = ["year", "stusab_key", "logrecno"]
 

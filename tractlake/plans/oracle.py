@@ -117,7 +117,7 @@ FROM geo"""
 def _seq(name: str, seqno: int, measures, inner: str) -> str:
     cols = ", ".join(f"CAST(a.{m} AS DECIMAL(16,2)) AS {m}" for m in measures)
     return f"""
-SELECT 'ACSSF' AS fileid, CAST(a.year AS VARCHAR) || 'e5' AS filetype, lower(c.code) AS stusab,
+SELECT 'SUMFILE' AS fileid, CAST(a.year AS VARCHAR) || 'e5' AS filetype, lower(c.code) AS stusab,
        '000' AS chariter, '{seqno:04d}' AS sequence, '1' || {pad('a.custkey', 6)} AS logrecno,
        a.year, {cols}
 FROM ({inner}) a JOIN customers c ON a.custkey = c.custkey"""

@@ -138,7 +138,7 @@ def _seq_frame(agg: DataFrame, spark, d, seqno: int, measures) -> DataFrame:
     """Attach region code and the six fixed columns to per-customer rows."""
     c = customers(spark, d).select("custkey", "code")
     return agg.join(c, "custkey").selectExpr(
-        "'ACSSF' AS fileid", "concat(CAST(year AS STRING), 'e5') AS filetype",
+        "'SUMFILE' AS fileid", "concat(CAST(year AS STRING), 'e5') AS filetype",
         "lower(code) AS stusab", "'000' AS chariter", f"'{seqno:04d}' AS sequence",
         f"concat('1', {_pad('custkey', 6)}) AS logrecno", "year",
         *[f"CAST({m} AS DECIMAL(16,2)) AS {m}" for m in measures])
@@ -299,7 +299,7 @@ def template_sheet(spark, d) -> DataFrame:
     per measure whose cell is its label (some empty)."""
     p = table(spark, d, "part")
     return p.select(
-        F.lit("ACSSF").alias("FILEID"), F.lit("tmpl").alias("FILETYPE"),
+        F.lit("SUMFILE").alias("FILEID"), F.lit("tmpl").alias("FILETYPE"),
         F.lit("").alias("STUSAB"), F.lit("000").alias("CHARITER"),
         F.col("p_partkey").alias("SEQUENCE"), F.lit("").alias("LOGRECNO"),
         F.col("p_name").alias(TEMPLATE_MEASURES[0]),
