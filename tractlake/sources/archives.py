@@ -28,12 +28,14 @@ MEMBER_SCHEMA = T.StructType([
 
 def _members(batches, keep_dirs: bool, flatten: bool, max_rows: int = 64,
              max_bytes: int = 64 << 20):
-    """Member rows, flushed every ``max_rows`` members or ``max_bytes`` of
-    content, whichever comes first, so one output batch stays bounded."""
+    """Member rows, gathered across archives and flushed every ``max_rows``
+    members or ``max_bytes`` of content, whichever comes first, so one output
+    batch stays bounded and many small archives make few batches."""
+    cols = MEMBER_SCHEMA.fieldNames()
+    rows, size = [], 0
     for pdf in batches:
         for archive, body in zip(pdf["path"], pdf["content"]):
             folder = archive.rsplit("/", 1)[0] + "/" if "/" in archive else ""
-            rows, size = [], 0
             with zipfile.ZipFile(io.BytesIO(body)) as z:
                 for info in z.infolist():
                     is_dir = info.filename.endswith("/")
@@ -46,10 +48,10 @@ def _members(batches, keep_dirs: bool, flatten: bool, max_rows: int = 64,
                     rows.append((archive, info.filename, folder + name, data))
                     size += len(data)
                     if len(rows) >= max_rows or size >= max_bytes:
-                        yield pd.DataFrame(rows, columns=MEMBER_SCHEMA.fieldNames())
+                        yield pd.DataFrame(rows, columns=cols)
                         rows, size = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=MEMBER_SCHEMA.fieldNames())
+    if rows:
+        yield pd.DataFrame(rows, columns=cols)
 
 
 def expand_archives(files: DataFrame, keep_dirs: bool = True, flatten: bool = False) -> DataFrame:

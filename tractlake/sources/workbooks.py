@@ -100,7 +100,10 @@ def _sheets(body: bytes):
 
 
 def _rows(batches, batch_rows: int = 1000):
+    """Rows of every sheet, gathered across sheets and workbooks into Arrow
+    batches of at most ``batch_rows`` (many small files make few batches)."""
     cols = ROW_SCHEMA.fieldNames()
+    out = []
     for pdf in batches:
         for path, body in zip(pdf["path"], pdf["content"]):
             for no, (sheet, rows) in enumerate(_sheets(body)):
@@ -108,14 +111,13 @@ def _rows(batches, batch_rows: int = 1000):
                 if first is None:
                     continue
                 header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(first)]
-                out = []
                 for i, r in enumerate(rows, 1):
                     out.append((path, sheet, no, i, header, (r + [None] * len(header))[:len(header)]))
                     if len(out) >= batch_rows:
                         yield pd.DataFrame(out, columns=cols)
                         out = []
-                if out:
-                    yield pd.DataFrame(out, columns=cols)
+    if out:
+        yield pd.DataFrame(out, columns=cols)
 
 
 def read_workbook_rows(files: DataFrame) -> DataFrame:
