@@ -67,3 +67,11 @@ def test_measures_frame_keeps_every_key(spark):
     assert rows(w, "stusab_key", "logrecno", "B1", "B2") == [
         ("al", "1", D("1.00"), None), ("al", "2", None, D("2.00"))]
     assert w.filter(F.col("stusab_key") == "al").count() == 2
+
+
+def test_read_workbook_sheets(spark):
+    from tractlake.sources import workbooks
+    body = workbooks.workbook_bytes([("a", ["X", "Y"], [["1", "2"]]), ("b", ["Y"], [["3"]])])
+    df = spark.createDataFrame([("w.xlsx", body)], "path string, content binary")
+    out = workbooks.read_workbook_sheets(df)
+    assert rows(out, "X", "Y", "sheet") == [("1", "2", "a"), (None, "3", "b")]

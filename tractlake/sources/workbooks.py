@@ -233,3 +233,9 @@ def read_templates(rows: DataFrame, pattern: str, skip: int = 6, keep=()) -> Dat
     first = long.groupBy(*keep, "seq", "varid", "ordinal").agg(
         F.min_by("label", "_at").alias("label"))
     return first.select(*keep, "varid", "seq", "label", "ordinal")
+
+
+def read_workbook_sheets(files: DataFrame, names=None) -> DataFrame:
+    """All sheets of all workbooks stacked by header name (one task per
+    workbook split), with the ``path`` and ``sheet`` of each row."""
+    return stack_sheets(read_workbook_rows(files), names)
