@@ -23,3 +23,18 @@ def test_stream_twice_same_rows_and_equals_batch(spark):
     assert rows(ingest.read_ingested(spark, out)) == first
     batch = ev.filter(F.col("event_type") == "signup")
     assert first == rows(batch.select(*ingest.read_ingested(spark, out).columns))
+
+
+def test_dedupe_within_watermark_drops_repeats(spark):
+    import datetime as dt
+    rows_in = [(1, dt.datetime(2024, 1, 1, 9), "a"), (1, dt.datetime(2024, 1, 1, 9), "a"),
+               (2, dt.datetime(2024, 1, 2, 9), "b")]
+    schema = "event_id long, ts timestamp_ntz, subject string"
+    landing = tempfile.mkdtemp(prefix="tl-dup-")
+    spark.createDataFrame(rows_in, schema).write.mode("overwrite").parquet(landing)
+    out, ckpt = tempfile.mkdtemp(prefix="tl-dup-out-"), tempfile.mkdtemp(prefix="tl-dup-ck-")
+    src = spark.read.parquet(landing)
+    ingest.stream_ingest(spark, landing, src.schema, out, ckpt,
+                         lambda s: ingest.dedupe_notices(s, "ts", ["event_id"], "7 days"))
+    got = rows(ingest.read_ingested(spark, out), "event_id", "subject")
+    assert got == [(1, "a"), (2, "b")]
