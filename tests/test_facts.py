@@ -173,3 +173,20 @@ def test_wide_catalog_beyond_codegen_field_limit(spark):
             if k not in ("year", "geoid"):
                 got[(r.geoid[1:], k)] = v
     assert got == expect
+
+
+def test_fact_with_one_region_holding_most_rows(spark):
+    """A hot region code: the keys still include the record number, so the
+    fold stays exact (and evenly hashed)."""
+    n = 3000
+    seq = spark.range(n).selectExpr(
+        "CASE WHEN id % 10 < 7 THEN 'hot' ELSE concat('r', CAST(id % 5 AS STRING)) END AS stusab",
+        "lpad(CAST(id AS STRING), 7, '0') AS logrecno", "2017 AS year",
+        "CAST(id AS DECIMAL(16,2)) AS B1_001")
+    areas = seq.selectExpr("year", "concat('g', logrecno) AS geoid", "upper(stusab) AS stusab",
+                           "logrecno")
+    plans = cat.plan_groups([dict(group_name="g", metric_name="v", formula="B1_001 + 1",
+                                  statistic="count", start_year=2017, end_year=9999)], 2017)
+    out = facts.build_fact(areas, {1: seq}, [dict(varid="B1_001", seq=1, ordinal=1)], plans)
+    got = out.selectExpr("count(*) AS n", "sum(v) AS s", "count(v) AS nv").first()
+    assert (got.n, got.nv, got.s) == (n, n, D(n * (n - 1) // 2 + n))

@@ -81,3 +81,9 @@ def test_fact_fold_shuffles_areas_once_without_broadcast(spark):
                       if "Exchange hashpartitioning(year" in ln and "stusab_key" in ln]
     # one exchange for the areas + one per sequence (its uniqueness aggregate)
     assert len(area_exchanges) == 1 + 3
+
+
+def test_tsv_repair_join_is_salted(plans):
+    p = plans["feed_tsv_repair"]
+    joins = [ln for ln in p.splitlines() if ln.startswith("Left keys") and "_salt" in ln]
+    assert joins, "the per-file width join should be on (file, salt)"
