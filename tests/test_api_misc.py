@@ -75,3 +75,14 @@ def test_read_workbook_sheets(spark):
     df = spark.createDataFrame([("w.xlsx", body)], "path string, content binary")
     out = workbooks.read_workbook_sheets(df)
     assert rows(out, "X", "Y", "sheet") == [("1", "2", "a"), (None, "3", "b")]
+
+
+def test_take_columns_and_fill_na_text(spark):
+    from tractlake.operators import geo
+    df = spark.createDataFrame([("AL", "1", "04000US01", "Aland", "x", 2017)],
+                               "a string, b string, c string, d string, e string, year int")
+    t = geo.take_columns(df, ["stusab", "logrecno", "geoid", "place_name"], keep=["year"])
+    assert t.columns == ["stusab", "logrecno", "geoid", "place_name", "year"]
+    f = geo.fill_na_text(spark.createDataFrame([(None, "x")], "state string, county string"),
+                         ["state", "county"])
+    assert tuple(f.first()) == ("NA", "x")

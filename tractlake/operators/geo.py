@@ -62,9 +62,9 @@ def _when_level(level: Column, levels, value: Column) -> Column:
     return F.when(level.isin(levels), value)
 
 
-def place_parts(df: DataFrame, name="place_name", geoid="geoid",
-                trim: bool = False) -> DataFrame:
-    """Add state / county / census_tract / block_group / cbsa / zcta.
+def place_columns(name, geoid, trim: bool = False) -> dict:
+    """Column expressions for state / county / census_tract / block_group /
+    cbsa / zcta, given the place-name and area-id columns.
 
     Parts come from the comma list of the place name counted from the end;
     a level that needs more parts than the name has gets ``'NA'``. Levels a
@@ -72,7 +72,7 @@ def place_parts(df: DataFrame, name="place_name", geoid="geoid",
     ``trim`` the blank after each comma is removed; by default it is kept.
     """
     lvl = geo_level(geoid)
-    nm = F.col(name)
+    nm = col_of(name)
 
     def part(k):
         p = part_from_end(nm, k)
@@ -86,7 +86,13 @@ def place_parts(df: DataFrame, name="place_name", geoid="geoid",
         "cbsa": F.when(lvl == LEVEL_CBSA, nm),
         "zcta": F.when(lvl == LEVEL_ZCTA, last_chars(nm, 5)),
     }
-    return df.withColumns({k: blank_to_null(v) for k, v in cols.items()})
+    return {k: blank_to_null(v) for k, v in cols.items()}
+
+
+def place_parts(df: DataFrame, name="place_name", geoid="geoid",
+                trim: bool = False) -> DataFrame:
+    """Add the six place columns (see :func:`place_columns`)."""
+    return df.withColumns(place_columns(name, geoid, trim))
 
 
 def build_geo(raw: DataFrame, keep=("year",), level_filter: bool = False,
@@ -96,33 +102,39 @@ def build_geo(raw: DataFrame, keep=("year",), level_filter: bool = False,
     ``raw`` holds (region code, record no, area id, place name, ...) by
     position; later columns are dropped. Record numbers are padded to seven
     characters without cutting longer ones. ``keep`` names extra columns to
-    carry (the ``year`` of each sheet).
+    carry (the ``year`` of each sheet). One projection: every output column
+    is an expression over the four input columns.
     """
     keep = [k for k in keep if k in raw.columns]
-    df = take_columns(raw, ["stusab", "logrecno", "geoid", "place_name"], keep)
-    df = df.withColumn("logrecno", pad_left_keep("logrecno", 7))
+    st, rec, gid, nm = [F.col(f"`{c}`") for c in raw.columns[:4]]
     if level_filter:
-        df = df.filter(geo_level("geoid").isin(FILTER_LEVELS)
-                       & (geo_component("geoid") == FILTER_COMPONENT))
-    df = place_parts(df, trim=trim)
-    return df.select(*keep, *GEO_COLUMNS)
+        raw = raw.filter(geo_level(gid).isin(FILTER_LEVELS)
+                         & (geo_component(gid) == FILTER_COMPONENT))
+    parts = place_columns(nm, gid, trim)
+    return raw.select(*[F.col(k) for k in keep], st.alias("stusab"),
+                      pad_left_keep(rec, 7).alias("logrecno"), gid.alias("geoid"),
+                      nm.alias("place_name"), *[v.alias(k) for k, v in parts.items()])
 
 
-def fips_codes(df: DataFrame, geoid="geoid") -> DataFrame:
+def fips_columns(geoid="geoid") -> dict:
     """Codes cut from the area id from its eighth character on."""
-    g = F.col(geoid)
+    g = col_of(geoid)
     lvl = geo_level(g)
 
     def code(levels, n):
         return F.when(lvl.isin(levels), F.substring(g, 8, n)).otherwise(F.lit("NA"))
 
-    return df.withColumns({
+    return {
         "state_fips": code(STATE_LEVELS, 2),
         "county_fips": code(COUNTY_LEVELS, 5),
         "census_tract_fips": code(TRACT_LEVELS, 11),
         "block_group_fips": code(BLOCK_GROUP_LEVELS, 12),
         "cbsa_code": code([LEVEL_CBSA], 5),
-    })
+    }
+
+
+def fips_codes(df: DataFrame, geoid="geoid") -> DataFrame:
+    return df.withColumns(fips_columns(geoid))
 
 
 def geo_level_label(geoid="geoid") -> Column:
@@ -146,12 +158,18 @@ def build_spine(geo: DataFrame, start_year: int | None = None,
     ``geo`` is the area table of every loaded year with a ``year`` column;
     years without a table are simply absent (no placeholder row). The year
     range, when given, is a filter on the partition column, so Spark reads
-    only those year folders.
+    only those year folders. One projection computes every spine column.
     """
-    if start_year is not None:
-        geo = geo.filter(F.col("year") >= start_year)
-    if end_year is not None:
-        geo = geo.filter(F.col("year") <= end_year)
-    df = fips_codes(geo).withColumn("geo_level", geo_level_label("geoid"))
-    df = fill_na_text(df)
-    return df.select(F.col("year").cast("int").alias("year"), *SPINE_COLUMNS[1:])
+    yr = F.col("year")
+    if start_year is not None and end_year is not None:
+        geo = geo.filter(yr.between(start_year, end_year))
+    elif start_year is not None:
+        geo = geo.filter(yr >= start_year)
+    elif end_year is not None:
+        geo = geo.filter(yr <= end_year)
+    cols = {"year": yr.cast("int"), "geoid": F.col("geoid"), "place_name": F.col("place_name"),
+            "stusab": F.col("stusab")}
+    cols.update({c: F.coalesce(F.col(c), F.lit("NA")) for c in PLACE_COLUMNS})
+    cols.update(fips_columns("geoid"))
+    cols["geo_level"] = geo_level_label("geoid")
+    return geo.select(*[cols[c].alias(c) for c in SPINE_COLUMNS])
