@@ -123,3 +123,21 @@ def test_feed_batch_runs_once(spark, root):
     r2 = loads.run_feed_batch(spark, notices, f"{root}/ledger", f"{root}/feeds", f"{root}/out/feeds", **kw)
     assert r2["batch"] is None
     assert ledger.read_current(spark, f"{root}/ledger").count() == 2
+
+
+def test_load_two_sequences_concurrently(spark):
+    base = tempfile.mkdtemp(prefix="tl-seq2-")
+    lv = "All_Geographies_Not_Tracts_Block_Groups"
+    _put(f"{base}/Aland/{lv}/g20185al.txt", b"geo")
+    for seq, vals in ((1, ["1"]), (2, ["2", "3"])):
+        line = ",".join(["SUMFILE", "2018e5", "al", "000", f"{seq:04d}", "0000001", *vals])
+        for kind in ("e", "m"):
+            _put(f"{base}/Aland/{lv}/{kind}20185al{seq:04d}000.txt", (line + "\n").encode())
+    lk = [dict(varid="B1_001", seq=1, ordinal=1),
+          dict(varid="B2_002", seq=2, ordinal=2), dict(varid="B2_001", seq=2, ordinal=1)]
+    out = tempfile.mkdtemp(prefix="tl-seq2-out-")
+    report = loads.load_sequences(spark, base, 2018, lk, out, parallel=2)
+    assert sorted(report) == [("loaded", 1), ("loaded", 2)]
+    s2 = spark.read.parquet(f"{out}/kind=e/year=2018/seq=2")
+    assert s2.columns[-2:] == ["B2_001", "B2_002"]  # lookup order, not listing order
+    assert tuple(s2.select("B2_001", "B2_002").first()) == (D("2.00"), D("3.00"))
