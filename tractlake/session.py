@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -47,32 +50,33 @@ def build_session(master: str | None = None, app: str = "tractlake",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """Return the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only when it is unset
-    (local tests) is a scratch folder created and registered.
+    Only a local master (driver and executors in one process) gets a scratch
+    folder of its own when the setting is missing; it is removed when the
+    process ends. Any other master raises, because a folder on the driver's
+    disk is invisible to the executors.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is not set: master {sc.master} needs a folder that the "
+                "driver and every executor share")
         d = tempfile.mkdtemp(prefix="tractlake-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder.
+    """Name of a fresh folder below the shared checkpoint folder.
 
-    Jobs that must write an intermediate table (round trips, staged files,
-    stream checkpoints) put it here, so every executor sees the same path.
+    Nothing is created here: the job that writes the intermediate table (a
+    round trip, staged files, stream checkpoints) creates it through Spark,
+    whatever file system the folder is on.
     """
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
