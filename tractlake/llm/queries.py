@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tractlake.llm import exact_dedup, quality
+from tractlake.llm import exact_dedup, mixing, quality
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -73,3 +73,10 @@ def op2_quality_rules(spark, d):
     return out.select("doc_id", *[F.col(f"q.{c}") for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         "verdict.base_failed", "verdict.kept")
+
+
+@register("op7_source_mixing")
+def op7_source_mixing(spark, d):
+    out = mixing.mix(table(spark, d, "documents"))
+    return out.select(F.col("key").alias("doc_id"), "size", "source_size", "target",
+                      (F.size("draws") * F.col("size")).alias("taken"), "draws")
