@@ -6,9 +6,10 @@
    and the excess is shared again by weight (water filling, in closed form).
 2. Draws. Each source is dealt into up to 256 blocks by a hash of the key. With
    e = floor(target / size) every block is drawn e times; the rest of the target comes
-   from blocks in a permuted order, the last of them up to a cut in its own permuted
-   order. So what a source gives differs from its target by half a document at most,
-   and no document is taken more than ``MOST`` times.
+   from blocks in a permuted order, each that still fits; what is left after that goes
+   to the smallest block not drawn, up to a cut in the permuted order of its documents.
+   So what a source gives differs from its target by half a document of that block at
+   most, and no document is taken more than ``MOST`` times.
 3. Splitting tree. The root holds the exact number of block draws of every source. Each
    node deals its draws to two children of equal size: how many of each source go left
    is a draw from the multivariate hypergeometric distribution (one univariate draw a
@@ -88,15 +89,27 @@ def block_draws(sizes: DataFrame, goal: DataFrame, *, seed: str = SEED) -> DataF
     where all of the block is drawn, else the largest ``order`` that still is."""
     blocks = sizes.groupBy("source", "block").agg(F.sum("size").alias("words"))
     g = goal.withColumnRenamed("source", "g_source")
-    b = blocks.join(g, F.col("source").eqNullSafe(F.col("g_source"))).drop("g_source")
+    b = blocks.join(g, F.col("source").eqNullSafe(F.col("g_source")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    order = Window.partitionBy("rank").orderBy(_hash(seed, "block", F.col("source"), F.col("block")), "block")
-    b = (b.withColumn("whole", whole.cast("int"))
-         .withColumn("end", F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("left", F.col("target") - F.col("whole") * F.col("source_size")))
-    start = F.col("end") - F.col("words")
-    b = b.withColumn("more", F.when(F.col("words") == 0, "none").when(F.col("end") <= F.col("left"), "all")
-                     .when(start < F.col("left"), "part").otherwise("none")).withColumn("room", F.col("left") - start)
+    listed = (b.groupBy("rank", "source", whole.cast("int").alias("whole"),
+                        (F.col("target") - whole * F.col("source_size")).alias("left"))
+              .agg(F.sort_array(F.collect_list(F.struct(
+                  _hash(seed, "block", F.col("source"), F.col("block")).alias("order"), "block", "words")))
+                  .alias("blocks")))
+    start = F.struct(F.col("left").alias("left"), F.array().cast("array<string>").alias("got"))
+    fits = lambda a, x: (x["words"] > 0) & (x["words"] <= a["left"])
+    fill = F.aggregate("blocks", start, lambda a, x: F.when(
+        fits(a, x), F.struct((a["left"] - x["words"]).alias("left"),
+                             F.concat(a["got"], F.array(x["block"])).alias("got"))).otherwise(a))
+    listed = listed.withColumn("fill", fill)
+    # What no block fits any more goes to the start of the smallest block not drawn.
+    rest = F.array_min(F.transform(
+        F.filter("blocks", lambda x: (x["words"] > 0) & ~F.array_contains(F.col("fill.got"), x["block"])),
+        lambda x: F.struct(x["words"], x["order"], x["block"])))
+    b = listed.select("rank", "source", "whole", F.col("fill.got").alias("got"), F.col("fill.left").alias("room"),
+                      rest["block"].alias("rest"), F.explode("blocks.block").alias("block"))
+    b = b.withColumn("more", F.when(F.array_contains("got", F.col("block")), "all").when(
+        (F.col("block") == F.col("rest")) & (F.col("room") > 0) & (F.col("whole") < MOST), "part").otherwise("none"))
     b = written(b.select("rank", "source", "block", "whole", "more", "room"), "mix-blocks")
     part = b.filter("more = 'part'").select("rank", F.col("source").alias("p_source"),
                                             F.col("block").alias("p_block"), "room")
