@@ -26,12 +26,13 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """``df`` written to a table in the shared folder and read from there.
 
     Cuts lineage: a lost executor costs the tasks it ran, not what came before.
+    ``files`` bounds the number of files of a table that is small at any scale.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

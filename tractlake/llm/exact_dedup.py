@@ -112,13 +112,15 @@ def decide(spark: SparkSession, path: str, state: DataFrame, *, key: str = "doc_
     members = hits.withColumn("salt", F.pmod(F.xxhash64("id"), last + 1).cast("int"))
     checked = written(
         members.join(stays, ["digest", "salt"], "left").select(
-            "id", "digest", "top", "n", "rest",
+            "id", "digest", "top", "n", "rest", "salt",
             F.when(F.col("body").cast("binary") != F.col("bytes").cast("binary"),
                    F.col("body")).alias("other")), "dedup-checked")
     others = (checked.filter("other is not null").groupBy("digest", "other")
               .agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n")))
-    gone = others.groupBy("digest").agg(F.sum("n").alias("gone"))
-    equal = (checked.filter("other is null").join(gone, "digest", "left")
+    gone = (checked.filter("other is not null").groupBy("digest")
+            .agg(F.count(F.lit(1)).alias("gone"), F.first(last).alias("last"))
+            .select("digest", "gone", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("salt")))
+    equal = (checked.filter("other is null").join(gone, ["digest", "salt"], "left")
              .select("id", "digest", F.col("top.key").alias("keep_id"),
                      (F.col("n") - F.coalesce("gone", F.lit(0))).alias("group_size"),
                      (F.col("id") == F.col("top")).alias("kept"), "rest"))

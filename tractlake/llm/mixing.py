@@ -40,6 +40,7 @@ SHARE = 1.5
 MOST = 2
 DEPTH = 6
 SEED = "mix-1"
+PLAN_FILES = 8
 
 
 def _hash(*parts) -> Column:
@@ -110,7 +111,7 @@ def block_draws(sizes: DataFrame, goal: DataFrame, *, seed: str = SEED) -> DataF
                       rest["block"].alias("rest"), F.explode("blocks.block").alias("block"))
     b = b.withColumn("more", F.when(F.array_contains("got", F.col("block")), "all").when(
         (F.col("block") == F.col("rest")) & (F.col("room") > 0) & (F.col("whole") < MOST), "part").otherwise("none"))
-    b = written(b.select("rank", "source", "block", "whole", "more", "room"), "mix-blocks")
+    b = written(b.select("rank", "source", "block", "whole", "more", "room"), "mix-blocks", PLAN_FILES)
     part = b.filter("more = 'part'").select("rank", F.col("source").alias("p_source"),
                                             F.col("block").alias("p_block"), "room")
     inside = (sizes.join(part, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("block") == F.col("p_block")))
@@ -191,9 +192,9 @@ def shard_draws(draws: DataFrame, quotas: DataFrame, *, seed: str = SEED) -> Dat
 def mix_plan(sizes: DataFrame, *, weights: list[int] | None = None, share: float = SHARE, most: int = MOST,
              depth: int = DEPTH, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
     """Targets by source, and draws by block; both are small tables in the shared folder."""
-    goal = written(targets(sizes, weights=weights, share=share, most=most), "mix-targets")
-    draws = written(block_draws(sizes, goal, seed=seed), "mix-draws")
-    return goal, written(shard_draws(draws, shard_quotas(draws, depth=depth, seed=seed), seed=seed), "mix-plan")
+    goal = written(targets(sizes, weights=weights, share=share, most=most), "mix-targets", PLAN_FILES)
+    draws = written(block_draws(sizes, goal, seed=seed), "mix-draws", PLAN_FILES)
+    return goal, written(shard_draws(draws, shard_quotas(draws, depth=depth, seed=seed), seed=seed), "mix-plan", PLAN_FILES)
 
 
 def _taken(order: Column, draws: Column, seed: str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tractlake.llm import exact_dedup, mixing, quality
+from tractlake.llm import exact_dedup, mixing, quality, simhash
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -80,3 +80,10 @@ def op7_source_mixing(spark, d):
     out = mixing.mix(table(spark, d, "documents"))
     return out.select(F.col("key").alias("doc_id"), "size", "source_size", "target",
                       (F.size("draws") * F.col("size")).alias("taken"), "draws")
+
+
+@register("op4_simhash_bktree")
+def op4_simhash_bktree(spark, d):
+    out = simhash.simhash_dedup(table(spark, d, "documents"))
+    return out.select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      F.col("component").alias("component_id"))
