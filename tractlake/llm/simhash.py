@@ -33,7 +33,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tractlake.llm.common import words_of, written
 
@@ -76,7 +76,7 @@ def majority(hashes: np.ndarray, offsets: np.ndarray, step: int = 1 << 19) -> np
     return np.packbits(over, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
-@F.arrow_udf("bigint")
+@F.arrow_udf(T.LongType())
 def _fingerprint(hashes: pa.Array) -> pa.Array:
     offsets = hashes.offsets.to_numpy().astype(np.int64)
     flat = hashes.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]]
@@ -126,12 +126,8 @@ class BKTree:
     @classmethod
     def unpack(cls, data: bytes) -> BKTree:
         n = (len(data) - 4) // 13
-        return cls(np.frombuffer(data, np.uint8, n, 12 * n + 4), np.frombuffer(data, np.uint8, n, 12 * n + 4),
-                   np.frombuffer(data, np.int32, n + 1, 8 * n))._with(np.frombuffer(data, np.uint64, n))
-
-    def _with(self, fps: np.ndarray) -> BKTree:
-        self.fps = fps
-        return self
+        return cls(np.frombuffer(data, np.uint64, n), np.frombuffer(data, np.uint8, n, 12 * n + 4),
+                   np.frombuffer(data, np.int32, n + 1, 8 * n))
 
     def search(self, queries: np.ndarray, radius: int):
         """Yields arrays (query number, node number) of pairs at most ``radius`` apart. All
