@@ -76,16 +76,20 @@ def majority(hashes: np.ndarray, offsets: np.ndarray, step: int = 1 << 19) -> np
     return np.packbits(over, axis=1, bitorder="little").view(np.uint64).reshape(-1)
 
 
-@F.arrow_udf(T.LongType())
-def _fingerprint(hashes: pa.Array) -> pa.Array:
-    offsets = hashes.offsets.to_numpy().astype(np.int64)
-    flat = hashes.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]]
-    return pa.array(majority(flat, offsets - offsets[0]).view(np.int64))
+def _add_fingerprint(batches):
+    for batch in batches:
+        hashes = batch.column(0)
+        offsets = hashes.offsets.to_numpy().astype(np.int64)
+        flat = hashes.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]]
+        fps = majority(flat, offsets - offsets[0]).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(fps), *batch.columns[1:]], ["fp", *batch.schema.names[1:]])
 
 
-def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
-    """64-bit SimHash as a signed long."""
-    return _fingerprint(shingle_hashes(text, shingle))
+def fingerprints(docs: DataFrame, text: Column, shingle: int = SHINGLE, **others: Column) -> DataFrame:
+    """fp, the 64-bit SimHash of ``text`` as a signed long, and the named columns."""
+    df = docs.select(shingle_hashes(text, shingle).alias("hashes"), *[c.alias(n) for n, c in others.items()])
+    schema = T.StructType([T.StructField("fp", T.LongType()), *df.schema.fields[1:]])
+    return df.mapInArrow(_add_fingerprint, schema)
 
 
 # --- BK-tree -----------------------------------------------------------------------------
@@ -266,7 +270,7 @@ def near_duplicates(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
 def simhash_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                   radius: int = RADIUS) -> DataFrame:
     """key, fp, root, component: one row per document."""
-    rows = written(docs.select(docs[key].alias("key"), fingerprint(docs[text], shingle).alias("fp")), "simhash")
+    rows = written(fingerprints(docs, docs[text], shingle, key=docs[key]), "simhash")
     return near_duplicates(rows, radius)
 
 
@@ -274,9 +278,8 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingl
              radius: int = RADIUS) -> DataFrame:
     """The document with the smallest key of each component, with its columns. Of several
     rows with that key the one with the smallest hash of its text stays."""
-    rows = written(docs.select(docs[key].alias("key"), fingerprint(docs[text], shingle).alias("fp"),
-                               F.xxhash64(docs[text]).alias("text_hash"),
-                               F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")), "simhash")
+    rows = written(fingerprints(docs, docs[text], shingle, key=docs[key], text_hash=F.xxhash64(docs[text]),
+                                doc=F.struct(*[docs[f"`{c}`"] for c in docs.columns])), "simhash")
     slim = near_duplicates(rows.select("key", "fp", "text_hash"), radius)
     first = Window.partitionBy("root").orderBy("text_hash", "fp")
     stays = (slim.filter(F.col("key").eqNullSafe(F.col("component")))
