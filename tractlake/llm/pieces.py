@@ -6,13 +6,14 @@ of the model file's scores is taken (the unigram decision rule on the file's sco
 its merge order). A character without a piece costs the smallest score less 10 and becomes
 its UTF-8 bytes' pieces.
 
-No piece of the vocabulary has U+2581 after another character, so every such place is a
-cut and words are cut independently; a vocabulary for which that isn't so is refused. The
-distinct words of a batch that aren't known yet are grouped by length. Words of one length
-advance together, a character at a time: the hashes of all substrings that end there come
-from prefix hashes, probe the sorted keys of the pieces of that length, and the maxima over
-the lengths are kept with back-pointers (on a tie the longest piece). The pieces found are
-compared with the word itself, so a clash of hashes can't change a result.
+No piece of the vocabulary has U+2581 after another character, or a line feed at all, so
+each such place is a cut and words are cut independently; a vocabulary for which that
+isn't so is refused. The distinct words of a batch that aren't known yet are grouped by
+length. Words of one length advance together, a character at a time: the hashes of all
+substrings that end there come from prefix hashes, probe the sorted keys of the pieces of
+that length, and the maxima over the lengths are kept with back-pointers (on a tie the
+longest piece). The pieces found are compared with the words themselves, so a clash of
+hashes can't change a result.
 
 Decoding joins pieces and bytes, turns U+2581 into a space and drops the one in front. It
 restores every text that has no U+2581 of its own (that character comes back as a space).
@@ -32,12 +33,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CELLS = 1 << 21
 KNOWN_WORDS = 1 << 18
+PORTION = 1 << 22
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that multiplying by it loses nothing
 
 
@@ -62,77 +65,93 @@ class Pieces:
                 normal.append(i)
         if len(self.byte) < 256:
             raise ValueError(f"{model} has no byte pieces")
-        if any(re.search(f"[^{SPACE}]{SPACE}", self.piece[i]) for i in normal):
+        if any(re.search(f"[^{SPACE}]{SPACE}|\n", self.piece[i]) for i in normal):
             raise ValueError(f"{model} has pieces across words")
         self.unknown = min(sp.get_score(i) for i in normal) - UNKNOWN_PENALTY
         self.score_of = {self.piece[i]: (sp.get_score(i), i) for i in normal}
         self.by_length = {}
         for n in sorted({len(self.piece[i]) for i in normal}):
             ids = np.array([i for i in normal if len(self.piece[i]) == n], np.int32)
-            keys = _hashes(_codes([self.piece[i] for i in ids], n))[:, n]
+            keys = _hashes(_codes([self.piece[i] for i in ids], n))[n]
             order = np.argsort(keys)
-            self.by_length[n] = (keys[order], np.array([sp.get_score(int(i)) for i in ids])[order], ids[order])
+            self.by_length[n] = (keys[order], np.array([sp.get_score(int(i)) for i in ids])[order], ids[order],
+                                 np.uint64(pow(int(BASE), n, 1 << 64)))
         self.bytes_of = [None] * len(self.piece)
         for b, i in self.byte.items():
             self.bytes_of[i] = bytes([b])
         for i in normal:
             self.bytes_of[i] = self.piece[i].replace(SPACE, " ").encode("utf-8", "surrogatepass")
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
 
     # Encoding ------------------------------------------------------------------------------
 
     def words(self, text: str) -> list[str]:
-        """The words of a non-empty text, without the U+2581 that starts each of them."""
-        parts = text.split(" ")
-        if SPACE not in text and "" not in parts:
-            return parts
+        """The words of a non-empty text. A word is listed without the U+2581 that starts it,
+        or, if it starts a line, with NUL in place of the line feed (which has no piece)."""
+        if SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            return text.replace("\n", " \0").split(" ")
         # Several spaces in a row go with the word that follows them.
-        return [w[1:] for w in re.findall(f"{SPACE}+[^{SPACE}]*", SPACE + text.replace(" ", SPACE))]
+        cut = re.findall(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*", SPACE + text.replace(" ", SPACE))
+        return [w[1:] if w[0] == SPACE else "\0" + w[1:] for w in cut]
 
     def learn(self, words) -> None:
         """Encode the words that aren't known yet, equal lengths together."""
-        by_length: dict[int, list[str]] = {}
+        groups: dict[tuple[int, str], list[str]] = {}
         for w in words:
-            by_length.setdefault(len(w) + 1, []).append(SPACE + w)
-        for n, group in by_length.items():
-            step = max(1, CELLS // n)
+            start = w[:1] if w[:1] == "\0" else SPACE
+            groups.setdefault((len(w) - 1 if start == "\0" else len(w) + 1, start), []).append(w)
+        line = np.array(self._unknown("\n"), "<i4").tobytes()
+        for (n, start), group in groups.items():
+            step = max(1, CELLS // max(1, n))
             for a in range(0, len(group), step):
                 part = group[a:a + step]
-                for w, ids in zip(part, self._viterbi(part, n)):
-                    self.known[w[1:]] = ids
+                if start == SPACE:
+                    self.known.update(zip(part, self._viterbi([SPACE + w for w in part], n)))
+                else:
+                    rest = self._viterbi([w[1:] for w in part], n) if n else [b""] * len(part)
+                    self.known.update((w, line + x) for w, x in zip(part, rest))
 
-    def _viterbi(self, words: list[str], n: int) -> list[list[int]]:
+    def _viterbi(self, words: list[str], n: int) -> list[bytes]:
         prefix = _hashes(_codes(words, n))
-        best = np.full((len(words), n + 1), -np.inf)
-        best[:, 0] = 0
-        taken, piece = np.ones((len(words), n + 1), np.int32), np.full((len(words), n + 1), -1, np.int32)
-        power = {k: _power(k) for k in self.by_length}
+        many = len(words)
+        best = np.zeros((n + 1, many))
+        taken, piece = np.ones((n + 1, many), np.int32), np.full((n + 1, many), -1, np.int32)
         for end in range(1, n + 1):
-            best[:, end] = best[:, end - 1] + self.unknown
-            for k in sorted(self.by_length):
+            top = best[end]
+            np.add(best[end - 1], self.unknown, out=top)
+            for k, (keys, scores, ids, power) in self.by_length.items():
                 if k > end:
                     break
-                keys, scores, ids = self.by_length[k]
-                probe = prefix[:, end] - prefix[:, end - k] * power[k]
+                probe = prefix[end] - prefix[end - k] * power
                 at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
-                total = np.where(keys[at] == probe, best[:, end - k] + scores[at], -np.inf)
-                up = total >= best[:, end]
-                best[up, end], taken[up, end], piece[up, end] = total[up], k, ids[at[up]]
-        steps, place, row = [], np.full(len(words), n), np.arange(len(words))
+                hit = np.flatnonzero(keys[at] == probe)
+                at = at[hit]
+                total = best[end - k][hit] + scores[at]
+                up = total >= top[hit]
+                hit, at = hit[up], at[up]
+                top[hit], taken[end, hit], piece[end, hit] = total[up], k, ids[at]
+        # Back along the pointers, all words at once; 0 where a word has come to its start.
+        steps, place, row = [], np.full(many, n), np.arange(many)
         while (place > 0).any():
-            steps.append(np.where(place > 0, np.where(piece[row, place] >= 0, piece[row, place], -1 - place), 0))
-            place = np.where(place > 0, place - taken[row, place], 0)
-        out = []
-        for w, cells in zip(words, np.array(steps[::-1]).T.tolist()):
-            # Walks of different length end at the front: their places there hold 0.
-            ids = [c for c in cells if c]
-            if any(c < 0 for c in ids):
-                ids = list(chain.from_iterable(
-                    [c] if c > 0 else self._unknown(w[-c - 2]) for c in ids))
-            spelt = b"".join([self.bytes_of[i] for i in ids])
-            if spelt != w.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
+            found = piece[place, row]
+            steps.append(np.where(place > 0, np.where(found >= 0, found, -1 - place), 0))
+            place = np.where(place > 0, place - taken[place, row], 0)
+        cells = np.array(steps[::-1], np.int32).T
+        used = cells != 0
+        ends = np.cumsum(used.sum(axis=1)).tolist()
+        flat = cells[used]
+        if (flat > 0).all():
+            # A piece has as many characters as its probe, so equal sums of all mean equal words.
+            spelt = b"".join(map(self.bytes_of.__getitem__, flat.tolist()))
+            if spelt == "".join(words).replace(SPACE, " ").encode("utf-8", "surrogatepass"):
+                data = flat.astype("<i4").tobytes()
+                return [data[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
+        out, flat = [], flat.tolist()
+        for w, a, b in zip(words, [0, *ends], ends):
+            ids = list(chain.from_iterable([c] if c > 0 else self._unknown(w[-c - 2]) for c in flat[a:b]))
+            if b"".join([self.bytes_of[i] for i in ids]) != w.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
                 ids = self._plain(w)
-            out.append(ids)
+            out.append(np.array(ids, "<i4").tobytes())
         return out
 
     def _unknown(self, char: str) -> list[int]:
@@ -156,20 +175,22 @@ class Pieces:
             end -= k
         return ids
 
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
-        out = []
-        for text in texts:
-            if not text:
-                out.append([])
-                continue
-            words = self.words(text)
-            if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
-            new = set(words).difference(self.known)
-            if new:
-                self.learn(new)
-            out.append(list(chain.from_iterable(map(self.known.__getitem__, words))))
-        return out
+    def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        odd = [bool(t) and "\0" in t for t in texts]  # NUL stands for line feeds above
+        new: set[str] = set()
+        for text, plain in zip(texts, odd):
+            if text and not plain:
+                new.update(self.words(text))
+        self.learn(new.difference(self.known))
+        known = self.known.__getitem__
+        return [np.frombuffer(b"" if not t else self._odd(t) if plain else b"".join(map(known, self.words(t))), "<i4")
+                for t, plain in zip(texts, odd)]
+
+    def _odd(self, text: str) -> bytes:
+        cut = re.findall(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*", SPACE + text.replace(" ", SPACE))
+        return b"".join(self._viterbi([w], len(w))[0] for w in cut)
 
     def decode(self, ids) -> str:
         spelt = b"".join([self.bytes_of[i] or b"" for i in ids])
@@ -177,19 +198,16 @@ class Pieces:
 
 
 def _codes(words: list[str], n: int) -> np.ndarray:
+    """Code points, a row for each place in the words."""
     flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    return flat.reshape(len(words), n).astype(np.uint64)
-
-
-def _power(n: int) -> np.uint64:
-    return np.uint64(pow(int(BASE), n, 1 << 64))
+    return np.ascontiguousarray(flat.reshape(len(words), n).T).astype(np.uint64)
 
 
 def _hashes(codes: np.ndarray) -> np.ndarray:
-    """Hashes of all prefixes: column j is that of the first j characters."""
-    out = np.zeros((len(codes), codes.shape[1] + 1), np.uint64)
-    for j in range(codes.shape[1]):
-        out[:, j + 1] = out[:, j] * BASE + codes[:, j] + np.uint64(1)
+    """Hashes of all prefixes: row j has those of the first j characters."""
+    out = np.zeros((len(codes) + 1, codes.shape[1]), np.uint64)
+    for j in range(len(codes)):
+        out[j + 1] = out[j] * BASE + codes[j] + np.uint64(1)
     return out
 
 
@@ -199,24 +217,34 @@ def load(model: str) -> Pieces:
     return Pieces(model)
 
 
+def _portions(batch):
+    """Slices of a batch with about ``PORTION`` bytes of text (or one longer row)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PORTION, "right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def _encoder(model: str, digest: bool):
     def run(batches):
         vocab = load(model)
         for batch in batches:
-            for a in range(0, batch.num_rows, 64):
-                part = batch.slice(a, 64)
+            for part in _portions(batch):
                 texts = part.column(1).to_pylist()
                 found = vocab.encode_batch(texts)
+                many = pa.array([len(x) for x in found], pa.int64())
                 if not digest:
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), pa.array(found, pa.list_(pa.int32())),
-                         pa.array([len(x) for x in found], pa.int64())], ["key", "ids", "n_tokens"])
+                    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                    yield pa.RecordBatch.from_arrays([part.column(0), ids, many], ["key", "ids", "n_tokens"])
                     continue
-                same = [vocab.decode(x) == (t or "") for x, t in zip(found, texts)]
-                crc = [zlib.crc32(np.array(x, "<u4").tobytes()) for x in found]
+                same = [vocab.decode(x.tolist()) == (t or "") for x, t in zip(found, texts)]
+                crc = [zlib.crc32(x.tobytes()) for x in found]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array(crc, pa.int64()),
-                     pa.array(same)], ["key", "n_tokens", "ids_crc32", "round_trip"])
+                    [part.column(0), many, pa.array(crc, pa.int64()), pa.array(same)],
+                    ["key", "n_tokens", "ids_crc32", "round_trip"])
     return run
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tractlake.llm import exact_dedup, mixing, quality, simhash
+from tractlake.llm import exact_dedup, mixing, pieces, quality, simhash
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -87,3 +87,8 @@ def op4_simhash_bktree(spark, d):
     out = simhash.simhash_dedup(table(spark, d, "documents"))
     return out.select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       F.col("component").alias("component_id"))
+
+
+@register("op10_sentencepiece_viterbi")
+def op10_sentencepiece_viterbi(spark, d):
+    return pieces.encode_and_check(table(spark, d, "documents")).withColumnRenamed("key", "doc_id")
