@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tractlake.llm import exact_dedup, mixing, pieces, quality, simhash
+import corpus_pipeline
+from tractlake.llm import exact_dedup, mixing, pieces, quality, simhash, warc, wavelet
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -92,3 +93,30 @@ def op4_simhash_bktree(spark, d):
 @register("op10_sentencepiece_viterbi")
 def op10_sentencepiece_viterbi(spark, d):
     return pieces.encode_and_check(table(spark, d, "documents")).withColumnRenamed("key", "doc_id")
+
+
+@register("op3_warc_salvage", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages)
+SELECT page_id, strlen(t) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(h, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INTEGER), 1)),
+    '') AS payload_digest,
+  CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
+FROM p WINDOW w AS (PARTITION BY t)""")
+def op3_warc_salvage(spark, d):
+    read = warc.read_warc(warc.write_warc(table(spark, d, "pages")), payload=False)
+    return read.filter("kind = 'record'").select(
+        F.col("record_key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@register("op9_wavelet_tokens")
+def op9_wavelet_tokens(spark, d):
+    shards = wavelet.write_shards(table(spark, d, "documents"))
+    return wavelet.read_shards(shards).withColumnRenamed("key", "doc_id")
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, d):
+    return corpus_pipeline.run(spark, d)
