@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tractlake.llm import exact_dedup, mixing, pieces, quality, simhash, warc, wavelet
+from tractlake.llm import exact_dedup, mixing, pieces, quality, secrets, simhash, warc, wavelet, wordpiece
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -117,6 +117,21 @@ def op9_wavelet_tokens(spark, d):
     return wavelet.read_shards(shards).withColumnRenamed("key", "doc_id")
 
 
+@register("op6_wordpiece_counts")
+def op6_wordpiece_counts(spark, d):
+    return wordpiece.token_counts(table(spark, d, "documents")).withColumnRenamed("key", "doc_id")
+
+
+@register("op8_secret_scan")
+def op8_secret_scan(spark, d):
+    found = secrets.scan(table(spark, d, "documents"))
+    base = F.filter("spans", lambda s: s["depth"] == 0)
+    n = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    return found.select(F.col("key").alias("doc_id"), *[n(k).alias(f"n_{k}") for k in secrets.KINDS],
+                        F.sha2(secrets.spelt(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.spelt(F.col("spans")).alias("spans"), "n_cut")
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
