@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tractlake.session import scratch_dir
@@ -26,6 +28,21 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """While it lasts, rows go to Python in batches of at most ``size`` (the session's own
+    setting allows batches that, with what is computed from them, fill a small executor)."""
+    @contextlib.contextmanager
+    def held():
+        name = "spark.sql.execution.arrow.maxBytesPerBatch"
+        before = spark.conf.get(name)
+        spark.conf.set(name, size)
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
+    return held()
+
+
 def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """``df`` written to a table in the shared folder and read from there.
 

@@ -49,15 +49,11 @@ def sha256(text: Column) -> Column:
 
 
 def _rows(df: DataFrame, key: str, text: str, digest: Callable[[Column], Column],
-          carry: Column | None = None) -> DataFrame:
+          *others: Column) -> DataFrame:
     meta = df.metadataColumn("_metadata")
-    t = F.coalesce(df[text], F.lit(""))
-    cols = [digest(t).alias("digest"),
-            F.struct(df[key].alias("key"), meta.getField("file_path").alias("file"),
-                     meta.getField("row_index").alias("row")).alias("id")]
-    if carry is not None:
-        cols += [t.alias("body"), carry.alias("rest")]
-    return df.select(*cols)
+    return df.select(digest(F.coalesce(df[text], F.lit(""))).alias("digest"),
+                     F.struct(df[key].alias("key"), meta.getField("file_path").alias("file"),
+                              meta.getField("row_index").alias("row")).alias("id"), *others)
 
 
 def update_state(spark: SparkSession, path: str, checkpoint: str, *, key: str = "doc_id",
@@ -95,26 +91,30 @@ def update_state(spark: SparkSession, path: str, checkpoint: str, *, key: str =
 def decide(spark: SparkSession, path: str, state: DataFrame, *, key: str = "doc_id",
            text: str = "text", digest: Callable[[Column], Column] = sha256,
            columns: list[str] | None = None) -> DataFrame:
-    """One row per input row: id, digest, keep_id, group_size, kept, rest (``columns`` as a struct)."""
+    """One row per input row: id, digest, keep_id, group_size, kept, and struct rest with
+    ``columns``, which a row that doesn't stay may lack."""
     df = spark.read.parquet(path)
-    rest = F.struct(*[df[f"`{c}`"] for c in columns or []]) if columns else F.lit(None).cast("boolean")
-    rows = _rows(df, key, text, digest, rest)
-    # The text goes on only where a digest was hit; what isn't hit is settled here.
-    placed = written(rows.join(state, "digest").withColumn("body", F.when(F.col("n") > 1, F.col("body"))),
-                     "dedup-rows")
+    names = list(dict.fromkeys([*(columns or []), text]))
+    rows = _rows(df, key, text, digest, F.struct(*[df[f"`{c}`"] for c in names]).alias("rest"))
+    body = F.coalesce(F.col(f"rest.`{text}`"), F.lit(""))
+    joined = rows.join(state, "digest")
+    if not columns:  # then the text goes on only where a digest was hit
+        joined = joined.withColumn("rest", F.when(F.col("n") > 1, F.col("rest")))
+    placed = written(joined, "dedup-rows")
     single = placed.filter("n = 1").select(
         "id", "digest", F.col("top.key").alias("keep_id"), F.col("n").alias("group_size"),
         F.lit(True).alias("kept"), "rest")
     hits = placed.filter("n > 1")
     last = F.floor((F.col("n") - 1) / SALT_ROWS).cast("int")
-    stays = (hits.filter("id = top").select("digest", F.col("body").alias("bytes"),
+    stays = (hits.filter("id = top").select("digest", body.cast("binary").alias("bytes"),
                                             F.explode(F.sequence(F.lit(0), last)).alias("salt")))
     members = hits.withColumn("salt", F.pmod(F.xxhash64("id"), last + 1).cast("int"))
+    other = F.when(body.cast("binary") != F.col("bytes"), body)
+    # Only a row that may stay still needs its columns.
     checked = written(
         members.join(stays, ["digest", "salt"], "left").select(
-            "id", "digest", "top", "n", "rest", "salt",
-            F.when(F.col("body").cast("binary") != F.col("bytes").cast("binary"),
-                   F.col("body")).alias("other")), "dedup-checked")
+            "id", "digest", "top", "n", "salt", other.alias("other"),
+            F.when(other.isNotNull() | (F.col("id") == F.col("top")), F.col("rest")).alias("rest")), "dedup-checked")
     others = (checked.filter("other is not null").groupBy("digest", "other")
               .agg(F.max("id").alias("top"), F.count(F.lit(1)).alias("n")))
     gone = (checked.filter("other is not null").groupBy("digest")
@@ -145,4 +145,4 @@ def dedup_frame(docs: DataFrame, **options) -> DataFrame:
     path = scratch_dir(spark, "dedup-landing")
     docs.write.parquet(path)
     kept = dedup_files(spark, path, columns=docs.columns, **options).filter("kept")
-    return kept.select("rest.*")
+    return kept.select(*[F.col(f"rest.`{c}`") for c in docs.columns])

@@ -155,7 +155,7 @@ def cutoffs(scored: DataFrame, labels: DataFrame, *, key: str = "doc_id", stratu
 
 def judged(scored: DataFrame, chosen: DataFrame, *, stratum: str = "lang") -> DataFrame:
     """``scored`` with struct ``verdict``: base_failed, kept, broken (names of the rules that reject)."""
-    c = chosen.withColumnRenamed("stratum", "_stratum")
+    c = written(chosen.withColumnRenamed("stratum", "_stratum"), "cutoffs", 1)  # a row a stratum
     out = scored.join(c, scored[stratum].eqNullSafe(c["_stratum"]), "left")
     broken = F.filter(F.array(*[F.when(share(r) > c[f"cut_{r}"], F.lit(r)) for r in RULES]),
                       lambda x: x.isNotNull())
@@ -166,18 +166,20 @@ def judged(scored: DataFrame, chosen: DataFrame, *, stratum: str = "lang") -> Da
 
 def quality(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text",
             stratum: str = "lang", **options) -> DataFrame:
-    """key, stratum, features ``q`` and ``verdict`` of each document."""
-    scored = written(docs.select(docs[key], docs[stratum], features(docs[text]).alias("q")), "quality")
+    """key, stratum, text_hash, features ``q`` and ``verdict`` of each document."""
+    scored = written(docs.select(docs[key], docs[stratum], F.xxhash64(docs[text]).alias("text_hash"),
+                                 features(docs[text]).alias("q")), "quality")
     chosen = cutoffs(scored, labels, key=key, stratum=stratum, **options)
     return judged(scored, chosen, stratum=stratum)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text",
               stratum: str = "lang", **options) -> DataFrame:
-    """The documents that pass, with their columns."""
-    scored = written(docs.select(docs[key].alias("key"), docs[stratum].alias("stratum"),
-                                 features(docs[text]).alias("q"),
-                                 F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")), "quality")
-    chosen = cutoffs(scored, labels.select(labels[key].alias("key"), "quality"), key="key",
-                     stratum="stratum", **options)
-    return judged(scored, chosen, stratum="stratum").filter("verdict.kept").select("doc.*")
+    """The documents that pass, with their columns. The features are written without the
+    texts; what they reject is named by key, stratum and the text's hash."""
+    seen = docs.select(docs[key].alias("key"), docs[stratum].alias("stratum"), docs[text].alias("text"))
+    named = labels.select(labels[key].alias("key"), "quality")
+    out = quality(seen, named, key="key", text="text", stratum="stratum", **options)
+    bad = out.filter("not verdict.kept").select("key", "stratum", "text_hash").distinct()
+    return docs.join(bad, docs[key].eqNullSafe(bad["key"]) & docs[stratum].eqNullSafe(bad["stratum"])
+                     & (F.xxhash64(docs[text]) == bad["text_hash"]), "left_anti")

@@ -33,9 +33,9 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tractlake.llm.common import words_of, written
+from tractlake.llm.common import small_batches, words_of, written
 
 SHINGLE = 3
 RADIUS = 2
@@ -59,7 +59,7 @@ def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
     return F.transform(F.array(w), of)[0]
 
 
-def majority(hashes: np.ndarray, offsets: np.ndarray, step: int = 1 << 19) -> np.ndarray:
+def majority(hashes: np.ndarray, offsets: np.ndarray, step: int = 1 << 17) -> np.ndarray:
     """Fingerprints (uint64) of documents whose hashes lie at offsets[i]:offsets[i + 1]."""
     counts = np.zeros((len(offsets) - 1, 64), np.int64)
     for a in range(0, len(hashes), step):
@@ -267,24 +267,26 @@ def near_duplicates(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.join(classes, "fp")
 
 
+def _fingerprinted(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    rows = fingerprints(docs, docs[text], shingle, key=docs[key], text_hash=F.xxhash64(docs[text]))
+    with small_batches(docs.sparkSession):
+        return written(rows, "simhash")
+
+
 def simhash_dedup(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                   radius: int = RADIUS) -> DataFrame:
-    """key, fp, root, component: one row per document."""
-    rows = written(fingerprints(docs, docs[text], shingle, key=docs[key]), "simhash")
-    return near_duplicates(rows, radius)
+    """key, fp, text_hash, root, component: one row per document."""
+    return near_duplicates(_fingerprinted(docs, key, text, shingle), radius)
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
     """The document with the smallest key of each component, with its columns. Of several
-    rows with that key the one with the smallest hash of its text stays."""
-    rows = written(fingerprints(docs, docs[text], shingle, key=docs[key], text_hash=F.xxhash64(docs[text]),
-                                doc=F.struct(*[docs[f"`{c}`"] for c in docs.columns])), "simhash")
-    slim = near_duplicates(rows.select("key", "fp", "text_hash"), radius)
-    first = Window.partitionBy("root").orderBy("text_hash", "fp")
-    stays = (slim.filter(F.col("key").eqNullSafe(F.col("component")))
-             .withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-             .select("fp", F.col("key").alias("s_key"), F.col("text_hash").alias("s_hash")))
-    out = rows.join(stays, (rows["fp"] == stays["fp"]) & rows["key"].eqNullSafe(stays["s_key"])
-                    & (rows["text_hash"] == stays["s_hash"]), "left_semi")
-    return out.select("doc.*")
+    texts under that key the one with the smallest hash stays; rows that repeat key and text
+    are one document and stay together."""
+    found = simhash_dedup(docs, key=key, text=text, shingle=shingle, radius=radius)
+    stays = (found.filter(F.col("key").eqNullSafe(F.col("component"))).groupBy("root")
+             .agg(F.min(F.struct("text_hash", "key")).alias("s")).select("s.*"))
+    stays = written(stays, "simhash-stays")
+    return docs.join(stays, docs[key].eqNullSafe(stays["key"])
+                     & (F.xxhash64(docs[text]) == stays["text_hash"]), "left_semi")
