@@ -13,9 +13,9 @@ File: ``MAGIC``, the length of the head, the head (JSON), then the parts it name
 So access, counting and lookup of occurrences read a few blocks of each plane, and reading
 all tokens undoes the planes from the last to the first.
 
-Encoding uses the tokenizers library. A text is cut by the pre-tokenizer's own pattern;
-pieces met before come from a table, new ones go to the library together, a line feed apart.
-Texts with the name of a special token go to it whole.
+Encoding uses the tokenizers library. Words met before come from a table, new ones go to
+the library together; a text whose words depend on one another (runs of white space, names
+of special tokens) goes to it whole.
 
 Defined cases: null and empty text have the end id only; a null key comes first; repeated
 rows follow one another, ties in the key are in the order of the text; an empty table gives
@@ -48,8 +48,6 @@ SHARD_TOKENS = 1 << 21
 END_ID = 0
 KNOWN_WORDS = 1 << 19
 PORTION = 1 << 22
-# Fixed value: the pattern by which byte-level pre-tokenizers of this kind cut a text.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 MANIFEST = "part int, seq int, file string, n_docs bigint, n_tokens bigint"
 
@@ -189,56 +187,75 @@ class WaveletMatrix:
 # --- Encoding ----------------------------------------------------------------------------
 
 class Encoder:
-    """ids of texts by a byte-level tokenizer file, with a table of the pieces met before."""
+    """ids of texts by a byte-level tokenizer file, with a table of the words met before.
+
+    The pre-tokenizer cuts before every space that isn't inside a run of white space, and
+    around a line feed between other characters. So a text without such runs is a list of
+    words, each after a space or a line feed, whose ids don't depend on one another. New
+    words go to the library together, a line feed apart: none of them has its id."""
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
         self.t = Tokenizer.from_file(path)
         if self.t.get_vocab_size() > 1 << BITS:
             raise ValueError("the vocabulary has more ids than the planes hold")
         self.special = [x.content for x in self.t.get_added_tokens_decoder().values()]
-        self.cut = regex.compile(PATTERN).findall
         self.line, = self._ids("\n")
-        self.known: dict[str, bytes] = {}
+        self.line_bytes = np.array([self.line], "<u2").tobytes()
+        # By the word after a space, or after NUL (a line feed); None: not a plain word.
+        self.known: dict[str, bytes | None] = {}
+        self.first: dict[str, bytes | None] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.t.encode(text, add_special_tokens=False).ids
 
-    def learn(self, words) -> None:
-        """A line feed is a piece of its own between two pieces that aren't white space, and
-        no other piece has its id, so it separates the ids of many pieces encoded at once."""
-        many = [w for w in words if not w.isspace()]
-        for w in words:
-            if w.isspace():
-                self.known[w] = np.array(self._ids(w), "<u2").tobytes()
-        for a in range(0, len(many), 4096):
-            part = many[a:a + 4096]
+    def _together(self, words: list[str]) -> list[bytes]:
+        """ids of words without white space but for a space in front."""
+        out = []
+        for a in range(0, len(words), 4096):
+            part = words[a:a + 4096]
             ids = np.array(self._ids("\n".join(part)), "<u2")
             ends = [*np.flatnonzero(ids == self.line).tolist(), len(ids)]
             if len(ends) != len(part):
-                raise ValueError("the tokenizer's pieces differ from the pattern's")
-            start, data = 0, ids.tobytes()
-            for w, end in zip(part, ends):
-                self.known[w] = data[2 * start:2 * end]
+                raise ValueError("the tokenizer doesn't cut at line feeds")
+            data, start = ids.tobytes(), 0
+            for end in ends:
+                out.append(data[2 * start:2 * end])
                 start = end + 1
+        return out
+
+    def learn(self, words, first) -> None:
+        plain = lambda w: bool(w) and not any(map(str.isspace, w))
+        spaced = [w for w in words if w[:1] != "\0" and plain(w)]
+        lined = [w for w in words if w[:1] == "\0" and plain(w[1:])]
+        firsts = [w for w in first if plain(w)]
+        self.known.update(dict.fromkeys(words))
+        self.first.update(dict.fromkeys(first))
+        self.known.update(zip(spaced, self._together([" " + w for w in spaced])))
+        self.known.update((w, self.line_bytes + x) for w, x in zip(lined, self._together([w[1:] for w in lined])))
+        self.first.update(zip(firsts, self._together(firsts)))
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """ids as little-endian 16-bit integers."""
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        out = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-            elif any(s in text for s in self.special):
-                out.append(np.array(self._ids(text), "<u2").tobytes())
-            else:
-                out.append(self.cut(text))
-        new = set().union(*[x for x in out if isinstance(x, list)]).difference(self.known)
-        self.learn(list(new))
-        known = self.known.__getitem__
-        return [b"".join(map(known, x)) if isinstance(x, list) else x for x in out]
+            self.first.clear()
+        cut = [None if not t or "\0" in t or any(s in t for s in self.special) else t.replace("\n", " \0").split(" ")
+               for t in texts]
+        words: set[str] = set()
+        for x in cut:
+            if x:
+                words.update(x[1:])
+        first = {x[0] for x in cut if x}
+        self.learn(words.difference(self.known), first.difference(self.first))
+        known, out = self.known.__getitem__, []
+        for text, x in zip(texts, cut):
+            try:
+                ids = b"".join([self.first[x[0]], *map(known, x[1:])]) if x else None
+            except TypeError:  # a word that isn't plain
+                ids = None
+            out.append(ids if ids is not None else np.array(self._ids(text), "<u2").tobytes() if text else b"")
+        return out
 
 
 @functools.lru_cache(maxsize=2)
