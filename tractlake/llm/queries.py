@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tractlake.llm import exact_dedup, mixing, pieces, quality, secrets, simhash, warc, wavelet, wordpiece
+from tractlake.llm import exact_dedup, htmltext, mixing, pieces, quality, secrets, simhash, warc, wavelet, wordpiece
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -117,6 +117,11 @@ def op9_wavelet_tokens(spark, d):
     return wavelet.read_shards(shards).withColumnRenamed("key", "doc_id")
 
 
+@register("op5_host_suffix_array")
+def op5_host_suffix_array(spark, d):
+    return htmltext.main_text(table(spark, d, "pages")).withColumnRenamed("page", "page_id")
+
+
 @register("op6_wordpiece_counts")
 def op6_wordpiece_counts(spark, d):
     return wordpiece.token_counts(table(spark, d, "documents")).withColumnRenamed("key", "doc_id")
