@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tractlake.llm.common import written
 
 RUN = 8
-SHARD_BYTES = 1 << 22
+SHARD_BYTES = 1 << 20
 LOOSE_SHARE = 0.02
 ARTICLE_SHARE = 0.5
 ARTICLE_PAGES = 10

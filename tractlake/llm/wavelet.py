@@ -214,7 +214,9 @@ class Encoder:
         out = []
         for a in range(0, len(words), 4096):
             part = words[a:a + 4096]
-            ids = np.array(self._ids("\n".join(part)), "<u2")
+            # Without offsets: of the ways into the library the cheapest.
+            found, = self.t.encode_batch_fast(["\n".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u2")
             ends = [*np.flatnonzero(ids == self.line).tolist(), len(ids)]
             if len(ends) != len(part):
                 raise ValueError("the tokenizer doesn't cut at line feeds")
