@@ -179,10 +179,8 @@ def inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[int, bytes]:
 
 def _candidate(data: bytes, at: int) -> int:
     """The next place from ``at`` on where a member or a version line may start."""
-    places = [data.find(GZIP, at)]
-    line = data.find(b"\nWARC/1.", max(0, at - 1))
-    places.append(line + 1 if line >= 0 else -1)
-    return min((p for p in places if p >= at), default=len(data))
+    places = [data.find(GZIP, at), data.find(b"WARC/1.", at)]
+    return min((p for p in places if p >= 0), default=len(data))
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
