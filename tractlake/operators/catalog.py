@@ -28,8 +28,17 @@ MEASURE_PATTERN = r"[BC]\w*_\w*"
 CATALOG_COLUMNS = ["group_name", "metric_name", "formula", "statistic",
                    "start_year", "end_year", "notes"]
 
-# A division operand: one parenthesised group without nesting, or one word.
-_DIVISOR = r"/\s*(\([^()]*\)|[\w.]+)"
+# A division operand: a word, a call or a parenthesised group, with brackets
+# nested up to GUARD_DEPTH deep; one that is guarded already is left alone.
+GUARD_DEPTH = 6
+
+
+def _nested(depth: int) -> str:
+    return "[^()]*" if depth == 0 else rf"(?:[^()]|\({_nested(depth - 1)}\))*"
+
+
+_GROUP = rf"\({_nested(GUARD_DEPTH)}\)"
+_DIVISOR = rf"/\s*+(?!(?i:NULLIF)\s*\()({_GROUP}|[\w.]++(?:\s*{_GROUP})?)"
 _IDENT = re.compile(r"[A-Za-z_]\w*")
 
 
@@ -69,12 +78,17 @@ def extract_measures(cat: DataFrame) -> DataFrame:
 def guard_division(formula) -> Column:
     """Wrap every divisor in ``NULLIF(…, 0)``.
 
-    A divisor is one parenthesised operand or one word after ``/``; blanks
-    around the slash are optional. Formulas without ``/`` are unchanged.
-    Under ANSI mode an unguarded division by zero fails the job, while the
-    guarded one yields NULL.
+    A divisor is what follows ``/``: a word, a function call or a
+    parenthesised operand, nested brackets included; blanks around the slash
+    are optional. The outermost divisors are wrapped first and those inside
+    them by the next pass. Formulas without ``/`` are unchanged. Under ANSI
+    mode an unguarded division by zero fails the job, while the guarded one
+    yields NULL.
     """
-    return F.regexp_replace(col_of(formula), _DIVISOR, "/ NULLIF($1, 0)")
+    out = col_of(formula)
+    for _ in range(GUARD_DEPTH):
+        out = F.regexp_replace(out, _DIVISOR, "/ NULLIF($1, 0)")
+    return out
 
 
 def group_windows(cat: DataFrame, load_year: int) -> DataFrame:
@@ -122,14 +136,19 @@ def select_items(cat: DataFrame, ordinal="ordinal") -> DataFrame:
                  F.lower(F.trim("metric_name"))).alias("select_item"))
 
 
-def group_sequences(lookup: DataFrame, measures) -> DataFrame:
-    """Distinct sequences holding any of ``measures``."""
-    return lookup.filter(F.col("varid").isin(list(measures))).select("seq").distinct()
+def _of_year(lookup: DataFrame, year: int | None) -> DataFrame:
+    return lookup if year is None else lookup.filter(F.col("year") == year)
+
+
+def group_sequences(lookup: DataFrame, measures, year: int | None = None) -> DataFrame:
+    """Distinct sequences holding any of ``measures`` (in the lookup of ``year``)."""
+    return (_of_year(lookup, year).filter(F.col("varid").isin(list(measures)))
+            .select("seq").distinct())
 
 
-def sequence_measures(lookup: DataFrame, measures, seq: int) -> DataFrame:
+def sequence_measures(lookup: DataFrame, measures, seq: int, year: int | None = None) -> DataFrame:
     """The given measures that live in one sequence, in column order."""
-    return (lookup.filter(F.col("varid").isin(list(measures)) & (F.col("seq") == seq))
+    return (_of_year(lookup, year).filter(F.col("varid").isin(list(measures)) & (F.col("seq") == seq))
             .select("varid", "ordinal"))
 
 
@@ -151,21 +170,24 @@ class GroupPlan:
 
 def guard_text(formula: str) -> str:
     """Driver-side twin of :func:`guard_division` for collected formulas."""
-    return re.sub(_DIVISOR, r"/ NULLIF(\1, 0)", formula)
+    for _ in range(GUARD_DEPTH):
+        formula = re.sub(_DIVISOR, r"/ NULLIF(\1, 0)", formula)
+    return formula
 
 
 def _expand(formula: str, known: dict, group: str, metric: str) -> str:
     """Replace references to earlier metrics of the group by their text.
 
-    Identifiers that are measure ids stay; identifiers followed by ``(`` are
-    functions. Anything else must be an earlier metric of the same group.
+    Identifiers followed by ``(`` are functions. A name defined earlier in
+    the group, in whatever case, is that metric even where it looks like a
+    measure id; other measure ids stay, and anything else is an error.
     """
     out, pos = [], 0
     for m in _IDENT.finditer(formula):
         tok = m.group(0)
         low = tok.lower()
         nxt = formula[m.end():].lstrip()[:1]
-        if re.fullmatch(MEASURE_PATTERN, tok) or nxt == "(" or low in ("null",):
+        if nxt == "(" or low in ("null",) or (low not in known and re.fullmatch(MEASURE_PATTERN, tok)):
             continue
         if low not in known:
             raise CatalogError(
@@ -207,8 +229,8 @@ def plan_groups(rows, load_year: int, year_override: tuple | None = None) -> lis
         known: dict = {}
         metrics, measures = [], set()
         for name, formula, _, _ in items:
-            measures.update(re.findall(MEASURE_PATTERN, formula))
             sql = _expand(guard_text(formula), known, g, name)
+            measures.update(m for m in _IDENT.findall(sql) if re.fullmatch(MEASURE_PATTERN, m))
             known[name] = sql
             metrics.append((name, sql))
         plans.append(GroupPlan(g, first, last, metrics, sorted(measures),

@@ -104,15 +104,32 @@ def areas_with_measures(areas: DataFrame, sequences: dict, lookup_rows, measures
     directly: every sequence is shuffled once with just its own measures,
     and because a left join keeps the left side's hash partitioning, the area
     side is shuffled once for the whole chain (no wide intermediate rows).
-    ``areas`` must carry ``year``, ``stusab_key`` and ``logrecno``.
+    ``areas`` must carry ``year``, ``stusab_key`` and ``logrecno``. Lookup
+    rows with a ``year`` are resolved year by year: a measure that moves to
+    another sequence is read from the one of its year.
     """
-    plan = sequence_plan(measures, lookup_rows, missing)
-    out = areas
-    for s, ms in plan.items():
+    homes = measure_homes(measures, lookup_rows, missing)
+    by_seq: dict = {}
+    for m, seqs in homes.items():
+        for s in seqs:
+            by_seq.setdefault(s, []).append(m)
+    out, parts = areas, {}
+    for s in sorted(by_seq):
+        ms = sorted(by_seq[s], key=lambda m: (homes[m][s][1], m))
         f = _keyed(prune_measures(sequences[s], ms))
         if years is not None:
             f = f.filter(F.col("year").between(years[0], years[1]))
+        for m in ms:
+            at = homes[m][s][0]
+            if at is not None:
+                f = f.withColumn(m, F.when(F.col("year").isin(sorted(at)), F.col(m)))
+            if len(homes[m]) > 1:
+                parts.setdefault(m, []).append(f"_{m}_{s}")
+                f = f.withColumnRenamed(m, f"_{m}_{s}")
         out = out.join(unique_by_key(f), JOIN_KEYS, "left")
+    if parts:
+        out = out.withColumns({m: F.coalesce(*cs) for m, cs in parts.items()}) \
+            .drop(*[c for cs in parts.values() for c in cs])
     absent = [m for m in measures if m not in out.columns]
     if absent:
         out = out.withColumns({m: F.lit(None).cast("decimal(16,2)") for m in absent})
@@ -161,6 +178,32 @@ def measure_sequences(lookup_rows) -> dict:
     return out
 
 
+def measure_homes(measures, lookup_rows, missing: str = "raise") -> dict:
+    """measure id → {sequence: (years or None, ordinal)}.
+
+    Rows without a year hold for all years (None), the lowest sequence wins.
+    With years, each year has its own home: the lowest sequence of its rows.
+    """
+    by_year: dict = {}
+    for r in lookup_rows:
+        r = r.asDict() if hasattr(r, "asDict") else dict(r)
+        by_year.setdefault(r.get("year"), []).append(r)
+    out: dict = {}
+    for year, rows in sorted(by_year.items(), key=lambda x: (x[0] is not None, x[0] or 0)):
+        for m, (s, o) in measure_sequences(rows).items():
+            if m not in measures:
+                continue
+            home = out.setdefault(m, {})
+            if year is None:
+                home[s] = (None, o)
+            elif not any(at is None for at, _ in home.values()):
+                home[s] = (home.get(s, (set(), o))[0] | {int(year)}, home.get(s, (None, o))[1])
+    unknown = sorted(m for m in measures if m not in out)
+    if unknown and missing == "raise":
+        raise CatalogError(f"measures not in the lookup: {', '.join(unknown)}")
+    return out
+
+
 def sequence_plan(measures, lookup_rows, missing: str = "raise") -> dict:
     """sequence → its wanted measures in column order."""
     where = measure_sequences(lookup_rows)

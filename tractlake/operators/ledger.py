@@ -95,13 +95,25 @@ def write_snapshot(df: DataFrame, root: str, version: int) -> str:
 
 
 def current_version(spark, root: str) -> int | None:
-    """Newest committed version under ``root`` (metadata: one value)."""
-    try:
-        versions = spark.read.parquet(root).select(VERSION_COL).distinct()
-    except Exception:  # noqa: BLE001 - no version written yet
+    """Newest committed version under ``root``, from a listing of its folders.
+
+    A version counts once its folder has the writer's commit marker; what a
+    lost write left behind doesn't. Only a missing root means that there is
+    no ledger: any other failure is raised, so history is never started anew
+    over a ledger that can't be read.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return None
-    row = versions.agg(F.max(VERSION_COL).alias("m")).collect()[0]
-    return None if row["m"] is None else int(row["m"])
+    versions = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith(f"{VERSION_COL}=") and status.isDirectory() \
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            versions.append(int(name.partition("=")[2]))
+    return max(versions, default=None)
 
 
 def read_current(spark, root: str, schema=None) -> DataFrame | None:

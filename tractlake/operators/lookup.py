@@ -50,16 +50,19 @@ def build_lookup(templates) -> DataFrame:
     return out
 
 
-def sequence_wide(lookup_rows, seq: int) -> T.StructType | None:
+def sequence_wide(lookup_rows, seq: int, year: int | None = None) -> T.StructType | None:
     """Typed schema of one sequence file, or ``None`` if it is not listed.
 
     Six fixed text columns, then one decimal per measure in ordinal order.
-    Rows are lookup metadata collected by the caller (a few hundred).
+    Rows are lookup metadata collected by the caller (a few hundred); with
+    ``year``, only that year's rows count.
     """
     ms = []
     seen = set()
     for r in lookup_rows:
         r = r.asDict() if hasattr(r, "asDict") else dict(r)
+        if year is not None and int(r["year"]) != int(year):
+            continue
         if int(r["seq"]) == int(seq) and r["varid"] not in seen:
             seen.add(r["varid"])
             ms.append((int(r.get("ordinal") or 0), r["varid"]))

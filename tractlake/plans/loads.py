@@ -144,11 +144,19 @@ def run_feed_batch(spark: SparkSession, notices: DataFrame, ledger_root: str,
 def build_fact_table(spark: SparkSession, areas: DataFrame, sequences: dict, lookup_df: DataFrame,
                      catalog_df: DataFrame, load_year: int, out: str | None = None,
                      year_override=None) -> DataFrame:
-    """Catalog + lookup (metadata, collected) → fact table in one plan."""
-    plans = cat.plan_groups(catalog_df.collect(), load_year, year_override)
+    """Catalog + lookup (metadata, collected) → fact table in one plan.
+
+    The catalog is taken in the order of ``ordinal``; a lookup with a
+    ``year`` column is resolved year by year.
+    """
+    named = ["group_name", "metric_name", "formula", "statistic", "start_year", "end_year"]
+    if "ordinal" in catalog_df.columns:
+        catalog_df = catalog_df.orderBy("ordinal")
+    plans = cat.plan_groups(catalog_df.select(*named).collect(), load_year, year_override)
     wanted = sorted({m for p in plans for m in p.measures})
     # only the lookup rows of measures the catalog names reach the driver
-    rows = lookup_df.filter(F.col("varid").isin(wanted)).select("varid", "seq", "ordinal").collect()
+    columns = [c for c in ("year", "varid", "seq", "ordinal") if c in lookup_df.columns]
+    rows = lookup_df.filter(F.col("varid").isin(wanted)).select(*columns).collect()
     fact = facts.build_fact(areas, sequences, rows, plans)
     if out:
         files.load_table(fact, out, partition_by=["year"])

@@ -41,11 +41,14 @@ def _col_index(ref: str) -> int:
 
 
 def _number_text(v: str) -> str:
+    """A number as text: an integral literal as it is, 3.0 as 3."""
     try:
         f = float(v)
     except ValueError:
         return v
-    return str(int(f)) if f.is_integer() and "e" not in v.lower() else v
+    if re.fullmatch(r"[+-]?\d+", v) or "e" in v.lower():
+        return v
+    return v.split(".")[0] if f.is_integer() else v
 
 
 def _cell_value(c, shared):
@@ -112,7 +115,9 @@ def _rows(batches, batch_rows: int = 1000):
                     continue
                 header = [h if h is not None else f"Unnamed: {i}" for i, h in enumerate(first)]
                 for i, r in enumerate(rows, 1):
-                    out.append((path, sheet, no, i, header, (r + [None] * len(header))[:len(header)]))
+                    # A row wider than the header keeps all its cells.
+                    names = header + [f"Unnamed: {j}" for j in range(len(header), len(r))]
+                    out.append((path, sheet, no, i, names, r + [None] * (len(names) - len(r))))
                     if len(out) >= batch_rows:
                         yield pd.DataFrame(out, columns=cols)
                         out = []
@@ -214,7 +219,8 @@ def read_templates(rows: DataFrame, pattern: str, skip: int = 6, keep=()) -> Dat
     ``rows`` come from :func:`read_workbook_rows`. Only files whose path
     matches ``pattern`` (one group: the sequence number) are kept, and
     entries with an empty number are dropped. The header names from
-    position ``skip`` on are the measure ids and the cells their labels; the
+    position ``skip`` on are the measure ids and the cells their labels; only
+    the first sheet of a workbook counts (later ones hold margins); the
     unpivot walks the (header, values) arrays, so sheets of any width share
     one plan. Empty labels are dropped; a measure labelled on two rows keeps
     the label of the first row. Columns in ``keep`` (e.g. ``year``) are
@@ -222,7 +228,7 @@ def read_templates(rows: DataFrame, pattern: str, skip: int = 6, keep=()) -> Dat
     """
     keep = list(keep)
     digits = F.regexp_extract("path", pattern, 1)
-    t = rows.filter(F.col("path").rlike(pattern) & (digits != "")) \
+    t = rows.filter((F.col("sheet_no") == 0) & F.col("path").rlike(pattern) & (digits != "")) \
         .withColumn("seq", digits.cast("int"))
     cells = t.select(*keep, "path", "seq", "row_no",
                      F.posexplode(F.arrays_zip("header", "values")).alias("pos", "cell"))
