@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tractlake.operators import catalog as cat
 from tractlake.operators import facts, feeds, geo, ledger, listing, lookup
-from tractlake.plans import oracle as O
+from tractlake.plans import loads, oracle as O
 from tractlake.plans import synth as S
 from tractlake.session import scratch_dir
 from tractlake.sources import archives, files, workbooks
@@ -710,3 +710,39 @@ def catalog_csv_load(spark, d):
     c = S.catalog_table(spark, d).drop("ordinal")
     files.write_staged_csv(c.toDF("group", "name", "formula", "stat", "first", "last", "notes"), path)
     return files.read_catalog(spark, path).drop("ordinal")
+
+
+# Two measures that move to another sequence: sequence and first year of their new home.
+_MOVED = {"B10001_001": (2, "B20001_001", 1998), "B20001_002": (3, "C30001_001", 1999)}
+
+
+def _at(measure):
+    _, column, year = _MOVED[measure]
+    return f"CASE WHEN g.year >= {year} THEN {column} ELSE {measure} END"
+
+
+@register("fact_multi_year_lookup", f"""{_WIDE}
+SELECT g.year, g.geoid, CAST({_at('B10001_001')} AS {D16}) AS count_moved,
+  CAST({_at('B20001_002')} AS {D16}) AS sum_moved, CAST(B10001_002 AS {D16}) AS count_kept,
+  {O.ratio(_at('B20001_002'), f"({_at('B10001_001')} - (B10001_002 - B10001_002))", 6, R96)} AS moved_per_moved
+FROM geo g LEFT JOIN wide w ON w.year = g.year AND w.stusab = lower(g.stusab) AND w.logrecno = g.logrecno""")
+def fact_multi_year_lookup(spark, d):
+    """Lookup with a year column, one row per order year and measure, two measures moving
+    between sequences; catalog rows out of order; both reach the planner as tables."""
+    seqs = S.sequences(spark, d)
+    for measure, (seq, column, _) in _MOVED.items():
+        seqs[seq] = seqs[seq].withColumn(measure, F.col(column))
+    base = spark.createDataFrame([(v, s, o) for v, s, _, o in S.LOOKUP], "varid string, seq int, ordinal int")
+    years = S.table(spark, d, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+    home = F.col("seq")
+    for measure, (seq, _, year) in _MOVED.items():
+        home = F.when((F.col("varid") == measure) & (F.col("year") >= year), F.lit(seq)).otherwise(home)
+    lookup_df = years.join(base).withColumn("seq", home)  # a few years times the fixed rows
+    rows = [(4, "moved", "Moved_per_moved", "sum_moved / (Count_moved - (B10001_002 - B10001_002))", "rate"),
+            (3, "moved", "count_kept", "B10001_002", "count"), (1, "moved", "Count_moved", "B10001_001", "count"),
+            (2, "moved", "sum_moved", "B20001_002", "sum")]
+    catalog_df = spark.createDataFrame(
+        [(o, g, m, f, st, 1992, 9999) for o, g, m, f, st in rows],
+        "ordinal int, group_name string, metric_name string, formula string, statistic string, "
+        "start_year int, end_year int")
+    return loads.build_fact_table(spark, _geo(spark, d), seqs, lookup_df, catalog_df, S.LOAD_YEAR)
