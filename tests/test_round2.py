@@ -79,3 +79,29 @@ def test_a_measure_is_read_from_the_sequence_of_its_year(spark):
     df = spark.createDataFrame(rows, "varid string, seq int, ordinal int, year int")
     assert [r.seq for r in cat.group_sequences(df, ["B1_001"], 2010).collect()] == [2]
     assert cat.sequence_measures(df, ["B1_001"], 1, 2009).filter(F.col("ordinal") == 1).count() == 1
+
+
+def _members(spark, *texts):
+    return spark.createDataFrame([(f"m{i}.txt", bytearray(t.encode())) for i, t in enumerate(texts)],
+                                 "path string, content binary")
+
+
+def test_feed_members_are_read_by_their_own_header(spark):
+    from tractlake.operators import feeds
+    got = feeds.read_feed_archives(_members(
+        spark, "id\tyear\tdescription\n1\t1999\tplain\n", "description\tid\tyear\n\"say \"\"hi\"\"\tthere\nyou\"\t2\t2002\n",
+        "year\tid\n2003\t3\n\n2004\t4\n", "id\tyear\tdescription\n5\t \t2005\td\n6\t \t2006\te\n", "", "id\n"),
+        feeds.DICTIONARY)
+    rows = sorted((r.id, int(r.year), r.description) for r in got.collect())
+    assert rows == [("1", 1999, "plain"), ("2", 2002, 'say "hi"\tthere\nyou'), ("3", 2003, None), ("4", 2004, None),
+                    ("5", 2005, "d"), ("6", 2006, "e")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "Exchange" not in plan
+
+
+def test_feed_members_with_unknown_columns_or_still_too_wide_fail(spark):
+    from tractlake.operators import feeds
+    with pytest.raises(Exception, match="unknown or repeated names: nonsense"):
+        feeds.read_feed_archives(_members(spark, "id\tnonsense\n1\t2\n"), feeds.DICTIONARY).collect()
+    with pytest.raises(Exception, match="more fields than the header"):
+        feeds.read_feed_archives(_members(spark, "id\tyear\n1\t2\t3\n"), feeds.DICTIONARY).collect()

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,26 +129,58 @@ def scan_by_date(df: DataFrame, ts: str, after: str) -> DataFrame:
     return df.filter(date_after(ts, after))
 
 
-def archive_lines(members: DataFrame, header: bool = True) -> DataFrame:
-    """Text lines of archive members: (file, line_no, value).
-
-    ``file`` is the member's landed path. Each member's text is split on
-    line breaks locally (no shuffle); with ``header`` its first line is
-    dropped. A trailing empty line is ignored.
+def _member_rows(text: str, columns, header: bool, bad: str, good: str):
+    """Rows of one member, aligned to ``columns``: its own header decides where
+    each column stands; a member whose widest row has more fields than its
+    header is repaired (every ``bad`` becomes ``good``) and read again."""
+    def rows():
+        return (r for r in csv.reader(io.StringIO(text, newline=""), delimiter="\t") if r)
+    first = next(rows(), None)
+    if first is None:
+        return
+    names = [h.strip().replace("-", "") for h in first] if header else list(columns)
+    unknown = sorted(set(names) - set(columns))
+    if len(names) == len(columns) and all(a == b for a, b in zip(names, columns) if a in columns):
+        names, unknown = list(columns), []  # a heading renamed in its place
+    if unknown or len(set(names)) < len(names):
+        raise ValueError(f"header with unknown or repeated names: {', '.join(unknown or names)}")
+    if max(map(len, rows())) > len(names):
+        text = text.replace(bad, good)
+        if max(map(len, rows())) > len(names):
+            raise ValueError("line has more fields than the header after repair")
+    at = [names.index(c) if c in names else None for c in columns]
+    for i, r in enumerate(rows()):
+        if i or not header:
+            yield [r[j] if j is not None and j < len(r) else None for j in at]
+
+
+def _feed_reader(columns, header: bool, bad: str, good: str, batch_rows: int = 1000):
+    def run(batches):
+        csv.field_size_limit(1 << 30)
+        out = []
+        for pdf in batches:
+            for path, body in zip(pdf["path"], pdf["content"]):
+                for r in _member_rows(bytes(body).decode("utf-8-sig"), columns, header, bad, good):
+                    out.append([path, *r])
+                    if len(out) >= batch_rows:
+                        yield pd.DataFrame(out, columns=["file", *columns])
+                        out = []
+        if out:
+            yield pd.DataFrame(out, columns=["file", *columns])
+    return run
+
+
+def read_feed_archives(members: DataFrame, layout, header: bool = True, bad: str = "\t \t",
+                       good: str = "\t") -> DataFrame:
+    """Feed zips (already expanded) → repaired, typed feed table.
+
+    Each member is read by its own header (names without ``-``): columns may
+    come in any order, missing ones are NULL, unknown ones fail the job.
+    Fields may be quoted, and a quoted field may hold tabs and line breaks.
+    Whether a member needs the repair is decided by that member alone, so
+    nothing is shuffled. Without ``header`` columns go by position.
     """
-    text = F.decode(F.col("content"), "UTF-8")
-    lines = members.select(F.col("path").alias("file"),
-                           F.posexplode(F.split(text, "\r?\n", -1)).alias("line_no", "value"))
-    lines = lines.filter(F.col("value") != "")
-    if header:
-        lines = lines.filter(F.col("line_no") > 0)
-    return lines
-
-
-def read_feed_archives(members: DataFrame, layout, header: bool = True,
-                       salt_buckets: int = 16) -> DataFrame:
-    """Feed zips (already expanded) → repaired, typed feed table."""
-    lines = archive_lines(members, header)
     names = [n for n, _, _ in layout]
-    split = read_tsv_repaired(lines, names, salt_buckets=salt_buckets)
-    return typed_load(split.drop("file"), layout)
+    schema = T.StructType([T.StructField(c, S) for c in ["file", *names]])
+    rows = members.select("path", "content").mapInPandas(_feed_reader(names, header, bad, good), schema)
+    return typed_load(rows, layout, by_position=False)

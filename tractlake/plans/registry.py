@@ -682,8 +682,12 @@ def _ratings_zips(batches):
         buf = _io.BytesIO()
         with _zf.ZipFile(buf, "w", _zf.ZIP_DEFLATED) as z:
             for code, grp in pdf.groupby("code"):
-                z.writestr(f"part{key}/ratings_{code}.txt",
-                           "\n".join([S.RATINGS_HEADER] + grp["line"].tolist()) + "\n")
+                lines = [S.RATINGS_HEADER] + grp["line"].tolist()
+                rows = [x.split("\t") for x in lines]
+                if all(len(r) == len(rows[0]) for r in rows):
+                    # a member that parses: columns in another order, some fields quoted
+                    lines = ["\t".join([f'"{r[3]}"', r[0], r[2], f'"{r[1]}"']) for r in rows]
+                z.writestr(f"part{key}/ratings_{code}.txt", "\n".join(lines) + "\n")
         yield pd.DataFrame({"path": [f"landing/feeds/ratings-{key}.zip"],
                             "content": [buf.getvalue()]})
 
