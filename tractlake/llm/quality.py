@@ -26,7 +26,7 @@ clash, since the features stand in one struct.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tractlake.llm.common import SPACE_CHARS, let, words_of, written
 
@@ -140,8 +140,8 @@ def cutoffs(scored: DataFrame, labels: DataFrame, *, key: str = "doc_id", stratu
                    F.count_if(screen & good & over).alias(f"g_{r}_{i}"),
                    F.count_if(screen & bad & over).alias(f"b_{r}_{i}")]
     by_stratum = seen.groupBy("stratum").agg(*counts)
-    strata = by_stratum.agg(F.count(F.lit(1)).alias("strata"))
-    tried = (by_stratum.crossJoin(F.broadcast(strata))  # one row: the number of strata
+    strata = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))  # over a row a stratum
+    tried = (by_stratum.withColumn("strata", strata)
              .select("stratum", "n", "strata", F.explode(F.array(*[
                  F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cut"), F.col(f"k_{r}_{i}").alias("k"),
                           F.col(f"g_{r}_{i}").alias("g"), F.col(f"b_{r}_{i}").alias("b"))
