@@ -84,7 +84,7 @@ def map_path(path, old_prefix: str, new_prefix: str) -> Column:
     """Swap a key prefix (first occurrence)."""
     p = col_of(path)
     return F.when(p.startswith(old_prefix),
-                  F.concat(F.lit(new_prefix), F.substring(p, len(old_prefix) + 1, 1 << 30))
+                  F.concat(F.lit(new_prefix), F.substr(p, F.lit(len(old_prefix) + 1)))
                   ).otherwise(p)
 
 

@@ -736,12 +736,13 @@ def fact_multi_year_lookup(spark, d):
     seqs = S.sequences(spark, d)
     for measure, (seq, column, _) in _MOVED.items():
         seqs[seq] = seqs[seq].withColumn(measure, F.col(column))
-    base = spark.createDataFrame([(v, s, o) for v, s, _, o in S.LOOKUP], "varid string, seq int, ordinal int")
+    fixed = F.array(*[F.struct(F.lit(v).alias("varid"), F.lit(s).alias("seq"), F.lit(o).alias("ordinal"))
+                      for v, s, _, o in S.LOOKUP])
     years = S.table(spark, d, "orders").select(F.year("o_orderdate").alias("year")).distinct()
     home = F.col("seq")
     for measure, (seq, _, year) in _MOVED.items():
         home = F.when((F.col("varid") == measure) & (F.col("year") >= year), F.lit(seq)).otherwise(home)
-    lookup_df = years.join(base).withColumn("seq", home)  # a few years times the fixed rows
+    lookup_df = years.select("year", F.inline(fixed)).withColumn("seq", home)
     rows = [(4, "moved", "Moved_per_moved", "sum_moved / (Count_moved - (B10001_002 - B10001_002))", "rate"),
             (3, "moved", "count_kept", "B10001_002", "count"), (1, "moved", "Count_moved", "B10001_001", "count"),
             (2, "moved", "sum_moved", "B20001_002", "sum")]

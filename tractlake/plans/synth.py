@@ -63,7 +63,7 @@ def _customers(spark, d) -> DataFrame:
         F.col("c_custkey").alias("custkey"), F.col("c_nationkey").alias("nationkey"),
         F.col("c_mktsegment").alias("seg"))
     # nation has 25 rows at every scale factor: a proven size bound
-    return c.join(F.broadcast(nations(spark, d)), F.col("nationkey") == F.col("n_nationkey")).select(
+    return c.join(nations(spark, d), F.col("nationkey") == F.col("n_nationkey")).select(
         "custkey", "nationkey", "seg", "code", "n_name", "n_regionkey")
 
 
@@ -116,7 +116,7 @@ def geo_sheet(spark, d) -> DataFrame:
     agg = (cy.groupingSets(sets, "year", "n_regionkey", "nationkey", "seg")
            .agg(F.expr("max(code) AS code"), F.expr("max(n_name) AS n_name"),
                 F.expr("grouping_id() AS gid")))
-    agg = agg.join(F.broadcast(table(spark, d, "region")),
+    agg = agg.join(table(spark, d, "region"),
                    F.col("n_regionkey") == F.col("r_regionkey"))
     st2 = "lpad(CAST(nationkey AS STRING), 2, '0')"
     cty3 = "lpad(CAST(ascii(seg) AS STRING), 3, '0')"
@@ -419,7 +419,7 @@ def sequence_listing(spark, d, year: int) -> DataFrame:
     g_files = roots.select(F.concat(F.lit("seq_by_state/"), "nm", F.lit("/")).alias("root"),
                            F.explode(levels).alias("level"),
                            F.concat(F.lit(f"g{year}5"), "code", F.lit(".txt")).alias("file"))
-    s = table(spark, d, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+    s = table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     e_files = s.select(F.concat(F.lit("seq_by_state/"), "nm", F.lit("/")).alias("root"),
                        F.explode(levels).alias("level"),
                        F.concat(F.lit(f"e{year}5"), "code",
