@@ -264,6 +264,20 @@ def _check_unique(src: DataFrame, key, cols) -> DataFrame:
     return checked.select(*key, *cols)
 
 
+def _overwrite(fact: DataFrame, src: DataFrame, key, cols) -> DataFrame:
+    """Cells of ``fact`` replaced by those of ``src`` (unique on ``key``) that are not NULL."""
+    s = src.select(*key, *[F.col(c).alias(f"_s_{c}") for c in cols])
+    joined = fact.join(s, key, "left")
+    out = []
+    for c in fact.columns:
+        if c in cols:
+            out.append(F.coalesce(F.col(f"_s_{c}"), F.col(c)).cast(fact.schema[c].dataType).alias(c))
+        else:
+            out.append(F.col(c))
+    extra = [c for c in cols if c not in fact.columns]
+    return joined.select(*out, *[F.col(f"_s_{c}").alias(c) for c in extra])
+
+
 def upsert_fact(fact: DataFrame, src: DataFrame, key=("year", "geoid"),
                 cols=None) -> DataFrame:
     """Overwrite fact cells with the source where the source is not NULL.
@@ -273,17 +287,54 @@ def upsert_fact(fact: DataFrame, src: DataFrame, key=("year", "geoid"),
     """
     key = list(key)
     cols = list(cols or [c for c in src.columns if c not in key])
-    s = _check_unique(src, key, cols).select(*key, *[F.col(c).alias(f"_s_{c}") for c in cols])
-    joined = fact.join(s, key, "left")
-    out = []
-    for c in fact.columns:
-        if c in cols:
-            out.append(F.coalesce(F.col(f"_s_{c}"), F.col(c)).cast(fact.schema[c].dataType).alias(c))
-        else:
-            out.append(F.col(c))
-    extra = [c for c in cols if c not in fact.columns]
-    out += [F.col(f"_s_{c}").alias(c) for c in extra]
-    return joined.select(*out)
+    return _overwrite(fact, _check_unique(src, key, cols), key, cols)
+
+
+def stacked_groups(plans, sequences: dict, lookup_rows, geo: DataFrame,
+                   missing: str = "raise") -> DataFrame:
+    """The frames of several groups in one: (year, area id, rank, metrics).
+
+    The areas meet every needed sequence once; each area row then becomes one
+    row per group whose window holds its year, NULL in the columns of other
+    groups. ``rank`` is the group's place in the order of the upserts.
+    """
+    live = [p for p in plans if not p.empty]
+    if not live:
+        raise CatalogError("no group has a year to build")
+    types: dict = {}
+    for p in live:
+        for n, _ in p.metrics:
+            types.setdefault(n, p.types[n])
+    lo, hi = min(p.first_year for p in live), max(p.last_year for p in live)
+    areas = _area_keys(geo.filter(F.col("year").between(lo, hi)))
+    measures = sorted({m for p in live for m in p.measures})
+    data = areas_with_measures(areas, sequences, lookup_rows, measures, (lo, hi), missing)
+    groups = []
+    for i, p in enumerate(live):
+        sql = dict(p.metrics)
+        row = F.struct(F.lit(i).alias("rank"), *[
+            (F.expr(sql[n]) if n in sql else F.lit(None)).cast(t).alias(n) for n, t in types.items()])
+        groups.append(F.when(F.col("year").between(p.first_year, p.last_year), row))
+    rows = F.filter(F.array(*groups), lambda g: g.isNotNull())
+    return data.select("year", "geoid", F.inline(rows))
+
+
+def upsert_ranked(fact: DataFrame, stacked: DataFrame, key=("year", "geoid"),
+                  rank: str = "rank") -> DataFrame:
+    """Several upserts in one: per cell the non-NULL value of the highest rank.
+
+    The same rows as one :func:`upsert_fact` per rank in ascending order, with
+    one aggregate and one join for any number of them. A key repeated within
+    a rank fails the job.
+    """
+    key = list(key)
+    cols = [c for c in stacked.columns if c not in [*key, rank]]
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(rank))).alias(c) for c in cols]
+    agg = stacked.groupBy(*key).agg(*last, F.count(F.lit(1)).alias("_n"),
+                                    F.size(F.collect_set(rank)).alias("_ranks"))
+    checked = agg.filter(F.when(F.col("_n") > F.col("_ranks"), F.raise_error(
+        F.lit("duplicate key on the source side of an upsert"))).otherwise(F.lit(True)))
+    return _overwrite(fact, checked.select(*key, *cols), key, cols)
 
 
 def empty_fact(spine: DataFrame, plans) -> DataFrame:

@@ -99,6 +99,11 @@ def new_files_only(listing: DataFrame, landed: DataFrame, key: str = "key") -> D
     return listing.join(landed.select(key).distinct(), key, "left_anti")
 
 
+def landed_only(listing: DataFrame, landed: DataFrame, key: str = "key") -> DataFrame:
+    """Entries whose key has landed, each once however often it landed."""
+    return listing.join(landed.select(key), key, "left_semi")
+
+
 def region_code_from_listing(listing: DataFrame, year: int, path: str = "path") -> DataFrame:
     """Per folder: the region code = two characters before the four-char
     suffix of the first ``g{year}`` file (by name) in that folder."""
@@ -110,9 +115,11 @@ def region_code_from_listing(listing: DataFrame, year: int, path: str = "path")
     return first.select("folder", F.substring("first_file", -6, 2).alias("region_code"))
 
 
-def sequence_paths(folders: DataFrame, year: int, seq: int) -> DataFrame:
+def sequence_paths(folders: DataFrame, year: int, seq) -> DataFrame:
     """Estimate and margin file paths of one sequence in every folder.
 
+    ``seq`` may be a list of sequences; the paths then carry a ``seq`` column.
+
     ``folders`` has (root, level, region_code): one row per region folder and
     geography level. The national folder has no tract-level files. Kinds
     are expanded with ``explode`` of a literal pair, no join.
@@ -120,7 +127,10 @@ def sequence_paths(folders: DataFrame, year: int, seq: int) -> DataFrame:
     keep = folders.filter(~((F.col("level") == TRACT_LEVEL)
                             & (F.col("region_code") == NATIONAL_CODE)))
     kinds = keep.withColumn("kind", F.explode(F.array(F.lit("e"), F.lit("m"))))
+    many = isinstance(seq, (list, tuple))
+    if many:
+        kinds = kinds.withColumn("seq", F.explode(F.array(*[F.lit(int(s)) for s in seq]).cast("array<int>")))
     name = F.concat(F.col("kind"), F.lit(f"{year}5"), F.col("region_code"),
-                    zero_pad_int(F.lit(seq), 4), F.lit("000.txt"))
-    return kinds.select("root", "level", "region_code", "kind",
+                    zero_pad_int(F.col("seq") if many else F.lit(seq), 4), F.lit("000.txt"))
+    return kinds.select("root", "level", "region_code", "kind", *(["seq"] if many else []),
                         F.concat(F.col("root"), F.col("level"), F.lit("/"), name).alias("path"))

@@ -56,8 +56,8 @@ def load_lookup(spark: SparkSession, root: str, out: str | None = None,
     return out_df
 
 
-def sequence_file_paths(spark: SparkSession, root: str, year: int, seq: int) -> dict:
-    """kind → list of sequence file paths, from the region folders' listing.
+def sequence_file_paths(spark: SparkSession, root: str, year: int, seqs) -> dict:
+    """(kind, seq) → sequence file paths, from one listing of the region folders.
 
     Only the ``g{year}`` files are listed (``binaryFile`` with the content
     column pruned, so no file body is read).
@@ -67,10 +67,9 @@ def sequence_file_paths(spark: SparkSession, root: str, year: int, seq: int) ->
     folders = codes.select(F.regexp_extract("folder", r"^(.*/)", 1).alias("root"),
                            F.regexp_extract("folder", r"([^/]*)$", 1).alias("level"),
                            "region_code")
-    paths = listing.sequence_paths(folders, year, seq).select("kind", "path").collect()
-    out: dict = {"e": [], "m": []}
-    for r in paths:
-        out[r["kind"]].append(r["path"])
+    out: dict = {}
+    for r in listing.sequence_paths(folders, year, list(seqs)).select("kind", "seq", "path").collect():
+        out.setdefault((r["kind"], r["seq"]), []).append(r["path"])
     return out
 
 
@@ -85,10 +84,12 @@ def load_sequences(spark: SparkSession, root: str, year: int, lookup_rows, out:
     todo = [s for s in (seqs or listed)]
     skipped = [s for s in todo if s not in listed]
 
+    paths = sequence_file_paths(spark, root, year, [s for s in todo if s in listed])
+
     def one(seq: int):
         schema = lookup.sequence_wide(lookup_rows, seq)
-        paths = sequence_file_paths(spark, root, year, seq)
-        for kind, ps in paths.items():
+        for kind in ("e", "m"):
+            ps = paths.get((kind, seq))
             if not ps:
                 continue
             df = files.read_sequence(spark, ps, schema)
@@ -100,10 +101,17 @@ def load_sequences(spark: SparkSession, root: str, year: int, lookup_rows, out:
     return [("loaded", s) for s in done] + [("skipped", s) for s in skipped]
 
 
-def read_loaded_sequences(spark: SparkSession, out: str, year: int, seqs, kind: str = "e") -> dict:
-    """seq → DataFrame of one loaded sequence (with a ``year`` column)."""
-    return {s: spark.read.parquet(f"{out}/kind={kind}/year={year}/seq={s}")
-            .withColumn("year", F.lit(year)) for s in seqs}
+def read_loaded_sequences(spark: SparkSession, out: str, year, seqs, kind: str = "e") -> dict:
+    """seq → DataFrame of one loaded sequence (with a ``year`` column).
+
+    ``year`` is one year, or a list of years to stack: a measure that a year
+    does not have is NULL there.
+    """
+    years = list(year) if isinstance(year, (list, tuple, range)) else [year]
+
+    def of(s, y):
+        return spark.read.parquet(f"{out}/kind={kind}/year={y}/seq={s}").withColumn("year", F.lit(y))
+    return {s: feeds.union_drift([of(s, y) for y in years]) for s in seqs}
 
 
 LEDGER_SCHEMA = ("retrieve_ts timestamp_ntz, email_ts timestamp_ntz, email_subject string, "

@@ -232,7 +232,7 @@ SELECT 'feed_' || lower(code) || '.txt' AS file,
 FROM supplier_codes"""
 
 CTES["page_listing"] = """
-SELECT page_id, url AS path, CAST(length(html) AS BIGINT) AS size, string_split(url, '/')[-1] AS entry
+SELECT page_id, url AS path, string_split(url, '/')[-1] AS entry
 FROM pages"""
 
 CTES["template_listing"] = r"""

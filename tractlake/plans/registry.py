@@ -344,14 +344,11 @@ FROM geo g LEFT JOIN wide w
 
 @register("fact_upsert_last_wins", _fact_sql(["legacy", "lines"]))
 def fact_upsert_last_wins(spark, d):
-    """Reference pattern: fact skeleton, then one upsert per group in order."""
+    """Fact skeleton and the groups' upserts in order, folded into one."""
     plans = [_group("legacy"), _group("lines")]
     g = _geo(spark, d)
-    fact = facts.empty_fact(g, plans)
-    for p in plans:
-        fact = facts.upsert_fact(fact, facts.group_frame(p, S.sequences(spark, d),
-                                                         S.lookup_rows(), g))
-    return fact
+    stacked = facts.stacked_groups(plans, S.sequences(spark, d), S.lookup_rows(), g)
+    return facts.upsert_ranked(facts.empty_fact(g, plans), stacked)
 
 
 @register("fact_full", _fact_sql(["legacy", "lines", "orders_mix", "shipping"]))
@@ -445,6 +442,26 @@ def feed_typed_load(spark, d):
     return feeds.typed_load(S.city_feed(spark, d), feeds.CITY_RATINGS)
 
 
+@register("feed_directory_load", f"""
+SELECT {', '.join({
+    "entity": "'school' AS entity", "gsid": "CAST(c_custkey AS VARCHAR) AS gsid", "name": "c_name AS name",
+    "state": "code AS state", "level": "lower(c_mktsegment) AS level",
+    "zip": "substr(lpad(CAST(c_custkey AS VARCHAR), 5, '0'), 1, 5) AS zip",
+    "lat": "CAST(c_custkey % 90 AS DECIMAL(10,6)) AS lat", "lon": "CAST(NULL AS DECIMAL(10,6)) AS lon",
+}.get(n, f"CAST(NULL AS VARCHAR) AS {n}") for n, _, _ in feeds.DIRECTORY)}
+FROM customer JOIN nations ON c_nationkey = n_nationkey""")
+def feed_directory_load(spark, d):
+    return feeds.typed_load(S.directory_feed(spark, d), feeds.DIRECTORY)
+
+
+@register("feed_dictionary_load", """
+SELECT CAST(p_partkey AS VARCHAR) AS id,
+  CASE WHEN p_size % 4 <> 0 THEN CAST(p_size + 1990 AS DECIMAL(4,0)) END AS year, p_name AS description
+FROM part""")
+def feed_dictionary_load(spark, d):
+    return feeds.typed_load(S.dictionary_feed(spark, d), feeds.DICTIONARY)
+
+
 @register("feed_tsv_repair", """
 , w AS (SELECT file, max(len(string_split(value, chr(9)))) AS w FROM feed_lines GROUP BY file)
 , fixed AS (
@@ -468,8 +485,8 @@ def page_rules(path, entry):
 
 
 @register("listing_classify", """
-SELECT page_id, path, size, target FROM (
-  SELECT page_id, path, size,
+SELECT page_id, path, target FROM (
+  SELECT page_id, path,
     CASE WHEN contains(path, '/en/') AND contains(entry, 'page=') THEN 'paged_en'
          WHEN contains(entry, '#') THEN 'anchored'
          WHEN contains(path, '.org/') AND NOT contains(entry, '?') THEN 'org_plain'
@@ -489,14 +506,36 @@ def listing_sequence_no(spark, d):
 
 
 @register("listing_new_files", """
-, keyed AS (SELECT page_id, path, size,
+, keyed AS (SELECT page_id, path,
    CASE WHEN starts_with(path, 'https://') THEN 'raw/' || substr(path, 9) ELSE path END AS key
    FROM page_listing)
-SELECT * FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM keyed l WHERE l.size > 10000 AND l.key = k.key)""")
+SELECT * FROM keyed k WHERE NOT EXISTS (SELECT 1 FROM keyed l WHERE contains(l.path, '.org/') AND l.key = k.key)""")
 def listing_new_files(spark, d):
-    lst = S.page_listing(spark, d).withColumn("key", listing.map_path("path", "https://", "raw/"))
-    landed = lst.filter(F.col("size") > 10000)
-    return listing.new_files_only(lst, landed)
+    def keyed(lst):
+        return lst.withColumn("key", listing.map_path("path", "https://", "raw/"))
+    return listing.new_files_only(keyed(S.page_listing(spark, d)), keyed(S.landed_listing(spark, d)))
+
+
+@register("listing_landed_files", """
+SELECT page_id, path FROM page_listing k
+WHERE EXISTS (SELECT 1 FROM page_listing l WHERE contains(l.path, '.org/') AND l.path = k.path)""")
+def listing_landed_files(spark, d):
+    return listing.landed_only(S.page_listing(spark, d), S.landed_listing(spark, d), "path")
+
+
+@register("listing_documents", """
+, k AS (SELECT p_partkey AS id, CASE p_size % 3 WHEN 0 THEN '5_year/' WHEN 1 THEN 'docs/' ELSE '1_year/' END AS folder,
+    ['Sequence_Number_and_Table_Number_Lookup.xls', 'ACS_5yr_Seq_Table_Number_Lookup.xls',
+     'ACS_5-Year_TableShells.xls', 'ACS2014_Shells.xls', 'ACS_2017_SF_5YR_Appendices.xls',
+     '5_year_Mini_Geo.xlsx', 'readme.txt'][p_partkey % 7 + 1] AS name FROM part)
+SELECT id AS file_id, 'survey/' || CAST(id AS VARCHAR) || '/' || folder || name AS path,
+  'docs/2017_' || CASE WHEN name LIKE '%Lookup.xls' THEN 'seq_table_lookup' WHEN name LIKE '%Shells.xls' THEN 'table_shells'
+    WHEN name LIKE '%Appendices%' THEN 'appendices' ELSE 'mini_geo' END || '.' || string_split(name, '.')[-1] AS target
+FROM k WHERE name LIKE 'ACS_5yr_Seq%' OR name LIKE '%Appendices%' OR name LIKE '%Mini_Geo%'
+  OR (name LIKE 'Sequence%' AND folder = '5_year/') OR (name LIKE '%TableShells%' AND folder <> '1_year/')
+  OR (name LIKE 'ACS2014%' AND folder = 'docs/')""")
+def listing_documents(spark, d):
+    return listing.classify_files(S.survey_documents(spark, d), listing.document_rules(2017), target_prefix="docs/")
 
 
 @register("listing_sequence_paths", """
@@ -647,7 +686,7 @@ def template_files_read(spark, d):
 
 
 @register("listing_match_archives", """
-SELECT page_id, path, size FROM page_listing WHERE regexp_matches(path, '[0-9]+[.]html$')""")
+SELECT page_id, path FROM page_listing WHERE regexp_matches(path, '[0-9]+[.]html$')""")
 def listing_match_archives(spark, d):
     return listing.match_files(S.page_listing(spark, d), r"[0-9]+[.]html$")
 

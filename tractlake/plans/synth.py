@@ -389,8 +389,46 @@ FEED_LINE_COLUMNS = ["id", "name", "nationkey", "acctbal"]
 # ----------------------------------------------------------------- listing
 
 def page_listing(spark, d) -> DataFrame:
-    p = table(spark, d, "pages")
-    return p.select("page_id", F.col("url").alias("path"), F.length("html").cast("long").alias("size"))
+    """A listing of page addresses; the pages themselves are not read."""
+    return table(spark, d, "pages").select("page_id", F.col("url").alias("path"))
+
+
+def landed_listing(spark, d) -> DataFrame:
+    """Addresses of one site's pages, as landed before."""
+    return page_listing(spark, d).filter(F.col("path").contains(".org/"))
+
+
+def survey_documents(spark, d) -> DataFrame:
+    """Paths of documentation files in survey folders, one per part."""
+    p = table(spark, d, "part")
+    k, sz = F.col("p_partkey"), F.col("p_size")
+    folder = (F.when(sz % 3 == 0, F.lit("5_year/")).when(sz % 3 == 1, F.lit("docs/")).otherwise(F.lit("1_year/")))
+    names = ["Sequence_Number_and_Table_Number_Lookup.xls", "ACS_5yr_Seq_Table_Number_Lookup.xls",
+             "ACS_5-Year_TableShells.xls", "ACS2014_Shells.xls", "ACS_2017_SF_5YR_Appendices.xls",
+             "5_year_Mini_Geo.xlsx", "readme.txt"]
+    name = F.element_at(F.array(*[F.lit(x) for x in names]), (k % len(names) + 1).cast("int"))
+    return p.select(k.alias("file_id"), F.concat(F.lit("survey/"), k.cast("string"), F.lit("/"), folder, name).alias("path"))
+
+
+def directory_feed(spark, d) -> DataFrame:
+    """All-text rows shaped like the directory feed, from customers and their codes."""
+    c = table(spark, d, "customer").join(nations(spark, d).select("n_nationkey", "code"),
+                                         F.col("c_nationkey") == F.col("n_nationkey"))
+    k = F.col("c_custkey").cast("string")
+    at = {"entity": F.lit("school"), "gsid": k, "name": F.col("c_name"), "state": F.col("code"),
+          "level": F.lower("c_mktsegment"), "zip": F.lpad(k, 5, "0"),
+          "lat": (F.col("c_custkey") % 90).cast("string"), "lon": F.lit(" "), "website": F.lit("")}
+    from tractlake.operators.feeds import DIRECTORY
+    return c.select(*[at.get(n, F.lit(None).cast("string")).alias(n) for n, _, _ in DIRECTORY])
+
+
+def dictionary_feed(spark, d) -> DataFrame:
+    """All-text rows shaped like the dictionary feed, from parts."""
+    p = table(spark, d, "part")
+    return p.select(F.col("p_partkey").cast("string").alias("id"),
+                    F.when(F.col("p_size") % 4 == 0, F.lit("")).otherwise(
+                        (F.col("p_size") + 1990).cast("string")).alias("year"),
+                    F.col("p_name").alias("description"))
 
 
 def template_listing(spark, d) -> DataFrame:
