@@ -8,6 +8,7 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
+from tractlake.plans import books
 from tractlake.operators import catalog as cat
 from tractlake.operators import facts, feeds, listing, lookup
 from tractlake.sources import archives, files
@@ -71,7 +72,7 @@ def test_measures_frame_keeps_every_key(spark):
 
 def test_read_workbook_sheets(spark):
     from tractlake.sources import workbooks
-    body = workbooks.workbook_bytes([("a", ["X", "Y"], [["1", "2"]]), ("b", ["Y"], [["3"]])])
+    body = books.workbook_bytes([("a", ["X", "Y"], [["1", "2"]]), ("b", ["Y"], [["3"]])])
     df = spark.createDataFrame([("w.xlsx", body)], "path string, content binary")
     out = workbooks.read_workbook_sheets(df)
     assert rows(out, "X", "Y", "sheet") == [("1", "2", "a"), (None, "3", "b")]

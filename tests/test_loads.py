@@ -10,6 +10,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from tractlake.plans import books
 from tractlake.operators import feeds, ledger
 from tractlake.plans import loads
 from tractlake.sources import workbooks
@@ -31,7 +32,7 @@ GEO_HEAD = ["STATE", "LOGRECNO", "GEOID", "Name"]
 
 def test_load_geo_and_lookup(spark, root):
     for y in (2016, 2017):
-        _put(f"{root}/geo/{y}/mini_geo.xlsx", workbooks.workbook_bytes([
+        _put(f"{root}/geo/{y}/mini_geo.xlsx", books.workbook_bytes([
             ("al", GEO_HEAD, [["AL", 1, "04000US01", "Aland"],
                               ["AL", 2, "14000US01001020100", "Census Tract 201, B County, Aland"]]),
             ("us", GEO_HEAD + ["extra"], [["US", 3, "31000US10180", "C Metro Area", "x"]])]))
@@ -42,11 +43,11 @@ def test_load_geo_and_lookup(spark, root):
     assert got[(2016, "31000US10180")].cbsa == "C Metro Area"
 
     head = ["FILEID", "FILETYPE", "STUSAB", "CHARITER", "SEQUENCE", "LOGRECNO"]
-    _put(f"{root}/tmpl/2017/Seq1.xlsx", workbooks.workbook_bytes([
+    _put(f"{root}/tmpl/2017/Seq1.xlsx", books.workbook_bytes([
         ("s", head + ["B01_001", "B01_002"], [["", "", "", "", "", "", "Total", "Men"]])]))
-    _put(f"{root}/tmpl/2017/seq2.xlsx", workbooks.workbook_bytes([
+    _put(f"{root}/tmpl/2017/seq2.xlsx", books.workbook_bytes([
         ("s", head + ["B02_001"], [["", "", "", "", "", "", "Homes"]])]))
-    _put(f"{root}/tmpl/2017/notes.xlsx", workbooks.workbook_bytes([("s", ["a"], [["b"]])]))
+    _put(f"{root}/tmpl/2017/notes.xlsx", books.workbook_bytes([("s", ["a"], [["b"]])]))
     lk = loads.load_lookup(spark, f"{root}/tmpl", out=f"{root}/out/lookup")
     assert sorted((r.year, r.varid, r.seq, r.ordinal) for r in lk.collect()) == [
         (2017, "B01_001", 1, 1), (2017, "B01_002", 1, 2), (2017, "B02_001", 2, 1)]

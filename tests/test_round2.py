@@ -5,6 +5,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from tractlake.plans import books
 from tractlake.operators import catalog as cat
 from tractlake.operators import facts, ledger, lookup
 from tractlake.sources import workbooks
@@ -15,7 +16,7 @@ def _books(spark, books):
 
 
 def test_rows_wider_than_the_header_keep_their_cells(spark):
-    body = workbooks.workbook_bytes([("s", ["A", "B"], [[1, 2, 3], [4], [9007199254740993, "x", "y", "z"]])])
+    body = books.workbook_bytes([("s", ["A", "B"], [[1, 2, 3], [4], [9007199254740993, "x", "y", "z"]])])
     got = workbooks.read_workbook_sheets(_books(spark, [("a.xlsx", bytearray(body))]))
     assert got.columns == ["A", "B", "Unnamed: 2", "Unnamed: 3", "path", "sheet"]
     rows = [tuple(r)[:4] for r in got.collect()]
@@ -24,7 +25,7 @@ def test_rows_wider_than_the_header_keep_their_cells(spark):
 
 def test_templates_take_the_first_sheet_only(spark):
     fixed = ["F1", "F2", "F3", "F4", "F5", "F6"]
-    body = workbooks.workbook_bytes([("E", fixed + ["B1_001"], [["x"] * 6 + ["estimate"]]),
+    body = books.workbook_bytes([("E", fixed + ["B1_001"], [["x"] * 6 + ["estimate"]]),
                                      ("M", fixed + ["B1_001", "B9_009"], [["x"] * 6 + ["margin", "other"]])])
     rows = workbooks.read_workbook_rows(_books(spark, [("t/Seq7.xls", bytearray(body))]))
     got = workbooks.read_templates(rows, r"Seq(\d*)\.xls").collect()

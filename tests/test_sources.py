@@ -6,6 +6,7 @@ from decimal import Decimal as D
 
 import pytest
 
+from tractlake.plans import books
 from tractlake.sources import archives, files, workbooks
 from tests.conftest import rows
 
@@ -30,7 +31,7 @@ def test_expand_archive_variants(spark):
 
 
 def test_workbook_sheets_stack_by_name(spark):
-    body = workbooks.workbook_bytes([("al", ["STATE", "LOGRECNO"], [["AL", 12], ["AL", "0000003"]]),
+    body = books.workbook_bytes([("al", ["STATE", "LOGRECNO"], [["AL", 12], ["AL", "0000003"]]),
                                      ("ak", ["STATE", "LOGRECNO", "EXTRA"], [["AK", 7, "e"]])])
     df = spark.createDataFrame([("geo.xlsx", body)], "path string, content binary")
     out = workbooks.stack_sheets(workbooks.read_workbook_rows(df))

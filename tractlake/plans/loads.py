@@ -26,7 +26,7 @@ def load_geo(spark: SparkSession, root: str, out: str | None = None,
              year_pattern: str = r"/(\d{4})/", glob: str = "*.xlsx") -> DataFrame:
     """Geo workbooks under ``root`` (one folder per year, one sheet per
     region) → area table, written partitioned by year when ``out`` is set."""
-    rows = workbooks.read_workbook_rows(_binary(spark, root, glob))
+    rows = workbooks.land_workbook_rows(_binary(spark, root, glob))
     stacked = workbooks.stack_sheets(rows).withColumn(
         "year", F.regexp_extract("path", year_pattern, 1).cast("int"))
     areas = geo.build_geo(stacked)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tractlake.operators import catalog as cat
 from tractlake.operators import facts, feeds, geo, ledger, listing, lookup
-from tractlake.plans import loads, oracle as O
+from tractlake.plans import books, loads, oracle as O
 from tractlake.plans import synth as S
 from tractlake.session import scratch_dir
 from tractlake.sources import archives, files, workbooks
@@ -592,7 +592,7 @@ def _geo_workbooks(batches):
             first = by_year.iloc[0]
             name = f"{first['STATE']}{first['LOGRECNO']}-{len(by_year)}"
             yield pd.DataFrame({"path": [f"geo/{int(year)}/mini_geo-{name}.xlsx"],
-                                "content": [workbooks.workbook_bytes(sheets)]})
+                                "content": [books.workbook_bytes(sheets)]})
 
 
 @register("workbook_stack", "SELECT * FROM geo")
@@ -672,7 +672,7 @@ def _template_books(batches):
             vals = [None if (isinstance(v, float) and v != v) else v for v in
                     (rec[c] for c in cols)]
             paths.append(f"templates/Seq{rec['SEQUENCE']}.xls")
-            bodies.append(workbooks.workbook_bytes([("Sheet1", cols, [vals])]))
+            bodies.append(books.workbook_bytes([("Sheet1", cols, [vals])]))
         yield pd.DataFrame({"path": paths, "content": bodies})
 
 
@@ -790,3 +790,66 @@ def fact_multi_year_lookup(spark, d):
         "ordinal int, group_name string, metric_name string, formula string, statistic string, "
         "start_year int, end_year int")
     return loads.build_fact_table(spark, _geo(spark, d), seqs, lookup_df, catalog_df, S.LOAD_YEAR)
+
+
+# ------------------------------------------------ remaining table operators
+
+@register("geo_filter_levels", """
+SELECT year, stusab, logrecno, geoid FROM geo
+WHERE substr(geoid, 1, 3) IN ('040', '050', '140', '150', '310', '860') AND substr(geoid, 4, 2) = '00'""")
+def geo_filter_levels(spark, d):
+    return geo.build_geo(S.geo_sheet(spark, d), level_filter=True).select("year", "stusab", "logrecno", "geoid")
+
+
+@register("geo_take_columns", "SELECT year, stusab AS code, geoid AS area FROM geo")
+def geo_take_columns(spark, d):
+    areas = _geo(spark, d).select("stusab", "geoid", "place_name", "year")
+    return geo.take_columns(areas, ["code", "area"], keep=("year",))
+
+
+@register("lookup_build", """
+SELECT varid, seq, label, ordinal FROM template_long WHERE seq % 2 = 0
+UNION ALL SELECT varid, seq, label, ordinal FROM template_long WHERE seq % 2 = 1""")
+def lookup_build(spark, d):
+    """Templates of two folders (even and odd numbers) stacked into one lookup."""
+    sheet = S.template_sheet(spark, d)
+    return lookup.build_lookup([lookup.unpivot_template(sheet.filter(F.col("SEQUENCE") % 2 == r), "SEQUENCE")
+                                for r in (0, 1)])
+
+
+@register("catalog_sequence_measures", """
+SELECT varid, ordinal FROM template_long WHERE seq = 7 AND varid IN ('T00001_001', 'T00001_003', 'T00001_004')""")
+def catalog_sequence_measures(spark, d):
+    wanted = ["T00001_001", "T00001_003", "T00001_004"]
+    return cat.sequence_measures(_template_lookup(spark, d), wanted, 7).select("varid", "ordinal")
+
+
+@register("table_scan", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def table_scan(spark, d):
+    return files.scan_table(spark, f"{d}/supplier.parquet")
+
+
+@register("stream_dedupe_notices", "SELECT DISTINCT event_id, ts, user_id, event_type FROM events")
+def stream_dedupe_notices(spark, d):
+    """Events that arrive twice, in two files; the watermark spans all of their times."""
+    ev = S.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
+    landing, out, ckpt = (scratch_dir(spark, n) for n in ("twice", "deduped", "dedupe-ckpt"))
+    ev.unionAll(ev).write.parquet(landing)
+    ingest.stream_ingest(spark, landing, ev.schema, out, ckpt,
+                         lambda s: ingest.dedupe_notices(s, "ts", ["event_id"], "3650 days"))
+    return ingest.read_ingested(spark, out, ev.schema)
+
+
+@register("archive_chunks", """
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS n_bytes, md5(html) AS digest FROM pages WHERE html <> ''""")
+def archive_chunks(spark, d):
+    """Members streamed out in pieces of 16 KiB and put together again."""
+    p = S.table(spark, d, "pages").select(
+        "page_id", "html", F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"))
+    zips = archives.pack_archives(p, "landing/pages", "name", "html", "page_id")
+    parts = archives.expand_chunks(zips, chunk_bytes=1 << 14)
+    whole = parts.groupBy("archive", "member").agg(
+        F.sort_array(F.collect_list(F.struct("offset", "content"))).alias("parts"))
+    body = F.aggregate("parts", F.lit("").cast("binary"), lambda a, x: F.concat(a, x["content"]))
+    return whole.select(F.regexp_extract("member", r"(\d+)\.html$", 1).cast("long").alias("page_id"),
+                        F.octet_length(body).cast("long").alias("n_bytes"), F.md5(body).alias("digest"))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +82,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     whatever file system the folder is on.
     """
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the Python workers of a session, once.
+
+    Workers import the modules that a ``mapInPandas`` function names. Where
+    the package is neither installed on them nor on their path, this zips it
+    and lets Spark distribute the zip.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tractlake_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tractlake-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = f"{folder}/tractlake.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for at, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(at, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(name)
+    sc._tractlake_shipped = True

@@ -67,6 +67,59 @@ def expand_archives(files: DataFrame, keep_dirs: bool = True, flatten: bool = Fa
     return src.mapInPandas(lambda it: _members(it, keep_dirs, flatten), MEMBER_SCHEMA)
 
 
+CHUNK_SCHEMA = T.StructType([
+    T.StructField("archive", T.StringType()),
+    T.StructField("member", T.StringType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+])
+
+
+def _opened(path: str, body):
+    """A seekable file over the archive: its bytes, or the file at ``path``,
+    of which only what is read is fetched."""
+    if body is not None:
+        return io.BytesIO(body)
+    from pyarrow import fs
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_file(name)
+
+
+def _chunks(batches, chunk_bytes: int):
+    cols = CHUNK_SCHEMA.fieldNames()
+    for pdf in batches:
+        bodies = pdf["content"] if "content" in pdf else [None] * len(pdf)
+        rows, size = [], 0
+        for archive, body in zip(pdf["path"], bodies):
+            with _opened(archive, body) as raw, zipfile.ZipFile(raw) as z:
+                for info in z.infolist():
+                    if info.is_dir():
+                        continue
+                    with z.open(info) as f:
+                        at = 0
+                        while data := f.read(chunk_bytes):
+                            rows.append((archive, info.filename, at, data))
+                            at, size = at + len(data), size + len(data)
+                            if size >= chunk_bytes or len(rows) >= 1000:
+                                yield pd.DataFrame(rows, columns=cols)
+                                rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=cols)
+
+
+def expand_chunks(files: DataFrame, chunk_bytes: int = 8 << 20) -> DataFrame:
+    """(archive, member, offset, content): members of any size, in pieces.
+
+    A task holds one piece of at most ``chunk_bytes``, never a member. With
+    ``content`` in ``files`` the archive's bytes come from there; without it
+    (only ``path``) the archive is opened in place and read piece by piece,
+    so it may be larger than a ``binaryFile`` row can be. An empty member has
+    no piece; directory entries are dropped.
+    """
+    src = files.select("path", *(["content"] if "content" in files.columns else []))
+    return src.mapInPandas(lambda it: _chunks(it, chunk_bytes), CHUNK_SCHEMA)
+
+
 def read_archives(spark: SparkSession, path: str, glob: str = "*.zip", **kw) -> DataFrame:
     """Expand every zip under ``path``."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)

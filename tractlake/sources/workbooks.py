@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tractlake.session import scratch_dir
+
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
       "p": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -147,72 +149,6 @@ def stack_sheets(rows: DataFrame, names=None) -> DataFrame:
     return rows.select(*[F.element_at(m, F.lit(n)).alias(n) for n in names], "path", "sheet")
 
 
-# ------------------------------------------------------------ test writer
-
-def _cell(ref: str, v) -> str:
-    if v is None:
-        return ""
-    s = str(v)
-    if isinstance(v, (int, float)) and not isinstance(v, bool):
-        return f'<c r="{ref}"><v>{s}</v></c>'
-    s = s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{s}</t></is></c>'
-
-
-def _letters(i: int) -> str:
-    out = ""
-    i += 1
-    while i:
-        i, r = divmod(i - 1, 26)
-        out = chr(65 + r) + out
-    return out
-
-
-def workbook_bytes(sheets) -> bytes:
-    """Minimal xlsx with inline strings: ``sheets`` = [(name, header, rows)].
-
-    Used to produce workbook inputs from table data; numbers are written as
-    numeric cells, everything else as text.
-    """
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        ov = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/'
-                     f'vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-                     for i in range(1, len(sheets) + 1))
-        z.writestr("[Content_Types].xml",
-                   '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.'
-                   'openxmlformats.org/package/2006/content-types"><Default Extension="rels" '
-                   'ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-                   '<Default Extension="xml" ContentType="application/xml"/><Override '
-                   'PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-'
-                   f'officedocument.spreadsheetml.sheet.main+xml"/>{ov}</Types>')
-        z.writestr("_rels/.rels",
-                   '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.'
-                   'openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" '
-                   'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/'
-                   'officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        sh = "".join(f'<sheet name="{n}" sheetId="{i}" r:id="rId{i}"/>'
-                     for i, (n, _, _) in enumerate(sheets, 1))
-        z.writestr("xl/workbook.xml",
-                   f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="{NS["m"]}" '
-                   f'xmlns:r="{NS["r"]}"><sheets>{sh}</sheets></workbook>')
-        rl = "".join(f'<Relationship Id="rId{i}" Type="http://schemas.openxmlformats.org/'
-                     f'officeDocument/2006/relationships/worksheet" Target="worksheets/sheet{i}.xml"/>'
-                     for i in range(1, len(sheets) + 1))
-        z.writestr("xl/_rels/workbook.xml.rels",
-                   f'<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="{NS["p"]}">'
-                   f'{rl}</Relationships>')
-        for i, (_, header, rows) in enumerate(sheets, 1):
-            body = []
-            for rn, r in enumerate([header] + list(rows), 1):
-                cells = "".join(_cell(f"{_letters(j)}{rn}", v) for j, v in enumerate(r))
-                body.append(f'<row r="{rn}">{cells}</row>')
-            z.writestr(f"xl/worksheets/sheet{i}.xml",
-                       f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{NS["m"]}">'
-                       f'<sheetData>{"".join(body)}</sheetData></worksheet>')
-    return buf.getvalue()
-
-
 def read_templates(rows: DataFrame, pattern: str, skip: int = 6, keep=()) -> DataFrame:
     """Lookup rows (varid, seq, label, ordinal) from template workbooks.
 
@@ -241,7 +177,16 @@ def read_templates(rows: DataFrame, pattern: str, skip: int = 6, keep=()) -> Dat
     return first.select(*keep, "varid", "seq", "label", "ordinal")
 
 
+def land_workbook_rows(files: DataFrame) -> DataFrame:
+    """The rows of :func:`read_workbook_rows`, parsed once and kept in the
+    shared folder, so that looking for the headers first parses nothing again."""
+    spark = files.sparkSession
+    path = scratch_dir(spark, "workbook-rows")
+    read_workbook_rows(files).write.parquet(path)
+    return spark.read.schema(ROW_SCHEMA).parquet(path)
+
+
 def read_workbook_sheets(files: DataFrame, names=None) -> DataFrame:
     """All sheets of all workbooks stacked by header name (one task per
     workbook split), with the ``path`` and ``sheet`` of each row."""
-    return stack_sheets(read_workbook_rows(files), names)
+    return stack_sheets(read_workbook_rows(files) if names else land_workbook_rows(files), names)
