@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -291,8 +292,11 @@ def test_encoder_equals_the_library_on_odd_white_space():
     odd = ["a  b", "a   b\n\n c", " lead", "trail ", "tab\tx \n y", "x\xa0 y", "don't stop, I'll\nwe're", "\n", "a\0b \0c",
            "say <|endoftext|> now", "x\r\ny  \r\n z", "é́ 日本  x", "1234 5,6.7", "\n\nx", "x\n", "  "]
     odd += [r[1] or "" for r in _rows() if len(r[1] or "") < 9000]
-    for text, ids in zip(odd, enc.encode_batch(odd)):
-        assert np.frombuffer(ids, "<u2").tolist() == enc._ids(text), repr(text)
+    odd += ["", "a\x01 b", "\x01", "\na", "a\tb", "x\u3000y"]
+    for text, ids in zip(odd, enc.encode_column(pa.array(odd))):
+        assert ids.tolist() == enc._ids(text), repr(text)
+    assert [x.tolist() for x in enc.encode_column(pa.array([None, "a"]))] == [[], enc._ids("a")]
+    assert enc.encode_column(pa.array([], pa.string())) == []
 
 
 def test_secret_scan_layers_and_cycles(docs, empty):

@@ -27,6 +27,7 @@ from __future__ import annotations
 import functools
 import io
 import json
+import re
 import struct
 import zlib
 
@@ -46,8 +47,9 @@ BITS = 16
 BLOCK = 1 << 13
 SHARD_TOKENS = 1 << 21
 END_ID = 0
-KNOWN_WORDS = 1 << 19
-PORTION = 1 << 22
+KNOWN_WORDS = 1 << 20
+PORTION = 1 << 23
+WHITE = re.compile(r"\s")
 
 MANIFEST = "part int, seq int, file string, n_docs bigint, n_tokens bigint"
 
@@ -202,9 +204,9 @@ class Encoder:
         self.special = [x.content for x in self.t.get_added_tokens_decoder().values()]
         self.line, = self._ids("\n")
         self.line_bytes = np.array([self.line], "<u2").tobytes()
-        # By the word after a space, or after NUL (a line feed); None: not a plain word.
+        # By the word after a space, after NUL (a line feed) or after SOH (the start of the text).
+        # None: not a plain word.
         self.known: dict[str, bytes | None] = {}
-        self.first: dict[str, bytes | None] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.t.encode(text, add_special_tokens=False).ids
@@ -226,37 +228,54 @@ class Encoder:
                 start = end + 1
         return out
 
-    def learn(self, words, first) -> None:
-        plain = lambda w: bool(w) and not any(map(str.isspace, w))
-        spaced = [w for w in words if w[:1] != "\0" and plain(w)]
-        lined = [w for w in words if w[:1] == "\0" and plain(w[1:])]
-        firsts = [w for w in first if plain(w)]
+    def learn(self, words: list[str]) -> None:
+        spaced, lined, firsts = [], [], []
+        for w in words:
+            kind = lined if w[:1] == "\0" else firsts if w[:1] == "\1" else spaced
+            rest = w if kind is spaced else w[1:]
+            if rest and not WHITE.search(rest):
+                kind.append(w)
         self.known.update(dict.fromkeys(words))
-        self.first.update(dict.fromkeys(first))
+        self.known["\1"] = b""
         self.known.update(zip(spaced, self._together([" " + w for w in spaced])))
         self.known.update((w, self.line_bytes + x) for w, x in zip(lined, self._together([w[1:] for w in lined])))
-        self.first.update(zip(firsts, self._together(firsts)))
+        self.known.update(zip(firsts, self._together([w[1:] for w in firsts])))
 
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        """ids as little-endian 16-bit integers."""
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        """ids of each text, as 16-bit integers. Each distinct word of the column is looked up
+        once; the ids of all its places are gathered from there."""
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-            self.first.clear()
-        cut = [None if not t or "\0" in t or any(s in t for s in self.special) else t.replace("\n", " \0").split(" ")
-               for t in texts]
-        words: set[str] = set()
-        for x in cut:
-            if x:
-                words.update(x[1:])
-        first = {x[0] for x in cut if x}
-        self.learn(words.difference(self.known), first.difference(self.first))
-        known, out = self.known.__getitem__, []
-        for text, x in zip(texts, cut):
-            try:
-                ids = b"".join([self.first[x[0]], *map(known, x[1:])]) if x else None
-            except TypeError:  # a word that isn't plain
-                ids = None
-            out.append(ids if ids is not None else np.array(self._ids(text), "<u2").tobytes() if text else b"")
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = functools.reduce(pc.or_, [pc.match_substring(texts, s) for s in ("\0", "\1", *self.special)])
+        wide = functools.partial(pa.scalar, type=pa.large_string())
+        marked = pc.binary_join_element_wise(wide("\1"), pc.if_else(odd, wide(""), texts), wide(""))
+        cut = pc.split_pattern(pc.replace_substring(marked, "\n", " \0"), " ")
+        words = cut.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        code = words.indices.to_numpy()
+        known = self.known
+        self.learn([w for w in distinct if w not in known])
+        found = [known[w] for w in distinct]
+        plain = np.array([x is not None for x in found], bool)
+        ids = [x or b"" for x in found]
+        flat = np.frombuffer(b"".join(ids), "<u2")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        each = size[code]
+        upto = np.cumsum(each)
+        # Where a token comes from: its place plus how far its word's ids lie from there.
+        place = np.repeat((np.cumsum(size) - size)[code] - (upto - each), each)
+        place += np.arange(len(place))
+        tokens = flat[place]
+        last = np.cumsum(pc.list_value_length(cut).to_numpy())
+        end = upto[last - 1] if len(last) else last
+        whole = odd.to_numpy(zero_copy_only=False)
+        if not plain.all():
+            owner = np.repeat(np.arange(len(last)), np.diff(last, prepend=0))
+            whole = whole | np.bincount(owner, ~plain[code], minlength=len(last)).astype(bool)
+        out = [tokens[a:b] for a, b in zip([0, *end.tolist()], end.tolist())]
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = np.array(self._ids(texts[i].as_py()), "<u2")
         return out
 
 
@@ -283,14 +302,14 @@ def _portions(batch):
 
 
 def _writer(folder: str, tokenizer: str, end_id: int, limit: int):
-    end = np.array([end_id], "<u2").tobytes()
+    end = np.array([end_id], "<u2")
 
     def run(batches):
         enc, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         keys, pieces, starts, size = [], [], [], 0
 
         def close():
-            data = build(np.frombuffer(b"".join(pieces), "<u2"), keys, np.array(starts, np.int64))
+            data = build(np.concatenate(pieces), keys, np.array(starts, np.int64))
             uri, out = new_file(folder, ".wvm")
             with out:
                 out.write(data)
@@ -300,11 +319,11 @@ def _writer(folder: str, tokenizer: str, end_id: int, limit: int):
                 ["part", "seq", "file", "n_docs", "n_tokens"])
         for batch in batches:
             for rows in _portions(batch):
-                for key, ids in zip(rows.column(0).to_pylist(), enc.encode_batch(rows.column(1).to_pylist())):
+                for key, ids in zip(rows.column(0).to_pylist(), enc.encode_column(rows.column(1))):
                     keys.append(key)
                     starts.append(size)
                     pieces += [ids, end]
-                    size += len(ids) // 2 + 1
+                    size += len(ids) + 1
                     if size >= limit:
                         yield close()
                         keys, pieces, starts, size, seq = [], [], [], 0, seq + 1
