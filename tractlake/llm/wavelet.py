@@ -74,7 +74,8 @@ def build(tokens: np.ndarray, keys: list, starts: np.ndarray) -> bytes:
         places = [put(pack(b.tobytes())) for b in blocks]
         planes.append({"zeros": int(len(now) - count[-1]), "ones": put(count.astype("<i8").tobytes()),
                        "blocks": put(np.array(places, "<i8").reshape(-1, 2).tobytes())})
-        now = np.concatenate([now[~mask], now[mask]])
+        # By places, which is several times faster than by mask.
+        now = np.concatenate([now[np.flatnonzero(~mask)], now[np.flatnonzero(mask)]])
     docs = {"keys": put(pack(json.dumps(keys).encode())), "starts": put(pack(np.asarray(starts, "<i8").tobytes()))}
     head = json.dumps({"n": len(tokens), "planes": planes, **docs}).encode()
     return MAGIC + struct.pack("<I", len(head)) + head + body.getvalue()
@@ -180,8 +181,8 @@ class WaveletMatrix:
             packed = [self._read_block(plane, b) for b in range(len(self.blocks[plane]))]
             mask = np.unpackbits(np.concatenate(packed) if packed else np.empty(0, np.uint8), count=self.n).view(bool)
             up = np.empty(self.n, np.uint16)
-            up[~mask] = now[:self.zeros[plane]]
-            up[mask] = now[self.zeros[plane]:] | np.uint16(1 << (BITS - 1 - plane))
+            up[np.flatnonzero(~mask)] = now[:self.zeros[plane]]
+            up[np.flatnonzero(mask)] = now[self.zeros[plane]:] | np.uint16(1 << (BITS - 1 - plane))
             now = up
         return now
 
