@@ -292,7 +292,8 @@ def test_encoder_equals_the_library_on_odd_white_space():
     odd = ["a  b", "a   b\n\n c", " lead", "trail ", "tab\tx \n y", "x\xa0 y", "don't stop, I'll\nwe're", "\n", "a\0b \0c",
            "say <|endoftext|> now", "x\r\ny  \r\n z", "é́ 日本  x", "1234 5,6.7", "\n\nx", "x\n", "  "]
     odd += [r[1] or "" for r in _rows() if len(r[1] or "") < 9000]
-    odd += ["", "a\x01 b", "\x01", "\na", "a\tb", "x\u3000y"]
+    odd += ["don't. x's, 'll' it''t we'", "a..., b!? c2&&& é) ñ's. ²; ½. ª, ß! 日本. x\u0301. ., &", "a,b. c-d- -e", "\na.\nb,",
+            "", "a\x01 b", "\x01", "\na", "a\tb", "x\u3000y"]
     for text, ids in zip(odd, enc.encode_column(pa.array(odd))):
         assert ids.tolist() == enc._ids(text), repr(text)
     assert [x.tolist() for x in enc.encode_column(pa.array([None, "a"]))] == [[], enc._ids("a")]

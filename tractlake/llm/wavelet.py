@@ -50,6 +50,9 @@ END_ID = 0
 KNOWN_WORDS = 1 << 20
 PORTION = 1 << 23
 WHITE = re.compile(r"\s")
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+LATIN = "\u024f"  # the last letter of Latin Extended-B
+NEW = object()
 
 MANIFEST = "part int, seq int, file string, n_docs bigint, n_tokens bigint"
 
@@ -66,16 +69,22 @@ def build(tokens: np.ndarray, keys: list, starts: np.ndarray) -> bytes:
         body.write(data)
         return [at, len(data)]
     for bit in range(BITS - 1, -1, -1):
-        ones = (now >> np.uint16(bit)).astype(np.uint8) & 1
-        packed = np.packbits(ones)
-        mask = ones.view(bool)
-        blocks = [packed[a:a + BLOCK] for a in range(0, len(packed), BLOCK)]
-        count = np.cumsum([0] + [int(np.bitwise_count(b).sum(dtype=np.int64)) for b in blocks])
-        places = [put(pack(b.tobytes())) for b in blocks]
-        planes.append({"zeros": int(len(now) - count[-1]), "ones": put(count.astype("<i8").tobytes()),
+        after, count, places = np.empty_like(now), [0], []
+        packed = np.packbits((now >> np.uint16(bit)).astype(np.uint8) & 1)
+        zeros = len(now) - int(np.bitwise_count(packed).sum(dtype=np.int64))
+        # Block by block, so that what is worked on stays in the processor's cache.
+        for a in range(0, len(packed), BLOCK):
+            block, part = packed[a:a + BLOCK], now[8 * a:8 * (a + BLOCK)]
+            mask = np.unpackbits(block, count=len(part)).view(bool)
+            one = np.flatnonzero(mask)
+            before = count[-1]
+            after[zeros + before:zeros + before + len(one)] = part[one]
+            after[8 * a - before:8 * a - before + len(part) - len(one)] = part[np.flatnonzero(~mask)]
+            count.append(before + len(one))
+            places.append(put(pack(block.tobytes())))
+        planes.append({"zeros": zeros, "ones": put(np.array(count, "<i8").tobytes()),
                        "blocks": put(np.array(places, "<i8").reshape(-1, 2).tobytes())})
-        # By places, which is several times faster than by mask.
-        now = np.concatenate([now[np.flatnonzero(~mask)], now[np.flatnonzero(mask)]])
+        now = after
     docs = {"keys": put(pack(json.dumps(keys).encode())), "starts": put(pack(np.asarray(starts, "<i8").tobytes()))}
     head = json.dumps({"n": len(tokens), "planes": planes, **docs}).encode()
     return MAGIC + struct.pack("<I", len(head)) + head + body.getvalue()
@@ -175,14 +184,16 @@ class WaveletMatrix:
         return [self.select(token, k) for k in range(self.count(token))]
 
     def tokens(self) -> np.ndarray:
-        """All tokens: the planes are undone from the last to the first."""
+        """All tokens: the planes are undone from the last to the first, block by block."""
         now = np.zeros(self.n, np.uint16)
         for plane in range(BITS - 1, -1, -1):
-            packed = [self._read_block(plane, b) for b in range(len(self.blocks[plane]))]
-            mask = np.unpackbits(np.concatenate(packed) if packed else np.empty(0, np.uint8), count=self.n).view(bool)
-            up = np.empty(self.n, np.uint16)
-            up[np.flatnonzero(~mask)] = now[:self.zeros[plane]]
-            up[np.flatnonzero(mask)] = now[self.zeros[plane]:] | np.uint16(1 << (BITS - 1 - plane))
+            up, zeros, value = np.empty_like(now), self.zeros[plane], np.uint16(1 << (BITS - 1 - plane))
+            for block in range(len(self.blocks[plane])):
+                part, before = up[8 * BLOCK * block:8 * BLOCK * (block + 1)], int(self.ones[plane][block])
+                mask = np.unpackbits(self._read_block(plane, block), count=len(part)).view(bool)
+                one, start = np.flatnonzero(mask), 8 * BLOCK * block - before
+                part[one] = now[zeros + before:zeros + before + len(one)] | value
+                part[np.flatnonzero(~mask)] = now[start:start + len(part) - len(one)]
             now = up
         return now
 
@@ -208,6 +219,7 @@ class Encoder:
         # By the word after a space, after NUL (a line feed) or after SOH (the start of the text).
         # None: not a plain word.
         self.known: dict[str, bytes | None] = {}
+        self.ends: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.t.encode(text, add_special_tokens=False).ids
@@ -230,23 +242,40 @@ class Encoder:
         return out
 
     def learn(self, words: list[str]) -> None:
-        spaced, lined, firsts = [], [], []
+        """Adds new words to the table. The pre-tokenizer cuts between a letter or digit and
+        punctuation, so a word that ends in punctuation is its stem and that end."""
+        known = self.known
+        known["\1"] = b""
+        ended, stems = [], dict.fromkeys(words)
         for w in words:
+            stem = w.rstrip(PUNCTUATION)
+            if stem != w and stem[-1:].isalnum() and stem[-1] <= LATIN:
+                ended.append((w, stem, w[len(stem):]))
+                del stems[w]
+        stems.update(dict.fromkeys([x for _, x, _ in ended if x not in known]))
+        spaced, lined, firsts = [], [], []
+        for w in stems:
             kind = lined if w[:1] == "\0" else firsts if w[:1] == "\1" else spaced
             rest = w if kind is spaced else w[1:]
             if rest and not WHITE.search(rest):
                 kind.append(w)
-        self.known.update(dict.fromkeys(words))
-        self.known["\1"] = b""
-        self.known.update(zip(spaced, self._together([" " + w for w in spaced])))
-        self.known.update((w, self.line_bytes + x) for w, x in zip(lined, self._together([w[1:] for w in lined])))
-        self.known.update(zip(firsts, self._together([w[1:] for w in firsts])))
+            elif w != "\1":
+                known[w] = None
+        known.update(zip(spaced, self._together([" " + w for w in spaced])))
+        known.update((w, self.line_bytes + x) for w, x in zip(lined, self._together([w[1:] for w in lined])))
+        known.update(zip(firsts, self._together([w[1:] for w in firsts])))
+        new = list({x for _, _, x in ended}.difference(self.ends))
+        self.ends.update(zip(new, self._together(new)))
+        for w, stem, x in ended:
+            ids = known[stem]
+            known[w] = None if ids is None else ids + self.ends[x]
 
     def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
         """ids of each text, as 16-bit integers. Each distinct word of the column is looked up
         once; the ids of all its places are gathered from there."""
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
+            self.ends.clear()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = functools.reduce(pc.or_, [pc.match_substring(texts, s) for s in ("\0", "\1", *self.special)])
         wide = functools.partial(pa.scalar, type=pa.large_string())
@@ -256,8 +285,11 @@ class Encoder:
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         code = words.indices.to_numpy()
         known = self.known
-        self.learn([w for w in distinct if w not in known])
-        found = [known[w] for w in distinct]
+        found = [known.get(w, NEW) for w in distinct]
+        new = [i for i, x in enumerate(found) if x is NEW]
+        self.learn([distinct[i] for i in new])
+        for i in new:
+            found[i] = known[distinct[i]]
         plain = np.array([x is not None for x in found], bool)
         ids = [x or b"" for x in found]
         flat = np.frombuffer(b"".join(ids), "<u2")
