@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tractlake.llm.common import written
-from tractlake.llm.files import new_file, random_file
+from tractlake.llm.files import new_file, random_file, whole_file
 from tractlake.session import scratch_dir
 
 MAGIC = b"WVM1"
@@ -49,6 +49,7 @@ SHARD_TOKENS = 1 << 21
 END_ID = 0
 KNOWN_WORDS = 1 << 20
 PORTION = 1 << 23
+TASK_SHARDS = 4  # read by a task, one after the other
 WHITE = re.compile(r"\s")
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 LATIN = "\u024f"  # the last letter of Latin Extended-B
@@ -198,6 +199,11 @@ class WaveletMatrix:
         return now
 
 
+def open_shard(uri: str) -> WaveletMatrix:
+    """A shard for access, counting and lookup, fetched block by block."""
+    return WaveletMatrix(random_file(uri))
+
+
 # --- Encoding ----------------------------------------------------------------------------
 
 class Encoder:
@@ -384,15 +390,15 @@ def read_shards(manifest: DataFrame, key_type: str = "bigint") -> DataFrame:
     def run(batches):
         for batch in batches:
             for uri, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                with random_file(uri) as f:
-                    shard = WaveletMatrix(f)
-                    tokens, keys, starts = shard.tokens().astype("<u4"), shard.keys(), shard.starts()
+                # All of the file is needed, so it is fetched at once (a few MB).
+                shard = WaveletMatrix(io.BytesIO(whole_file(uri)))
+                tokens, keys, starts = shard.tokens().astype("<u4"), shard.keys(), shard.starts()
                 ends = np.append(starts[1:], len(tokens))
                 data = memoryview(tokens).cast("B")
                 crc = [zlib.crc32(data[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.string() if key_type == "string" else pa.int64()), pa.array(starts + start),
                      pa.array(ends - starts), pa.array(crc, pa.int64())], ["key", "start", "n_tokens", "ids_crc32"])
-    n = max(manifest.count(), manifest.sparkSession.sparkContext.defaultParallelism)
+    n = max(-(-manifest.count() // TASK_SHARDS), manifest.sparkSession.sparkContext.defaultParallelism)
     return (manifest.select("file", "start").repartition(min(n, 10_000), "file")
             .mapInArrow(run, f"key {key_type}, start bigint, n_tokens bigint, ids_crc32 bigint"))
