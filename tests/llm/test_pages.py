@@ -104,3 +104,22 @@ def test_main_text_edge_rows(spark):
     got = {(r.page, r.text) for r in htmltext.main_text(_pages(spark)).collect()}
     assert (3, "") in got and (4, "") in got and (1, "x") in got or (1, "") in got
     assert htmltext.main_text(_pages(spark).limit(0)).count() == 0
+
+
+def _words(seed, n):
+    import random
+    rng = random.Random(seed)
+    return " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(n))
+
+
+def test_quotes_and_near_copies_stay_on_pages_without_article():
+    menu, passage, story = _words("menu", 20), _words("quote", 60), _words("story", 80).split(" ")
+    pages = [[("L", menu), ("L", "Top"), ("L", _words(i, 60))] for i in range(12)]
+    for i in (3, 7):
+        pages[i].append(("L", passage))
+        pages[i].append(("L", "See also"))
+    for i in range(6):  # near copies: one word differs
+        pages.append([("L", menu), ("L", "Top"), ("L", " ".join([*story[:30 + i], f"own{i}", *story[31 + i:]]))])
+    want = ["\n".join(t for _, t in p if t not in (menu, "Top")) for p in pages]
+    assert htmltext.main_texts(pages) == want
+    assert htmltext.main_texts(pages[:4] + pages[7:8] + pages[12:14]) == want[:4] + want[7:8] + want[12:14]

@@ -5,19 +5,21 @@
    its class, id or role); ``A`` what stands inside an article or main element; ``L`` all else.
    Scripts, styles and markup never become text. Character references are decoded; white
    space inside a block becomes one space.
-2. Host suffix array. The token streams of a host's pages are concatenated, each block ended
+2. Host suffix array. The token streams of a shard's pages are concatenated, each block ended
    by a token of its own, and their suffixes are sorted by their first ``RUN`` tokens (prefix
    doubling: 1, 2, 4, ... tokens; a longer order isn't needed to find repeats of ``RUN``
    tokens or more). Neighbours that agree in ``RUN`` tokens are repeats; a run found on
-   enough distinct pages is boilerplate and covers its tokens. Pages with equal blocks count
-   as one page, so copies of an article don't make it boilerplate. Enough is, of the distinct
-   pages, ``LOOSE_SHARE`` (two at least) for ``L`` blocks and ``ARTICLE_SHARE`` (``ARTICLE_PAGES``
-   at least) for ``A`` blocks. ``L`` blocks shorter than ``RUN`` are compared whole.
+   enough distinct pages of the host is boilerplate and covers its tokens. Near copies (``ALIKE``
+   of the windows of ``SHINGLE`` tokens of two pages are common) count as one page, so copies of
+   a text don't make it boilerplate. Enough is at least ``PAGES`` and ``SHARE`` of the host's
+   distinct pages of the kind, those with and those without ``A`` blocks counted apart. ``L``
+   blocks shorter than ``RUN`` are compared whole.
 3. Of each block what isn't covered stays. A page with ``A`` blocks keeps those; one without
    keeps its ``L`` blocks.
 
-A host is dealt into shards of about ``SHARD_BYTES`` of html by a hash of the page, so no
-task gathers a host of any size; what a share of a host's pages repeat, a shard's pages do.
+A host is dealt into shards of about ``SHARD_BYTES`` of html, or of ``SHARD_PAGES`` pages if
+that is more, near copies together, so no task gathers a host of any size. Support is counted
+in each shard.
 
 Defined cases: null and empty html give the empty text; a null url, or one without a host,
 belongs to the host ''; repeated rows get the same text; a null page id is hashed as null; an
@@ -28,19 +30,24 @@ empty result; columns besides the three are neither read nor able to clash.
 from __future__ import annotations
 
 import re
+import zlib
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tractlake.llm.common import written
+from tractlake.llm.simhash import components
 
 RUN = 8
 SHARD_BYTES = 1 << 20
-LOOSE_SHARE = 0.02
-ARTICLE_SHARE = 0.5
-ARTICLE_PAGES = 10
+SHARD_PAGES = 32
+# On how many, and on which share, of a host's distinct pages a run is boilerplate, by role.
+PAGES = {"L": 4, "A": 10}
+SHARE = {"L": 0.25, "A": 0.5}
+SHINGLE, SKETCH, BANDS, BAND, ALIKE = 3, 128, 10, 5, 0.8
 ROWS = 64
 
 # Elements of HTML by what they mean here.
@@ -154,63 +161,175 @@ def _ranks(tokens: np.ndarray) -> np.ndarray:
     return rank
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, pages: int, loose: np.ndarray) -> np.ndarray:
-    """Which tokens a boilerplate run covers. ``page`` numbers the distinct page of each token,
-    ``loose`` tells tokens of L blocks."""
-    if not len(tokens):
-        return np.zeros(0, bool)
-    rank = _ranks(tokens)
-    order = np.lexsort((page, rank))  # the suffix array, pages ascending among equals
-    r, p = rank[order], page[order]
-    fresh = np.ones(len(r), bool)
-    fresh[1:] = (r[1:] != r[:-1]) | (p[1:] != p[:-1])
-    on = np.bincount(r[fresh], minlength=int(r[-1]) + 1)[rank]
-    enough = np.where(loose, max(2, LOOSE_SHARE * pages), max(ARTICLE_PAGES, ARTICLE_SHARE * pages))
-    starts = np.flatnonzero(on >= enough)
-    edge = np.zeros(len(tokens) + RUN + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + RUN, -1)
-    return np.cumsum(edge)[:len(tokens)] > 0
+def _hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes of words, the same in every process."""
+    from pandas.util import hash_array
+    code: dict[str, int] = {}
+    at = [code.setdefault(w, len(code)) for w in words]
+    return hash_array(np.array(list(code), dtype=object), categorize=False)[at] if at else np.zeros(0, np.uint64)
 
 
-def main_texts(pages: list[list[tuple[str, str]]]) -> list[str]:
-    """Main texts of a shard's pages, given as blocks."""
-    code: dict[str, int] = {}
-    same: dict[tuple, int] = {}
-    number = [same.setdefault(tuple(t for _, t in p), len(same)) for p in pages]
-    whole: dict[str, set[int]] = {}
-    kept, flat, owner, loose, end = [], [], [], [], -1
-    for p, who in zip(pages, number):
-        article = any(r == "A" for r, _ in p)
-        mine = [t for r, t in p if r == ("A" if article else "L")]
-        kept.append((article, mine))
-        for text in mine:
-            words = text.split(" ")
-            if not article and len(words) < RUN:
-                whole.setdefault(text, set()).add(who)
-            flat += [code.setdefault(w, len(code)) for w in words]
-            flat.append(end)  # no other block has this token
-            end -= 1
-            owner += [who] * (len(words) + 1)
-            loose += [not article] * (len(words) + 1)
-    covered = repeated(np.array(flat, np.int64), np.array(owner, np.int64), len(same), np.array(loose, bool))
-    out, at = [], 0
-    for article, mine in kept:
-        blocks = []
-        for text in mine:
-            n = text.count(" ") + 1
-            gone = covered[at:at + n]
-            at += n + 1
-            if not article and n < RUN and len(whole[text]) >= max(2, LOOSE_SHARE * len(same)):
-                continue
-            if gone.any():
-                text = " ".join(w for w, g in zip(text.split(" "), gone.tolist()) if not g)
-            if text:
-                blocks.append(text)
-        out.append("\n".join(blocks))
+def _joined(columns, seed) -> np.ndarray:
+    """One hash for each row of the columns, by their order."""
+    out = seed
+    for x in columns:
+        out = (out ^ x) * np.uint64(0x9E3779B97F4A7C15)
+        out = out ^ (out >> np.uint64(29))
     return out
 
 
+def _windows(hashed: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` tokens from each token on, where so many follow."""
+    size = max(len(hashed) - n + 1, 0)
+    return _joined((hashed[i:i + size] for i in range(n)), np.full(size, n, np.uint64))
+
+
+def kind_of(page: list[tuple[str, str]]) -> str:
+    return "A" if any(r == "A" for r, _ in page) else "L"
+
+
+def kept_blocks(page: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The A blocks of a page, or its L blocks if it has none."""
+    kind = kind_of(page)
+    return [b for b in page if b[0] == kind]
+
+
+# --- Near copies -------------------------------------------------------------------------
+
+def sketch(page: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(bands, least SKETCH hashes) of the set of a page's SHINGLE-token windows, over its kept blocks."""
+    h = _hashes([w for _, t in kept_blocks(page) for w in t.split(" ")])
+    found = np.unique(_windows(h ^ np.uint64(kind_of(page) == "L"), min(SHINGLE, max(len(h), 1))) >> np.uint64(32))
+    if not len(found):
+        return np.zeros(BANDS, np.int64), found
+    least = np.empty(BANDS * BAND, np.uint64)
+    for i in range(len(least)):
+        x = (found ^ np.uint64(0xD6E8FEB86659FD93 * (i + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        least[i] = (x ^ (x >> np.uint64(31))).min()
+    rows = least.reshape(BANDS, BAND)
+    return _joined(rows.T, np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64), found[:SKETCH]
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sketches' sets share ``ALIKE`` of their union: exact for sets of up to
+    SKETCH, else estimated by the least SKETCH hashes of the union."""
+    if not len(a) or not len(b):
+        return len(a) == len(b)
+    union = np.union1d(a, b)
+    if len(a) >= SKETCH or len(b) >= SKETCH:
+        union = union[:SKETCH]
+    both = np.intersect1d(a, b, assume_unique=True)
+    return np.isin(union, both).sum() >= ALIKE * len(union)
+
+
+def fold(pages: list[list[tuple[str, str]]]) -> list[int]:
+    """Numbers of the distinct pages: near copies have the same. As ``_folded`` does in Spark."""
+    group, made, first = list(range(len(pages))), [sketch(p) for p in pages], {}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+    for i, (bands, least) in enumerate(made):
+        for band in bands.tolist():
+            j = first.setdefault(band, i)
+            if j != i and root(i) != root(j) and alike(least, made[j][1]):
+                a, b = sorted((root(i), root(j)))
+                group[b] = a
+    return [root(i) for i in range(len(pages))]
+
+
+# --- Repeats -----------------------------------------------------------------------------
+
+class Shard:
+    """Token streams of some pages: ``key`` hashes what starts at a token (RUN tokens; a whole L
+    block if shorter), odd for L blocks; ``span`` is its tokens (0: nothing starts there)."""
+
+    def __init__(self, pages: list[list[tuple[str, str]]], groups: list[int]):
+        words, owner, loose, span = [], [], [], []
+        self.pages = [kept_blocks(p) for p in pages]
+        for p, who in zip(self.pages, groups):
+            for role, text in p:
+                mine = text.split(" ")
+                n = len(mine)
+                words += mine
+                words.append("\n")  # in no block
+                owner += [who] * (n + 1)
+                loose += [role == "L"] * (n + 1)
+                span += [RUN] * (n - RUN + 1) + [0] * RUN if n >= RUN else [n if role == "L" else 0] + [0] * n
+        self.owner, self.loose, self.span = np.array(owner, np.int64), np.array(loose, bool), np.array(span, np.int64)
+        kinds = dict(zip(groups, map(kind_of, self.pages)))
+        self.n_pages = {k: list(kinds.values()).count(k) for k in PAGES}
+        hashed = _hashes(words)
+        self.key = np.zeros(len(words), np.uint64)
+        self.key[:max(len(words) - RUN + 1, 0)] = _windows(hashed, RUN)
+        for n in range(1, RUN):
+            at = np.flatnonzero(self.span == n)
+            self.key[at] = _joined((hashed[at + i] for i in range(n)), np.full(len(at), n, np.uint64))
+        self.key = self.key >> np.uint64(1) << np.uint64(1) | self.loose.astype(np.uint64)
+        # The suffix array's ranks; each block end is a token of its own.
+        tokens = np.unique(hashed, return_inverse=True)[1].astype(np.int64) if len(words) else np.zeros(0, np.int64)
+        ends = np.flatnonzero(np.array([w == "\n" for w in words], bool)) if words else np.zeros(0, np.int64)
+        tokens[ends] = -1 - np.arange(len(ends))
+        self.tokens = tokens
+
+    def supports(self) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, number of distinct pages here that have each)."""
+        if not len(self.tokens):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        rank = _ranks(self.tokens)
+        order = np.lexsort((self.owner, rank))  # the suffix array, pages ascending among equals
+        order = order[self.span[order] > 0]
+        r, p = rank[order], self.owner[order]
+        fresh = np.ones(len(r), bool)
+        fresh[1:] = (r[1:] != r[:-1]) | (p[1:] != p[:-1])
+        short = self.span[order] < RUN  # ended by its block's end, so alone in its rank: by key
+        keys, on = np.unique(self.key[order][fresh & ~short], return_counts=True)
+        pairs = np.unique(np.stack([self.key[order][short], p[short].view(np.uint64)]), axis=1)
+        more, times = np.unique(pairs[0], return_counts=True)
+        return np.concatenate([keys, more]), np.concatenate([on, times])
+
+    def texts(self, keys: np.ndarray, on: np.ndarray, pages: dict[str, int]) -> list[str]:
+        """Main texts, without what ``keys`` cover that are on enough (``on``) of the host's ``pages``."""
+        covered = self.covered(keys, on, pages)
+        out, at = [], 0
+        for p in self.pages:
+            blocks = []
+            for _, text in p:
+                words = text.split(" ")
+                gone = covered[at:at + len(words)]
+                at += len(words) + 1
+                if gone.any():
+                    text = " ".join(w for w, g in zip(words, gone.tolist()) if not g)
+                if text:
+                    blocks.append(text)
+            out.append("\n".join(blocks))
+        return out
+
+    def covered(self, keys: np.ndarray, on: np.ndarray, pages: dict[str, int]) -> np.ndarray:
+        edge = np.zeros(len(self.key) + RUN + 1, np.int64)
+        if len(keys) and len(self.key):
+            order = np.argsort(keys)
+            keys, on = keys[order], on[order]
+            at = np.minimum(np.searchsorted(keys, self.key), len(keys) - 1)
+            here = np.where((keys[at] == self.key) & (self.span > 0), on[at], 0)
+            starts = np.flatnonzero(here >= np.where(self.loose, enough("L", pages["L"]), enough("A", pages["A"])))
+            np.add.at(edge, starts, 1)
+            np.add.at(edge, starts + self.span[starts], -1)
+        return np.cumsum(edge)[:len(self.key)] > 0
+
+
+def enough(role: str, pages: int) -> float:
+    """On how many of a host's ``pages`` distinct pages of a kind a run must stand to be boilerplate."""
+    return max(PAGES[role], SHARE[role] * pages)
+
+
+def main_texts(pages: list[list[tuple[str, str]]]) -> list[str]:
+    """Main texts of a host's pages, given as blocks."""
+    shard = Shard(pages, fold(pages))
+    return shard.texts(*shard.supports(), shard.n_pages)
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(
         url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)), F.lit(""))
@@ -220,17 +339,75 @@ def _parse(batches):
     for batch in batches:
         for a in range(0, batch.num_rows, ROWS):
             part = batch.slice(a, ROWS)
-            spelt = ["\n".join(r + t for r, t in blocks_of(h)) for h in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(spelt, pa.string()),
-                                              *part.columns[3:]], ["page", "url", "blocks", "host", "shard"])
+            spelt = [_spelt(blocks_of(h)) for h in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(spelt, pa.binary()),
+                                              *part.columns[3:]], ["page", "url", "blocks", *part.schema.names[3:]])
+
+
+def _spelt(page: list[tuple[str, str]]) -> bytes:
+    return zlib.compress("\n".join(r + t for r, t in kept_blocks(page)).encode("utf-8", "surrogatepass"))
+
+
+def _blocks(spelt: bytes) -> list[tuple[str, str]]:
+    text = zlib.decompress(spelt).decode("utf-8", "surrogatepass")
+    return [(b[0], b[1:]) for b in text.split("\n")] if text else []
+
+
+def _sign(batches):
+    for batch in batches:
+        for a in range(0, batch.num_rows, ROWS):
+            part = batch.slice(a, ROWS)
+            read = [blocks_of(h) for h in part.column(2).to_pylist()]
+            made = [sketch(p) for p in read]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pc.binary_length(part.column(2)).cast(pa.int64()),
+                 pa.array([b for b, _ in made], pa.list_(pa.int64())),
+                 pa.array([x.astype("<u4").tobytes() for _, x in made], pa.binary()),
+                 pa.array([kind_of(p) for p in read])],
+                ["host", "id", "bytes", "bands", "least", "kind"])
+
+
+def _alike(batches):
+    for batch in batches:
+        a, b = (batch.column(i).to_pylist() for i in (2, 3))
+        keep = [alike(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) for x, y in zip(a, b)]
+        yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
 
+def _folded(signs: DataFrame) -> DataFrame:
+    """v, root: pages that are near copies of page root of their host. A page is compared
+    with the least of each of its bands' pages."""
+    banded = signs.select("id", F.explode("bands").alias("band"), "host").select(
+        "id", F.xxhash64("host", "band").alias("band"))
+    least = banded.groupBy("band").agg(F.min("id").alias("m"), F.max("id").alias("most")).filter("m <> most")
+    pairs = banded.join(least, "band").filter("id <> m").select("id", "m").distinct()
+    one = signs.groupBy("id").agg(F.min("least").alias("x"))
+    both = pairs.join(one, "id").join(one.select(F.col("id").alias("m"), F.col("x").alias("y")), "m")
+    edges = both.select(F.col("id").alias("v"), "m", "x", "y").mapInArrow(_alike, "v bigint, m bigint")
+    return components(edges)
 
-def _extract(rows):
-    import pandas as pd
-    pages = [[(b[0], b[1:]) for b in x.split("\n")] if x else [] for x in rows["blocks"]]
-    texts = main_texts(pages)
-    return pd.DataFrame({"page": rows["page"], "url": rows["url"], "text": texts,
-                         "n_chars": [len(t) for t in texts]})
+
+def _pack(key, rows):
+    lists = [pa.array([rows.column(c).to_pylist()], pa.list_(rows.schema.field(c).type))
+             for c in ("page", "url", "who", "blocks")]
+    same = [rows.column(c).slice(0, 1).combine_chunks() for c in ("host", "pages", "shards")]
+    return pa.Table.from_arrays([*same, *lists], ["host", "pages", "shards", "page", "url", "who", "blocks"])
+
+
+def _shard(row) -> Shard:
+    return Shard([_blocks(b) for b in row["blocks"]], row["who"])
+
+
+def _extract(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            one = batch.slice(i, 1)
+            row = one.select(["pages", "shards", "who", "blocks"]).to_pylist()[0]
+            shard = _shard(row)
+            texts = shard.texts(*shard.supports(), shard.n_pages)
+            yield pa.RecordBatch.from_arrays(
+                [one.column("page").flatten(), one.column("url").flatten(), pa.array(texts, pa.string()),
+                 pa.array([len(t) for t in texts], pa.int64())], ["page", "url", "text", "n_chars"])
 
 
 def main_text(pages: DataFrame, *, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -238,10 +415,23 @@ def main_text(pages: DataFrame, *, page: str = "page_id", url: str = "url", html
     kind = pages.schema[page].dataType.simpleString()
     rows = pages.select(pages[page].alias("page"), pages[url].alias("url"),
                         F.coalesce(pages[html], F.lit("")).alias("html"), host_of(pages[url]).alias("host"))
-    size = rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes"))
-    dealt = written(size.select("host", F.ceil(F.col("bytes") / SHARD_BYTES).cast("int").alias("shards")), "hosts", 8)
-    shard = F.pmod(F.xxhash64("page", "html"), F.greatest(F.col("shards"), F.lit(1)))
-    placed = rows.join(dealt, "host").select("page", "url", "html", "host", shard.alias("shard"))
-    parsed = placed.mapInArrow(_parse, f"page {kind}, url string, blocks string, host string, shard bigint")
-    return parsed.groupBy("host", "shard").applyInPandas(
+    rows = rows.withColumn("id", F.xxhash64("host", "html"))
+    signs = written(rows.select("host", "id", "html").mapInArrow(
+        _sign, "host string, id bigint, bytes bigint, bands array<bigint>, least binary, kind string"), "page-signs")
+    moved = _folded(signs).withColumnRenamed("v", "id")
+    hosts = signs.select("host", "id", "bytes", "kind").join(moved, "id", "left").groupBy("host").agg(
+        F.sum("bytes").alias("bytes"), *[F.count_distinct(F.when(F.col("kind") == k, F.coalesce("root", "id"))).alias(k)
+                                         for k in PAGES])
+    shards = F.least(F.ceil(F.col("bytes") / SHARD_BYTES), F.ceil((F.col("L") + F.col("A")) / SHARD_PAGES))
+    hosts = written(hosts.select("host", F.struct(*PAGES).alias("pages"), F.greatest(shards, F.lit(1)).cast("int").alias("shards")), "hosts", 8)
+    who = F.coalesce("root", "id")
+    placed = rows.join(hosts, "host").join(moved, "id", "left").select(
+        "page", "url", "html", "host", "pages", "shards", who.alias("who"),
+        F.pmod(F.xxhash64(who), F.col("shards")).alias("shard"))
+    parsed = placed.mapInArrow(_parse, f"page {kind}, url string, blocks binary, host string, pages struct<L:bigint,A:bigint>, shards int, "
+                                       "who bigint, shard bigint")
+    packed = written(parsed.groupBy("host", "shard").applyInArrow(
+        _pack, f"host string, pages struct<L:bigint,A:bigint>, shards int, page array<{kind}>, url array<string>, who array<bigint>, "
+               "blocks array<binary>"), "page-shards")
+    return packed.mapInArrow(
         _extract, f"page {kind}, url string, text string, n_chars bigint")
