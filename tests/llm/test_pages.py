@@ -123,3 +123,16 @@ def test_quotes_and_near_copies_stay_on_pages_without_article():
     want = ["\n".join(t for _, t in p if t not in (menu, "Top")) for p in pages]
     assert htmltext.main_texts(pages) == want
     assert htmltext.main_texts(pages[:4] + pages[7:8] + pages[12:14]) == want[:4] + want[7:8] + want[12:14]
+
+
+def test_repeats_are_counted_over_the_whole_host(spark, monkeypatch):
+    menu, notice = _words("menu", 30), _words("notice", 25)
+    pages = [(i, f"http://big/{i}", f"<p>{menu}</p><p>{_words(i, 200)}</p>" if i % 10 == 0 else
+              f"<article><p>{_words(i, 200)}</p><p>{notice if i % 8 else 'none'}</p></article>") for i in range(60)]
+    pages += [(100 + i, f"http://big/c{i}", f"<article><p>{_words('copied', 100)} end{i}</p></article>") for i in range(3)]
+    rows = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    want = {p: t for (p, _, _), t in zip(pages, htmltext.main_texts([htmltext.blocks_of(h) for _, _, h in pages]))}
+    assert all(notice not in t and menu not in t for t in want.values()) and want[100].endswith("end0")
+    monkeypatch.setattr(htmltext, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(htmltext, "SHARD_PAGES", 3)
+    assert {r.page: r.text for r in htmltext.main_text(rows).collect()} == want

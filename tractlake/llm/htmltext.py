@@ -19,7 +19,8 @@
 
 A host is dealt into shards of about ``SHARD_BYTES`` of html, or of ``SHARD_PAGES`` pages if
 that is more, near copies together, so no task gathers a host of any size. Support is counted
-in each shard.
+over the host: a run on a share of its pages is on that share of some shard's, so what a shard
+finds is asked of all shards, and their numbers of pages are added up.
 
 Defined cases: null and empty html give the empty text; a null url, or one without a host,
 belongs to the host ''; repeated rows get the same text; a null page id is hashed as null; an
@@ -398,18 +399,69 @@ def _shard(row) -> Shard:
     return Shard([_blocks(b) for b in row["blocks"]], row["who"])
 
 
+def _rows(batches, columns):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).select(columns).to_pylist()[0]
+
+
+def _candidates(batches):
+    """Keys that may be on enough pages of a host: what is on a share of all its pages is on
+    that share of the pages of one of its shards."""
+    for row in _rows(batches, ["host", "pages", "who", "blocks"]):
+        shard = _shard(row)
+        keys, on = shard.supports()
+        need = [enough(k, row["pages"][k]) * shard.n_pages[k] / max(row["pages"][k], 1) - 1e-6 for k in ("A", "L")]
+        keys = keys[on >= np.array(need)[(keys & np.uint64(1)).astype(int)]]
+        yield pa.RecordBatch.from_arrays([pa.array([row["host"]] * len(keys), pa.string()),
+                                          pa.array(keys.view(np.int64))], ["host", "key"])
+
+
+def _counts(batches):
+    for row in _rows(batches, ["host", "who", "blocks", "keys"]):
+        keys, on = _shard(row).supports()
+        asked = np.isin(keys, np.array(row["keys"], np.int64).view(np.uint64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([row["host"]] * int(asked.sum()), pa.string()), pa.array(keys[asked].view(np.int64)),
+             pa.array(on[asked], pa.int64())], ["host", "key", "on"])
+
+
 def _extract(batches):
     for batch in batches:
         for i in range(batch.num_rows):
             one = batch.slice(i, 1)
-            row = one.select(["pages", "shards", "who", "blocks"]).to_pylist()[0]
+            row = one.select(["pages", "shards", "who", "blocks", "keys", "on"]).to_pylist()[0]
             shard = _shard(row)
-            texts = shard.texts(*shard.supports(), shard.n_pages)
+            if row["shards"] > 1:
+                keys = np.array(row["keys"] or [], np.int64).view(np.uint64)
+                on = np.array(row["on"] or [], np.int64)
+            else:
+                keys, on = shard.supports()
+            texts = shard.texts(keys, on, row["pages"])
             yield pa.RecordBatch.from_arrays(
                 [one.column("page").flatten(), one.column("url").flatten(), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["page", "url", "text", "n_chars"])
 
 
+def _enough(kind: str) -> Column:
+    return F.greatest(F.lit(float(PAGES[kind])), F.lit(SHARE[kind]) * F.col(f"pages.{kind}"))
+
+
+def _repeats(shards: DataFrame) -> DataFrame:
+    """host, keys, on: what is on enough pages of a host of several shards, with the number of
+    its distinct pages over the whole host. Near copies are in one shard, so numbers add up."""
+    several = shards.filter("shards > 1")
+    asked = several.mapInArrow(_candidates, "host string, key bigint").distinct()
+    asked = written(asked.groupBy("host").agg(F.collect_list("key").alias("keys")), "host-candidates")
+    counts = several.join(asked, "host").select("host", "who", "blocks", "keys").mapInArrow(
+        _counts, "host string, key bigint, on bigint").groupBy("host", "key").agg(F.sum("on").alias("on"))
+    pages = several.groupBy("host").agg(F.first("pages").alias("pages"))
+    least = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, _enough("L")).otherwise(_enough("A"))
+    found = counts.join(pages, "host").filter(F.col("on") >= least)
+    return written(found.groupBy("host").agg(F.collect_list(F.struct("key", "on")).alias("x"))
+                   .select("host", F.col("x.key").alias("keys"), F.col("x.on").alias("on")), "host-repeats")
+
+
 def main_text(pages: DataFrame, *, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page, url, text, n_chars: one row per page."""
     kind = pages.schema[page].dataType.simpleString()
@@ -433,5 +485,5 @@ def main_text(pages: DataFrame, *, page: str = "page_id", url: str = "url", html
     packed = written(parsed.groupBy("host", "shard").applyInArrow(
         _pack, f"host string, pages struct<L:bigint,A:bigint>, shards int, page array<{kind}>, url array<string>, who array<bigint>, "
                "blocks array<binary>"), "page-shards")
-    return packed.mapInArrow(
+    return packed.join(_repeats(packed), "host", "left").mapInArrow(
         _extract, f"page {kind}, url string, text string, n_chars bigint")
