@@ -136,3 +136,11 @@ def test_repeats_are_counted_over_the_whole_host(spark, monkeypatch):
     monkeypatch.setattr(htmltext, "SHARD_BYTES", 4000)
     monkeypatch.setattr(htmltext, "SHARD_PAGES", 3)
     assert {r.page: r.text for r in htmltext.main_text(rows).collect()} == want
+
+
+def test_notices_inside_articles_go_on_small_hosts():
+    notice, quote = _words("notice", 20), _words("quote", 50)
+    pages = [[("A", _words(i, 90)), ("A", notice)] for i in range(6)]
+    for i in range(2):
+        pages[i].append(("A", quote))
+    assert htmltext.main_texts(pages) == ["\n".join(t for _, t in p if t != notice) for p in pages]

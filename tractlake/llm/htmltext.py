@@ -46,7 +46,7 @@ RUN = 8
 SHARD_BYTES = 1 << 20
 SHARD_PAGES = 32
 # On how many, and on which share, of a host's distinct pages a run is boilerplate, by role.
-PAGES = {"L": 4, "A": 10}
+PAGES = {"L": 4, "A": 4}
 SHARE = {"L": 0.25, "A": 0.5}
 SHINGLE, SKETCH, BANDS, BAND, ALIKE = 3, 128, 10, 5, 0.8
 ROWS = 64
