@@ -144,3 +144,20 @@ def test_notices_inside_articles_go_on_small_hosts():
     for i in range(2):
         pages[i].append(("A", quote))
     assert htmltext.main_texts(pages) == ["\n".join(t for _, t in p if t != notice) for p in pages]
+
+
+def test_salvage_inside_a_member_of_several_records():
+    plain = _members(plain=True)
+    lying = plain[2].replace(b"payload 2 ", b"payload x ", 1)
+    whole = b"".join([*plain[:2], lying, *plain[3:]])
+    data = warc.member(whole)
+    ids, gaps = _found(data)
+    assert ids == list("01345") and gaps == [(0, len(data))]
+    for broken in (data[:-5], data[:-8] + b"wrong" + data[-3:]):
+        kinds = [(i[0], i[3]["warc-record-id"][12:-1]) for i in warc.salvage(broken) if i[0] != "gap"]
+        assert kinds == [("salvaged", x) for x in "01345"]
+    long = warc.member(b"".join(plain), 0)
+    kept = [i[3]["warc-record-id"][12:-1] for i in warc.salvage(long[:len(plain[0]) * 4]) if i[0] == "salvaged"]
+    assert kept[:3] == list("012")
+    every = [i[3]["warc-record-id"][12:-1] for i in warc.salvage(long[:len(plain[0]) * 4]) if i[0] != "gap"]
+    assert every == kept and _found(warc.member(b"") + data)[0] == list("01345")

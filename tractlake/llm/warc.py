@@ -10,7 +10,8 @@ Reader. A record is taken only if its checks hold: the member's CRC, the version
 Content-Length and the closing blank lines, the block's and the payload's digest. After a
 failed check the reader looks for the next gzip member or version line from which a record
 passes all checks, goes on there, and reports the bytes in between as a gap with the first
-reason. Compressed and plain records may follow one another in a file. A file is read
+reason. It looks inside a member's content too, so one bad record doesn't cost the member's
+others; records of a member that is cut off or fails its CRC are kept as ``salvaged``. Compressed and plain records may follow one another in a file. A file is read
 whole, so a task needs memory for ``ROLL`` bytes (or one larger record).
 
 Defined cases: a null payload is empty; a null key is written as ``null``, is smaller than
@@ -160,21 +161,49 @@ def http_body(block: bytes) -> bytes:
     return body if head.startswith(b"HTTP/") else block
 
 
-def inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[int, bytes]:
-    """(end, content) of the gzip member at ``at``; raises Bad unless it is whole and its CRC holds."""
+def inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[int | None, bytes, str | None]:
+    """(end, content, reason) of the gzip member at ``at``. The reason (None: whole, CRC holds) says
+    why the content is only what came out until then; the end is None if it isn't known."""
     z, parts, pos = zlib.decompressobj(31), [], at
-    try:
-        while not z.eof:
-            if pos >= len(data):
-                raise Bad("member cut off")
-            chunk = data[pos:pos + step]
+    while not z.eof:
+        if pos >= len(data):
+            return len(data), b"".join(parts), "member cut off"
+        chunk, before = data[pos:pos + step], z.copy()
+        try:
             parts.append(z.decompress(chunk))
-            pos += len(chunk)
-            if pos == at + len(chunk) and not b"WARC/1.".startswith(parts[0][:7]) and parts[0]:
-                raise Bad("member without version line")
-    except zlib.error as e:
-        raise Bad(f"member damaged ({str(e)[:40]})") from None
-    return pos - len(z.unused_data), b"".join(parts)
+        except zlib.error as e:
+            # Once more by bytes, for what comes out before the damage.
+            for i in range(len(chunk)):
+                try:
+                    parts.append(before.decompress(chunk[i:i + 1]))
+                except zlib.error:
+                    break
+            end = pos + i + (5 if "data check" in str(e) else 1) if " check" in str(e) else None
+            return end and min(end, len(data)), b"".join(parts), f"member damaged ({str(e)[:40]})"
+        pos += len(chunk)
+    return pos - len(z.unused_data), b"".join(parts), None
+
+
+def inner_records(inner: bytes) -> tuple[list[tuple[dict, bytes]], list[str]]:
+    """(records, reasons with the bytes lost) of a member's content: after a failed check it goes
+    on at the next version line from which a record passes."""
+    found, gaps, pos, lost, why = [], [], 0, None, None
+    while pos < len(inner):
+        try:
+            end, fields, block = parse_record(inner, pos)
+        except Bad as e:
+            lost, why = (pos, str(e)) if lost is None else (lost, why)
+            m = VERSION.search(inner, pos + 1)
+            pos = m.start() if m else len(inner)
+            continue
+        if lost is not None:
+            gaps.append(f"{why} (bytes {lost} to {pos} of the member's content)")
+            lost = None
+        found.append((fields, block))
+        pos = end
+    if lost is not None:
+        gaps.append(f"{why} (bytes {lost} to {pos} of the member's content)" if found else why)
+    return found, gaps
 
 
 def _candidate(data: bytes, at: int) -> int:
@@ -184,28 +213,41 @@ def _candidate(data: bytes, at: int) -> int:
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
-    """('record', start, end, fields, block) and ('gap', start, end, reason) in file order."""
-    at, lost, reason = 0, None, None
+    """('record', start, end, fields, block) and ('gap', start, end, reason) in file order. A record
+    with a digest that holds, from a member that is cut off or damaged, comes as ('salvaged',
+    start, end, fields, block, reason), besides the gap that the member is or is part of."""
+    at, lost, reason, had = 0, None, None, []
     while at < len(data):
-        try:
-            found = []
-            if data[at:at + 3] == GZIP:
-                end, inner = inflate(data, at)
-                pos = 0
-                while pos < len(inner):
-                    pos, fields, block = parse_record(inner, pos)
-                    found.append((fields, block))
-            else:
+        found, gaps, bad, end = [], [], None, None
+        if data[at:at + 3] == GZIP:
+            end, inner, bad = inflate(data, at)
+            found, gaps = inner_records(inner)
+            if bad:
+                found = [x for x in found if x[0].get("warc-block-digest", "").startswith("sha1:")]
+        else:
+            try:
                 end, fields, block = parse_record(data, at)
+                if (fields, block) in had:  # stored in the damaged member and salvaged from it already
+                    had.remove((fields, block))
+                    at = end
+                    continue
                 found.append((fields, block))
-        except Bad as e:
+            except Bad as e:
+                gaps = [str(e)]
+        if bad or (gaps and not found):
             if lost is None:
-                lost, reason = at, str(e)
-            at = _candidate(data, at + 1)
+                lost, reason = at, bad or gaps[0]
+            for fields, block in found:
+                had.append((fields, block))
+                yield "salvaged", at, end or len(data), fields, block, bad
+            # A cut-off member may have been cut in the middle of the file.
+            at = end if end and bad != "member cut off" else _candidate(data, at + 1)
             continue
         if lost is not None:
             yield "gap", lost, at, reason
-            lost = None
+            lost, had = None, []
+        for why in gaps:
+            yield "gap", at, end, why
         for fields, block in found:
             yield "record", at, end, fields, block
         at = end
@@ -225,12 +267,12 @@ def _reader(with_payload: bool):
         kind, start, end, *rest = item
         if kind == "gap":
             return dict(zip(names, [kind, uri, start, end, rest[0]]))
-        fields, block = rest
+        fields, block, *why = rest
         body, revisit = http_body(block), fields["warc-type"] == "revisit"
         stated = re.search(rb"(?im)^content-length:\s*(\d+)", block.partition(b"\r\n\r\n")[0]) if revisit else None
         digest = fields.get("warc-payload-digest", "")
         return dict(zip(names, [
-            kind, uri, start, end, None, fields["warc-type"], _unname(fields["warc-record-id"]),
+            kind, uri, start, end, why[0] if why else None, fields["warc-type"], _unname(fields["warc-record-id"]),
             fields.get("warc-target-uri"), _unname(fields.get("warc-refers-to")),
             digest.removeprefix("sha1:") if revisit else sha1_base32(body),
             int(stated[1]) if stated else len(body), body if with_payload and not revisit else None]))
@@ -253,7 +295,8 @@ def _reader(with_payload: bool):
 
 def read_warc(files: DataFrame, *, payload: bool = True) -> DataFrame:
     """Rows of the archives that ``files`` (column file) names: kind ``record``, or kind ``gap``
-    for quarantined bytes (file, start, end, reason)."""
+    for quarantined bytes (file, start, end, reason), or ``salvaged`` for a record whose digest
+    holds in a member that doesn't (with the member's reason)."""
     spark: SparkSession = files.sparkSession
     n = max(files.count(), spark.sparkContext.defaultParallelism)
     return files.select("file").repartition(min(n, 10_000), "file").mapInArrow(_reader(payload), ROWS)
