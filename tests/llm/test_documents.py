@@ -320,6 +320,23 @@ def test_secret_scan_layers_and_cycles(docs, empty):
     assert len(rows) == len(_rows()) and secrets.scan(empty).count() == 0
 
 
+def test_base64_runs_of_any_alphabet_place_and_wrapping():
+    import base64
+    import zlib as z
+    secret = b"what is it? user? password=hunter2hunter2 ok?? token=abcdefghijkl"
+    found = lambda t: {s[0] for s in secrets.scan_text(t)[0] if s[3]}
+    safe = base64.urlsafe_b64encode(secret).decode()
+    for text in (safe, "https://x.org/" + base64.b64encode(b"password=hunter2hunter2").decode(), "id-ab_" + safe,
+                 "https://x.org/" + base64.b64encode(z.compress(secret)).decode(), "xy" + safe):
+        assert found(f"see {text} end") == {"assign"}, text
+    for i in range(60):
+        packed = base64.urlsafe_b64encode(z.compress(secret + b" %d" % i * 9)).decode()
+        assert found(packed) == {"assign"}
+    long = base64.encodebytes(z.compress(bytes(range(33, 120)) * 2 + secret)).decode()
+    assert "\n" in long.strip() and found(long) == {"assign"}
+    assert found("k:\n" + long.strip().replace("\n", "\r\n  ") + "\nThe end") == {"assign"}
+
+
 def test_digest_columns(spark):
     assert hashlib.sha256(b"").hexdigest() == exact_dedup_hex(spark, "")
 

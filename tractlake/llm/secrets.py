@@ -7,9 +7,10 @@ scanned with the base patterns, and unwrapped:
 * URL: runs of ``%XX`` become the characters of their UTF-8 bytes, in place;
 * Unicode: ``\uXXXX`` (pairs of surrogates joined), ``\UXXXXXXXX``, ``\u{...}`` and ``\xXX``
   become their characters, in place;
-* base64 (both alphabets, with or without padding): a run that decodes to text is a layer
-  of its own; one that decodes to gzip, zlib, bzip2 or xz data is decompressed first, and
-  compressed data inside compressed data again.
+* base64 (both alphabets, with or without padding, in one line or wrapped): a run that
+  decodes to text is a layer of its own; one that decodes to gzip, zlib, bzip2 or xz data is
+  decompressed first, and compressed data inside compressed data again. A run that decodes
+  to neither is decoded from all four alignments, and from each '/', '-' and '_' on.
 
 What is new goes onto the worklist until nothing is. A layer is known by its text and its
 ranges, so unwrapping that comes round again (a cycle), or comes to the same place by
@@ -49,7 +50,12 @@ KINDS = {
 }
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{8,}+(?:\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)+={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+STANDARD = str.maketrans("-_", "+/")
+BINARY = re.compile(rb"[^\t-\r\x20-\x7e]")
+WORTH = re.compile(rb"[\x20-\x7e]{8}")  # every hit, and all that can unwrap to one, has such a run
 PACKED = (b"\x1f\x8b", b"x\x01", b"x\x5e", b"x\x9c", b"x\xda", b"BZh", b"\xfd7zXZ\x00")
 
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,depth:int>>"
@@ -170,15 +176,8 @@ def _unpack(data: bytes, limit: int) -> tuple[bytes, bool] | None:
         return None
 
 
-def _run_content(run: str, limit: int) -> tuple[str | None, bool]:
-    """(text, cut) that a base64 run stands for, through all compressed layers inside."""
-    run = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(run) % 4 == 1:
-        return None, False
-    try:
-        data = base64.b64decode(run + "=" * (-len(run) % 4))
-    except ValueError:
-        return None, False
+def _content(data: bytes, limit: int) -> tuple[bytes, bool]:
+    """(content, cut) of data, through all compressed layers."""
     seen, cut = set(), False
     while data.startswith(PACKED):
         got = _unpack(data, limit)
@@ -188,7 +187,62 @@ def _run_content(run: str, limit: int) -> tuple[str | None, bool]:
         seen.add(digest)
         data, now = got
         cut |= now
-    return _text_of(data), cut
+    return data, cut
+
+
+def _base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, run): runs on one line, and joined lines of equal length with the line
+    before and a shorter one after, and without."""
+    for m in BASE64.finditer(text):
+        yield m.start(), m.end(), m[0]
+    for m in WRAPPED.finditer(text) if "\n" in text else ():
+        lines = [x.span() for x in LINE.finditer(text, m.start(), m.end())]
+        size, i = [b - a for a, b in lines], 0
+        while i < len(lines):
+            j = i + 1
+            while j < len(lines) and size[j] == size[i]:
+                j += 1
+            for a in {i, max(i - 1, 0)}:
+                for b in {j, min(j + 1, len(lines))}:
+                    if b - a > 1 and sum(size[a:b]) >= 16:
+                        end = m.end() if b == len(lines) else lines[b - 1][1]
+                        yield lines[a][0], end, "".join(text[x:y] for x, y in lines[a:b])
+            i = j
+
+
+def _run_contents(run: str, limit: int) -> tuple[list[tuple[int, str]], int]:
+    """([(characters of the run before it, text)], cuts) that a base64 run stands for."""
+    out, cuts, run = [], 0, run.rstrip("=")
+    plain = run.translate(STANDARD)
+    for skip in range(4):
+        part = plain[skip:]
+        part = part[:len(part) - (len(part) % 4 == 1)]
+        data = base64.b64decode(part + "=" * (-len(part) % 4))
+        if not skip:
+            content, cut = _content(data, limit)
+            if content is not data or _text_of(data) is not None:
+                return [(0, x) for x in _layers(content)], int(cut)
+        marks = [i + 1 for i in range(len(run) - 1) if run[i] in "/-_" and (i + 1 - skip) % 4 == 0 and i + 1 > skip]
+        for at in marks:
+            place = (at - skip) // 4 * 3
+            if data.startswith(PACKED, place):
+                content, cut = _content(data[place:], limit)
+                if len(content) and not content.startswith(PACKED):
+                    out += [(at, x) for x in _layers(content)]
+                    cuts += cut
+        last = max((m.end() for m in BINARY.finditer(data)), default=0)
+        at = next((x for x in marks if (x - skip) // 4 * 3 >= last), None)
+        head, tail = (data, b"") if at is None else (data[:(at - skip) // 4 * 3], data[(at - skip) // 4 * 3:])
+        if WORTH.search(tail):
+            out += [(at, x) for x in _layers(tail)]
+        if WORTH.search(head):
+            out += [(skip, x) for x in _layers(head)]
+    return out, cuts
+
+
+def _layers(data: bytes) -> list[str]:
+    text = _text_of(data)
+    return [] if text is None else [text]
 
 
 def scan_text(text: str, limit: int = LAYER_BYTES) -> tuple[list[tuple[str, int, int, int]], int]:
@@ -208,11 +262,13 @@ def scan_text(text: str, limit: int = LAYER_BYTES) -> tuple[list[tuple[str, int,
             todo.append(_in_place(layer, URL, _url_units))
         if "\\" in layer.text:
             todo.append(_in_place(layer, UNICODE, _unicode_units))
-        for m in BASE64.finditer(layer.text):
-            content, cut = _run_content(m[0], limit)
+        for a, b, run in _base64_runs(layer.text):
+            contents, cut = _run_contents(run, limit)
             cuts += cut
-            if content is not None:
-                todo.append(Layer(content, layer.depth + 1, whole=layer.place(m.start(), m.end())))
+            for skip, content in contents:
+                # Places in joined lines aren't the run's; those layers stand for all of it.
+                skip = skip if b - a <= len(run) else 0
+                todo.append(Layer(content, layer.depth + 1, whole=layer.place(a + skip, b)))
         todo = [x for x in todo if x is not None]
     return [(*k, d) for k, d in spans.items()], cuts
 
