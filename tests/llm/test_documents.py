@@ -337,6 +337,31 @@ def test_base64_runs_of_any_alphabet_place_and_wrapping():
     assert found("k:\n" + long.strip().replace("\n", "\r\n  ") + "\nThe end") == {"assign"}
 
 
+def test_layers_with_odd_characters_and_packed_bytes_are_scanned():
+    import base64
+    import bz2
+    import gzip
+    import lzma
+    import urllib.parse
+    import zlib as z
+    secret = b"password=hunter2hunter2"
+    found = lambda t: {s[0] for s in secrets.scan_text(t)[0] if s[3]}
+    b64 = lambda b: base64.b64encode(b).decode()
+    for odd in ("\ufeff", "\u00ad", "\U0001f468\u200d\U0001f469", "\0", "\x1b[31m"):
+        assert found(b64(odd.encode() + secret)) == {"assign"}, odd
+        assert found(b64(gzip.compress(secret + odd.encode()))) == {"assign"}, odd
+    assert found(b64(b"caf\xe9 " + secret)) == {"assign"}
+    for pack in (gzip.compress, z.compress, bz2.compress, lzma.compress):
+        data = pack(secret)
+        for text in ("".join(f"%{x:02x}" for x in data), "".join(f"\\x{x:02x}" for x in data), repr(data),
+                     urllib.parse.quote(data, safe="")):
+            assert found(f"see {text} end") == {"assign"}, text
+        if pack is not z.compress:
+            assert found(b64(pack(b"nothing") + data)) == {"assign"}
+    assert found(b64(gzip.compress(b"nothing") + secret)) == {"assign"}
+    assert secrets.scan_text(b64(gzip.compress(b"a" * 900) + gzip.compress(b"b" * 900)), limit=1000)[1] == 1
+
+
 def test_digest_columns(spark):
     assert hashlib.sha256(b"").hexdigest() == exact_dedup_hex(spark, "")
 

@@ -7,11 +7,15 @@ scanned with the base patterns, and unwrapped:
 * URL: runs of ``%XX`` become the characters of their UTF-8 bytes, in place;
 * Unicode: ``\uXXXX`` (pairs of surrogates joined), ``\UXXXXXXXX``, ``\u{...}`` and ``\xXX``
   become their characters, in place;
+* compressed data spelt in either way is decompressed, as below;
 * base64 (both alphabets, with or without padding, in one line or wrapped): a run that
   decodes to text is a layer of its own; one that decodes to gzip, zlib, bzip2 or xz data is
   decompressed first, and compressed data inside compressed data again. A run that decodes
   to neither is decoded from all four alignments, and from each '/', '-' and '_' on.
 
+All members of concatenated compressed data are read, and what follows them. Decoded bytes
+that aren't UTF-8 become U+FFFD, and the rest of the layer is scanned.
+
 What is new goes onto the worklist until nothing is. A layer is known by its text and its
 ranges, so unwrapping that comes round again (a cycle), or comes to the same place by
 another way, ends there; a chain of compressed data ends where a content repeats.
@@ -55,6 +59,11 @@ WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{8,}+(?:\r?\n[\x20\t]*
 LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 STANDARD = str.maketrans("-_", "+/")
 BINARY = re.compile(rb"[^\t-\r\x20-\x7e]")
+URL_BYTES, URL_BYTE = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~/!*'()-])+"), re.compile(r"%[0-9A-Fa-f]{2}|.", re.S)
+X_BYTES = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\[abfnrtv0'"\\]|[\x20-\x5b\x5d-\x7e])+""")
+X_BYTE = re.compile(r"\\x[0-9A-Fa-f]{2}|\\.|.", re.S)
+ESCAPES = dict(zip("abfnrtv0'\"\\", b"\a\b\f\n\r\t\v\0'\"\\"))
+MAGIC = re.compile(rb"\x1f\x8b|x[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00")
 WORTH = re.compile(rb"[\x20-\x7e]{8}")  # every hit, and all that can unwrap to one, has such a run
 PACKED = (b"\x1f\x8b", b"x\x01", b"x\x5e", b"x\x9c", b"x\xda", b"BZh", b"\xfd7zXZ\x00")
 
@@ -162,18 +171,27 @@ def _text_of(data: bytes) -> str | None:
 
 
 def _unpack(data: bytes, limit: int) -> tuple[bytes, bool] | None:
-    """(content, whether it was cut at ``limit``) of compressed data, or None."""
-    try:
-        if data.startswith(b"BZh"):
-            z = bz2.BZ2Decompressor()
-        elif data.startswith(b"\xfd7zXZ"):
-            z = lzma.LZMADecompressor()
-        else:
-            z = zlib.decompressobj(47)
-        out = z.decompress(data, limit)
-        return out, not z.eof and len(out) >= limit
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
+    """(content, whether it was cut at ``limit``) of compressed data, or None: of all members that
+    follow one another, and then what comes after them."""
+    parts, size = [], 0
+    while data.startswith(PACKED):
+        try:
+            if data.startswith(b"BZh"):
+                z = bz2.BZ2Decompressor()
+            elif data.startswith(b"\xfd7zXZ"):
+                z = lzma.LZMADecompressor()
+            else:
+                z = zlib.decompressobj(47)
+            parts.append(z.decompress(data, limit - size))
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            break
+        size += len(parts[-1])
+        if not z.eof:
+            return b"".join(parts), size >= limit
+        data = z.unused_data
+        if size >= limit:
+            return b"".join(parts), bool(data)
+    return (b"".join([*parts, data]), False) if parts else None
 
 
 def _content(data: bytes, limit: int) -> tuple[bytes, bool]:
@@ -241,8 +259,29 @@ def _run_contents(run: str, limit: int) -> tuple[list[tuple[int, str]], int]:
 
 
 def _layers(data: bytes) -> list[str]:
-    text = _text_of(data)
-    return [] if text is None else [text]
+    """The text of data; bytes that aren't UTF-8 become U+FFFD, which no pattern has. None for
+    data without a run that a hit needs."""
+    return [data.decode("utf-8", "replace")] if WORTH.search(data) else []
+
+
+def _packed_runs(text: str, limit: int) -> Iterator[tuple[int, int, str, bool]]:
+    """(start, end, content, cut) of compressed data spelt with %XX or \\xXX, with characters
+    that stand for themselves in between."""
+    for sign, run, unit in (("%", URL_BYTES, URL_BYTE), ("\\x", X_BYTES, X_BYTE)):
+        for m in run.finditer(text) if sign in text else ():
+            if sign not in m[0]:
+                continue
+            units = [(x.start(), x[0]) for x in unit.finditer(m[0])]
+            data = bytes(int(u[-2:], 16) if len(u) > 2 else ESCAPES.get(u[1:], 0) if len(u) == 2 else ord(u)
+                         for _, u in units)
+            done = 0
+            for x in MAGIC.finditer(data):
+                if x.start() < done:
+                    continue
+                content, cut = _content(data[x.start():], limit)
+                for layer in _layers(content) if not content.startswith(PACKED) else ():
+                    yield m.start() + units[x.start()][0], m.end(), layer, cut
+                    done = len(data)
 
 
 def scan_text(text: str, limit: int = LAYER_BYTES) -> tuple[list[tuple[str, int, int, int]], int]:
@@ -262,6 +301,9 @@ def scan_text(text: str, limit: int = LAYER_BYTES) -> tuple[list[tuple[str, int,
             todo.append(_in_place(layer, URL, _url_units))
         if "\\" in layer.text:
             todo.append(_in_place(layer, UNICODE, _unicode_units))
+        for a, b, content, cut in _packed_runs(layer.text, limit):
+            cuts += cut
+            todo.append(Layer(content, layer.depth + 1, whole=layer.place(a, b)))
         for a, b, run in _base64_runs(layer.text):
             contents, cut = _run_contents(run, limit)
             cuts += cut
