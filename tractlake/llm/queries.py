@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tractlake.llm import exact_dedup, htmltext, mixing, pieces, quality, secrets, simhash, warc, wavelet, wordpiece
+from tractlake.llm import bytebpe, exact_dedup, htmltext, mixing, pieces, quality, secrets, simhash, warc, wavelet, wordpiece
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -137,6 +137,11 @@ def op8_secret_scan(spark, d):
                         secrets.spelt(F.col("spans")).alias("spans"), "n_cut")
 
 
+@register("op11_byte_bpe")
+def op11_byte_bpe(spark, d):
+    return bytebpe.encode_and_check(table(spark, d, "documents")).withColumnRenamed("key", "doc_id")
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
