@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tractlake.session import scratch_dir
 
@@ -53,3 +53,50 @@ def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     path = scratch_dir(spark, name)
     (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, name: str, group: list[str], order: list[str]) -> DataFrame:
+    """``df`` with idx, its rows' places from 0 within their group, in order; nulls first.
+
+    No group is brought together: rows are dealt by ranges of (group, order) and sorted; the
+    table of the sorted rows has each row's place in its file. A group's first place in each
+    range and the sizes of its earlier ranges (a row a group and range) give the rest. Rows
+    that are equal in all of these columns are numbered in any order. No column of ``group``
+    may be null.
+    """
+    keys = [*group, *order]
+    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = written(dealt.select("*", F.spark_partition_id().alias("_part"),
+                                F.monotonically_increasing_id().alias("_at")), name)
+    ranges = rows.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    placed = rows.join(ranges, [*group, "_part"])
+    return placed.withColumn("idx", F.col("_at") - F.col("_first") + F.col("_before")).drop(
+        "_part", "_at", "_first", "_rows", "_before")
+
+
+def runs(batches, n_keys: int):
+    """(key, table) of the runs of rows that agree in the first ``n_keys`` columns of sorted
+    Arrow batches; a run may span batches."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    held, last = [], None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        new = np.zeros(n - 1, bool)
+        for c in batch.columns[:n_keys]:
+            new |= pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), n]
+        for a, b in zip(cuts, cuts[1:]):
+            key = tuple(c[a].as_py() for c in batch.columns[:n_keys])
+            if held and key != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield last, pa.Table.from_batches(held)

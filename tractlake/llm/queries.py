@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tractlake.llm import bytebpe, exact_dedup, htmltext, mixing, pieces, quality, secrets, simhash, warc, wavelet, wordpiece
+from tractlake.llm import bytebpe, exact_dedup, htmltext, merkle, mixing, pieces, quality, secrets, simhash, warc, wavelet, wordpiece
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -142,6 +144,58 @@ def op11_byte_bpe(spark, d):
     return bytebpe.encode_and_check(table(spark, d, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def _merkle_sql(levels=7, top_levels=5):
+    """The trees level by level; a level that has one node left passes it on."""
+    def tree(name, leaves, n, by):
+        parts = [f"{name}0 AS MATERIALIZED (SELECT {by}, idx, h, count(*) OVER (PARTITION BY {by}) AS n FROM {leaves})"]
+        for i in range(n):
+            parts.append(f"""{name}r{i} AS MATERIALIZED (SELECT {by}, idx // 16 AS run, list(h ORDER BY idx) AS hs, min(n) AS n
+                FROM {name}{i} GROUP BY ALL)""")
+            parts.append(f"""{name}{i + 1} AS MATERIALIZED (SELECT {by}, run AS idx, CASE WHEN n = 1 THEN hs[1]
+                ELSE sha256(array_to_string(hs, '')) END AS h, (n + 15) // 16 AS n FROM {name}r{i})""")
+        return parts
+
+    def walk(rows, name, n, by, prefix):
+        parts, last = [], rows
+        for i in range(n):
+            k = f"{last}.idx % 16 + 1"
+            parts.append(f"""{prefix}{i} AS MATERIALIZED (SELECT {last}.* EXCLUDE (idx, proof, cur), idx // 16 AS idx,
+                proof || CASE WHEN r.n = 1 THEN '' ELSE array_to_string(hs[1:{k} - 1] || hs[{k} + 1:], '') END AS proof,
+                CASE WHEN r.n = 1 THEN cur ELSE sha256(array_to_string(hs[1:{k} - 1] || [cur] || hs[{k} + 1:], '')) END AS cur
+                FROM {last} JOIN {name}r{i} r ON r.{by} = {last}.{by} AND r.run = {last}.idx // 16)""")
+            last = f"{prefix}{i}"
+        return parts, last
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    # crc32 by its table-free definition, over the decimal's bytes
+    crc = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1),
+        lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)), lambda c, b:
+        list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: xor(x >> 1, 3988292384 * (x & 1))))"""
+    down = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    one, doc = walk("d", "s", levels, "tree", "w")
+    two, end = walk("u", "t", top_levels, "whole", "v")
+    return ", ".join(["WITH l AS (SELECT doc_id, coalesce('1' || source, '') AS tree, sha256(%s || %s) AS h, CASE WHEN"
+                      " xor(%s, 4294967295) %% 5 = 0 THEN sha256(%s || %s) END AS shown FROM documents)" % (
+                          head, field("text"), crc, head, field(f"({down})")),
+                      "n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx FROM l)",
+                      *tree("s", "n", levels, "tree"),
+                      f"x AS MATERIALIZED (SELECT 1 AS whole, tree, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS idx FROM s{levels})",
+                      *tree("t", "x", top_levels, "whole"),
+                      "d AS (SELECT doc_id, tree, h AS leaf, idx, '' AS proof, coalesce(shown, h) AS cur FROM n)", *one,
+                      f"u AS (SELECT {doc}.* EXCLUDE (idx), x.idx, x.h AS subroot, 1 AS whole FROM {doc} JOIN x USING (tree))", *two]) + f"""
+SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = t.h AS verified
+FROM {end} CROSS JOIN t{top_levels} t"""
+
+
+@register("op13_merkle_manifest", _merkle_sql())
+def op13_merkle_manifest(spark, d):
+    docs = table(spark, d, "documents")
+    tampered = merkle.leaf_digest(*[docs[c] for c in ("doc_id", "source", "lang", "n_chars")],
+                                  F.translate("text", string.ascii_uppercase, string.ascii_lowercase))
+    hit = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 5 == 0
+    return merkle.check(merkle.manifest(docs, shown=F.when(hit, tampered))).withColumnRenamed("key", "doc_id")
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
