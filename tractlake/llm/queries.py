@@ -7,7 +7,7 @@ import string
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tractlake.llm import bytebpe, exact_dedup, htmltext, merkle, mixing, pieces, quality, secrets, simhash, warc, wavelet, wordpiece
+from tractlake.llm import bytebpe, exact_dedup, htmltext, merkle, mixing, pieces, prefixtrie, quality, secrets, simhash, warc, wavelet, wordpiece
 from tractlake.llm.common import table
 
 REGISTRY = {}
@@ -144,6 +144,37 @@ def op11_byte_bpe(spark, d):
     return bytebpe.encode_and_check(table(spark, d, "documents")).withColumnRenamed("key", "doc_id")
 
 
+def _crc_sql(n):
+    """crc32 of an integer's decimal digits, by its definition."""
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({n}::VARCHAR) + 1),
+        lambda i: ascii(substr({n}::VARCHAR, i, 1))::BIGINT)), lambda c, b:
+        list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+@register("op12_prefix_trie", f"""
+WITH t AS (SELECT conv_id, struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations),
+o AS (SELECT conv_id, list(x ORDER BY i) AS own, {_crc_sql("conv_id")} % 9 AS h FROM t GROUP BY conv_id),
+s AS MATERIALIZED (SELECT o.conv_id, coalesce(b.own[1:o.h], []) || o.own[o.h + 1:] AS s FROM o
+    LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 5),
+p AS MATERIALIZED (SELECT conv_id, d, s[1:d] AS p, len(s) = d AS here FROM s, unnest(range(0, len(s) + 1)) u(d)),
+n AS MATERIALIZED (SELECT p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (here), '')) AS ends_sha256,
+    CASE WHEN d > 0 THEN (count(*) - 1) * strlen(p[d].t) ELSE 0 END AS saved FROM p GROUP BY p, d),
+c AS MATERIALIZED (SELECT p[1:depth - 1] AS p, count(*) AS k FROM n WHERE depth > 0 GROUP BY 1),
+a AS (SELECT n.p[1:d] AS p, sum(saved)::BIGINT AS saved, count(*) FILTER (k IS NULL) AS leaves
+    FROM n LEFT JOIN c USING (p), unnest(range(0, depth + 1)) u(d) GROUP BY 1)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(c.k, 0) AS n_children, a.leaves AS n_leaves,
+  a.saved AS saved_tokens, n.ends_sha256
+FROM n LEFT JOIN c USING (p) JOIN a USING (p) LEFT JOIN n up ON up.depth = n.depth - 1 AND up.p = n.p[1:n.depth - 1]""")
+def op12_prefix_trie(spark, d):
+    conv = F.col("conv")
+    out = prefixtrie.trie(table(spark, d, "conversations"), base=conv - conv % 5,
+                          head=F.crc32(conv.cast("string").cast("binary")) % 9)
+    return out.select(F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs",
+                      "n_children", "n_leaves", F.col("saved_bytes").alias("saved_tokens"), "ends_sha256")
+
+
 def _merkle_sql(levels=7, top_levels=5):
     """The trees level by level; a level that has one node left passes it on."""
     def tree(name, leaves, n, by):
@@ -167,16 +198,12 @@ def _merkle_sql(levels=7, top_levels=5):
         return parts, last
     field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
     head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
-    # crc32 by its table-free definition, over the decimal's bytes
-    crc = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1),
-        lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)), lambda c, b:
-        list_reduce(list_prepend(xor(c, b), range(8)), lambda x, j: xor(x >> 1, 3988292384 * (x & 1))))"""
     down = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     one, doc = walk("d", "s", levels, "tree", "w")
     two, end = walk("u", "t", top_levels, "whole", "v")
     return ", ".join(["WITH l AS (SELECT doc_id, coalesce('1' || source, '') AS tree, sha256(%s || %s) AS h, CASE WHEN"
-                      " xor(%s, 4294967295) %% 5 = 0 THEN sha256(%s || %s) END AS shown FROM documents)" % (
-                          head, field("text"), crc, head, field(f"({down})")),
+                      " %s %% 5 = 0 THEN sha256(%s || %s) END AS shown FROM documents)" % (
+                          head, field("text"), _crc_sql("doc_id"), head, field(f"({down})")),
                       "n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx FROM l)",
                       *tree("s", "n", levels, "tree"),
                       f"x AS MATERIALIZED (SELECT 1 AS whole, tree, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS idx FROM s{levels})",
