@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tools.check_oracle import TABLES, rows_of
-from tractlake.plans.registry import REGISTRY
+from tractlake.plans.stored import REGISTRY
 
 NAMES = sorted(REGISTRY)
 

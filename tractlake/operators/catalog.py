@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractlake.functions.columns import col_of
+from tractlake.operators.formulas import (FormulaError, guard_division, guard_text, names_of, replace_names,
+                                          unquoted)
 
 # Open end year marker, statistics stored at six decimals, the
 # two stored types, and the pattern that finds measure ids in a formula.
@@ -28,18 +30,6 @@ MEASURE_PATTERN = r"[BC]\w*_\w*"
 CATALOG_COLUMNS = ["group_name", "metric_name", "formula", "statistic",
                    "start_year", "end_year", "notes"]
 
-# A division operand: a word, a call or a parenthesised group, with brackets
-# nested up to GUARD_DEPTH deep; one that is guarded already is left alone.
-GUARD_DEPTH = 6
-
-
-def _nested(depth: int) -> str:
-    return "[^()]*" if depth == 0 else rf"(?:[^()]|\({_nested(depth - 1)}\))*"
-
-
-_GROUP = rf"\({_nested(GUARD_DEPTH)}\)"
-_DIVISOR = rf"/\s*+(?!(?i:NULLIF)\s*\()({_GROUP}|[\w.]++(?:\s*{_GROUP})?)"
-_IDENT = re.compile(r"[A-Za-z_]\w*")
 
 
 class CatalogError(ValueError):
@@ -75,22 +65,6 @@ def extract_measures(cat: DataFrame) -> DataFrame:
             .distinct())
 
 
-def guard_division(formula) -> Column:
-    """Wrap every divisor in ``NULLIF(…, 0)``.
-
-    A divisor is what follows ``/``: a word, a function call or a
-    parenthesised operand, nested brackets included; blanks around the slash
-    are optional. The outermost divisors are wrapped first and those inside
-    them by the next pass. Formulas without ``/`` are unchanged. Under ANSI
-    mode an unguarded division by zero fails the job, while the guarded one
-    yields NULL.
-    """
-    out = col_of(formula)
-    for _ in range(GUARD_DEPTH):
-        out = F.regexp_replace(out, _DIVISOR, "/ NULLIF($1, 0)")
-    return out
-
-
 def group_windows(cat: DataFrame, load_year: int) -> DataFrame:
     """Per group: first year = max start year, last = min(max end, load)."""
     return (cat.groupBy("group_name")
@@ -168,36 +142,24 @@ class GroupPlan:
         return self.first_year > self.last_year
 
 
-def guard_text(formula: str) -> str:
-    """Driver-side twin of :func:`guard_division` for collected formulas."""
-    for _ in range(GUARD_DEPTH):
-        formula = re.sub(_DIVISOR, r"/ NULLIF(\1, 0)", formula)
-    return formula
-
-
 def _expand(formula: str, known: dict, group: str, metric: str) -> str:
     """Replace references to earlier metrics of the group by their text.
 
-    Identifiers followed by ``(`` are functions. A name defined earlier in
-    the group, in whatever case, is that metric even where it looks like a
-    measure id; other measure ids stay, and anything else is an error.
+    A name defined earlier in the group, in whatever case, is that metric even
+    where it looks like a measure id; other measure ids stay (quoted ones in
+    Spark's quotes), and anything else is an error.
     """
-    out, pos = [], 0
-    for m in _IDENT.finditer(formula):
-        tok = m.group(0)
-        low = tok.lower()
-        nxt = formula[m.end():].lstrip()[:1]
-        if nxt == "(" or low in ("null",) or (low not in known and re.fullmatch(MEASURE_PATTERN, tok)):
-            continue
-        if low not in known:
-            raise CatalogError(
-                f"group {group!r}, metric {metric!r}: unknown name {tok!r} "
-                "(names may only refer to metrics defined earlier in the group)")
-        out.append(formula[pos:m.start()])
-        out.append(f"({known[low]})")
-        pos = m.end()
-    out.append(formula[pos:])
-    return "".join(out)
+    def new(name, text):
+        if name.lower() in known:
+            return f"({known[name.lower()]})"
+        if re.fullmatch(MEASURE_PATTERN, name):
+            return name if text == name else f"`{name}`"
+        if text.lower() == "null":
+            return text
+        raise CatalogError(
+            f"group {group!r}, metric {metric!r}: unknown name {name!r} "
+            "(names may only refer to metrics defined earlier in the group)")
+    return replace_names(formula, new)
 
 
 def plan_groups(rows, load_year: int, year_override: tuple | None = None) -> list:
@@ -229,8 +191,11 @@ def plan_groups(rows, load_year: int, year_override: tuple | None = None) -> lis
         known: dict = {}
         metrics, measures = [], set()
         for name, formula, _, _ in items:
-            sql = _expand(guard_text(formula), known, g, name)
-            measures.update(m for m in _IDENT.findall(sql) if re.fullmatch(MEASURE_PATTERN, m))
+            try:
+                sql = _expand(guard_text(formula), known, g, name)
+            except FormulaError as e:
+                raise CatalogError(f"group {g!r}, metric {name!r}: {e}") from e
+            measures.update(m for m in map(unquoted, names_of(sql)) if re.fullmatch(MEASURE_PATTERN, m))
             known[name] = sql
             metrics.append((name, sql))
         plans.append(GroupPlan(g, first, last, metrics, sorted(measures),

@@ -116,6 +116,8 @@ def areas_with_measures(areas: DataFrame, sequences: dict, lookup_rows, measures
     out, parts = areas, {}
     for s in sorted(by_seq):
         ms = sorted(by_seq[s], key=lambda m: (homes[m][s][1], m))
+        if s not in sequences and missing == "null":  # listed, but no year has its file
+            continue
         f = _keyed(prune_measures(sequences[s], ms))
         if years is not None:
             f = f.filter(F.col("year").between(years[0], years[1]))

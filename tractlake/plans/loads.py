@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tractlake.operators import catalog as cat
-from tractlake.operators import facts, feeds, geo, ledger, listing, lookup
+from tractlake.operators import facts, feeds, geo, ledger, lookup, sequences
+from tractlake.session import scratch_dir
 from tractlake.sources import archives, files, workbooks
 
 
@@ -56,62 +57,74 @@ def load_lookup(spark: SparkSession, root: str, out: str | None = None,
     return out_df
 
 
-def sequence_file_paths(spark: SparkSession, root: str, year: int, seqs) -> dict:
-    """(kind, seq) → sequence file paths, from one listing of the region folders.
+def load_sequence_store(spark: SparkSession, root: str, years, lookup_df: DataFrame, out: str) -> DataFrame:
+    """Estimate and margin files of all sequences and years → one long table
+    partitioned by kind / year / seq, in one plan and one write.
 
-    Only the ``g{year}`` files are listed (``binaryFile`` with the content
-    column pruned, so no file body is read).
+    Only files in the folders of the survey's layout count. Returns the
+    (kind, year, seq) that were skipped because the lookup of their year does
+    not list them. Read the store with ``sequences.stored_sequences``.
     """
-    lst = _binary(spark, root, f"g{year}*").select("path")
-    codes = listing.region_code_from_listing(lst, year)
-    folders = codes.select(F.regexp_extract("folder", r"^(.*/)", 1).alias("root"),
-                           F.regexp_extract("folder", r"([^/]*)$", 1).alias("level"),
-                           "region_code")
-    out: dict = {}
-    for r in listing.sequence_paths(folders, year, list(seqs)).select("kind", "seq", "path").collect():
-        out.setdefault((r["kind"], r["seq"]), []).append(r["path"])
-    return out
+    years = [int(y) for y in (years if isinstance(years, (list, tuple, range)) else [years])]
+    lines = sequences.sequence_lines(spark, root).filter(F.col("year").isin(years))
+    listing_df = _binary(spark, root, "g*").select("path")
+    cells = sequences.long_form(sequences.of_known_folders(lines, listing_df, years), lookup_df)
+    sequences.write_store(cells, out)
+    return sequences.unlisted(sequences.landed_files(spark, root).filter(F.col("year").isin(years)), lookup_df)
 
 
 def load_sequences(spark: SparkSession, root: str, year: int, lookup_rows, out: str,
                    seqs=None, parallel: int = 4) -> list:
-    """Estimate and margin files of each sequence → one parquet dataset
-    partitioned by kind / year / seq. A sequence missing from the lookup is
-    skipped (and reported). Sequences have different widths, so each is its
-    own read and write; ``parallel`` of them run as concurrent jobs.
+    """Estimate and margin files of each sequence → one wide parquet table per
+    kind / year / seq, for readers that want a sequence's own columns.
+
+    The files are read once, into the long form; no path reaches the driver.
+    Sequences have different widths, so each wide table is its own write;
+    ``parallel`` of them run as concurrent jobs. A sequence missing from the
+    lookup is skipped (and reported).
     """
     listed = sorted({int(r["seq"]) for r in lookup_rows})
-    todo = [s for s in (seqs or listed)]
-    skipped = [s for s in todo if s not in listed]
-
-    paths = sequence_file_paths(spark, root, year, [s for s in todo if s in listed])
-
-    def one(seq: int):
-        schema = lookup.sequence_wide(lookup_rows, seq)
-        for kind in ("e", "m"):
-            ps = paths.get((kind, seq))
-            if not ps:
-                continue
-            df = files.read_sequence(spark, ps, schema)
-            df.write.mode("overwrite").parquet(f"{out}/kind={kind}/year={year}/seq={seq}")
-        return seq
-
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        done = list(pool.map(one, [s for s in todo if s in listed]))
-    return [("loaded", s) for s in done] + [("skipped", s) for s in skipped]
+    todo = [int(s) for s in (seqs or listed)]
+    wanted = [s for s in todo if s in listed]
+    rows = [(r["varid"], int(r["seq"]), int(r["ordinal"] or 0)) for r in lookup_rows if int(r["seq"]) in wanted]
+    if rows:
+        store = scratch_dir(spark, "sequence-store")
+        load_sequence_store(spark, root, year, spark.createDataFrame(rows, "varid string, seq int, ordinal int"), store)
+        cells = sequences.read_store(spark, store, None, [year])
+        landed = {(r["kind"], r["seq"]) for r in cells.select("kind", "seq").distinct().collect()}
+
+        def one(at):
+            kind, seq = at
+            order = [f.name for f in lookup.sequence_wide(lookup_rows, seq).fields[len(facts.FIXED_SEQ_COLUMNS):]]
+            wide = sequences.wide_form(sequences.read_store(spark, store, kind, [year], [seq]), order, fixed=True)
+            wide.drop("year").write.mode("overwrite").parquet(f"{out}/kind={kind}/year={year}/seq={seq}")
+
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            list(pool.map(one, sorted(landed)))
+    return [("loaded", s) for s in wanted] + [("skipped", s) for s in todo if s not in listed]
 
 
 def read_loaded_sequences(spark: SparkSession, out: str, year, seqs, kind: str = "e") -> dict:
     """seq → DataFrame of one loaded sequence (with a ``year`` column).
 
     ``year`` is one year, or a list of years to stack: a measure that a year
-    does not have is NULL there.
+    does not have is NULL there, and a year that lacks the sequence has no
+    rows. A sequence that no year has is left out of the result.
     """
     years = list(year) if isinstance(year, (list, tuple, range)) else [year]
-
-    def of(s, y):
-        return spark.read.parquet(f"{out}/kind={kind}/year={y}/seq={s}").withColumn("year", F.lit(y))
-    return {s: feeds.union_drift([of(s, y) for y in years]) for s in seqs}
+    base = f"{out}/kind={kind}"
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{base}/year=*/seq=*")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Folder names only: at most one per year and sequence.
+    there = {tuple(str(s.getPath().toString()).rsplit("/", 2)[1:]) for s in fs.globStatus(at) or []}
+    out_frames = {}
+    for s in seqs:
+        folders = [f"{base}/year={y}/seq={s}" for y in years if (f"year={y}", f"seq={s}") in there]
+        if folders:
+            df = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*folders)
+            out_frames[s] = df.drop("seq").withColumn("year", F.col("year").cast("int"))
+    return out_frames
 
 
 LEDGER_SCHEMA = ("retrieve_ts timestamp_ntz, email_ts timestamp_ntz, email_subject string, "
