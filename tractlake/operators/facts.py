@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractlake.operators.catalog import CatalogError, GroupPlan
+from tractlake.operators.formulas import names_of, unquoted
 
 SEQ_KEYS = ["stusab", "logrecno"]
 # The six leading text columns of every sequence file.
@@ -31,7 +32,7 @@ def prune_measures(seq: DataFrame, measures, year: int | None = None) -> DataFra
     With a parquet or CSV source Spark reads just these columns. When the
     sequence has no ``year`` column the literal ``year`` is added.
     """
-    cols = [F.col("stusab"), F.col("logrecno")]
+    cols = [F.col("stusab_key" if "stusab_key" in seq.columns else "stusab"), F.col("logrecno")]
     if "year" in seq.columns:
         df = seq if year is None else seq.filter(F.col("year") == year)
         cols.insert(0, F.col("year").cast("int").alias("year"))
@@ -81,7 +82,8 @@ def join_sequences(frames, keys=JOIN_KEYS, strategy: str = "union") -> DataFrame
     return checked.select(*keys, *measures)
 
 
-def unique_by_key(seq: DataFrame, keys=JOIN_KEYS) -> DataFrame:
+def unique_by_key(seq: DataFrame, keys=JOIN_KEYS,
+                  message: str = "duplicate key inside one sequence") -> DataFrame:
     """One row per key of a sequence frame; a repeated key fails the job.
 
     The aggregate's shuffle is on the join keys, so it doubles as the
@@ -91,8 +93,7 @@ def unique_by_key(seq: DataFrame, keys=JOIN_KEYS) -> DataFrame:
     ms = [c for c in seq.columns if c not in keys]
     agg = seq.groupBy(*keys).agg(*[F.first(m).alias(m) for m in ms],
                                  F.count(F.lit(1)).alias("_n"))
-    checked = agg.filter(F.when(F.col("_n") > 1, F.raise_error(
-        F.lit("duplicate key inside one sequence"))).otherwise(F.lit(True)))
+    checked = agg.filter(F.when(F.col("_n") > 1, F.raise_error(F.lit(message))).otherwise(F.lit(True)))
     return checked.select(*keys, *ms)
 
 
@@ -139,6 +140,8 @@ def areas_with_measures(areas: DataFrame, sequences: dict, lookup_rows, measures
 
 
 def _area_keys(geo: DataFrame) -> DataFrame:
+    if "stusab_key" in geo.columns:  # stored with the key, maybe bucketed by it
+        return geo.select("year", "geoid", "stusab_key", "logrecno")
     return geo.select(F.col("year").cast("int").alias("year"), "geoid",
                       region_key().alias("stusab_key"), "logrecno")
 
@@ -349,8 +352,47 @@ def empty_fact(spine: DataFrame, plans) -> DataFrame:
                         *[F.lit(None).cast(t).alias(n) for n, t in types.items()])
 
 
+MAX_FIELDS = 100  # fixed value: the default of spark.sql.codegen.maxFields
+
+
+def metric_slices(plans, limit: int) -> list:
+    """Metric names in slices whose measures, metrics and keys stay within ``limit`` fields.
+
+    Metrics keep their order, so neighbours, which mostly share measures, stay
+    together. A metric that alone needs more has a slice of its own.
+    """
+    needs: dict = {}
+    for p in plans:
+        for n, sql in p.metrics:
+            ms = {unquoted(m) for m in names_of(sql)} & set(p.measures)
+            needs.setdefault(n, set()).update(ms)
+    out, measures = [], set()
+    for n, ms in needs.items():
+        room = len(JOIN_KEYS) + 1 + len(measures | ms) + (len(out[-1]) if out else 0) + 1
+        if not out or room > limit:
+            out.append([])
+            measures = set()
+        out[-1].append(n)
+        measures |= ms
+    return out
+
+
+def _fact_columns(live, names, types) -> list:
+    """Each metric: the latest group's value whose window holds the year."""
+    yr, cols = F.col("year"), []
+    for n in names:
+        parts = []
+        for p in reversed(live):
+            sql = dict(p.metrics).get(n)
+            if sql is not None:
+                parts.append(F.when(yr.between(p.first_year, p.last_year), F.expr(sql)))
+        val = parts[0] if len(parts) == 1 else F.coalesce(*parts) if parts else F.lit(None)
+        cols.append(val.cast(types[n]).alias(n))
+    return cols
+
+
 def build_fact(geo: DataFrame, sequences: dict, lookup_rows, plans,
-               missing: str = "raise") -> DataFrame:
+               missing: str = "raise", max_fields: int = MAX_FIELDS) -> DataFrame:
     """The wide fact table in one pass.
 
     All groups' measures are read once per sequence (only the needed
@@ -359,30 +401,33 @@ def build_fact(geo: DataFrame, sequences: dict, lookup_rows, plans,
     sequences. Each metric column is then ``coalesce(group_n, …, group_1)``
     where a group's value counts only in its year window. Groups run in ascending name order and a later non-NULL
     value wins, as with one UPDATE per metric and group.
+
+    A catalog whose measures and metrics are more than ``max_fields`` is
+    computed in slices that Spark compiles (it does not compile a stage with
+    more fields). Each slice keeps the areas' partitioning, so the slices are
+    joined where they lie; an area's key must then be unique, which is checked.
     """
     live = [p for p in plans if not p.empty]
-    measures = sorted({m for p in live for m in p.measures})
     types: dict = {}
-    order: list = []
     for p in plans:
         for n, _ in p.metrics:
-            if n not in types:
-                types[n] = p.types[n]
-                order.append(n)
+            types.setdefault(n, p.types[n])
     areas = _area_keys(geo)
     if not live:
-        return areas.select("year", "geoid", *[F.lit(None).cast(types[n]).alias(n) for n in order])
+        return areas.select("year", "geoid", *[F.lit(None).cast(t).alias(n) for n, t in types.items()])
     lo = min(p.first_year for p in live)
     hi = max(p.last_year for p in live)
-    joined = areas_with_measures(areas, sequences, lookup_rows, measures, (lo, hi), missing)
-    yr = F.col("year")
-    cols = []
-    for n in order:
-        parts = []
-        for p in reversed(live):
-            sql = dict(p.metrics).get(n)
-            if sql is not None:
-                parts.append(F.when(yr.between(p.first_year, p.last_year), F.expr(sql)))
-        val = parts[0] if len(parts) == 1 else F.coalesce(*parts) if parts else F.lit(None)
-        cols.append(val.cast(types[n]).alias(n))
-    return joined.select("year", "geoid", *cols)
+    slices = metric_slices(live, max_fields)
+    if len(slices) > 1:
+        areas = unique_by_key(areas, message="area key twice")
+    out = None
+    for names in slices:
+        wanted = set(names)
+        sqls = [sql for p in live for n, sql in p.metrics if n in wanted]
+        used = {unquoted(m) for sql in sqls for m in names_of(sql)}
+        measures = sorted({m for p in live for m in p.measures} & used)
+        data = areas_with_measures(areas, sequences, lookup_rows, measures, (lo, hi), missing)
+        part = data.select(*JOIN_KEYS, *(["geoid"] if out is None else []), *_fact_columns(live, names, types))
+        out = part if out is None else out.join(part, JOIN_KEYS)
+    rest = [F.lit(None).cast(t).alias(n) for n, t in types.items() if n not in out.columns]
+    return out.select("*", *rest).select("year", "geoid", *types)

@@ -80,22 +80,28 @@ def current_batch(pending: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataFrame
 VERSION_COL = "v"
 
 
-def write_snapshot(df: DataFrame, root: str, version: int) -> str:
+def _folder(version: int, batch: str | None = None) -> str:
+    return f"{VERSION_COL}={version:012d}" + (f".{batch}" if batch else "")
+
+
+def write_snapshot(df: DataFrame, root: str, version: int, batch: str | None = None) -> str:
     """Write the next ledger version to its own folder ``root/v=<version>``.
 
     A version folder is written once and never rewritten, so readers of the
     current version are never disturbed; rerunning a failed write of the same
     version replaces only that folder. Write the feed tables first and the
     ledger last: a crash in between leaves the old version current, and the
-    rerun picks the same notices up again.
+    rerun picks the same notices up again. ``batch`` names the stream batch
+    that the version commits; it is part of the folder's name, so the batch and
+    the ledger are committed by the same write.
     """
-    path = f"{root}/{VERSION_COL}={version:012d}"
+    path = f"{root}/{_folder(version, batch)}"
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-def current_version(spark, root: str) -> int | None:
-    """Newest committed version under ``root``, from a listing of its folders.
+def _versions(spark, root: str, committed: bool = True) -> list:
+    """(version, batch or "", folder) below ``root``, from a listing of its folders.
 
     A version counts once its folder has the writer's commit marker; what a
     lost write left behind doesn't. Only a missing root means that there is
@@ -106,20 +112,37 @@ def current_version(spark, root: str) -> int | None:
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
-        return None
-    versions = []
+        return []
+    out = []
     for status in fs.listStatus(path):
         name = status.getPath().getName()
-        if name.startswith(f"{VERSION_COL}=") and status.isDirectory() \
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-            versions.append(int(name.partition("=")[2]))
-    return max(versions, default=None)
+        if name.startswith(f"{VERSION_COL}=") and status.isDirectory() and (
+                not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))):
+            version, _, batch = name.partition("=")[2].partition(".")
+            out.append((int(version), batch, name))
+    return out
+
+
+def current_version(spark, root: str) -> int | None:
+    """Newest committed version under ``root``."""
+    return max((v for v, _, _ in _versions(spark, root)), default=None)
+
+
+def next_version(spark, root: str) -> int:
+    """A number above every version under ``root``, those of lost writes included."""
+    return max((v for v, _, _ in _versions(spark, root, committed=False)), default=0) + 1
+
+
+def committed_batches(spark, root: str, stream: str) -> int:
+    """How many batches of a stream the ledger has committed: they are numbered from 0, in order."""
+    return max((int(b.rpartition("-")[2]) + 1 for _, b, _ in _versions(spark, root)
+                if b.rpartition("-")[0] == stream), default=0)
 
 
 def read_current(spark, root: str, schema=None) -> DataFrame | None:
     """The current ledger: the newest version folder, read on its own."""
-    v = current_version(spark, root)
-    if v is None:
+    newest = max(_versions(spark, root), default=None)
+    if newest is None:
         return None
     r = spark.read if schema is None else spark.read.schema(schema)
-    return r.parquet(f"{root}/{VERSION_COL}={v:012d}")
+    return r.parquet(f"{root}/{newest[2]}")

@@ -21,9 +21,9 @@ from tractlake.streaming import ingest
 REGISTRY: dict = {}
 
 
-def register(name, sql=None):
+def register(name, sql=None, raw=False):
     def deco(fn):
-        REGISTRY[name] = (fn, None if sql is None else O.with_ctes(sql))
+        REGISTRY[name] = (fn, sql if sql is None or raw else O.with_ctes(sql))
         return fn
     return deco
 
@@ -746,13 +746,14 @@ def feed_zip_load(spark, d):
 
 @register("catalog_csv_load", """
 SELECT trim(group_name) AS group_name, trim(metric_name) AS metric_name, formula, statistic,
-       start_year, end_year, notes FROM catalog_table""")
+       start_year, end_year, notes, row_number() OVER (ORDER BY ordinal) - 1 AS ordinal FROM catalog_table""")
 def catalog_csv_load(spark, d):
-    """Catalog written as a CSV file with a header, read back by position."""
+    """Catalog written as CSV files with headers, one after the other, read back by position
+    and numbered over all files."""
     path = scratch_dir(spark, "catalog")
-    c = S.catalog_table(spark, d).drop("ordinal")
+    c = S.catalog_table(spark, d).repartitionByRange(2, "ordinal").sortWithinPartitions("ordinal").drop("ordinal")
     files.write_staged_csv(c.toDF("group", "name", "formula", "stat", "first", "last", "notes"), path)
-    return files.read_catalog(spark, path).drop("ordinal")
+    return files.read_catalog(spark, path)
 
 
 # Two measures that move to another sequence: sequence and first year of their new home.

@@ -5,15 +5,20 @@ bucketed tables, ledger-bound streams. They add to the registry of
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tractlake.operators import catalog as cat
-from tractlake.operators import facts, sequences
+from tractlake.operators import facts, ledger, sequences
 from tractlake.operators.facts import FIXED_SEQ_COLUMNS
+from tractlake.plans import factstore, loads
 from tractlake.plans import registry as R
 from tractlake.plans import synth as S
 from tractlake.plans.registry import REGISTRY, register  # noqa: F401
 from tractlake.session import scratch_dir
+from tractlake.sources import bucketed
+from tractlake.streaming import ingest
 
 # The queries' sequence files come from Spark, which names files itself, so
 # their identity stands in the folders.
@@ -111,3 +116,79 @@ def fact_sequence_of_one_year(spark, d):
     wanted = plans[0].measures
     rows = lookup_df.filter(F.col("varid").isin(wanted)).collect()  # metadata: years times the group's measures
     return facts.build_fact(R._geo(spark, d), sequences.stored_sequences(spark, out, rows), rows, plans)
+
+
+# ------------------------------------------------------------------ stored fact
+
+@register("fact_store_upsert", R._fact_sql(["legacy", "lines"]))
+def fact_store_upsert(spark, d):
+    """A stored fact skeleton, then a version for each group's update of the years in its window."""
+    root, g = scratch_dir(spark, "fact-store"), R._geo(spark, d)
+    plans = [R._group("legacy"), R._group("lines")]
+    factstore.create(spark, root, facts.empty_fact(g, plans))
+    for p in plans:
+        factstore.upsert(spark, root, facts.group_frame(p, S.sequences(spark, d), S.lookup_rows(), g))
+    return factstore.read(spark, root)
+
+
+BUCKETS = 16
+
+
+@register("fact_bucketed", R._fact_sql(["legacy", "lines", "orders_mix", "shipping"]))
+def fact_bucketed(spark, d):
+    """The flagship fact from areas and sequences that are bucketed by the join keys."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    areas, seqs = bucketed.load_bucketed(spark, R._geo(spark, d), S.sequences(spark, d), name, BUCKETS,
+                                         scratch_dir(spark, "bucketed"))
+    return facts.build_fact(areas, seqs, S.lookup_rows(), cat.plan_groups(S.catalog_rows(), S.LOAD_YEAR))
+
+
+@register("fact_sliced", R._fact_sql(["legacy", "lines", "orders_mix", "shipping"]))
+def fact_sliced(spark, d):
+    """The flagship fact with its metrics in slices of at most twelve fields."""
+    return facts.build_fact(R._geo(spark, d), S.sequences(spark, d), S.lookup_rows(),
+                            cat.plan_groups(S.catalog_rows(), S.LOAD_YEAR), max_fields=12)
+
+
+# ------------------------------------------------------- ledger-bound streams
+
+def _ledger_stream(spark, d, close: bool):
+    """Notices arriving in four files, one a batch, against the stored ledger.
+
+    ``close`` marks everything up to the day as done after every batch, which also ends
+    notices that are open in the ledger and would arrive again in a later file.
+    """
+    landing, out, ckpt, root = (scratch_dir(spark, n) for n in ("notices", "pending", "ledger-ckpt", "ledger"))
+    notices = S.notices(spark, d)
+    notices.repartition(4, "email_ts").write.parquet(landing)
+    ledger.write_snapshot(S.ledger(spark, d), root, 1)
+
+    def selected(batch):
+        return ledger.select_notices(batch, S.FEED_SENDER, S.FEED_PHRASE)
+
+    def advance(batch, current):
+        seen = ledger.append_unseen(current, selected(batch), S.RETRIEVE_TS)
+        return ledger.close_ledger(seen, S.CLOSE_DAY) if close else seen
+
+    def rows(batch, current):
+        return ledger.pending_notices(selected(batch), current)
+    pending = rows(notices, S.ledger(spark, d)).schema
+    for _ in range(2):  # the second run finds nothing new
+        stream = ingest.stream_with_ledger(spark, landing, notices.schema, out, ckpt, root, loads.LEDGER_SCHEMA,
+                                           rows, advance, max_files=1)
+    return out, root, stream, pending
+
+
+@register("stream_ledger_rows", "SELECT sender, subject, email_ts, event_id, is_feed_update FROM pending")
+def stream_ledger_rows(spark, d):
+    """The pending notices of all committed batches."""
+    out, root, stream, schema = _ledger_stream(spark, d, close=False)
+    return ingest.read_committed(spark, out, root, stream, schema).select(
+        "sender", "subject", "email_ts", "event_id", "is_feed_update")
+
+
+@register("stream_ledger_state", R.REGISTRY["ledger_close"][1], raw=True)
+def stream_ledger_state(spark, d):
+    """The ledger after the last batch: every notice seen, closed up to the day."""
+    _, root, _, _ = _ledger_stream(spark, d, close=True)
+    return ledger.read_current(spark, root, loads.LEDGER_SCHEMA)

@@ -3,7 +3,7 @@ folders, staged CSV, text lines with their file path."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,18 +44,32 @@ def read_sequence(spark: SparkSession, paths, schema: T.StructType,
     return r.csv(paths)
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+def file_order(df: DataFrame, column: str = "ordinal") -> DataFrame:
+    """``df``, just read from files, with each row's place from 0: by file name, then place in the file.
+
+    A file may be read in several splits. Rows are numbered inside their
+    split as they are read; the splits' sizes (a row a split) give each split's
+    first number, joined back on (file, start of the split).
+    """
+    at = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+                   F.monotonically_increasing_id().alias("_at"))
+    splits = at.groupBy("_file", "_start").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    return (at.join(splits, ["_file", "_start"])
+            .withColumn(column, F.col("_at") - F.col("_first") + F.col("_before"))
+            .drop("_file", "_start", "_at", "_first", "_before"))
+
+
+def read_catalog(spark: SparkSession, path) -> DataFrame:
     """Catalog CSV (header row, optional byte-order mark), by position.
 
-    Names are trimmed; the row order of the file becomes ``ordinal``
-    (files are read in order, one split each for a catalog this small).
+    Names are trimmed; ``ordinal`` is a row's place over all files, in the
+    order of their names.
     """
     df = (spark.read.schema(CATALOG_SCHEMA).option("header", True).option("mode", "FAILFAST")
           .option("enforceSchema", True).option("encoding", "UTF-8").csv(path))
-    return df.withColumns({
-        "group_name": F.trim("group_name"), "metric_name": F.trim("metric_name"),
-        "ordinal": F.monotonically_increasing_id(),
-    })
+    return file_order(df).withColumns({"group_name": F.trim("group_name"), "metric_name": F.trim("metric_name")})
 
 
 def write_staged_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

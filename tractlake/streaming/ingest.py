@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tractlake.operators import ledger
+
 
 def dedupe_notices(df: DataFrame, ts: str, keys, delay: str) -> DataFrame:
     """Drop repeated notices within the watermark delay.
@@ -62,3 +64,57 @@ def read_ingested(spark: SparkSession, out: str, schema: T.StructType | None = N
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(out).drop("batch")
+
+
+QUERY_ID = "sql.streaming.queryId"
+
+
+def stream_with_ledger(spark: SparkSession, source: str, schema: T.StructType, out: str,
+                       checkpoint: str, ledger_root: str, ledger_schema, rows, advance,
+                       fmt: str = "parquet", glob: str | None = None,
+                       max_files: int | None = None) -> str:
+    """One incremental pass whose data and ledger are committed together.
+
+    For every micro-batch, ``rows(batch, ledger)`` gives the rows to keep and
+    ``advance(batch, ledger)`` the next ledger. The rows are written to a
+    folder of the stream's id and the batch's number; then one write adds the
+    ledger version, whose folder names that batch. That write is the commit:
+
+    * a crash before it leaves neither (readers ask the ledger which batches
+      count), and the replay of the batch, which the checkpoint guarantees to
+      hold the same files, replaces the rows;
+    * a crash behind it, before the checkpoint notes the batch, replays a batch
+      that the ledger has, which is skipped.
+
+    The id comes from the checkpoint, so a new checkpoint is another stream
+    and never mistaken for a replay. Returns the id; see :func:`read_committed`.
+    """
+    r = spark.readStream.format(fmt).schema(schema)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+
+    def write(batch: DataFrame, batch_id: int):
+        stream = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        if batch_id < ledger.committed_batches(spark, ledger_root, stream):
+            return
+        current = ledger.read_current(spark, ledger_root, ledger_schema)
+        if current is None:
+            current = spark.createDataFrame([], ledger_schema)
+        rows(batch, current).write.mode("overwrite").parquet(f"{out}/stream={stream}/batch={batch_id}")
+        ledger.write_snapshot(advance(batch, current), ledger_root,
+                              ledger.next_version(spark, ledger_root), f"{stream}-{batch_id}")
+
+    q = (r.load(source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return str(q.id)
+
+
+def read_committed(spark: SparkSession, out: str, ledger_root: str, stream: str, schema) -> DataFrame:
+    """The rows of the batches that the ledger has committed; those of a lost batch don't count."""
+    n = ledger.committed_batches(spark, ledger_root, stream)
+    if not n:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{out}/stream={stream}/batch={b}" for b in range(n)])
