@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tractlake.session import scratch_dir
+
 # The four feed table layouts (name, type, max text length).
 S = T.StringType()
 
@@ -129,7 +131,7 @@ def scan_by_date(df: DataFrame, ts: str, after: str) -> DataFrame:
     return df.filter(date_after(ts, after))
 
 
-def _member_rows(text: str, columns, header: bool, bad: str, good: str):
+def _member_rows(text: str, columns, header: bool, bad: str, good: str, rename=None):
     """Rows of one member, aligned to ``columns``: its own header decides where
     each column stands; a member whose widest row has more fields than its
     header is repaired (every ``bad`` becomes ``good``) and read again."""
@@ -139,9 +141,8 @@ def _member_rows(text: str, columns, header: bool, bad: str, good: str):
     if first is None:
         return
     names = [h.strip().replace("-", "") for h in first] if header else list(columns)
+    names = [(rename or {}).get(n, n) for n in names]
     unknown = sorted(set(names) - set(columns))
-    if len(names) == len(columns) and all(a == b for a, b in zip(names, columns) if a in columns):
-        names, unknown = list(columns), []  # a heading renamed in its place
     if unknown or len(set(names)) < len(names):
         raise ValueError(f"header with unknown or repeated names: {', '.join(unknown or names)}")
     if max(map(len, rows())) > len(names):
@@ -154,13 +155,13 @@ def _member_rows(text: str, columns, header: bool, bad: str, good: str):
             yield [r[j] if j is not None and j < len(r) else None for j in at]
 
 
-def _feed_reader(columns, header: bool, bad: str, good: str, batch_rows: int = 1000):
+def _feed_reader(columns, header: bool, bad: str, good: str, rename=None, batch_rows: int = 1000):
     def run(batches):
         csv.field_size_limit(1 << 30)
         out = []
         for pdf in batches:
             for path, body in zip(pdf["path"], pdf["content"]):
-                for r in _member_rows(bytes(body).decode("utf-8-sig"), columns, header, bad, good):
+                for r in _member_rows(bytes(body).decode("utf-8-sig"), columns, header, bad, good, rename):
                     out.append([path, *r])
                     if len(out) >= batch_rows:
                         yield pd.DataFrame(out, columns=["file", *columns])
@@ -171,16 +172,122 @@ def _feed_reader(columns, header: bool, bad: str, good: str, batch_rows: int = 1
 
 
 def read_feed_archives(members: DataFrame, layout, header: bool = True, bad: str = "\t \t",
-                       good: str = "\t") -> DataFrame:
-    """Feed zips (already expanded) → repaired, typed feed table.
+                       good: str = "\t", rename: dict | None = None) -> DataFrame:
+    """Feed zips (already expanded) → repaired, typed feed table, in one pass without files.
 
     Each member is read by its own header (names without ``-``): columns may
-    come in any order, missing ones are NULL, unknown ones fail the job.
+    come in any order, missing ones are NULL, unknown ones fail the job unless
+    ``rename`` maps them to a column of the layout.
     Fields may be quoted, and a quoted field may hold tabs and line breaks.
     Whether a member needs the repair is decided by that member alone, so
-    nothing is shuffled. Without ``header`` columns go by position.
+    nothing is shuffled. Without ``header`` columns go by position. For many
+    or large members use :func:`read_feed_members`, which parses in the JVM.
     """
     names = [n for n, _, _ in layout]
     schema = T.StructType([T.StructField(c, S) for c in ["file", *names]])
-    rows = members.select("path", "content").mapInPandas(_feed_reader(names, header, bad, good), schema)
+    rows = members.select("path", "content").mapInPandas(_feed_reader(names, header, bad, good, rename), schema)
     return typed_load(rows, layout, by_position=False)
+
+
+def _column_order(heads, columns, rename, by_position: bool):
+    """Places (from 1) in the layout of a member's headings, as text; unknown or repeated ones fail."""
+    known = F.array(*[F.lit(c) for c in columns])
+    pairs = [x for old, new in (rename or {}).items() for x in (F.lit(old), F.lit(new))]
+    if pairs:
+        mapped = F.create_map(*pairs)
+        heads = F.transform(heads, lambda h: F.coalesce(F.try_element_at(mapped, h), h))
+    place = F.transform(heads, lambda h: F.array_position(known, h))
+    unknown = F.filter(heads, lambda h: ~F.array_contains(known, h))
+    order = F.when(
+        (F.size(unknown) > 0) | (F.size(F.array_distinct(heads)) < F.size(heads)),
+        F.raise_error(F.concat(F.lit("header with unknown or repeated names: "), F.array_join(
+            F.when(F.size(unknown) > 0, F.array_sort(unknown)).otherwise(heads), ", ")))).otherwise(place)
+    if by_position:
+        there = F.array(*[F.lit(i).cast("bigint") for i in range(1, len(columns) + 1)])
+        in_place = F.forall(F.zip_with(place, there, lambda p, i: (p == 0) | (p == i)), lambda x: x)
+        order = F.when((F.size(heads) == len(columns)) & in_place, there).otherwise(order)
+    return F.array_join(F.transform(order, lambda p: p.cast("string")), ".")
+
+
+def _field_count(record):
+    """Fields of a raw tab-separated record; tabs inside quoted fields don't count."""
+    bare = F.regexp_replace(F.replace(record, F.lit('""'), F.lit("")), r'(^|\t)"[^"]*+"', "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit("\t"), F.lit(""))) + 1
+
+
+def _parsed(spark, root: str, orders) -> DataFrame:
+    """(member, order, cells, width) of the landed bodies, by Spark's own multi-line reader."""
+    out = None
+    for order in orders:  # a read for each column order: few, and each has its width
+        n = order.count(".") + 1
+        schema = T.StructType([T.StructField(f"c{i}", S) for i in range(n)] + [T.StructField("_bad", S)])
+        rows = (spark.read.schema(schema.add("member", S)).option("sep", "\t").option("quote", '"').option("escape", '"')
+                .option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad")
+                .csv(f"{root}/order={order}"))
+        rows = rows.select("member", F.lit(order).alias("order"), F.array(*[f"c{i}" for i in range(n)]).alias("cells"),
+                           F.when(F.col("_bad").isNull(), n).otherwise(_field_count(F.col("_bad"))).alias("width"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def read_feed_members(members: DataFrame, layout, header: bool = True, bad: str = "\t \t", good: str = "\t",
+                      rename: dict | None = None, by_position: bool = False) -> DataFrame:
+    """Feed zips (already expanded) → repaired, typed feed table, without a Python parser.
+
+    Every member's body lands as a file of its own, in a folder that names
+    the member's column order (from its header), and Spark's multi-line CSV reader
+    parses it: fields may be quoted and hold tabs and line breaks. An aggregate
+    over each member's rows finds those with more fields than their header;
+    in such a member every ``bad`` becomes ``good``, and it is parsed once
+    more. A row that is still too wide fails the job.
+
+    Columns may come in any order, missing ones are NULL, short rows are
+    filled with NULL. Unknown or repeated headings fail, unless ``rename`` maps them or,
+    with ``by_position``, all headings are as many as the layout's and the
+    known ones stand in their place: then columns go by position, as a
+    positional load of the file would.
+    """
+    spark = members.sparkSession
+    names = [n for n, _, _ in layout]
+    text = F.regexp_replace(F.decode("content", "UTF-8"), "^\ufeff?[\r\n]*", "")
+    head = F.regexp_extract(text, r"^[^\r\n]*", 0)
+    heads = F.transform(F.split(head, "\t", -1), lambda h: F.replace(
+        F.btrim(F.regexp_replace(h, r'^\s*"(.*)"\s*$', "$1")), F.lit("-"), F.lit("")))
+    everything = ".".join(str(i + 1) for i in range(len(names)))
+    rows = members.select(
+        F.sha1(F.concat(F.col("path").cast("binary"), F.lit(b"\0"), "content")).alias("member"),
+        (_column_order(heads, names, rename, by_position) if header else F.lit(everything)).alias("order"),
+        (F.regexp_replace(F.substr(text, F.length(head) + 1), r"^\r?\n?", "") if header else text).alias("body"),
+        text.alias("_text")).filter(F.col("_text") != "").drop("_text")
+
+    def stored(df, name):
+        folder = scratch_dir(spark, name)
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+    rows = stored(rows, "feed-members")  # archives are opened once
+    orders = [r["order"] for r in rows.select("order").distinct().collect()]  # headings, not data
+    if not orders:
+        empty = spark.createDataFrame([], T.StructType([T.StructField(c, S) for c in names]))
+        return typed_load(empty, layout, by_position=False)
+
+    def landed(df, name):
+        folder = scratch_dir(spark, name)
+        df.select("body", "order", "member").write.partitionBy("order", "member").text(folder)
+        return folder
+    # Stored, so that the widths are those of whole rows and every file is parsed once.
+    first = stored(_parsed(spark, landed(rows, "feed-bodies"), orders), "feed-rows")
+    wide = (first.groupBy("member", "order").agg(F.max("width").alias("w"))
+            .filter(F.col("w") > F.size(F.split("order", r"\."))).select("member"))
+    wide = stored(wide, "feed-wide")
+    cells = first.join(wide, "member", "left_anti")
+    again = [r["order"] for r in rows.join(wide, "member", "left_semi").select("order").distinct().collect()]
+    if again:
+        mended = rows.join(wide, "member", "left_semi").withColumn("body", F.replace("body", F.lit(bad), F.lit(good)))
+        second = stored(_parsed(spark, landed(mended, "feed-mended"), again), "feed-mended-rows")
+        cells = cells.unionByName(second.filter(F.when(
+            F.col("width") > F.size(F.split("order", r"\.")),
+            F.raise_error(F.lit("line has more fields than the header after repair"))).otherwise(F.lit(True))))
+    places = F.split("order", r"\.")
+    return typed_load(cells.select(*[
+        F.when(F.array_contains(places, str(i)), F.get("cells", (F.array_position(places, str(i)) - 1).cast("int"))).alias(c)
+        for i, c in enumerate(names, 1)]), layout, by_position=False)

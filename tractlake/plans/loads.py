@@ -155,7 +155,7 @@ def run_feed_batch(spark: SparkSession, notices: DataFrame, ledger_root: str,
     written = []
     for name, (glob, layout) in feeds_by_table.items():
         members = archives.expand_archives(_binary(spark, folder, glob), keep_dirs=False)
-        files.load_table(feeds.read_feed_archives(members, layout), f"{out_root}/{name}")
+        files.load_table(feeds.read_feed_members(members, layout, by_position=True), f"{out_root}/{name}")
         written.append(name)
     closed = ledger.close_ledger(appended, batch["batch_date"])
     ledger.write_snapshot(closed, ledger_root, version + 1)

@@ -738,10 +738,10 @@ SELECT CAST(s_suppkey AS VARCHAR) AS testratingid,
   'https://example.org/r/' || CAST(s_suppkey AS VARCHAR) AS url
 FROM supplier""")
 def feed_zip_load(spark, d):
-    """Feed zips → members → lines → per-file repair → typed ratings table."""
+    """Feed zips → members → files → Spark's reader → per-file repair → typed ratings table."""
     zips = S.ratings_lines(spark, d).mapInPandas(_ratings_zips, archives.PACK_SCHEMA)
     members = archives.expand_archives(zips, keep_dirs=False, flatten=False)
-    return feeds.read_feed_archives(members, feeds.RATINGS)
+    return feeds.read_feed_members(members, feeds.RATINGS)
 
 
 @register("catalog_csv_load", """
