@@ -82,18 +82,16 @@ def metric_type(statistic) -> Column:
 def metric_types(cat: DataFrame) -> DataFrame:
     """One stored type per metric name; two types for one name raise.
 
-    The check is part of the plan (``raise_error`` inside the aggregate's
-    projection), so no separate job runs it.
+    The check is a filter that raises, so it runs whichever columns are read.
     """
     t = cat.select(F.lower(F.trim("metric_name")).alias("metric_name"),
                    metric_type("statistic").alias("col_type"))
     agg = t.groupBy("metric_name").agg(F.min("col_type").alias("col_type"),
                                        F.max("col_type").alias("_hi"))
-    return agg.select(
-        "metric_name",
-        F.when(F.col("col_type") != F.col("_hi"),
-               F.raise_error(F.concat(F.lit("metric with two types: "), F.col("metric_name"))))
-        .otherwise(F.col("col_type")).alias("col_type"))
+    checked = agg.filter(F.when(
+        F.col("col_type") != F.col("_hi"),
+        F.raise_error(F.concat(F.lit("metric with two types: "), F.col("metric_name")))).otherwise(F.lit(True)))
+    return checked.select("metric_name", "col_type")
 
 
 def select_items(cat: DataFrame, ordinal="ordinal") -> DataFrame:
@@ -120,10 +118,20 @@ def group_sequences(lookup: DataFrame, measures, year: int | None = None) -> Dat
             .select("seq").distinct())
 
 
-def sequence_measures(lookup: DataFrame, measures, seq: int, year: int | None = None) -> DataFrame:
-    """The given measures that live in one sequence, in column order."""
-    return (_of_year(lookup, year).filter(F.col("varid").isin(list(measures)) & (F.col("seq") == seq))
-            .select("varid", "ordinal"))
+def sequence_measures(lookup: DataFrame, measures, seq: int | None = None, year: int | None = None) -> DataFrame:
+    """The given measures that live in one sequence, in column order.
+
+    Without ``seq``: those of every sequence, as (seq, varid, ordinal).
+    ``measures`` is a list of ids or a table with a ``varid`` column.
+    """
+    rows = _of_year(lookup, year)
+    if isinstance(measures, DataFrame):
+        rows = rows.join(measures.select("varid").distinct(), "varid", "left_semi")
+    else:
+        rows = rows.filter(F.col("varid").isin(list(measures)))
+    if seq is None:
+        return rows.select("seq", "varid", "ordinal")
+    return rows.filter(F.col("seq") == seq).select("varid", "ordinal")
 
 
 # ------------------------------------------------------------------ planner

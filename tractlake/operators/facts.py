@@ -60,10 +60,8 @@ def join_sequences(frames, keys=JOIN_KEYS, strategy: str = "union") -> DataFrame
     no row is lost.
     """
     frames = [_keyed(f) for f in frames]
-    if len(frames) == 1:
-        return frames[0]
-    if strategy == "full":
-        return reduce(lambda a, b: a.join(b, list(keys), "full"), frames)
+    if len(frames) == 1 or strategy == "full":
+        return reduce(lambda a, b: a.join(b, list(keys), "full"), [unique_by_key(f, keys) for f in frames])
     measures = []
     tagged = []
     for i, f in enumerate(frames):
@@ -160,9 +158,10 @@ def attach_area(data: DataFrame, geo: DataFrame, names) -> DataFrame:
     """RIGHT OUTER join of metric rows to the areas of their year.
 
     Every area row survives; region codes are compared in lower case. The
-    year comes from the area side, so areas without data keep their year.
+    year comes from the area side, so areas without data keep their year. A
+    key repeated in ``data`` fails the job instead of repeating areas.
     """
-    d = _keyed(data).alias("d")
+    d = unique_by_key(_keyed(data).select(*JOIN_KEYS, *names)).alias("d")
     g = geo.select("year", "geoid", region_key().alias("stusab_key"), "logrecno").alias("g")
     cond = [F.col("d.year") == F.col("g.year"),
             F.col("d.stusab_key") == F.col("g.stusab_key"),

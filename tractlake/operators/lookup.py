@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractlake.operators.facts import FIXED_SEQ_COLUMNS
+from tractlake.operators.facts import FIXED_SEQ_COLUMNS, unique_by_key
 
 MEASURE_TYPE = T.DecimalType(16, 2)
 TEMPLATE_SKIP = 6
@@ -84,12 +84,13 @@ def measures_long(est: DataFrame, mar: DataFrame, measures,
 
     The wide tables are joined first (one row per key, far fewer rows than
     the long form) with a FULL OUTER join on coalesced keys, then each row is
-    unpivoted locally into one row per measure.
+    unpivoted locally into one row per measure. A key repeated inside one table
+    fails the job; the check's aggregate is the join's shuffle.
     """
     keys = list(keys)
     e = est.select(*keys, *[F.col(m).alias(f"e_{m}") for m in measures])
     m = mar.select(*keys, *[F.col(x).alias(f"m_{x}") for x in measures])
-    j = e.join(m, keys, "full")
+    j = unique_by_key(e, keys).join(unique_by_key(m, keys), keys, "full")
     cells = F.array(*[F.struct(F.lit(x).alias("measure"), F.col(f"e_{x}").alias("estimate"),
                                F.col(f"m_{x}").alias("margin")) for x in measures])
     return j.select(*keys, F.inline(cells))

@@ -819,10 +819,14 @@ def lookup_build(spark, d):
 
 
 @register("catalog_sequence_measures", """
-SELECT varid, ordinal FROM template_long WHERE seq = 7 AND varid IN ('T00001_001', 'T00001_003', 'T00001_004')""")
+SELECT seq, varid, ordinal FROM template_long
+WHERE varid IN (SELECT varid FROM template_long WHERE label LIKE '% (%')
+   OR varid IN ('T00001_001', 'T00001_003')""")
 def catalog_sequence_measures(spark, d):
-    wanted = ["T00001_001", "T00001_003", "T00001_004"]
-    return cat.sequence_measures(_template_lookup(spark, d), wanted, 7).select("varid", "ordinal")
+    """The wanted measures, a table, of every sequence of the lookup."""
+    lk = _template_lookup(spark, d)
+    wanted = lk.filter(F.col("label").like("% (%") | F.col("varid").isin("T00001_001", "T00001_003"))
+    return cat.sequence_measures(lk, wanted)
 
 
 @register("table_scan", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
@@ -842,11 +846,12 @@ def stream_dedupe_notices(spark, d):
 
 
 @register("archive_chunks", """
-SELECT page_id, CAST(strlen(html) AS BIGINT) AS n_bytes, md5(html) AS digest FROM pages WHERE html <> ''""")
+SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n_bytes, md5(coalesce(html, '')) AS digest FROM pages""")
 def archive_chunks(spark, d):
     """Members streamed out in pieces of 16 KiB and put together again."""
     p = S.table(spark, d, "pages").select(
-        "page_id", "html", F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"))
+        "page_id", F.coalesce("html", F.lit("")).alias("html"),
+        F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"))
     zips = archives.pack_archives(p, "landing/pages", "name", "html", "page_id")
     parts = archives.expand_chunks(zips, chunk_bytes=1 << 14)
     whole = parts.groupBy("archive", "member").agg(

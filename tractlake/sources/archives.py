@@ -97,12 +97,14 @@ def _chunks(batches, chunk_bytes: int):
                         continue
                     with z.open(info) as f:
                         at = 0
-                        while data := f.read(chunk_bytes):
+                        while (data := f.read(chunk_bytes)) or not at and not info.file_size:
                             rows.append((archive, info.filename, at, data))
                             at, size = at + len(data), size + len(data)
                             if size >= chunk_bytes or len(rows) >= 1000:
                                 yield pd.DataFrame(rows, columns=cols)
                                 rows, size = [], 0
+                            if not data:
+                                break
         if rows:
             yield pd.DataFrame(rows, columns=cols)
 
@@ -113,8 +115,8 @@ def expand_chunks(files: DataFrame, chunk_bytes: int = 8 << 20) -> DataFrame:
     A task holds one piece of at most ``chunk_bytes``, never a member. With
     ``content`` in ``files`` the archive's bytes come from there; without it
     (only ``path``) the archive is opened in place and read piece by piece,
-    so it may be larger than a ``binaryFile`` row can be. An empty member has
-    no piece; directory entries are dropped.
+    so it may be larger than a ``binaryFile`` row can be. An empty member is
+    one empty piece; directory entries are dropped.
     """
     src = files.select("path", *(["content"] if "content" in files.columns else []))
     return src.mapInPandas(lambda it: _chunks(it, chunk_bytes), CHUNK_SCHEMA)
