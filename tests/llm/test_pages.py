@@ -1,6 +1,8 @@
 """Archives and page extraction against small cases and the tables."""
 
 import collections
+import html.parser
+import random
 import zlib
 
 import duckdb
@@ -107,7 +109,6 @@ def test_main_text_edge_rows(spark):
 
 
 def _words(seed, n):
-    import random
     rng = random.Random(seed)
     return " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(n))
 
@@ -161,3 +162,117 @@ def test_salvage_inside_a_member_of_several_records():
     assert kept[:3] == list("012")
     every = [i[3]["warc-record-id"][12:-1] for i in warc.salvage(long[:len(plain[0]) * 4]) if i[0] != "gap"]
     assert every == kept and _found(warc.member(b"") + data)[0] == list("01345")
+
+ARTICLE = "<article><h1>Head</h1><p>One two three.</p><p>Four five.</p></article>"
+WANT = "Head\nOne two three.\nFour five."
+
+
+@pytest.mark.parametrize("html", [
+    f"<html><head><title>t</title><body>{ARTICLE}</body></html>",  # the head's end tag is optional
+    f"<html><head><meta charset=utf-8><title>t</title>{ARTICLE}</html>",
+    f"<body><form action=/x><nav>menu</nav>{ARTICLE}</form></body>",
+    f'<div class="content has-sidebar">{ARTICLE}</div>', f'<div class="layout sidebar-right">{ARTICLE}</div>',
+    f'<div id="search-results-page">{ARTICLE}</div>', f'<div class="site with-sidebar">{ARTICLE}</div>',
+    f"<nav><a>menu</a>{ARTICLE}<footer><nav>low</nav></footer>", f"<aside>side{ARTICLE}",
+    f'<div class="sidebar">{ARTICLE}</div><div class="related"><p>more</p></div>',
+    f'{ARTICLE}<div class="related"><article>teaser</article></div>',
+    f'{ARTICLE}<section id="comments"><article class="comment"><p>first!</p></article></section>',
+    f'<div class="site-header"><p>Site</p></div><div class="cookie-notice">We use cookies</div>{ARTICLE}<footer>x</footer>',
+])
+def test_articles_stay(html):
+    assert htmltext.main_texts([htmltext.blocks_of(html)]) == [WANT]
+
+
+def test_text_inside_articles_and_forms():
+    text = lambda h: htmltext.main_texts([htmltext.blocks_of(h)])[0]
+    for word in ("related-work", "notice", "body social-issues", "search"):
+        assert text(f'<article><p>One.</p><section class="{word}"><p>Two.</p></section></article>') == "One.\nTwo."
+    assert text('<article><p>One.</p><div class="share-buttons">tweet</div><div class="newsletter-signup">join</div></article>') == "One."
+    body = "<p>The page's own words stand here, in a form, as old pages do.</p>"
+    assert text(f"<body><form><nav>menu</nav>{body}<footer>low</footer></form>") == body[3:-4]
+    assert text(f"{body}<form>Search <input></form>") == body[3:-4]
+    # comments never count as most of the page
+    assert text(f'{body}<div id="comments">{"<p>first! me too!</p>" * 30}</div>') == body[3:-4]
+
+
+@pytest.mark.parametrize("html, want", [
+    ('<p title="it>Para one.</p><p class="x">Two.</p>', "Para one.\nTwo."), ("<p title='it>One.</p><p>It is 'so'.</p>", "One.\nIt is 'so'."),
+    ('<p data-x="<b>a</b>" class=y>One.</p>', "One."), ('<p title="a > b">One.</p>', "One."), ('<p title = "a<b">One.</p>', "One."),
+    ("a <b or c < d <p>x", "a <b or c < d\nx"), ('<p =">One.</p>', "One."), ("<p a=b'c>One.</p>", "One.")])
+def test_tags_with_odd_quotes(html, want):
+    assert htmltext.main_texts([htmltext.blocks_of(html)]) == [want]
+
+
+def test_phrases_inside_sentences_stay():
+    phrase = "is expected to be announced later this year by the company"
+    pages = [[("A", f"{_words(i, 12)} {phrase} {_words(-i, 9)}.")] for i in range(4)]
+    assert htmltext.main_texts(pages) == [p[0][1] for p in pages]
+    many = [[("A", f"{_words(i, 12)} {phrase} {_words(100 + i, 9)}.")] for i in range(20)]
+    assert htmltext.main_texts(many) == [p[0][1] for p in many]  # on many pages too
+    line = "This story is free to read because of our readers."
+    ends = [[("A", f"{_words(i, 30)}. {line} {_words(100 + i, 30)}.")] for i in range(20)]
+    assert htmltext.main_texts(ends) == [p[0][1].replace(line + " ", "") for p in ends]
+    assert htmltext.main_texts(ends[:5]) == [p[0][1] for p in ends[:5]]  # on few pages a sentence stays
+
+
+def test_near_copies_are_found():
+    """Share of pairs of 400 tokens with a true overlap of 0.80 to 0.83 that fold."""
+    rng, found, n = random.Random(3), 0, 0
+    while n < 150:
+        words = _words(n, 400).split(" ")
+        other = list(words)
+        for i in rng.sample(range(400), rng.randrange(10, 16)):
+            other[i] = f"new{rng.random()}"
+        a, b = ([("A", " ".join(x))] for x in (words, other))
+        x, y = (set(zip(w, w[1:], w[2:])) for w in (words, other))
+        if 0.8 <= len(x & y) / len(x | y) <= 0.83:
+            n += 1
+            found += htmltext.fold([a, b]) == [0, 0]
+    assert found >= 0.9 * n
+
+
+def test_a_hot_group_of_copies_is_dealt_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(htmltext, "SHARD_BYTES", 20_000)
+    menu = _words("menu", 30)
+    page = lambda text: f"<article><p>{text}</p><p>{menu}</p></article>"
+    rows = [(i, "http://big/x", page(_words("copied", 100) + f" end{i % 50}")) for i in range(300)]
+    rows += [(300 + i, "http://big/y", page(_words(i, 100))) for i in range(40)]
+    got = {r.page: r.text for r in htmltext.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {i: h[12:h.index("</p>")] for i, _, h in rows}
+
+
+class Plain(html.parser.HTMLParser):
+    """An extraction of its own: the paragraphs and headings of the article."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.blocks, self.now = 0, [], []
+
+    def handle_starttag(self, tag, attrs):
+        self.cut(tag)
+        self.open += tag == "article"
+
+    def handle_endtag(self, tag):
+        self.cut(tag)
+        self.open -= tag == "article"
+
+    def cut(self, tag):
+        if tag in ("p", "h1", "article"):
+            text = " ".join("".join(self.now).split())
+            self.blocks += [text] if text else []
+            self.now = []
+        elif tag == "br":
+            self.now.append(" ")
+
+    def handle_data(self, data):
+        if self.open:
+            self.now.append(data)
+
+
+def test_query_against_a_plain_parser(spark):
+    want = {}
+    for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect():
+        p = Plain()
+        p.feed(r.html or "")
+        want[r.page_id] = "\n".join(p.blocks)
+    assert {r.page_id: r.text for r in REGISTRY["op5_host_suffix_array"][0](spark, SF_SMALL).collect()} == want

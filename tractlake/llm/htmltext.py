@@ -1,31 +1,37 @@
 """Main text of web pages: markup first, then a suffix array per host.
 
 1. Markup. A page becomes blocks of text with a role: ``D`` what markup names as menu, header,
-   footer, sidebar, notice, advert, form, comment and the like (by element, or by a word of
-   its class, id or role); ``A`` what stands inside an article or main element; ``L`` all else.
-   Scripts, styles and markup never become text. Character references are decoded; white
-   space inside a block becomes one space.
+   footer, sidebar, notice, advert, form, comment and the like (by element, or by a whole
+   word of its class, id or role); ``A`` what stands inside an article or main element; ``L``
+   all else. A page's end decides about elements that are dropped by their name, or are forms or
+   headers: where no other article is, one that holds the article stays, and so does, without any
+   article, one with more than half of the text. Menus, footers, asides and comments stay dropped. Scripts,
+   styles and markup never become text. Character references are decoded; white space inside a
+   block becomes one space.
 2. Host suffix array. The token streams of a shard's pages are concatenated, each block ended
    by a token of its own, and their suffixes are sorted by their first ``RUN`` tokens (prefix
    doubling: 1, 2, 4, ... tokens; a longer order isn't needed to find repeats of ``RUN``
    tokens or more). Neighbours that agree in ``RUN`` tokens are repeats; a run found on
    enough distinct pages of the host is boilerplate and covers its tokens. Near copies (``ALIKE``
-   of the windows of ``SHINGLE`` tokens of two pages are common) count as one page, so copies of
-   a text don't make it boilerplate. Enough is at least ``PAGES`` and ``SHARE`` of the host's
-   distinct pages of the kind, those with and those without ``A`` blocks counted apart. ``L``
-   blocks shorter than ``RUN`` are compared whole.
+   of the windows of ``SHINGLE`` tokens of two pages are common) count as one page, by the first of
+   them, so copies of a text don't make it boilerplate. Enough is at least ``PAGES`` and ``SHARE`` of
+   the host's distinct pages of the kind, those with and those without ``A`` blocks counted apart.
+   ``L`` blocks shorter than ``RUN`` are compared whole. Of ``A`` blocks whole ones go, or, on
+   more pages (``S``), whole sentences; a phrase inside a sentence never does.
 3. Of each block what isn't covered stays. A page with ``A`` blocks keeps those; one without
    keeps its ``L`` blocks.
 
-A host is dealt into shards of about ``SHARD_BYTES`` of html, or of ``SHARD_PAGES`` pages if
-that is more, near copies together, so no task gathers a host of any size. Support is counted
-over the host: a run on a share of its pages is on that share of some shard's, so what a shard
-finds is asked of all shards, and their numbers of pages are added up.
+Each page is parsed once, and its blocks are stored. A host's distinct pages are dealt into
+shards of about ``SHARD_BYTES`` of html, or of ``SHARD_PAGES`` pages if that is more; their copies,
+which aren't counted, go to shards of their own by row, so no task gathers a host or a group of
+copies of any size. Support is counted over the host: a run on a share of its pages is on that share
+of some shard's, so what a shard finds is asked of all shards, and their numbers of pages are added up.
 
 Defined cases: null and empty html give the empty text; a null url, or one without a host,
 belongs to the host ''; repeated rows get the same text; a null page id is hashed as null; an
-unclosed comment, script or style reaches to the end of the page; an empty table gives an
-empty result; columns besides the three are neither read nor able to clash.
+unclosed comment, script or style reaches to the end of the page, an unclosed head to the first
+content of the body, an unclosed menu to the article; a tag that can't be read ends at its ``>``;
+an empty table gives an empty result; columns besides the three are neither read nor able to clash.
 """
 
 from __future__ import annotations
@@ -46,14 +52,16 @@ RUN = 8
 SHARD_BYTES = 1 << 20
 SHARD_PAGES = 32
 # On how many, and on which share, of a host's distinct pages a run is boilerplate, by role.
-PAGES = {"L": 4, "A": 4}
-SHARE = {"L": 0.25, "A": 0.5}
-SHINGLE, SKETCH, BANDS, BAND, ALIKE = 3, 128, 10, 5, 0.8
+PAGES = {"L": 4, "A": 4, "S": 8}
+SHARE = {"L": 0.25, "A": 0.5, "S": 0.5}
+KINDS = ("L", "A")
+SHINGLE, BANDS, BAND, ALIKE = 3, 10, 5, 0.8
 ROWS = 64
 
 # Elements of HTML by what they mean here.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object", "canvas"}
-DROP = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "head"}
+HARD = {"nav", "footer", "aside", "menu", "dialog", "button", "select", "head"}  # never hold the main text
+IN_HEAD = {"meta", "link", "base"} | RAW
 ARTICLE = {"article", "main"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "dd", "details", "dialog", "div", "dl", "dt", "fieldset",
@@ -61,46 +69,97 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "dd", "details", "
          "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead",
          "tr", "ul"}
 CLOSES_P = BLOCK - {"body", "html"}
-NAMED = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|notices?|newsletter|"
-    r"subscribe|signup|sidebar|widgets?|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|masthead|"
-    r"share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|replies|respond|popup|modal|overlay|"
-    r"login|search|skip|copyright|toolbar|complementary|contentinfo)(?:$|[-_\s])", re.I)
-HEADER = re.compile(r"(?:^|[-_\s])(?:header|banner)(?:$|[-_\s])", re.I)
-
-TAG = re.compile(r"""<!--|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?>[^<>"']+|"[^"]*"|'[^']*')*)>""")
+_COMMENTS = r"comments?|commentlist|disqus|replies|respond"
+_ASIDE = (r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|newsletter|subscribe|signup|sidebar|widgets?|menu|"
+          r"nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|share|sharing|social|related|recommend\w*|popup|modal|"
+          r"overlay|login|skip|toolbar|complementary|contentinfo")
+_PLACE = r"site|page|main|top|bottom|left|right|primary|secondary|global|post|entry|mobile|sticky|header|footer"
+_PART = (r"left|right|top|bottom|lists?|items?|box|bar|area|wrap|wrapper|container|content|sections?|blocks?|links?|buttons?|icons?|"
+         r"form|inner|outer|posts?|articles?|slot|unit|text|title|message|policy|header|\d+")
+
+
+def _vocabulary(core: str) -> re.Pattern:
+    """Whole class words: one of ``core``, with a place before it and parts after it."""
+    return re.compile(rf"(?:(?:{_PLACE})[-_])*(?:{core})(?:[-_](?:{core}|{_PART}))*", re.I)
+
+
+COMMENTS = _vocabulary(_COMMENTS)
+NAMED = _vocabulary(f"{_ASIDE}|{_COMMENTS}|notices?|banners?|masthead|search|copyright")
+IN_ARTICLE = _vocabulary(f"{_ASIDE}|{_COMMENTS}")
+HEADER = re.compile(r"(?:(?:site|page|main|top|global)[-_])?(?:header|banner)(?:[-_](?:inner|wrap|wrapper|container|top|bar))?", re.I)
+
+# Values in quotes may hold "<" only where the quote surely ends; any other tag ends at its first ">".
+TAG = re.compile(r"""<!--|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?>[^<>"'=]+|=\s*"[^"<]*"|=\s*'[^'<]*'"""
+                 r"""|=\s*"[^"]*"(?=[\s/>])|=\s*'[^']*'(?=[\s/>])|=)*>|[^<>]*>)""")
 NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+STOP = re.compile(r"[.!?…。！？:]['\")\]»”’]*$")
 SPACES = re.compile(r"\s+")
 
 
+class Dropped:
+    """An element that is dropped, or may be: ``soft`` ones stay where the main text is in them."""
+
+    def __init__(self, above, soft: bool):
+        self.above, self.soft, self.article, self.size, self.kept = above, soft, False, 0, False
+
+    def chain(self):
+        d = self
+        while d is not None:
+            yield d
+            d = d.above
+
+
+def _unclosed(name: str, html: str, at: int) -> bool:
+    """Whether no end tag from ``at`` on is left for an element that is open there."""
+    ends = len(re.findall(f"</{re.escape(name)}[\\s/>]", html[at:], re.I))
+    return ends <= len(re.findall(f"<{re.escape(name)}[\\s/>]", html[at:], re.I))
+
+
+def _place(name: str, attributes: str, role: str) -> str | None:
+    """``hard`` or ``soft`` if an element is dropped, by its name, class, id and role."""
+    words = [w for t in NAMES.findall(attributes) for x in t if x for w in x.split()] if "=" in attributes else []
+    if name in HARD or any(COMMENTS.fullmatch(w) for w in words):
+        return "hard"
+    if name in ARTICLE:
+        return None
+    if name == "form" or any((IN_ARTICLE if role == "A" else NAMED).fullmatch(w) for w in words):
+        return "soft"
+    return "soft" if role == "L" and (name == "header" or any(HEADER.fullmatch(w) for w in words)) else None
+
+
 def blocks_of(html: str) -> list[tuple[str, str]]:
     """(role, text) of a page's blocks, in page order."""
-    out: list[tuple[str, str]] = []
-    stack: list[tuple[str, str]] = []  # open elements: name, role inside
+    out: list[tuple[str, str, Dropped | None]] = []
+    drops: list[Dropped] = []
+    stack: list[tuple[str, str, Dropped | None]] = []  # open elements: name, and role and drop inside
     parts: list[str] = []
-    role = "L"
+    role, drop = "L", None
 
     def flush():
         text = SPACES.sub(" ", "".join(parts)).strip()
         parts.clear()
         if text:
-            out.append((role, text))
+            out.append((role, text, drop))
+            for d in drop.chain() if drop else ():
+                d.size += len(text)
 
     def close(name):
-        nonlocal role
+        nonlocal role, drop
         at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
         if at < 0:
             return
-        if any(n in BLOCK for n, _ in stack[at:]):
+        if any(n in BLOCK or n == "head" for n, _, _ in stack[at:]):
             flush()
         del stack[at:]
-        role = stack[-1][1] if stack else "L"
+        role, drop = stack[-1][1:] if stack else ("L", None)
 
     at, n = 0, len(html)
     while at < n:
         m = TAG.search(html, at)
         text = html[at:m.start() if m else n]
         if text:
+            if stack and stack[-1][0] == "head" and text.strip():
+                close("head")
             parts.append(unescape(text) if "&" in text else text)
         if not m:
             break
@@ -111,11 +170,14 @@ def blocks_of(html: str) -> list[tuple[str, str]]:
                 end = html.find("-->", at)
                 at = end + 3 if end >= 0 else n
             continue
+        attributes = m[3][:-1]
         if m[1]:
             close(name)
             continue
+        if stack and stack[-1][0] == "head" and name not in IN_HEAD:
+            close("head")
         if name in RAW:
-            if not m[3].rstrip().endswith("/"):
+            if not attributes.rstrip().endswith("/"):
                 end = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.I).search(html, at)
                 at = end.end() if end else n
             continue
@@ -133,23 +195,46 @@ def blocks_of(html: str) -> list[tuple[str, str]]:
                     break
                 if stack[i][0] in BLOCK:
                     break
-            if name == "li" and any(x == "li" for x, _ in stack[-2:]):
+            if name == "li" and any(x[0] == "li" for x in stack[-2:]):
                 close("li")
         if name in BLOCK:
             flush()
-        inside = role
-        if role != "D" and name not in ("html", "body"):
-            named = " ".join(x for t in NAMES.findall(m[3]) for x in t if x) if "=" in m[3] else ""
-            if name in DROP or (name not in ARTICLE and named and NAMED.search(named)):
-                inside = "D"
-            elif role == "L" and (name == "header" or (named and HEADER.search(named) and name not in ARTICLE)):
-                inside = "D"
+        if name in ARTICLE and drop is not None:
+            # An article doesn't stand in a menu that is never closed: the menu ends here.
+            while (open_ := next((x[0] for x in reversed(stack) if x[0] in HARD), None)) and _unclosed(open_, html, at):
+                close(open_)
+        inside, below = role, drop
+        if name not in ("html", "body"):
+            place = _place(name, attributes, role)
+            if place:
+                below = Dropped(drop, place == "soft")
+                drops.append(below)
             elif name in ARTICLE:
                 inside = "A"
-        stack.append((name, inside))
-        role = inside
+                for d in drop.chain() if drop else ():
+                    d.article = True
+        stack.append((name, inside, below))
+        role, drop = inside, below
     flush()
-    return out
+    _settle(out, drops)
+    return [(r if d is None or all(x.kept for x in d.chain()) else "D", t) for r, t, d in out]
+
+
+def _settle(out, drops: list[Dropped]) -> None:
+    """Keeps soft elements that hold the page's article, or without one most of its text."""
+    def keep(which):
+        for d in drops:  # outer ones come first
+            if d.soft and which(d) and (d.above is None or d.above.kept):
+                d.kept = True
+
+    def article():
+        return any(r == "A" and (d is None or all(x.kept for x in d.chain())) for r, _, d in out)
+    if not drops or article():
+        return
+    keep(lambda d: d.article)
+    if not article():
+        whole = sum(len(t) for _, t, d in out if d is None or all(x.soft for x in d.chain()))
+        keep(lambda d: 2 * d.size > whole)
 
 
 def _ranks(tokens: np.ndarray) -> np.ndarray:
@@ -197,44 +282,47 @@ def kept_blocks(page: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 # --- Near copies -------------------------------------------------------------------------
 
-def sketch(page: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray]:
-    """(bands, least SKETCH hashes) of the set of a page's SHINGLE-token windows, over its kept blocks."""
+def windows_of(page: list[tuple[str, str]]) -> np.ndarray:
+    """The set of a page's SHINGLE-token windows over its kept blocks, sorted; the kinds don't meet."""
     h = _hashes([w for _, t in kept_blocks(page) for w in t.split(" ")])
-    found = np.unique(_windows(h ^ np.uint64(kind_of(page) == "L"), min(SHINGLE, max(len(h), 1))) >> np.uint64(32))
+    return np.unique(_windows(h ^ np.uint64(kind_of(page) == "L"), min(SHINGLE, max(len(h), 1))))
+
+
+def bands_of(found: np.ndarray) -> np.ndarray:
+    """Keys of which similar sets share one: the least hashes of the parts of one permutation,
+    an empty part taking those of the next one that isn't."""
+    n = BANDS * BAND
     if not len(found):
-        return np.zeros(BANDS, np.int64), found
-    least = np.empty(BANDS * BAND, np.uint64)
-    for i in range(len(least)):
-        x = (found ^ np.uint64(0xD6E8FEB86659FD93 * (i + 1) % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-        least[i] = (x ^ (x >> np.uint64(31))).min()
-    rows = least.reshape(BANDS, BAND)
-    return _joined(rows.T, np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64), found[:SKETCH]
+        return np.zeros(BANDS, np.int64)
+    bounds = (np.arange(n + 1) * (2 ** 64 / n)).astype(float)
+    first = np.searchsorted(found, bounds[:-1].astype(np.uint64))
+    full = np.append(first[1:], len(found)) > first
+    at = np.flatnonzero(full)
+    source = at[np.searchsorted(at, np.arange(n)) % len(at)]
+    least = found[first[source]] ^ (np.uint64(0x9E3779B97F4A7C15) * ((source - np.arange(n)) % n).astype(np.uint64))
+    return _joined(least.reshape(BANDS, BAND).T, np.arange(1, BANDS + 1, dtype=np.uint64)).view(np.int64)
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sketches' sets share ``ALIKE`` of their union: exact for sets of up to
-    SKETCH, else estimated by the least SKETCH hashes of the union."""
+    """Whether two sets share ``ALIKE`` of their union."""
     if not len(a) or not len(b):
         return len(a) == len(b)
-    union = np.union1d(a, b)
-    if len(a) >= SKETCH or len(b) >= SKETCH:
-        union = union[:SKETCH]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return np.isin(union, both).sum() >= ALIKE * len(union)
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= ALIKE * (len(a) + len(b) - both)
 
 
 def fold(pages: list[list[tuple[str, str]]]) -> list[int]:
     """Numbers of the distinct pages: near copies have the same. As ``_folded`` does in Spark."""
-    group, made, first = list(range(len(pages))), [sketch(p) for p in pages], {}
+    group, sets, first = list(range(len(pages))), [windows_of(p) for p in pages], {}
 
     def root(i):
         while group[i] != i:
             i = group[i]
         return i
-    for i, (bands, least) in enumerate(made):
-        for band in bands.tolist():
+    for i, found in enumerate(sets):
+        for band in bands_of(found).tolist():
             j = first.setdefault(band, i)
-            if j != i and root(i) != root(j) and alike(least, made[j][1]):
+            if j != i and root(i) != root(j) and alike(found, sets[j]):
                 a, b = sorted((root(i), root(j)))
                 group[b] = a
     return [root(i) for i in range(len(pages))]
@@ -246,10 +334,11 @@ class Shard:
     """Token streams of some pages: ``key`` hashes what starts at a token (RUN tokens; a whole L
     block if shorter), odd for L blocks; ``span`` is its tokens (0: nothing starts there)."""
 
-    def __init__(self, pages: list[list[tuple[str, str]]], groups: list[int]):
+    def __init__(self, pages: list[list[tuple[str, str]]], counted: list[bool]):
+        """``counted``: whether a page counts, or is a near copy of one that does."""
         words, owner, loose, span = [], [], [], []
         self.pages = [kept_blocks(p) for p in pages]
-        for p, who in zip(self.pages, groups):
+        for who, p in enumerate(self.pages):
             for role, text in p:
                 mine = text.split(" ")
                 n = len(mine)
@@ -259,8 +348,8 @@ class Shard:
                 loose += [role == "L"] * (n + 1)
                 span += [RUN] * (n - RUN + 1) + [0] * RUN if n >= RUN else [n if role == "L" else 0] + [0] * n
         self.owner, self.loose, self.span = np.array(owner, np.int64), np.array(loose, bool), np.array(span, np.int64)
-        kinds = dict(zip(groups, map(kind_of, self.pages)))
-        self.n_pages = {k: list(kinds.values()).count(k) for k in PAGES}
+        self.words, self.counted = words, np.array(counted, bool)
+        self.n_pages = {k: sum(c and kind_of(p) == k for p, c in zip(self.pages, counted)) for k in KINDS}
         hashed = _hashes(words)
         self.key = np.zeros(len(words), np.uint64)
         self.key[:max(len(words) - RUN + 1, 0)] = _windows(hashed, RUN)
@@ -280,7 +369,7 @@ class Shard:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         rank = _ranks(self.tokens)
         order = np.lexsort((self.owner, rank))  # the suffix array, pages ascending among equals
-        order = order[self.span[order] > 0]
+        order = order[(self.span[order] > 0) & self.counted[self.owner[order]]]
         r, p = rank[order], self.owner[order]
         fresh = np.ones(len(r), bool)
         fresh[1:] = (r[1:] != r[:-1]) | (p[1:] != p[:-1])
@@ -308,16 +397,38 @@ class Shard:
         return out
 
     def covered(self, keys: np.ndarray, on: np.ndarray, pages: dict[str, int]) -> np.ndarray:
-        edge = np.zeros(len(self.key) + RUN + 1, np.int64)
-        if len(keys) and len(self.key):
-            order = np.argsort(keys)
-            keys, on = keys[order], on[order]
-            at = np.minimum(np.searchsorted(keys, self.key), len(keys) - 1)
-            here = np.where((keys[at] == self.key) & (self.span > 0), on[at], 0)
-            starts = np.flatnonzero(here >= np.where(self.loose, enough("L", pages["L"]), enough("A", pages["A"])))
+        n = len(self.key)
+        if not len(keys) or not n:
+            return np.zeros(n, bool)
+        order = np.argsort(keys)
+        keys, on = keys[order], on[order]
+        at = np.minimum(np.searchsorted(keys, self.key), len(keys) - 1)
+        here = np.where((keys[at] == self.key) & (self.span > 0), on[at], 0)
+
+        def from_starts(starts):
+            edge = np.zeros(n + RUN + 1, np.int64)
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + self.span[starts], -1)
-        return np.cumsum(edge)[:len(self.key)] > 0
+            return np.cumsum(edge)[:n] > 0
+        out = from_starts(np.flatnonzero(self.loose & (here >= enough("L", pages["L"]))))
+        whole = from_starts(np.flatnonzero(~self.loose & (here >= enough("A", pages["A"]))))
+        if whole.any():
+            runs = from_starts(np.flatnonzero(~self.loose & (here >= enough("S", pages["A"]))))
+            ends = np.flatnonzero(self.tokens < 0)
+            for a, b in zip([0, *(ends + 1).tolist()], ends.tolist()):
+                if whole[a:b].any():
+                    out[a:b] |= True if whole[a:b].all() else self._sentences(runs[a:b], self.words[a:b])
+        return out
+
+    @staticmethod
+    def _sentences(runs: np.ndarray, words: list[str]) -> np.ndarray:
+        """The whole sentences of a block that ``runs`` cover."""
+        out = np.zeros(len(words), bool)
+        if runs.any():
+            ends = [i + 1 for i, w in enumerate(words) if STOP.search(w)]
+            for a, b in zip([0, *ends], [*ends, len(words)]):
+                out[a:b] = a < b and runs[a:b].all()
+        return out
 
 
 def enough(role: str, pages: int) -> float:
@@ -327,7 +438,7 @@ def enough(role: str, pages: int) -> float:
 
 def main_texts(pages: list[list[tuple[str, str]]]) -> list[str]:
     """Main texts of a host's pages, given as blocks."""
-    shard = Shard(pages, fold(pages))
+    shard = Shard(pages, [i == g for i, g in enumerate(fold(pages))])
     return shard.texts(*shard.supports(), shard.n_pages)
 
 
@@ -340,9 +451,12 @@ def _parse(batches):
     for batch in batches:
         for a in range(0, batch.num_rows, ROWS):
             part = batch.slice(a, ROWS)
-            spelt = [_spelt(blocks_of(h)) for h in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(spelt, pa.binary()),
-                                              *part.columns[3:]], ["page", "url", "blocks", *part.schema.names[3:]])
+            read = [blocks_of(h) for h in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(map(_spelt, read), pa.binary()), *part.columns[3:],
+                 pc.binary_length(part.column(2)).cast(pa.int64()),
+                 pa.array([bands_of(windows_of(p)) for p in read], pa.list_(pa.int64())), pa.array(map(kind_of, read))],
+                ["page", "url", "blocks", *part.schema.names[3:], "bytes", "bands", "kind"])
 
 
 def _spelt(page: list[tuple[str, str]]) -> bytes:
@@ -354,35 +468,22 @@ def _blocks(spelt: bytes) -> list[tuple[str, str]]:
     return [(b[0], b[1:]) for b in text.split("\n")] if text else []
 
 
-def _sign(batches):
-    for batch in batches:
-        for a in range(0, batch.num_rows, ROWS):
-            part = batch.slice(a, ROWS)
-            read = [blocks_of(h) for h in part.column(2).to_pylist()]
-            made = [sketch(p) for p in read]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pc.binary_length(part.column(2)).cast(pa.int64()),
-                 pa.array([b for b, _ in made], pa.list_(pa.int64())),
-                 pa.array([x.astype("<u4").tobytes() for _, x in made], pa.binary()),
-                 pa.array([kind_of(p) for p in read])],
-                ["host", "id", "bytes", "bands", "least", "kind"])
-
-
 def _alike(batches):
     for batch in batches:
-        a, b = (batch.column(i).to_pylist() for i in (2, 3))
-        keep = [alike(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")) for x, y in zip(a, b)]
+        a, b = ([windows_of(_blocks(x)) for x in batch.column(i).to_pylist()] for i in (2, 3))
+        keep = [alike(x, y) for x, y in zip(a, b)]
         yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
 
-def _folded(signs: DataFrame) -> DataFrame:
+def _folded(parsed: DataFrame) -> DataFrame:
     """v, root: pages that are near copies of page root of their host. A page is compared
-    with the least of each of its bands' pages."""
-    banded = signs.select("id", F.explode("bands").alias("band"), "host").select(
+    with the least of each of its bands' pages, over all of their windows."""
+    banded = parsed.select("id", F.explode("bands").alias("band"), "host").select(
         "id", F.xxhash64("host", "band").alias("band"))
     least = banded.groupBy("band").agg(F.min("id").alias("m"), F.max("id").alias("most")).filter("m <> most")
-    pairs = banded.join(least, "band").filter("id <> m").select("id", "m").distinct()
-    one = signs.groupBy("id").agg(F.min("least").alias("x"))
+    pairs = written(banded.join(least, "band").filter("id <> m").select("id", "m").distinct(), "page-pairs")
+    asked = pairs.select("id").union(pairs.select("m")).distinct()
+    one = parsed.select("id", "blocks").join(asked, "id", "left_semi").groupBy("id").agg(F.min("blocks").alias("x"))
     both = pairs.join(one, "id").join(one.select(F.col("id").alias("m"), F.col("x").alias("y")), "m")
     edges = both.select(F.col("id").alias("v"), "m", "x", "y").mapInArrow(_alike, "v bigint, m bigint")
     return components(edges)
@@ -390,13 +491,13 @@ def _folded(signs: DataFrame) -> DataFrame:
 
 def _pack(key, rows):
     lists = [pa.array([rows.column(c).to_pylist()], pa.list_(rows.schema.field(c).type))
-             for c in ("page", "url", "who", "blocks")]
+             for c in ("page", "url", "counted", "blocks")]
     same = [rows.column(c).slice(0, 1).combine_chunks() for c in ("host", "pages", "shards")]
-    return pa.Table.from_arrays([*same, *lists], ["host", "pages", "shards", "page", "url", "who", "blocks"])
+    return pa.Table.from_arrays([*same, *lists], ["host", "pages", "shards", "page", "url", "counted", "blocks"])
 
 
 def _shard(row) -> Shard:
-    return Shard([_blocks(b) for b in row["blocks"]], row["who"])
+    return Shard([_blocks(b) for b in row["blocks"]], row["counted"])
 
 
 def _rows(batches, columns):
@@ -408,7 +509,7 @@ def _rows(batches, columns):
 def _candidates(batches):
     """Keys that may be on enough pages of a host: what is on a share of all its pages is on
     that share of the pages of one of its shards."""
-    for row in _rows(batches, ["host", "pages", "who", "blocks"]):
+    for row in _rows(batches, ["host", "pages", "counted", "blocks"]):
         shard = _shard(row)
         keys, on = shard.supports()
         need = [enough(k, row["pages"][k]) * shard.n_pages[k] / max(row["pages"][k], 1) - 1e-6 for k in ("A", "L")]
@@ -418,7 +519,7 @@ def _candidates(batches):
 
 
 def _counts(batches):
-    for row in _rows(batches, ["host", "who", "blocks", "keys"]):
+    for row in _rows(batches, ["host", "counted", "blocks", "keys"]):
         keys, on = _shard(row).supports()
         asked = np.isin(keys, np.array(row["keys"], np.int64).view(np.uint64))
         yield pa.RecordBatch.from_arrays(
@@ -430,7 +531,7 @@ def _extract(batches):
     for batch in batches:
         for i in range(batch.num_rows):
             one = batch.slice(i, 1)
-            row = one.select(["pages", "shards", "who", "blocks", "keys", "on"]).to_pylist()[0]
+            row = one.select(["pages", "shards", "counted", "blocks", "keys", "on"]).to_pylist()[0]
             shard = _shard(row)
             if row["shards"] > 1:
                 keys = np.array(row["keys"] or [], np.int64).view(np.uint64)
@@ -453,7 +554,7 @@ def _repeats(shards: DataFrame) -> DataFrame:
     several = shards.filter("shards > 1")
     asked = several.mapInArrow(_candidates, "host string, key bigint").distinct()
     asked = written(asked.groupBy("host").agg(F.collect_list("key").alias("keys")), "host-candidates")
-    counts = several.join(asked, "host").select("host", "who", "blocks", "keys").mapInArrow(
+    counts = several.join(asked, "host").select("host", "counted", "blocks", "keys").mapInArrow(
         _counts, "host string, key bigint, on bigint").groupBy("host", "key").agg(F.sum("on").alias("on"))
     pages = several.groupBy("host").agg(F.first("pages").alias("pages"))
     least = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, _enough("L")).otherwise(_enough("A"))
@@ -467,23 +568,31 @@ def main_text(pages: DataFrame, *, page: str = "page_id", url: str = "url", html
     kind = pages.schema[page].dataType.simpleString()
     rows = pages.select(pages[page].alias("page"), pages[url].alias("url"),
                         F.coalesce(pages[html], F.lit("")).alias("html"), host_of(pages[url]).alias("host"))
-    rows = rows.withColumn("id", F.xxhash64("host", "html"))
-    signs = written(rows.select("host", "id", "html").mapInArrow(
-        _sign, "host string, id bigint, bytes bigint, bands array<bigint>, least binary, kind string"), "page-signs")
-    moved = _folded(signs).withColumnRenamed("v", "id")
-    hosts = signs.select("host", "id", "bytes", "kind").join(moved, "id", "left").groupBy("host").agg(
-        F.sum("bytes").alias("bytes"), *[F.count_distinct(F.when(F.col("kind") == k, F.coalesce("root", "id"))).alias(k)
-                                         for k in PAGES])
-    shards = F.least(F.ceil(F.col("bytes") / SHARD_BYTES), F.ceil((F.col("L") + F.col("A")) / SHARD_PAGES))
-    hosts = written(hosts.select("host", F.struct(*PAGES).alias("pages"), F.greatest(shards, F.lit(1)).cast("int").alias("shards")), "hosts", 8)
-    who = F.coalesce("root", "id")
-    placed = rows.join(hosts, "host").join(moved, "id", "left").select(
-        "page", "url", "html", "host", "pages", "shards", who.alias("who"),
-        F.pmod(F.xxhash64(who), F.col("shards")).alias("shard"))
-    parsed = placed.mapInArrow(_parse, f"page {kind}, url string, blocks binary, host string, pages struct<L:bigint,A:bigint>, shards int, "
-                                       "who bigint, shard bigint")
-    packed = written(parsed.groupBy("host", "shard").applyInArrow(
-        _pack, f"host string, pages struct<L:bigint,A:bigint>, shards int, page array<{kind}>, url array<string>, who array<bigint>, "
-               "blocks array<binary>"), "page-shards")
+    rows = rows.withColumn("id", F.xxhash64("host", "html")).withColumn("row", F.monotonically_increasing_id())
+    parsed = written(rows.mapInArrow(
+        _parse, f"page {kind}, url string, blocks binary, host string, id bigint, row bigint, bytes bigint, "
+                "bands array<bigint>, kind string"), "page-blocks")
+    moved = written(_folded(parsed).withColumnRenamed("v", "id"), "page-groups")
+    signs = parsed.select("host", "id", "row", "bytes", "kind").join(moved, "id", "left")
+    # A group of copies counts by one row of its root page.
+    first = signs.filter(F.col("root").isNull() | (F.col("root") == F.col("id"))).groupBy("id").agg(
+        F.first("host").alias("host"), F.min("row").alias("row"), F.first("bytes").alias("bytes"), F.first("kind").alias("kind"))
+    first = written(first, "page-firsts")
+    every = signs.groupBy("host").agg(F.sum("bytes").alias("bytes"))
+    hosts = first.groupBy("host").agg(F.sum("bytes").alias("own"), *[
+        F.count_if(F.col("kind") == k).alias(k) for k in KINDS]).join(every, "host")
+    shards = F.greatest(F.least(F.ceil(F.col("own") / SHARD_BYTES), F.ceil((F.col("L") + F.col("A")) / SHARD_PAGES)), F.lit(1))
+    rest = F.ceil((F.col("bytes") - F.col("own")) / SHARD_BYTES)  # for the copies
+    hosts = written(hosts.select("host", F.struct(*KINDS).alias("pages"), shards.cast("int").alias("own"),
+                                 rest.cast("int").alias("rest")), "hosts", 8)
+    counted = F.col("counted").isNotNull()
+    placed = parsed.select("page", "url", "blocks", "host", "row").join(
+        first.select("row", F.lit(True).alias("counted")), "row", "left").join(hosts, "host").select(
+        "page", "url", "blocks", "host", "pages", (F.col("own") + F.col("rest")).alias("shards"), counted.alias("counted"),
+        F.when(counted, F.pmod(F.xxhash64("row"), F.col("own")))
+        .otherwise(F.col("own") + F.pmod(F.xxhash64("row"), F.greatest("rest", F.lit(1)))).alias("shard"))
+    packed = written(placed.groupBy("host", "shard").applyInArrow(
+        _pack, f"host string, pages struct<L:bigint,A:bigint>, shards int, page array<{kind}>, url array<string>, "
+               "counted array<boolean>, blocks array<binary>"), "page-shards")
     return packed.join(_repeats(packed), "host", "left").mapInArrow(
         _extract, f"page {kind}, url string, text string, n_chars bigint")
