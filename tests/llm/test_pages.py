@@ -276,3 +276,37 @@ def test_query_against_a_plain_parser(spark):
         p.feed(r.html or "")
         want[r.page_id] = "\n".join(p.blocks)
     assert {r.page_id: r.text for r in REGISTRY["op5_host_suffix_array"][0](spark, SF_SMALL).collect()} == want
+
+
+def test_digests_of_either_spelling_folded_fields_and_other_versions():
+    import base64
+    import hashlib
+    block = b"HTTP/1.1 200 OK\r\n\r\npayload"
+
+    def made(digest, version=b"WARC/1.0", fold=b"", body=b"payload"):
+        data = b"HTTP/1.1 200 OK\r\n\r\n" + body
+        return (version + b"\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x-page:1>" + fold + b"\r\nWARC-Payload-Digest: "
+                + digest + b"\r\nContent-Length: %d\r\n\r\n" % len(data) + data + b"\r\n\r\n")
+    sha1 = hashlib.sha1(b"payload").digest()
+    right = [b"sha1:" + x for x in (base64.b32encode(sha1), base64.b32encode(sha1).lower(), sha1.hex().encode(), sha1.hex().upper().encode())]
+    right += [b"SHA-256:" + hashlib.sha256(b"payload").hexdigest().encode(), b"md5:" + hashlib.md5(b"payload").hexdigest().encode(),
+              b"sha256:" + base64.b32encode(hashlib.sha256(b"payload").digest()).rstrip(b"="), b"crc32:00000000"]
+    for digest in right:
+        for version in (b"WARC/0.17", b"WARC/0.18", b"WARC/1.0", b"WARC/1.1", b"WARC/2.0"):
+            data = made(digest, version, b"\r\nX-Note: a field\r\n  that goes on\r\n\tand on")
+            end, fields, got = warc.parse_record(data, 0)
+            assert end == len(data) and got == block and fields["x-note"] == "a field that goes on and on"
+            assert _found(b"junk" + data)[0] == ["1"]
+        if digest != b"crc32:00000000":
+            with pytest.raises(warc.Bad, match="payload digest"):
+                warc.parse_record(made(digest, body=b"Payload"), 0)
+    with pytest.raises(warc.Bad, match="line without field"):
+        warc.parse_record(made(b"sha1:").replace(b"\r\nWARC-Type", b"\r\n folded\r\nWARC-Type", 1), 0)
+
+
+def test_pages_with_clashing_columns(spark):
+    rows = [(i, f"http://h/{i}", f"<article><p>Page {i} here.</p></article>", "x", 1, "y", True, [1]) for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, id int, host string, "
+                                     "counted boolean, bands array<int>")
+    assert {r.page: r.text for r in htmltext.main_text(df).collect()} == {i: f"Page {i} here." for i in range(3)}
+    assert len(warc.read_warc(warc.write_warc(df)).collect()) == 3

@@ -40,6 +40,7 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CELLS = 1 << 21
 KNOWN_WORDS = 1 << 18
+LONG = 64  # characters; longer words (texts without spaces) are not kept, and cut where no piece reaches over
 PORTION = 1 << 22
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that multiplying by it loses nothing
 
@@ -81,6 +82,9 @@ class Pieces:
             self.bytes_of[i] = bytes([b])
         for i in normal:
             self.bytes_of[i] = self.piece[i].replace(SPACE, " ").encode("utf-8", "surrogatepass")
+        # Characters that some piece joins to others: between two, of which one isn't, every cut is free.
+        joined = {c for i in normal if len(self.piece[i]) > 1 for c in self.piece[i]}
+        self.runs = re.compile("[%s]+|[^%s]" % ((re.escape("".join(sorted(joined))),) * 2), re.S)
         self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit integers
 
     # Encoding ------------------------------------------------------------------------------
@@ -97,7 +101,12 @@ class Pieces:
     def learn(self, words) -> None:
         """Encode the words that aren't known yet, equal lengths together."""
         groups: dict[tuple[int, str], list[str]] = {}
+        long = [w for w in words if len(w) > LONG]
+        for w, ids in zip(long, self._long([w[1:] if w[:1] == "\0" else SPACE + w for w in long])):
+            self.known[w] = np.array(self._unknown("\n"), "<i4").tobytes() + ids if w[:1] == "\0" else ids
         for w in words:
+            if len(w) > LONG:
+                continue
             start = w[:1] if w[:1] == "\0" else SPACE
             groups.setdefault((len(w) - 1 if start == "\0" else len(w) + 1, start), []).append(w)
         line = np.array(self._unknown("\n"), "<i4").tobytes()
@@ -111,6 +120,68 @@ class Pieces:
                     rest = self._viterbi([w[1:] for w in part], n) if n else [b""] * len(part)
                     self.known.update((w, line + x) for w, x in zip(part, rest))
 
+    def _long(self, words: list[str]) -> list[bytes]:
+        """ids of long words. A word is cut into runs of characters that pieces join and single
+        ones; its best cut is that of the runs. Short runs of all words advance together, a long
+        one goes alone over the list of its pieces."""
+        cut = [self.runs.findall(w) for w in words]
+        by_length: dict[int, list[str]] = {}
+        for r in {r for runs in cut for r in runs}:
+            by_length.setdefault(len(r), []).append(r)
+        ids = {}
+        for n, group in by_length.items():
+            if n > LONG:
+                ids.update((r, self._listed(r)) for r in group)
+                continue
+            step = max(1, CELLS // n)
+            for a in range(0, len(group), step):
+                part = group[a:a + step]
+                ids.update(zip(part, self._viterbi(part, n)))
+        return [b"".join(map(ids.__getitem__, runs)) for runs in cut]
+
+    def _listed(self, word: str) -> bytes:
+        """The same cut of one long run: the pieces at all places are probed at once, and the
+        maxima run over what was found."""
+        n = len(word)
+        power = np.ones(n + 1, np.uint64)
+        power[1:] = np.cumprod(np.full(n, BASE, np.uint64))
+        back = np.uint64(pow(int(BASE), -1, 1 << 64))
+        shrink = np.cumprod(np.full(n, back, np.uint64))
+        codes = _codes([word], n)[:, 0] + np.uint64(1)
+        prefix = np.zeros(n + 1, np.uint64)
+        prefix[1:] = np.cumsum(codes * shrink) * power[1:]
+        found = []
+        for k, (keys, scores, ids, times) in self.by_length.items():
+            if k > n:
+                break
+            probe = prefix[k:] - prefix[:-k] * times
+            at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
+            hit = np.flatnonzero(keys[at] == probe)
+            found.append(np.stack([hit + k, np.full(len(hit), k), at[hit]]))
+        hits = np.concatenate(found, axis=1)
+        hits = hits[:, np.argsort(hits[0], kind="stable")]  # by end, shorter pieces first
+        first = np.searchsorted(hits[0], np.arange(n + 2)).tolist()
+        length, row = hits[1].tolist(), hits[2].tolist()
+        score = {k: x[1].tolist() for k, x in self.by_length.items()}
+        piece = {k: x[2].tolist() for k, x in self.by_length.items()}
+        best, taken, chosen = [0.0] * (n + 1), [1] * (n + 1), [-1] * (n + 1)
+        for end in range(1, n + 1):
+            top, t, c = best[end - 1] + self.unknown, 1, -1
+            for j in range(first[end], first[end + 1]):
+                k = length[j]
+                total = best[end - k] + score[k][row[j]]
+                if total >= top:
+                    top, t, c = total, k, piece[k][row[j]]
+            best[end], taken[end], chosen[end] = top, t, c
+        steps, end = [], n
+        while end:
+            steps.append([chosen[end]] if chosen[end] >= 0 else self._unknown(word[end - 1]))
+            end -= taken[end]
+        ids = list(chain.from_iterable(reversed(steps)))
+        if b"".join([self.bytes_of[i] for i in ids]) != word.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
+            ids = self._plain(word)
+        return np.array(ids, "<i4").tobytes()
+
     def _viterbi(self, words: list[str], n: int) -> list[bytes]:
         prefix = _hashes(_codes(words, n))
         many = len(words)
@@ -185,12 +256,16 @@ class Pieces:
                 new.update(self.words(text))
         self.learn(new.difference(self.known))
         known = self.known.__getitem__
-        return [np.frombuffer(b"" if not t else self._odd(t) if plain else b"".join(map(known, self.words(t))), "<i4")
-                for t, plain in zip(texts, odd)]
+        out = [np.frombuffer(b"" if not t else self._odd(t) if plain else b"".join(map(known, self.words(t))), "<i4")
+               for t, plain in zip(texts, odd)]
+        for w in new:
+            if len(w) > LONG:
+                self.known.pop(w, None)
+        return out
 
     def _odd(self, text: str) -> bytes:
         cut = re.findall(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*", SPACE + text.replace(" ", SPACE))
-        return b"".join(self._viterbi([w], len(w))[0] for w in cut)
+        return b"".join(self._long(cut))
 
     def decode(self, ids) -> str:
         spelt = b"".join([self.bytes_of[i] or b"" for i in ids])

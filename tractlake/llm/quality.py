@@ -4,8 +4,11 @@ Each rule rejects a document whose share of something unwanted exceeds a cutoff.
 Cutoffs come from a fixed ladder and are chosen per stratum (``lang``) from labelled
 documents that pass the base rules:
 
-* three sixteenths of the labels (first hex digit of the key's MD5 below 3) screen the
-  ladder: a cutoff is useful if at least ``MIN_PRECISION`` of what it rejects is bad;
+* equal texts of a stratum count once, as bad if any of them is labelled bad: the bound
+  needs independent draws, and copies are none;
+* three sixteenths of the labels (first hex digit of the key's MD5 below 3; a text with copies
+  if that holds for all of them) screen the ladder: a cutoff is useful if at least
+  ``MIN_PRECISION`` of what it rejects is bad;
 * the other labels are the holdout. A cutoff is safe if the exact (Clopper-Pearson)
   upper bound on its rate of false rejections, from the good holdout documents of the
   stratum, is at most ``MAX_FALSE / rules``. The bound is at most ``a`` exactly when
@@ -14,12 +17,13 @@ documents that pass the base rules:
   (Bonferroni), so all chosen cutoffs hold at once with probability 1 - ``ERROR``.
 
 The lowest cutoff that is useful and safe is taken. Without one (few labels) the rule
-rejects nothing in that stratum. A stratum's documents are thus falsely rejected at a
+rejects nothing in that stratum. A stratum's distinct texts are thus falsely rejected at a
 rate of ``MAX_FALSE`` at most, summed over its rules. Only DataFrame functions are used.
 
 Defined cases: null or empty text has no words and fails the base rules; null is a
 stratum of its own; labels without quality are left out, a key with several labels
-counts as bad if any of them is bad; a repeated document counts as often as it occurs;
+counts as bad if any of them is bad; a repeated document is judged each time and counts once
+towards the cutoffs;
 an empty table gives an empty result; further columns are neither read nor able to
 clash, since the features stand in one struct.
 """
@@ -124,18 +128,22 @@ def cutoffs(scored: DataFrame, labels: DataFrame, *, key: str = "doc_id", stratu
             min_precision: float = MIN_PRECISION) -> DataFrame:
     """stratum and, per rule, ``cut_<rule>``: the chosen cutoff, null for none.
 
-    ``scored`` has ``key``, ``stratum`` and the features as struct ``q``."""
+    ``scored`` has ``key``, ``stratum``, ``text_hash`` and the features as struct ``q``."""
     ladder = ladder or LADDER
     marks = (labels.select(labels[key].alias("k"), labels["quality"].alias("good"))
              .filter("good is not null and k is not null").groupBy("k").agg(F.min("good").alias("good")))
-    seen = (scored.select(scored[key].alias("k"), scored[stratum].alias("stratum"), "q")
+    seen = (scored.select(scored[key].alias("k"), scored[stratum].alias("stratum"), "text_hash", "q")
             .filter(~base_failed()).join(marks, "k"))
     screen = F.md5(F.col("k").cast("string").cast("binary")) < SCREEN_BELOW
+    seen = seen.groupBy("stratum", "text_hash").agg(
+        F.min("good").alias("good"), F.min(screen.cast("int")).alias("screen"),
+        *[F.max(share(r)).alias(f"s_{r}") for r in RULES])  # equal texts have equal shares
+    screen = F.col("screen") == 1
     good, bad = F.col("good") == 1, F.col("good") != 1
     counts = [F.count_if(~screen & good).alias("n")]
     steps = [(r, i, c) for r in RULES for i, c in enumerate(ladder)]
     for r, i, c in steps:
-        over = share(r) > c
+        over = F.col(f"s_{r}") > c
         counts += [F.count_if(~screen & good & over).alias(f"k_{r}_{i}"),
                    F.count_if(screen & good & over).alias(f"g_{r}_{i}"),
                    F.count_if(screen & bad & over).alias(f"b_{r}_{i}")]

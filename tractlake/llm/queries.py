@@ -58,8 +58,8 @@ f AS (SELECT w.*, len(w) AS n_words, length(regexp_replace(t, '[ 	-
     coalesce(r.n, 0) AS n_repeat_words FROM w LEFT JOIN r USING (rid)),
 s AS (SELECT *, {shares}, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f),
 l AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-seen AS (SELECT s.*, good, md5(CAST(s.doc_id AS VARCHAR)) >= '{quality.SCREEN_BELOW}' AS hold
-    FROM s JOIN l USING (doc_id) WHERE NOT base_failed),
+seen AS (SELECT lang, t, min(good) AS good, bool_or(md5(CAST(s.doc_id AS VARCHAR)) >= '{quality.SCREEN_BELOW}') AS hold,
+    {", ".join(f"max(s_{r}) AS s_{r}" for r in quality.RULES)} FROM s JOIN l USING (doc_id) WHERE NOT base_failed GROUP BY lang, t),
 ladder AS (SELECT unnest({quality.LADDER}) AS cut), tried AS ({tried}),
 tails AS (SELECT *, CASE WHEN k >= n * {p} THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
     exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) END AS tail FROM tried),

@@ -22,8 +22,14 @@ another way, ends there; a chain of compressed data ends where a content repeats
 Hits in a layer count as spans from the first to the last document character that they come
 from. Spans found twice count once; those of the document itself are its base spans.
 
-Memory: decompression stops at ``LAYER_BYTES`` a layer; a document where that happened says
-so in ``n_cut`` (it is the guard against decompression bombs; text itself is never cut).
+Data that hold UTF-16 text (every second byte of a run is zero) are read as such too, in
+either byte order.
+
+Memory: decompressed content of more than ``LAYER_BYTES`` is read as a stream, in windows of
+that size that overlap by ``OVERLAP``, each a layer. A layer of decoded data stands for the whole
+run that it came from, so a hit has the same span in whichever window it is found; one that is longer than the
+overlap is found by the part in a window. What spans more than a window is only unwrapped
+as far as a window holds it. ``n_cut`` counts such contents.
 
 Defined cases: null and empty text have no spans; repeated rows are scanned alike; a null key
 passes through; an empty table gives an empty result; columns besides key and text are not
@@ -39,11 +45,14 @@ import lzma
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 LAYER_BYTES = 1 << 26
+OVERLAP = 1 << 20
+CHAIN = 100  # compressed layers inside one another, of contents too long to tell a cycle
 ROWS = 256
 # The kinds in their order, with pattern, group that counts and its least length.
 KINDS = {
@@ -65,6 +74,7 @@ X_BYTE = re.compile(r"\\x[0-9A-Fa-f]{2}|\\.|.", re.S)
 ESCAPES = dict(zip("abfnrtv0'\"\\", b"\a\b\f\n\r\t\v\0'\"\\"))
 MAGIC = re.compile(rb"\x1f\x8b|x[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00")
 WORTH = re.compile(rb"[\x20-\x7e]{8}")  # every hit, and all that can unwrap to one, has such a run
+WIDE_LITTLE, WIDE_BIG = re.compile(rb"(?:[\x20-\x7e\t\r\n]\0){8}"), re.compile(rb"(?:\0[\x20-\x7e\t\r\n]){8}")
 PACKED = (b"\x1f\x8b", b"x\x01", b"x\x5e", b"x\x9c", b"x\xda", b"BZh", b"\xfd7zXZ\x00")
 
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,depth:int>>"
@@ -228,8 +238,16 @@ def _base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
             i = j
 
 
-def _run_contents(run: str, limit: int) -> tuple[list[tuple[int, str]], int]:
-    """([(characters of the run before it, text)], cuts) that a base64 run stands for."""
+def _texts(data: bytes, limit: int) -> tuple[Iterator[str], bool, bytes]:
+    """(texts of data through all compressed layers, whether they come in windows, the first content)."""
+    content, cut = _content(data, limit)
+    if not cut:
+        return iter(_layers(content)), False, content
+    return (x for w in _windows(data, limit) for x in _layers(w)), True, content
+
+
+def _run_contents(run: str, limit: int) -> tuple[list[tuple[int, Iterator[str]]], int]:
+    """([(characters of the run before them, texts)], contents in windows) that a base64 run stands for."""
     out, cuts, run = [], 0, run.rstrip("=")
     plain = run.translate(STANDARD)
     for skip in range(4):
@@ -237,35 +255,93 @@ def _run_contents(run: str, limit: int) -> tuple[list[tuple[int, str]], int]:
         part = part[:len(part) - (len(part) % 4 == 1)]
         data = base64.b64decode(part + "=" * (-len(part) % 4))
         if not skip:
-            content, cut = _content(data, limit)
+            texts, cut, content = _texts(data, limit)
             if content is not data or _text_of(data) is not None:
-                return [(0, x) for x in _layers(content)], int(cut)
+                return [(0, texts)], int(cut)
+            if WIDE_LITTLE.match(data) or WIDE_BIG.match(data):
+                return [(0, iter(_layers(data)))], 0
         marks = [i + 1 for i in range(len(run) - 1) if run[i] in "/-_" and (i + 1 - skip) % 4 == 0 and i + 1 > skip]
         for at in marks:
             place = (at - skip) // 4 * 3
             if data.startswith(PACKED, place):
-                content, cut = _content(data[place:], limit)
+                texts, cut, content = _texts(data[place:], limit)
                 if len(content) and not content.startswith(PACKED):
-                    out += [(at, x) for x in _layers(content)]
+                    out.append((at, texts))
                     cuts += cut
         last = max((m.end() for m in BINARY.finditer(data)), default=0)
         at = next((x for x in marks if (x - skip) // 4 * 3 >= last), None)
         head, tail = (data, b"") if at is None else (data[:(at - skip) // 4 * 3], data[(at - skip) // 4 * 3:])
-        if WORTH.search(tail):
-            out += [(at, x) for x in _layers(tail)]
-        if WORTH.search(head):
-            out += [(skip, x) for x in _layers(head)]
+        out += [(at, iter(x)) for x in (_layers(tail),) if x]
+        out += [(skip, iter(x)) for x in (_layers(head),) if x]
     return out, cuts
 
 
 def _layers(data: bytes) -> list[str]:
-    """The text of data; bytes that aren't UTF-8 become U+FFFD, which no pattern has. None for
-    data without a run that a hit needs."""
-    return [data.decode("utf-8", "replace")] if WORTH.search(data) else []
+    """The texts of data, as UTF-8 and where it looks so as UTF-16; bytes that are neither become
+    U+FFFD, which no pattern has. None for data without a run that a hit needs."""
+    out = [data.decode("utf-8", "replace")] if WORTH.search(data) else []
+    if b"\0" in data:
+        for pattern, name in ((WIDE_LITTLE, "utf-16-le"), (WIDE_BIG, "utf-16-be")):
+            # Both parities: texts of either may follow one another.
+            for odd in {m.start() % 2 for m in pattern.finditer(data)}:
+                out.append(data[odd:].decode(name, "replace"))
+    return out
 
 
-def _packed_runs(text: str, limit: int) -> Iterator[tuple[int, int, str, bool]]:
-    """(start, end, content, cut) of compressed data spelt with %XX or \\xXX, with characters
+def _windows(data: bytes, limit: int) -> Iterator[bytes]:
+    """The content of compressed data through all layers, in windows that overlap."""
+    stream, inner = iter([data]), 0
+    while inner < CHAIN:
+        head = b""
+        for part in stream:
+            head += part
+            if len(head) >= 6:
+                break
+        stream = chain([head], stream)
+        if not head.startswith(PACKED):
+            break
+        stream, inner = _inflated(stream, min(limit, 1 << 20)), inner + 1
+    held = b""
+    for part in stream:
+        held += part
+        while len(held) >= limit:
+            yield held[:limit]
+            held = held[limit - min(OVERLAP, limit // 2):]
+    if held:
+        yield held
+
+
+def _inflated(stream: Iterator[bytes], step: int) -> Iterator[bytes]:
+    """The content of a stream of compressed members, and what follows them, in pieces."""
+    rest, z = b"", None
+    for part in chain(stream, [None]):
+        rest += part or b""
+        while rest:
+            if z is None:
+                if part is not None and len(rest) < 6:
+                    break
+                if not rest.startswith(PACKED):
+                    yield rest
+                    rest = b""
+                    break
+                z = (bz2.BZ2Decompressor() if rest.startswith(b"BZh") else lzma.LZMADecompressor()
+                     if rest.startswith(b"\xfd7zXZ") else zlib.decompressobj(47))
+            try:
+                content = z.decompress(rest, step)
+                rest = getattr(z, "unconsumed_tail", b"")
+                yield content
+                while not z.eof and not getattr(z, "needs_input", not rest):  # more comes out of what it has
+                    content = z.decompress(rest, step)
+                    rest = getattr(z, "unconsumed_tail", b"")
+                    yield content
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                return
+            if z.eof:
+                rest, z = z.unused_data, None
+
+
+def _packed_runs(text: str, limit: int) -> Iterator[tuple[int, int, Iterator[str], bool]]:
+    """(start, end, texts, whether in windows) of compressed data spelt with %XX or \\xXX, with characters
     that stand for themselves in between."""
     for sign, run, unit in (("%", URL_BYTES, URL_BYTE), ("\\x", X_BYTES, X_BYTE)):
         for m in run.finditer(text) if sign in text else ():
@@ -278,18 +354,28 @@ def _packed_runs(text: str, limit: int) -> Iterator[tuple[int, int, str, bool]]:
             for x in MAGIC.finditer(data):
                 if x.start() < done:
                     continue
-                content, cut = _content(data[x.start():], limit)
-                for layer in _layers(content) if not content.startswith(PACKED) else ():
-                    yield m.start() + units[x.start()][0], m.end(), layer, cut
+                texts, cut, content = _texts(data[x.start():], limit)
+                if not content.startswith(PACKED) and (cut or _layers(content)):
+                    yield m.start() + units[x.start()][0], m.end(), texts, cut
                     done = len(data)
 
 
+def _below(layer: Layer, texts: Iterator[str], a: int, b: int) -> Iterator[Layer]:
+    whole = layer.place(a, b)
+    return (Layer(x, layer.depth + 1, whole=whole) for x in texts)
+
+
 def scan_text(text: str, limit: int = LAYER_BYTES) -> tuple[list[tuple[str, int, int, int]], int]:
-    """(spans (kind, start, end, depth), layers cut) of a document; depth 0 are the base spans."""
+    """(spans (kind, start, end, depth), contents read in windows) of a document; depth 0 are the base spans."""
     spans: dict[tuple[str, int, int], int] = {}
     todo, seen, cuts = [Layer(text, 0)], set(), 0
     while todo:
         layer = todo.pop()
+        if not isinstance(layer, Layer):  # layers still to come, one at a time
+            source, layer = layer, next(layer, None)
+            if layer is None:
+                continue
+            todo.append(source)
         if layer.depth:
             key = layer.key()
             if key in seen:
@@ -301,16 +387,15 @@ def scan_text(text: str, limit: int = LAYER_BYTES) -> tuple[list[tuple[str, int,
             todo.append(_in_place(layer, URL, _url_units))
         if "\\" in layer.text:
             todo.append(_in_place(layer, UNICODE, _unicode_units))
-        for a, b, content, cut in _packed_runs(layer.text, limit):
+        for a, b, contents, cut in _packed_runs(layer.text, limit):
             cuts += cut
-            todo.append(Layer(content, layer.depth + 1, whole=layer.place(a, b)))
+            todo.append(_below(layer, contents, a, b))
         for a, b, run in _base64_runs(layer.text):
-            contents, cut = _run_contents(run, limit)
+            found, cut = _run_contents(run, limit)
             cuts += cut
-            for skip, content in contents:
+            for skip, contents in found:
                 # Places in joined lines aren't the run's; those layers stand for all of it.
-                skip = skip if b - a <= len(run) else 0
-                todo.append(Layer(content, layer.depth + 1, whole=layer.place(a + skip, b)))
+                todo.append(_below(layer, contents, a + (skip if b - a <= len(run) else 0), b))
         todo = [x for x in todo if x is not None]
     return [(*k, d) for k, d in spans.items()], cuts
 

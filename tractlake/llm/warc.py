@@ -7,7 +7,8 @@ the HTTP head only. The largest key is aggregated before the shuffle; rows join
 equi-join, whose hot partitions adaptive execution can split.
 
 Reader. A record is taken only if its checks hold: the member's CRC, the version line,
-Content-Length and the closing blank lines, the block's and the payload's digest. After a
+Content-Length and the closing blank lines, the block's and the payload's digest (base32 or hex,
+of either case). Version lines of all versions count, and field lines may be folded. After a
 failed check the reader looks for the next gzip member or version line from which a record
 passes all checks, goes on there, and reports the bytes in between as a gap with the first
 reason. It looks inside a member's content too, so one bad record doesn't cost the member's
@@ -41,7 +42,8 @@ URN = "urn:x-page:"
 # Fixed values of the format.
 GZIP = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+VERSION = re.compile(rb"WARC/\d+\.\d+\r\n")
+ALGORITHMS = {"sha1", "md5", "sha256", "sha512"}
 DATE = "2000-01-01T00:00:00Z"  # the tables have no crawl time
 
 MANIFEST = "file string, records bigint, bytes bigint"
@@ -126,7 +128,21 @@ class Bad(Exception):
 
 
 def _digest_ok(stated: str | None, data: bytes) -> bool:
-    return not stated or not stated.startswith("sha1:") or stated[5:] == sha1_base32(data)
+    """Whether a stated digest, in base32 or hex of either case, is that of the data. One of an
+    algorithm that isn't known, or spelt in neither way, can't be checked and counts as right."""
+    name, _, value = (stated or "").partition(":")
+    name, value = name.strip().lower().replace("-", ""), value.strip()
+    if name not in ALGORITHMS:
+        return True
+    now = hashlib.new(name, data).digest()
+    for size, read in ((2 * len(now), bytes.fromhex), (-(-len(now) * 8 // 5), lambda v: base64.b32decode(
+            v + "=" * (-len(v) % 8), casefold=True))):
+        if len(value.rstrip("=")) == size:
+            try:
+                return read(value.rstrip("=")) == now
+            except ValueError:
+                pass
+    return len(value) == 0
 
 
 def parse_record(data: bytes, at: int) -> tuple[int, dict, bytes]:
@@ -137,11 +153,16 @@ def parse_record(data: bytes, at: int) -> tuple[int, dict, bytes]:
     if head < 0:
         raise Bad("head without end")
     fields = {}
+    last = None
     for line in data[at:head].decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in " \t" and last:  # a folded line goes on with the field before it
+            fields[last] = f"{fields[last]} {line.strip()}".strip()
+            continue
         name, colon, value = line.partition(":")
         if not colon:
             raise Bad("line without field")
-        fields[name.strip().lower()] = value.strip()
+        last = name.strip().lower()
+        fields[last] = value.strip()
     if not fields.get("content-length", "").isdigit() or "warc-type" not in fields or "warc-record-id" not in fields:
         raise Bad("mandatory field missing")
     start = head + 4

@@ -48,6 +48,7 @@ BLOCK = 1 << 13
 SHARD_TOKENS = 1 << 21
 END_ID = 0
 KNOWN_WORDS = 1 << 20
+LONG = 64  # characters; longer words (texts without spaces) are not kept
 PORTION = 1 << 23
 TASK_SHARDS = 4  # read by a task, one after the other
 WHITE = re.compile(r"\s")
@@ -226,6 +227,7 @@ class Encoder:
         # None: not a plain word.
         self.known: dict[str, bytes | None] = {}
         self.ends: dict[str, bytes] = {}
+        self.long: list[str] = []  # words and endings to forget after this column
 
     def _ids(self, text: str) -> list[int]:
         return self.t.encode(text, add_special_tokens=False).ids
@@ -275,6 +277,7 @@ class Encoder:
         for w, stem, x in ended:
             ids = known[stem]
             known[w] = None if ids is None else ids + self.ends[x]
+        self.long += [w for w in (*words, *stems, *new) if len(w) > LONG]
 
     def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
         """ids of each text, as 16-bit integers. Each distinct word of the column is looked up
@@ -315,6 +318,10 @@ class Encoder:
         out = [tokens[a:b] for a, b in zip([0, *end.tolist()], end.tolist())]
         for i in np.flatnonzero(whole).tolist():
             out[i] = np.array(self._ids(texts[i].as_py()), "<u2")
+        for w in self.long:
+            known.pop(w, None)
+            self.ends.pop(w, None)
+        self.long = []
         return out
 
 

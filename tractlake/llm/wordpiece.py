@@ -32,6 +32,7 @@ from tractlake.llm.common import SPACE_CLASS
 
 SPACE = "▁"
 KNOWN_WORDS = 1 << 18
+LONG = 64  # characters; longer words (texts without spaces) are not kept
 ROWS = 256
 WORD = re.compile(SPACE_CLASS.replace("[", "[^") + "+")
 START, REST = 0, 1
@@ -116,9 +117,13 @@ class Counter:
         known, pieces = self.known, 0
         if len(known) > KNOWN_WORDS:
             known.clear()
-        for w in set(words).difference(known):
+        new = set(words).difference(known)
+        for w in new:
             known[w] = self.automaton.count(w)
         each = list(map(known.__getitem__, words))
+        for w in new:
+            if len(w) > LONG:
+                del known[w]
         unknown = each.count(-1)
         pieces = sum(each) + 2 * unknown
         return len(words), pieces, unknown
