@@ -22,10 +22,11 @@
    keeps its ``L`` blocks.
 
 Each page is parsed once, and its blocks are stored. A host's distinct pages are dealt into
-shards of about ``SHARD_BYTES`` of html, or of ``SHARD_PAGES`` pages if that is more; their copies,
-which aren't counted, go to shards of their own by row, so no task gathers a host or a group of
-copies of any size. Support is counted over the host: a run on a share of its pages is on that share
-of some shard's, so what a shard finds is asked of all shards, and their numbers of pages are added up.
+shards of about ``SHARD_BYTES`` of html, or of ``SHARD_PAGES`` pages if that is more, so no task
+gathers a host of any size; copies aren't dealt at all. Support is counted over the host: a run on
+a share of its pages is on that share of some shard's, so what a shard finds (its candidates) is
+looked up in every distinct page of a host of several shards, and counted. What is on enough pages is then
+covered in each page by itself, copies included.
 
 Defined cases: null and empty html give the empty text; a null url, or one without a host,
 belongs to the host ''; repeated rows get the same text; a null page id is hashed as null; an
@@ -489,58 +490,43 @@ def _folded(parsed: DataFrame) -> DataFrame:
     return components(edges)
 
 
-def _pack(key, rows):
-    lists = [pa.array([rows.column(c).to_pylist()], pa.list_(rows.schema.field(c).type))
-             for c in ("page", "url", "counted", "blocks")]
-    same = [rows.column(c).slice(0, 1).combine_chunks() for c in ("host", "pages", "shards")]
-    return pa.Table.from_arrays([*same, *lists], ["host", "pages", "shards", "page", "url", "counted", "blocks"])
-
-
-def _shard(row) -> Shard:
-    return Shard([_blocks(b) for b in row["blocks"]], row["counted"])
-
-
-def _rows(batches, columns):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).select(columns).to_pylist()[0]
-
-
-def _candidates(batches):
+def _candidates(key, rows):
     """Keys that may be on enough pages of a host: what is on a share of all its pages is on
-    that share of the pages of one of its shards."""
-    for row in _rows(batches, ["host", "pages", "counted", "blocks"]):
-        shard = _shard(row)
-        keys, on = shard.supports()
-        need = [enough(k, row["pages"][k]) * shard.n_pages[k] / max(row["pages"][k], 1) - 1e-6 for k in ("A", "L")]
-        keys = keys[on >= np.array(need)[(keys & np.uint64(1)).astype(int)]]
-        yield pa.RecordBatch.from_arrays([pa.array([row["host"]] * len(keys), pa.string()),
-                                          pa.array(keys.view(np.int64))], ["host", "key"])
+    that share of the pages of one of its shards. In a host of one shard that is the count."""
+    shard = Shard([_blocks(b) for b in rows.column("blocks").to_pylist()], [True] * len(rows))
+    keys, on = shard.supports()
+    pages = rows.column("pages")[0].as_py()
+    need = [enough(k, pages[k]) * shard.n_pages[k] / max(pages[k], 1) - 1e-6 for k in ("A", "L")]
+    mine = on >= np.array(need)[(keys & np.uint64(1)).astype(int)]
+    n = int(mine.sum())
+    return pa.table({"host": pa.array([rows.column("host")[0].as_py()] * n, pa.string()),
+                     "key": pa.array(keys[mine].view(np.int64)), "on": pa.array(on[mine], pa.int64())})
 
 
 def _counts(batches):
-    for row in _rows(batches, ["host", "counted", "blocks", "keys"]):
-        keys, on = _shard(row).supports()
-        asked = np.isin(keys, np.array(row["keys"], np.int64).view(np.uint64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([row["host"]] * int(asked.sum()), pa.string()), pa.array(keys[asked].view(np.int64)),
-             pa.array(on[asked], pa.int64())], ["host", "key", "on"])
+    """How many pages of a batch have each of their host's candidates."""
+    for batch in batches:
+        found: dict[str, list[np.ndarray]] = {}
+        for host, blocks, keys in zip(*[c.to_pylist() for c in batch.columns]):
+            shard = Shard([_blocks(blocks)], [True])
+            here = np.unique(shard.key[shard.span > 0])
+            found.setdefault(host, []).append(here[np.isin(here, np.array(keys, np.int64).view(np.uint64))])
+        for host, lists in found.items():
+            keys, on = np.unique(np.concatenate(lists), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([host] * len(keys), pa.string()), pa.array(keys.view(np.int64)),
+                                              pa.array(on, pa.int64())], ["host", "key", "on"])
 
 
 def _extract(batches):
     for batch in batches:
-        for i in range(batch.num_rows):
-            one = batch.slice(i, 1)
-            row = one.select(["pages", "shards", "counted", "blocks", "keys", "on"]).to_pylist()[0]
-            shard = _shard(row)
-            if row["shards"] > 1:
-                keys = np.array(row["keys"] or [], np.int64).view(np.uint64)
-                on = np.array(row["on"] or [], np.int64)
-            else:
-                keys, on = shard.supports()
-            texts = shard.texts(keys, on, row["pages"])
+        for a in range(0, batch.num_rows, ROWS):
+            part, texts = batch.slice(a, ROWS), []
+            for blocks, pages, keys, on in zip(*[c.to_pylist() for c in part.columns[2:]]):
+                page = _blocks(blocks)
+                texts.append("\n".join(t for _, t in kept_blocks(page)) if not keys else Shard([page], [True]).texts(
+                    np.array(keys, np.int64).view(np.uint64), np.array(on, np.int64), pages)[0])
             yield pa.RecordBatch.from_arrays(
-                [one.column("page").flatten(), one.column("url").flatten(), pa.array(texts, pa.string()),
+                [part.column(0), part.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], ["page", "url", "text", "n_chars"])
 
 
@@ -548,19 +534,20 @@ def _enough(kind: str) -> Column:
     return F.greatest(F.lit(float(PAGES[kind])), F.lit(SHARE[kind]) * F.col(f"pages.{kind}"))
 
 
-def _repeats(shards: DataFrame) -> DataFrame:
-    """host, keys, on: what is on enough pages of a host of several shards, with the number of
-    its distinct pages over the whole host. Near copies are in one shard, so numbers add up."""
-    several = shards.filter("shards > 1")
-    asked = several.mapInArrow(_candidates, "host string, key bigint").distinct()
-    asked = written(asked.groupBy("host").agg(F.collect_list("key").alias("keys")), "host-candidates")
-    counts = several.join(asked, "host").select("host", "counted", "blocks", "keys").mapInArrow(
-        _counts, "host string, key bigint, on bigint").groupBy("host", "key").agg(F.sum("on").alias("on"))
-    pages = several.groupBy("host").agg(F.first("pages").alias("pages"))
+def _repeats(pages: DataFrame, hosts: DataFrame) -> DataFrame:
+    """host, pages, keys, on: what is on enough pages of a host, with the number of its distinct
+    pages. ``pages`` are the distinct ones, with host, pages, shards, shard and blocks."""
+    found = written(pages.groupBy("host", "shard").applyInArrow(
+        _candidates, "host string, key bigint, on bigint"), "host-candidates").join(
+        hosts.select("host", "pages", "shards"), "host")
+    asked = found.filter("shards > 1").select("host", "key").distinct().groupBy("host").agg(F.collect_list("key").alias("keys"))
+    counts = pages.filter("shards > 1").join(written(asked, "host-asked"), "host").select(
+        "host", "blocks", "keys").mapInArrow(_counts, "host string, key bigint, on bigint")
+    counts = counts.groupBy("host", "key").agg(F.sum("on").alias("on")).join(hosts.select("host", "pages", "shards"), "host")
     least = F.when(F.col("key").bitwiseAND(F.lit(1)) == 1, _enough("L")).otherwise(_enough("A"))
-    found = counts.join(pages, "host").filter(F.col("on") >= least)
-    return written(found.groupBy("host").agg(F.collect_list(F.struct("key", "on")).alias("x"))
-                   .select("host", F.col("x.key").alias("keys"), F.col("x.on").alias("on")), "host-repeats")
+    every = found.filter("shards = 1").select(*counts.columns).unionByName(counts).filter(F.col("on") >= least)
+    return written(every.groupBy("host").agg(F.first("pages").alias("pages"), F.collect_list(F.struct("key", "on")).alias("x"))
+                   .select("host", "pages", F.col("x.key").alias("keys"), F.col("x.on").alias("on")), "host-repeats")
 
 
 def main_text(pages: DataFrame, *, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -573,26 +560,20 @@ def main_text(pages: DataFrame, *, page: str = "page_id", url: str = "url", html
         _parse, f"page {kind}, url string, blocks binary, host string, id bigint, row bigint, bytes bigint, "
                 "bands array<bigint>, kind string"), "page-blocks")
     moved = written(_folded(parsed).withColumnRenamed("v", "id"), "page-groups")
+    # A page of several rows, or with near copies, counts by one row of its group's root page.
     signs = parsed.select("host", "id", "row", "bytes", "kind").join(moved, "id", "left")
-    # A group of copies counts by one row of its root page.
-    first = signs.filter(F.col("root").isNull() | (F.col("root") == F.col("id"))).groupBy("id").agg(
-        F.first("host").alias("host"), F.min("row").alias("row"), F.first("bytes").alias("bytes"), F.first("kind").alias("kind"))
-    first = written(first, "page-firsts")
-    every = signs.groupBy("host").agg(F.sum("bytes").alias("bytes"))
-    hosts = first.groupBy("host").agg(F.sum("bytes").alias("own"), *[
-        F.count_if(F.col("kind") == k).alias(k) for k in KINDS]).join(every, "host")
-    shards = F.greatest(F.least(F.ceil(F.col("own") / SHARD_BYTES), F.ceil((F.col("L") + F.col("A")) / SHARD_PAGES)), F.lit(1))
-    rest = F.ceil((F.col("bytes") - F.col("own")) / SHARD_BYTES)  # for the copies
-    hosts = written(hosts.select("host", F.struct(*KINDS).alias("pages"), shards.cast("int").alias("own"),
-                                 rest.cast("int").alias("rest")), "hosts", 8)
-    counted = F.col("counted").isNotNull()
-    placed = parsed.select("page", "url", "blocks", "host", "row").join(
-        first.select("row", F.lit(True).alias("counted")), "row", "left").join(hosts, "host").select(
-        "page", "url", "blocks", "host", "pages", (F.col("own") + F.col("rest")).alias("shards"), counted.alias("counted"),
-        F.when(counted, F.pmod(F.xxhash64("row"), F.col("own")))
-        .otherwise(F.col("own") + F.pmod(F.xxhash64("row"), F.greatest("rest", F.lit(1)))).alias("shard"))
-    packed = written(placed.groupBy("host", "shard").applyInArrow(
-        _pack, f"host string, pages struct<L:bigint,A:bigint>, shards int, page array<{kind}>, url array<string>, "
-               "counted array<boolean>, blocks array<binary>"), "page-shards")
-    return packed.join(_repeats(packed), "host", "left").mapInArrow(
+    own = F.col("root").isNull() | (F.col("root") == F.col("id"))
+    first = signs.filter(own).groupBy("id").agg(F.min("row").alias("first"))
+    copies = signs.join(first, "id", "left").filter(F.col("first").isNull() | (F.col("row") != F.col("first")) | ~own)
+    copies = written(copies.select("row"), "page-copies")
+    counted = parsed.join(copies, "row", "left_anti")
+    hosts = counted.groupBy("host").agg(F.sum("bytes").alias("bytes"), *[
+        F.count_if(F.col("kind") == k).alias(k) for k in KINDS])
+    shards = F.least(F.ceil(F.col("bytes") / SHARD_BYTES), F.ceil((F.col("L") + F.col("A")) / SHARD_PAGES))
+    hosts = written(hosts.select("host", F.struct(*KINDS).alias("pages"),
+                                 F.greatest(shards, F.lit(1)).cast("int").alias("shards")), "hosts", 8)
+    dealt = counted.select("host", "row", "blocks").join(hosts, "host").select(
+        "host", "pages", "shards", "blocks", F.pmod(F.xxhash64("row"), F.col("shards")).alias("shard"))
+    return parsed.select("page", "url", "host", "blocks").join(_repeats(dealt, hosts), "host", "left").select(
+        "page", "url", "blocks", "pages", "keys", "on").mapInArrow(
         _extract, f"page {kind}, url string, text string, n_chars bigint")

@@ -127,22 +127,27 @@ class Bad(Exception):
     """A check that failed."""
 
 
-def _digest_ok(stated: str | None, data: bytes) -> bool:
-    """Whether a stated digest, in base32 or hex of either case, is that of the data. One of an
-    algorithm that isn't known, or spelt in neither way, can't be checked and counts as right."""
-    name, _, value = (stated or "").partition(":")
-    name, value = name.strip().lower().replace("-", ""), value.strip()
+def _stated(digest: str | None) -> tuple[str, bytes] | None:
+    """(algorithm, value) of a stated digest, in base32 or hex of either case; None for one of an
+    algorithm that isn't known, or spelt in neither way: it can't be checked."""
+    name, _, value = (digest or "").partition(":")
+    name, value = name.strip().lower().replace("-", ""), value.strip().rstrip("=")
     if name not in ALGORITHMS:
-        return True
-    now = hashlib.new(name, data).digest()
-    for size, read in ((2 * len(now), bytes.fromhex), (-(-len(now) * 8 // 5), lambda v: base64.b32decode(
-            v + "=" * (-len(v) % 8), casefold=True))):
-        if len(value.rstrip("=")) == size:
-            try:
-                return read(value.rstrip("=")) == now
-            except ValueError:
-                pass
-    return len(value) == 0
+        return None
+    size = hashlib.new(name).digest_size
+    try:
+        if len(value) == 2 * size:
+            return name, bytes.fromhex(value)
+        if len(value) == -(-size * 8 // 5):
+            return name, base64.b32decode(value + "=" * (-len(value) % 8), casefold=True)
+    except ValueError:
+        pass
+    return None
+
+
+def _digest_ok(stated: str | None, data: bytes) -> bool:
+    known = _stated(stated)
+    return known is None or hashlib.new(known[0], data).digest() == known[1]
 
 
 def parse_record(data: bytes, at: int) -> tuple[int, dict, bytes]:
@@ -229,8 +234,8 @@ def inner_records(inner: bytes) -> tuple[list[tuple[dict, bytes]], list[str]]:
 
 def _candidate(data: bytes, at: int) -> int:
     """The next place from ``at`` on where a member or a version line may start."""
-    places = [data.find(GZIP, at), data.find(b"WARC/1.", at)]
-    return min((p for p in places if p >= 0), default=len(data))
+    member_, line = data.find(GZIP, at), VERSION.search(data, at)
+    return min((p for p in (member_, line.start() if line else -1) if p >= 0), default=len(data))
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
@@ -244,7 +249,7 @@ def salvage(data: bytes) -> Iterator[tuple]:
             end, inner, bad = inflate(data, at)
             found, gaps = inner_records(inner)
             if bad:
-                found = [x for x in found if x[0].get("warc-block-digest", "").startswith("sha1:")]
+                found = [x for x in found if _stated(x[0].get("warc-block-digest"))]
         else:
             try:
                 end, fields, block = parse_record(data, at)
@@ -292,9 +297,11 @@ def _reader(with_payload: bool):
         body, revisit = http_body(block), fields["warc-type"] == "revisit"
         stated = re.search(rb"(?im)^content-length:\s*(\d+)", block.partition(b"\r\n\r\n")[0]) if revisit else None
         digest = fields.get("warc-payload-digest", "")
+        known = _stated(digest)
         return dict(zip(names, [
             kind, uri, start, end, why[0] if why else None, fields["warc-type"], _unname(fields["warc-record-id"]),
             fields.get("warc-target-uri"), _unname(fields.get("warc-refers-to")),
+            base64.b32encode(known[1]).decode() if revisit and known and known[0] == "sha1" else
             digest.removeprefix("sha1:") if revisit else sha1_base32(body),
             int(stated[1]) if stated else len(body), body if with_payload and not revisit else None]))
 
