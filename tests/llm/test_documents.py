@@ -486,3 +486,29 @@ def test_decode_of_null_ids_and_string_keys(spark):
     named = spark.createDataFrame([("k2", "two"), ("k1", None), (None, "none")], "doc_id string, text string")
     got = wavelet.read_shards(wavelet.write_shards(named), "string").orderBy("start").collect()
     assert [r.key for r in got] == [None, "k1", "k2"]
+
+
+@pytest.mark.parametrize("starts", [0, 1, 4])
+def test_cut_of_a_block_from_a_histogram_of_starts(spark, monkeypatch, starts):
+    """The same cut as sorting the whole block: the last order whose documents' middle is in the room."""
+    monkeypatch.setattr(mixing, "STARTS", starts)
+    rng = np.random.default_rng(starts)
+    rows, parts, want = [], [], {}
+    for rank, source in enumerate([None, "a", "b", "c", "d"]):
+        mine = [(f"7f{rng.integers(0, 1 << 20):05x}", int(rng.integers(0, 9) * (rank != 4))) for _ in range(200)]
+        mine += mine[:5]  # equal orders are taken alike
+        rows += [(source, o[:2], o, n) for o, n in mine] + [(source, "00", "00aa", 5)]
+        room = [0, 3, 400, 10 ** 6, 0][rank]
+        parts.append((rank, source, "7f", room))
+        size, upto, cut = {}, 0, None
+        for o, n in mine:
+            size[o] = size.get(o, 0) + n
+        for o in sorted(size):
+            if upto + size[o] / 2 <= room:
+                cut = o
+            upto += size[o]
+        if cut is not None:
+            want[rank] = cut
+    sizes = spark.createDataFrame(rows, "source string, block string, order string, size bigint")
+    part = spark.createDataFrame(parts, "rank int, p_source string, p_block string, room bigint")
+    assert {r.rank: r.cut for r in mixing._cuts(sizes, part).collect()} == want

@@ -16,7 +16,8 @@
    source, given the ones before it). After ``DEPTH`` levels the leaves, the output
    shards, hold exact quotas whose sums over shards are the root's counts.
 4. The draws of a source, permuted, go to the shards in runs as long as their quotas:
-   disjoint, and all of them used. Within a shard documents are ordered by a hash.
+   disjoint, and all of them used. Within a shard documents are ordered by a hash. There are
+   2 ** ``DEPTH`` shards, more where one would hold over ``SHARD_WORDS`` words.
 
 The plan (steps 2 to 4) has at most 512 rows a source, whatever the number of documents;
 it is joined to the documents by (source, block), which splits a hot source 256 ways.
@@ -31,6 +32,8 @@ pass through ``mixed`` unchanged and none can clash.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tractlake.llm.common import let, words_of, written
@@ -38,7 +41,9 @@ from tractlake.llm.common import let, words_of, written
 WEIGHTS = [3, 1, 2]
 SHARE = 1.5
 MOST = 2
-DEPTH = 6
+DEPTH = 6  # at least
+SHARD_WORDS = 1 << 26
+STARTS = 4
 SEED = "mix-1"
 PLAN_FILES = 8
 
@@ -112,13 +117,8 @@ def block_draws(sizes: DataFrame, goal: DataFrame, *, seed: str = SEED) -> DataF
     b = b.withColumn("more", F.when(F.array_contains("got", F.col("block")), "all").when(
         (F.col("block") == F.col("rest")) & (F.col("room") > 0) & (F.col("whole") < MOST), "part").otherwise("none"))
     b = written(b.select("rank", "source", "block", "whole", "more", "room"), "mix-blocks", PLAN_FILES)
-    part = b.filter("more = 'part'").select("rank", F.col("source").alias("p_source"),
-                                            F.col("block").alias("p_block"), "room")
-    inside = (sizes.join(part, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("block") == F.col("p_block")))
-              .groupBy("rank", "room", "order").agg(F.sum("size").alias("size")))
-    upto = Window.partitionBy("rank").orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = (inside.withColumn("middle", F.sum("size").over(upto) - F.col("size") / 2)
-            .filter("middle <= room").groupBy("rank").agg(F.max("order").alias("cut")))
+    cuts = _cuts(sizes, b.filter("more = 'part'").select("rank", F.col("source").alias("p_source"),
+                                                         F.col("block").alias("p_block"), "room"))
     cut = F.when(F.col("more") == "part", F.coalesce("cut", F.lit("")))
     passes = F.col("whole") + (F.col("more") != "none").cast("int")
     return (b.join(cuts, "rank", "left").filter(passes > 0)
@@ -127,6 +127,28 @@ def block_draws(sizes: DataFrame, goal: DataFrame, *, seed: str = SEED) -> DataF
             .withColumn("cut", F.when(F.col("pass") > F.col("whole"), F.col("cut"))).drop("whole"))
 
 
+def _cuts(sizes: DataFrame, part: DataFrame) -> DataFrame:
+    """rank, cut: of a block that is drawn in part, the largest ``order`` whose documents still
+    lie, by their middle, in the room.
+
+    The running sum goes over a histogram of the starts of ``order`` first (at most 16 **
+    ``STARTS`` rows a source), then inside the last two starts that begin within the room: all
+    documents of those before lie in it. So no block is sorted as a whole.
+    """
+    start = F.substring("order", 1, STARTS + 2)
+    inside = sizes.join(part, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("block") == F.col("p_block"))).select(
+        "rank", "room", "order", start.alias("start"), "size")
+    before = Window.partitionBy("rank").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    last = Window.partitionBy("rank").orderBy(F.col("start").desc())
+    near = (inside.groupBy("rank", "room", "start").agg(F.sum("size").alias("words"))
+            .withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0))).filter("before <= room")
+            .withColumn("n", F.row_number().over(last)).filter("n <= 2").select("rank", "start", "before"))
+    rows = inside.join(near, ["rank", "start"]).groupBy("rank", "room", "start", "before", "order").agg(F.sum("size").alias("size"))
+    upto = Window.partitionBy("rank", "start").orderBy("order").rowsBetween(Window.unboundedPreceding, 0)
+    return (rows.withColumn("middle", F.col("before") + F.sum("size").over(upto) - F.col("size") / 2)
+            .filter("middle <= room").groupBy("rank").agg(F.max("order").alias("cut")))
+
+
 def _hypergeometric(total: Column, good: Column, drawn: Column, *ids) -> Column:
     """Number of good ones among ``drawn`` of ``total``. One pass over the support keeps the
     current value with probability weight / (sum of weights so far); weights are in logs."""
@@ -190,9 +212,12 @@ def shard_draws(draws: DataFrame, quotas: DataFrame, *, seed: str = SEED) -> Dat
 
 
 def mix_plan(sizes: DataFrame, *, weights: list[int] | None = None, share: float = SHARE, most: int = MOST,
-             depth: int = DEPTH, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
+             depth: int | None = None, seed: str = SEED) -> tuple[DataFrame, DataFrame]:
     """Targets by source, and draws by block; both are small tables in the shared folder."""
     goal = written(targets(sizes, weights=weights, share=share, most=most), "mix-targets", PLAN_FILES)
+    if depth is None:
+        words = goal.agg(F.sum("target")).first()[0] or 0
+        depth = max(DEPTH, math.ceil(math.log2(max(words / SHARD_WORDS, 1))))
     draws = written(block_draws(sizes, goal, seed=seed), "mix-draws", PLAN_FILES)
     return goal, written(shard_draws(draws, shard_quotas(draws, depth=depth, seed=seed), seed=seed), "mix-plan", PLAN_FILES)
 
@@ -233,7 +258,12 @@ def mixed(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: s
             .select("doc", "d.shard", "d.position"))
 
 
-def write_mix(mix_rows: DataFrame, path: str, *, depth: int = DEPTH) -> None:
+def in_order(mix_rows: DataFrame) -> DataFrame:
+    """The rows dealt by shard, those of each in the order of ``position``."""
+    return mix_rows.repartition("shard").sortWithinPartitions("shard", "position")
+
+
+def write_mix(mix_rows: DataFrame, path: str) -> None:
     """One folder a shard below ``path``, each shuffled locally: sorted by ``position``."""
-    (mix_rows.repartition(2 ** depth, "shard").sortWithinPartitions("shard", "position")
-     .select("doc.*", F.col("shard").alias("_shard")).write.partitionBy("_shard").parquet(path))
+    (in_order(mix_rows).select("doc.*", F.col("shard").alias("of_shard"))
+     .write.partitionBy("of_shard").parquet(path))

@@ -302,7 +302,7 @@ def _portions(batch):
         a = b
 
 
-def _encoder(model: str, digest: bool):
+def _encoder(model: str, digest: bool, check: bool = False):
     def run(batches):
         vocab = load(model)
         for batch in batches:
@@ -313,7 +313,9 @@ def _encoder(model: str, digest: bool):
                 if not digest:
                     ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
                     ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
-                    yield pa.RecordBatch.from_arrays([part.column(0), ids, many], ["key", "ids", "n_tokens"])
+                    same = [pa.array([vocab.decode(x.tolist()) == (t or "") for x, t in zip(found, texts)])] if check else []
+                    yield pa.RecordBatch.from_arrays([part.column(0), ids, many, *same],
+                                                     ["key", "ids", "n_tokens", *["round_trip"] * check])
                     continue
                 same = [vocab.decode(x.tolist()) == (t or "") for x, t in zip(found, texts)]
                 crc = [zlib.crc32(x.tobytes()) for x in found]
@@ -323,11 +325,14 @@ def _encoder(model: str, digest: bool):
     return run
 
 
-def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
-    """key, ids (array of int), n_tokens: one row per document, in no order."""
+def encode(docs: DataFrame, *, key: str = "doc_id", text: str = "text", model: str | None = None,
+           check: bool = False) -> DataFrame:
+    """key, ids (array of int), n_tokens: one row per document, in the order of ``docs``. With
+    ``check`` also round_trip, whether decoding the ids gives the text again."""
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(docs[key].alias("key"), docs[text].alias("text")).mapInArrow(
-        _encoder(model or default_model(), False), f"key {kind}, ids array<int>, n_tokens bigint")
+        _encoder(model or default_model(), False, check),
+        f"key {kind}, ids array<int>, n_tokens bigint" + ", round_trip boolean" * check)
 
 
 def encode_and_check(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
