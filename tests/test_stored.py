@@ -225,3 +225,45 @@ def test_another_checkpoint_is_another_stream(spark, tmp_path):
     assert s.id != first and s.rows() == [] and s.ledger() == [(1, True)] * 2  # all seen and done
     assert ledger.committed_batches(spark, f"{tmp_path}/ledger", first) == 1
     assert ledger.committed_batches(spark, f"{tmp_path}/ledger", s.id) == 1
+
+
+def _zip(path, rating):
+    import zipfile
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("ratings_al.txt", f"test-rating-id\tuniversal-id\trating\turl\n1\tU1\t{rating}\thttps://r/1\n")
+
+
+def test_feed_stream_tables_and_ledger_move_together(spark, tmp_path, monkeypatch):
+    from tractlake.operators import feeds
+    base = str(tmp_path)
+    schema = spark.createDataFrame([], NOTICE).schema
+
+    def land(*notices):
+        spark.createDataFrame([("s", subject, dt.datetime(2024, 1, day, 8)) for subject, day in notices], NOTICE) \
+            .coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+    def run():
+        return loads.run_feed_stream(spark, f"{base}/in", schema, f"{base}/ledger", f"{base}/feeds", f"{base}/out",
+                                     f"{base}/ckpt", {"ratings": ("*.zip", feeds.RATINGS)}, "s", "2024-02-01 00:00:00")
+
+    def seen(stream):
+        t = ingest.read_replaced(spark, f"{base}/out", f"{base}/ledger", stream, "ratings")
+        led = ledger.read_current(spark, f"{base}/ledger")
+        return (None if t is None else [int(r.rating) for r in t.collect()],
+                sorted((r.email_ts.day, r.updated) for r in led.collect()))
+    _zip(f"{base}/feeds/landing/20240105/ratings.zip", 5)
+    _zip(f"{base}/feeds/landing/20240107/ratings.zip", 7)
+    land(("hello", 4))
+    stream = run()
+    assert seen(stream) == (None, [(4, False)])  # nothing to load, the notice is kept
+    land(("Feed Update", 5), ("hello", 6))
+    assert run() == stream and seen(stream) == ([5], [(4, True), (5, True), (6, False)])
+    land(("Feed Update", 7))
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "write_snapshot", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            run()
+    assert seen(stream) == ([5], [(4, True), (5, True), (6, False)])  # neither the table nor the ledger moved
+    assert run() == stream and seen(stream) == ([7], [(4, True), (5, True), (6, True), (7, True)])
+    assert run() == stream and seen(stream) == ([7], [(4, True), (5, True), (6, True), (7, True)])

@@ -16,6 +16,7 @@ from tractlake.operators import catalog as cat
 from tractlake.operators import facts, feeds, geo, ledger, lookup, sequences
 from tractlake.session import scratch_dir
 from tractlake.sources import archives, files, workbooks
+from tractlake.streaming import ingest
 
 
 def _binary(spark: SparkSession, root: str, glob: str) -> DataFrame:
@@ -162,6 +163,40 @@ def run_feed_batch(spark: SparkSession, notices: DataFrame, ledger_root: str,
     return {"batch": batch["stage_location"], "tables": written}
 
 
+def run_feed_stream(spark: SparkSession, notices_root: str, notices_schema, ledger_root: str,
+                    feed_root: str, out_root: str, checkpoint: str, feeds_by_table: dict, sender: str,
+                    run_ts: str, phrase: str = ledger.DEFAULT_PHRASE,
+                    prefix: str = ledger.DEFAULT_PREFIX, max_files: int = 1) -> str:
+    """The poll as a stream: notices that arrived since the last run → feed tables and ledger.
+
+    Every micro-batch of notices is one :func:`run_feed_batch`: the newest
+    folder of its pending feed notices is read into the feed tables, unseen notices join the
+    ledger, and all up to the folder's date are closed. Tables and ledger
+    version are committed by one write, so a batch that is lost half-way leaves
+    the tables and the ledger as they were, and its replay does all of it.
+    Without a pending feed notice the tables stay. Returns the stream's id for
+    ``ingest.read_replaced``.
+    """
+    found = {}
+
+    def tables(batch, current):
+        sel = ledger.select_notices(batch, sender, phrase)
+        found["batch"] = ledger.current_batch(ledger.pending_notices(sel, current), prefix).collect()[0]
+        if found["batch"]["stage_location"] is None:
+            return {}
+        folder = f"{feed_root}/{found['batch']['stage_location']}"
+        return {name: feeds.read_feed_members(archives.expand_archives(_binary(spark, folder, glob), keep_dirs=False),
+                                              layout, by_position=True)
+                for name, (glob, layout) in feeds_by_table.items()}
+
+    def advance(batch, current):
+        appended = ledger.append_unseen(current, ledger.select_notices(batch, sender, phrase), run_ts, prefix)
+        day = found["batch"]["batch_date"]
+        return appended if day is None else ledger.close_ledger(appended, day)
+    return ingest.stream_with_ledger(spark, notices_root, notices_schema, out_root, checkpoint, ledger_root,
+                                     LEDGER_SCHEMA, tables, advance, max_files=max_files)
+
+
 def build_fact_table(spark: SparkSession, areas: DataFrame, sequences: dict, lookup_df: DataFrame,
                      catalog_df: DataFrame, load_year: int, out: str | None = None,
                      year_override=None) -> DataFrame:

@@ -75,9 +75,9 @@ def stream_with_ledger(spark: SparkSession, source: str, schema: T.StructType, o
                        max_files: int | None = None) -> str:
     """One incremental pass whose data and ledger are committed together.
 
-    For every micro-batch, ``rows(batch, ledger)`` gives the rows to keep and
-    ``advance(batch, ledger)`` the next ledger. The rows are written to a
-    folder of the stream's id and the batch's number; then one write adds the
+    For every micro-batch, ``rows(batch, ledger)`` gives the rows to keep, or a
+    dict of tables, and ``advance(batch, ledger)`` the next ledger. The rows are written to a
+    folder of the stream's id and the batch's number (and the table's name); then one write adds the
     ledger version, whose folder names that batch. That write is the commit:
 
     * a crash before it leaves neither (readers ask the ledger which batches
@@ -102,7 +102,9 @@ def stream_with_ledger(spark: SparkSession, source: str, schema: T.StructType, o
         current = ledger.read_current(spark, ledger_root, ledger_schema)
         if current is None:
             current = spark.createDataFrame([], ledger_schema)
-        rows(batch, current).write.mode("overwrite").parquet(f"{out}/stream={stream}/batch={batch_id}")
+        made = rows(batch, current)
+        for name, df in (made if isinstance(made, dict) else {None: made}).items():
+            df.write.mode("overwrite").parquet(_batch_folder(out, stream, batch_id, name))
         ledger.write_snapshot(advance(batch, current), ledger_root,
                               ledger.next_version(spark, ledger_root), f"{stream}-{batch_id}")
 
@@ -112,9 +114,23 @@ def stream_with_ledger(spark: SparkSession, source: str, schema: T.StructType, o
     return str(q.id)
 
 
+def _batch_folder(out: str, stream: str, batch, table: str | None = None) -> str:
+    return f"{out}/stream={stream}/batch={batch}" + (f"/table={table}" if table else "")
+
+
 def read_committed(spark: SparkSession, out: str, ledger_root: str, stream: str, schema) -> DataFrame:
     """The rows of the batches that the ledger has committed; those of a lost batch don't count."""
     n = ledger.committed_batches(spark, ledger_root, stream)
     if not n:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{out}/stream={stream}/batch={b}" for b in range(n)])
+    return spark.read.schema(schema).parquet(*[_batch_folder(out, stream, b) for b in range(n)])
+
+
+def read_replaced(spark: SparkSession, out: str, ledger_root: str, stream: str, table: str) -> DataFrame | None:
+    """A table that every batch replaces: as the newest committed batch that has it wrote it."""
+    n = ledger.committed_batches(spark, ledger_root, stream)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_batch_folder(out, stream, "*", table))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    batches = [int(s.getPath().getParent().getName().partition("=")[2]) for s in fs.globStatus(path) or []]
+    newest = max((b for b in batches if b < n), default=None)
+    return None if newest is None else spark.read.parquet(_batch_folder(out, stream, newest, table))
