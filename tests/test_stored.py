@@ -267,3 +267,30 @@ def test_feed_stream_tables_and_ledger_move_together(spark, tmp_path, monkeypatc
     assert seen(stream) == ([5], [(4, True), (5, True), (6, False)])  # neither the table nor the ledger moved
     assert run() == stream and seen(stream) == ([7], [(4, True), (5, True), (6, True), (7, True)])
     assert run() == stream and seen(stream) == ([7], [(4, True), (5, True), (6, True), (7, True)])
+
+
+def test_runs_of_the_catalog_add_years_and_update_windows(spark, tmp_path):
+    root = str(tmp_path / "fact")
+    years = (2015, 2016, 2017)
+    areas = spark.createDataFrame([(y, f"g{k}", "AL", str(k)) for y in years for k in (1, 2)],
+                                  "year int, geoid string, stusab string, logrecno string")
+    seqs = {1: spark.createDataFrame([(y, "al", "1", D(y - 2000), D(2)) for y in years],
+                                     "year int, stusab string, logrecno string, B1_001 decimal(16,2), B1_002 decimal(16,2)")}
+    lookup_df = spark.createDataFrame([("B1_001", 1, 1), ("B1_002", 1, 2)], "varid string, seq int, ordinal int")
+    catalog_df = spark.createDataFrame(
+        [("a", "x", "B1_001", "count", 2015, 2016), ("b", "x", "B1_002", "count", 2016, 9999),
+         ("b", "y", "B1_001 / B1_002", "rate", 2016, 9999), ("late", "z", "B1_001", "count", 2030, 9999)],
+        "group_name string, metric_name string, formula string, statistic string, start_year int, end_year int")
+
+    def run(keep, groups):
+        return loads.update_fact_store(spark, root, areas.filter(F.col("year").isin(keep)), seqs, lookup_df, catalog_df, 2017, groups)
+    assert run([2015, 2016], ["a"]) == {"added": [2015, 2016], "updated": [2015, 2016]}
+    assert run(list(years), ["B "]) == {"added": [2017], "updated": [2016, 2017]}
+    got = {(r.year, r.geoid): (r.x, r.y) for r in factstore.read(spark, root).collect()}
+    assert got == {(2015, "g1"): (D(15), None), (2015, "g2"): (None, None), (2016, "g1"): (D(2), D("8.000000")),
+                   (2016, "g2"): (None, None), (2017, "g1"): (D(2), D("8.500000")), (2017, "g2"): (None, None)}
+    assert run(list(years), ["late"]) == {"added": [], "updated": []}
+    with pytest.raises(cat.CatalogError, match="groups not in the catalog: nope"):
+        run(list(years), ["nope"])
+    before = factstore.manifest(spark, root)
+    assert run(list(years), ["a"])["updated"] == [2015, 2016] and factstore.manifest(spark, root)[2017] == before[2017]

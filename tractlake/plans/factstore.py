@@ -63,19 +63,34 @@ def read(spark: SparkSession, root: str, years=None) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*[folders[y] for y in sorted(folders)])
 
 
-def upsert(spark: SparkSession, root: str, src: DataFrame, cols=None) -> dict:
+def add_years(spark: SparkSession, root: str, fact: DataFrame) -> dict:
+    """The years of ``fact`` that are not stored yet, as a new version; stored ones stay as they are."""
+    folders = manifest(spark, root)
+    years = sorted({r["year"] for r in fact.select("year").distinct().collect()} - set(folders))
+    if not years:
+        return {"version": ledger.current_version(spark, _versions(root)), "years": []}
+    version = ledger.next_version(spark, _versions(root))
+    new = _write(fact.filter(F.col("year").isin(years)), root, version, years)
+    _commit(spark, root, version, {**folders, **new})
+    return {"version": version, "years": years}
+
+
+def upsert(spark: SparkSession, root: str, src: DataFrame, cols=None, rank: str | None = None) -> dict:
     """Overwrite the stored cells with ``src`` where it is not NULL, as a new version.
 
     Only the years of ``src`` that are stored are read and written; areas that
     are not stored are not added, as with an UPDATE. ``src`` must be unique
-    on (year, geoid). Returns the version and the touched years; nothing
-    is written if no stored year is touched.
+    on (year, geoid), or, with ``rank`` (the name of a column), on these and the rank: then the
+    value of the highest rank wins, as with one upsert per rank. Returns the version and the
+    touched years; nothing is written if no stored year is touched.
     """
     folders = manifest(spark, root)
     touched = sorted({r["year"] for r in src.select("year").distinct().collect()} & set(folders))
     if not touched:
         return {"version": ledger.current_version(spark, _versions(root)), "years": []}
     version = ledger.next_version(spark, _versions(root))
-    rows = facts.upsert_fact(read(spark, root, touched), src.filter(F.col("year").isin(touched)), cols=cols)
+    new = src.filter(F.col("year").isin(touched))
+    old = read(spark, root, touched)
+    rows = facts.upsert_ranked(old, new, rank=rank) if rank else facts.upsert_fact(old, new, cols=cols)
     _commit(spark, root, version, {**folders, **_write(rows, root, version, touched)})
     return {"version": version, "years": touched}

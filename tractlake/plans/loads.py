@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tractlake.operators import catalog as cat
 from tractlake.operators import facts, feeds, geo, ledger, lookup, sequences
+from tractlake.plans import factstore
 from tractlake.session import scratch_dir
 from tractlake.sources import archives, files, workbooks
 from tractlake.streaming import ingest
@@ -218,3 +219,33 @@ def build_fact_table(spark: SparkSession, areas: DataFrame, sequences: dict, loo
         files.load_table(fact, out, partition_by=["year"])
         return spark.read.parquet(out)
     return fact
+
+
+def update_fact_store(spark: SparkSession, root: str, areas: DataFrame, sequences: dict,
+                      lookup_df: DataFrame, catalog_df: DataFrame, load_year: int, groups=None,
+                      year_override=None) -> dict:
+    """Run catalog groups against the stored fact: years the store lacks are
+    added with the areas' keys, then the groups' metrics overwrite the cells of the
+    years in their windows, in ascending group name, all in one new version.
+
+    ``groups`` limits the run to some groups of the catalog (all by default).
+    Returns the added and the updated years.
+    """
+    named = ["group_name", "metric_name", "formula", "statistic", "start_year", "end_year"]
+    if "ordinal" in catalog_df.columns:
+        catalog_df = catalog_df.orderBy("ordinal")
+    plans = cat.plan_groups(catalog_df.select(*named).collect(), load_year, year_override)
+    if groups is not None:
+        wanted_groups = {g.strip().lower() for g in groups}
+        unknown = wanted_groups - {p.name for p in plans}
+        if unknown:
+            raise cat.CatalogError(f"groups not in the catalog: {', '.join(sorted(unknown))}")
+        plans = [p for p in plans if p.name in wanted_groups]
+    added = factstore.add_years(spark, root, facts.empty_fact(areas, plans))["years"]
+    if all(p.empty for p in plans):
+        return {"added": added, "updated": []}
+    wanted = sorted({m for p in plans for m in p.measures})
+    columns = [c for c in ("year", "varid", "seq", "ordinal") if c in lookup_df.columns]
+    rows = lookup_df.filter(F.col("varid").isin(wanted)).select(*columns).collect()  # metadata
+    stacked = facts.stacked_groups(plans, sequences, rows, areas)
+    return {"added": added, "updated": factstore.upsert(spark, root, stacked, rank="rank")["years"]}
