@@ -310,3 +310,9 @@ def test_pages_with_clashing_columns(spark):
                                      "counted boolean, bands array<int>")
     assert {r.page: r.text for r in htmltext.main_text(df).collect()} == {i: f"Page {i} here." for i in range(3)}
     assert len(warc.read_warc(warc.write_warc(df)).collect()) == 3
+
+
+def test_store_names():
+    from tractlake.llm.files import known
+    assert [known(u) for u in ("s3a://b/k", "s3n://b", "file:/tmp/x", "hdfs://n/x", "/tmp/s3a://x")] == [
+        "s3://b/k", "s3://b", "file:/tmp/x", "hdfs://n/x", "/tmp/s3a://x"]

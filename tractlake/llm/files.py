@@ -12,9 +12,19 @@ import uuid
 from pyspark import TaskContext
 
 
+# Hadoop's names of stores that pyarrow knows by another one.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def known(uri: str) -> str:
+    """The URI as pyarrow spells it."""
+    scheme, mark, rest = uri.partition("://")
+    return SCHEMES.get(scheme, scheme) + mark + rest
+
+
 def _located(uri: str):
     from pyarrow import fs
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(known(uri))
 
 
 def new_file(folder: str, suffix: str):
