@@ -67,6 +67,6 @@ def test_sequence_measures_of_all_sequences(spark):
 
 def test_empty_members_have_a_piece(spark):
     p = spark.createDataFrame([(1, "a.txt", ""), (2, "b.txt", "x" * 50), (3, "c.txt", "")], "key int, name string, body string")
-    parts = archives.expand_chunks(archives.pack_archives(p, "landing/pages", "name", "body", "key"), chunk_bytes=20)
+    parts = archives.expand_chunks(archives.pack_archives(p, "landing/pages", "name", "body", "key"), chunk_bytes=20, keep_empty=True)
     assert sorted((r.member, r.offset, len(r.content)) for r in parts.collect()) == [
         ("pages/a.txt", 0, 0), ("pages/b.txt", 0, 20), ("pages/b.txt", 20, 20), ("pages/b.txt", 40, 10), ("pages/c.txt", 0, 0)]

@@ -853,7 +853,7 @@ def archive_chunks(spark, d):
         "page_id", F.coalesce("html", F.lit("")).alias("html"),
         F.concat(F.col("page_id").cast("string"), F.lit(".html")).alias("name"))
     zips = archives.pack_archives(p, "landing/pages", "name", "html", "page_id")
-    parts = archives.expand_chunks(zips, chunk_bytes=1 << 14)
+    parts = archives.expand_chunks(zips, chunk_bytes=1 << 14, keep_empty=True)
     whole = parts.groupBy("archive", "member").agg(
         F.sort_array(F.collect_list(F.struct("offset", "content"))).alias("parts"))
     body = F.aggregate("parts", F.lit("").cast("binary"), lambda a, x: F.concat(a, x["content"]))

@@ -85,7 +85,7 @@ def _opened(path: str, body):
     return system.open_input_file(name)
 
 
-def _chunks(batches, chunk_bytes: int):
+def _chunks(batches, chunk_bytes: int, keep_empty: bool):
     cols = CHUNK_SCHEMA.fieldNames()
     for pdf in batches:
         bodies = pdf["content"] if "content" in pdf else [None] * len(pdf)
@@ -97,7 +97,7 @@ def _chunks(batches, chunk_bytes: int):
                         continue
                     with z.open(info) as f:
                         at = 0
-                        while (data := f.read(chunk_bytes)) or not at and not info.file_size:
+                        while (data := f.read(chunk_bytes)) or keep_empty and not at:
                             rows.append((archive, info.filename, at, data))
                             at, size = at + len(data), size + len(data)
                             if size >= chunk_bytes or len(rows) >= 1000:
@@ -109,17 +109,17 @@ def _chunks(batches, chunk_bytes: int):
             yield pd.DataFrame(rows, columns=cols)
 
 
-def expand_chunks(files: DataFrame, chunk_bytes: int = 8 << 20) -> DataFrame:
+def expand_chunks(files: DataFrame, chunk_bytes: int = 8 << 20, keep_empty: bool = False) -> DataFrame:
     """(archive, member, offset, content): members of any size, in pieces.
 
     A task holds one piece of at most ``chunk_bytes``, never a member. With
     ``content`` in ``files`` the archive's bytes come from there; without it
     (only ``path``) the archive is opened in place and read piece by piece,
-    so it may be larger than a ``binaryFile`` row can be. An empty member is
-    one empty piece; directory entries are dropped.
+    so it may be larger than a ``binaryFile`` row can be. An empty member has
+    no piece, or with ``keep_empty`` an empty one; directory entries are dropped.
     """
     src = files.select("path", *(["content"] if "content" in files.columns else []))
-    return src.mapInPandas(lambda it: _chunks(it, chunk_bytes), CHUNK_SCHEMA)
+    return src.mapInPandas(lambda it: _chunks(it, chunk_bytes, keep_empty), CHUNK_SCHEMA)
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.zip", **kw) -> DataFrame:
