@@ -206,6 +206,32 @@ def test_simhash_hot_bucket_is_dealt_again(spark, monkeypatch):
     assert {f: found.get(f, f) for f in names} == label
 
 
+@pytest.mark.parametrize("radius, hot", [(0, 8), (3, 4096), (3, 8)])
+def test_simhash_links_by_radius(spark, monkeypatch, radius, hot):
+    monkeypatch.setattr(simhash, "HOT", hot)
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 2 ** 63, 12).tolist()
+    fps = {f ^ sum(1 << int(b) for b in rng.choice(64, n, replace=False)) for f in base for n in range(2 * radius + 2)}
+    fps |= {i << 5 for i in range(40)}  # shared parts: dealt again
+    names = sorted(f - 2 ** 64 if f >= 2 ** 63 else f for f in fps)
+    label = {f: f for f in names}
+    near = {a: [b for b in names if ((a ^ b) % 2 ** 64).bit_count() <= radius] for a in names}
+    for _ in names:
+        new = {a: min(label[b] for b in near[a]) for a in names}
+        if new == label:
+            break
+        label = new
+    df = spark.createDataFrame([(f,) for f in names], "fp bigint")
+    rows = simhash.near_duplicates(df.select(F.col("fp").alias("key"), "fp"), radius).collect()
+    got = {r.key: r.component for r in rows}
+    assert got == label
+
+
+def test_simhash_refuses_a_radius_without_bounded_buckets(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([], "fp bigint"), 4)
+
+
 def test_mixing_targets_and_draws(spark, docs, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == len(_rows())

@@ -2,13 +2,14 @@
 
 1. A text's fingerprint has bit b set if b is set in over half of the 64-bit hashes of
    its word shingles, repeats included.
-2. Distinct fingerprints are dealt to shards. Of the 64 bits' four quarters, two equal
-   ones are left wherever at most two bits differ, so each fingerprint goes to the shards
-   of its six pairs of quarters and meets every partner in one of them. Pairs of quarters
-   that only one fingerprint has need no search. A pair shared by more than ``HOT``
-   fingerprints is dealt once more, by the six pairs of eighths of its other 32 bits;
-   then 48 bits agree, so no bucket can pass 65,536 fingerprints. Buckets are packed
-   into shards by hash.
+2. Distinct fingerprints are dealt to shards. The 64 bits are cut into two parts more than the
+   radius (at least four), so two equal parts are left wherever at most ``radius`` bits
+   differ: each fingerprint goes to the shards of all its pairs of parts (six for radius 2,
+   ten for 3) and meets every partner in one of them. Pairs of parts that only one
+   fingerprint has need no search. A pair shared by more than ``HOT`` fingerprints is dealt
+   once more, by the pairs of parts of its other bits; then 48 bits agree at radius 2 and 41
+   at 3, so no bucket can pass 65,536 or 8 million fingerprints. Buckets are packed into
+   shards by hash.
 3. Each shard becomes a BK-tree: the children of a node are keyed by their integer Hamming
    distance to it. The trees (13 bytes a fingerprint, in proportion bounded by the above)
    meet the shard's fingerprints in a join: Spark broadcasts the table of trees where its
@@ -18,7 +19,7 @@
    (large, then small) join the forests until nothing changes, each round written to the
    shared folder; fingerprints and links never reach the driver.
 
-Radius 2 is the most that the pairs of quarters cover; a larger one is refused.
+A radius above 3 is refused: a bucket, which is one task's tree, would have no useful bound.
 
 Defined cases: null or empty text, or one without a word, has fingerprint zero, which
 links like any other; a text shorter than the shingle is one shingle; repeated rows share
@@ -29,6 +30,7 @@ columns pass through ``keep_one`` unchanged and can't clash.
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 import numpy as np
@@ -39,6 +41,7 @@ from tractlake.llm.common import small_batches, words_of, written
 
 SHINGLE = 3
 RADIUS = 2
+MOST_RADIUS = 3
 HOT = 4096
 SHARD_NODES = 2048
 QUERY_PARTS = 16
@@ -176,24 +179,31 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --- Shards, search and components on Spark -----------------------------------------------
 
-def _pairs(value: Column, bits: int, width: int) -> Column:
-    """Array of (number, key): the six pairs of the four parts of the low ``bits`` bits."""
-    part = [F.shiftrightunsigned(value, i * width).bitwiseAND(F.lit((1 << width) - 1)) for i in range(4)]
-    return F.array(*[F.struct(F.lit(n).alias("pair"), (F.shiftleft(part[i], width) + part[j]).alias("key"),
-                              (F.shiftleft(part[k], width) + part[m]).alias("other"))
-                     for n, (i, j, k, m) in enumerate([(0, 1, 2, 3), (0, 2, 1, 3), (0, 3, 1, 2),
-                                                       (1, 2, 0, 3), (1, 3, 0, 2), (2, 3, 0, 1)])])
+def _pairs(value: Column, bits: int, parts: int) -> tuple[Column, int]:
+    """Array of (pair, key, other): each pair of the ``parts`` parts of the low ``bits`` bits, its
+    bits and those of the other parts; and the number of bits that the others have at most."""
+    width = [bits // parts + (i < bits % parts) for i in range(parts)]
+    part = [F.shiftrightunsigned(value, sum(width[:i])).bitwiseAND(F.lit((1 << width[i]) - 1).cast("bigint"))
+            for i in range(parts)]
 
+    def side_by_side(which):
+        return functools.reduce(lambda x, i: F.shiftleft(x, width[i]) + part[i], which[1:], part[which[0]])
+    pairs = list(itertools.combinations(range(parts), 2))
+    others = [[i for i in range(parts) if i not in pair] for pair in pairs]
+    return F.array(*[F.struct(F.lit(n).alias("pair"), side_by_side(pair).alias("key"), side_by_side(rest).alias("other"))
+                     for n, (pair, rest) in enumerate(zip(pairs, others))]), bits - sum(sorted(width)[:2])
 
-def shards(fps: DataFrame) -> DataFrame:
+
+def shards(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """shard, fp: each distinct fingerprint in every shard where a partner may be."""
-    spark = fps.sparkSession
-    keyed = fps.select("fp", F.explode(_pairs(F.col("fp"), 64, 16)).alias("p")).select("fp", "p.*")
+    spark, parts = fps.sparkSession, max(radius + 2, 4)
+    pairs, left = _pairs(F.col("fp"), 64, parts)
+    keyed = fps.select("fp", F.explode(pairs).alias("p")).select("fp", "p.*")
     many = written(keyed.groupBy("pair", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "simhash-keys")
     shared = written(keyed.join(many, ["pair", "key"]), "simhash-shared")
     plain = shared.filter(F.col("n") <= HOT).select("fp", F.xxhash64("pair", "key").alias("bucket"))
     finer = (shared.filter(F.col("n") > HOT)
-             .select("fp", "pair", "key", F.explode(_pairs(F.col("other"), 32, 8)).alias("s"))
+             .select("fp", "pair", "key", F.explode(_pairs(F.col("other"), left, parts)[0]).alias("s"))
              .select("fp", F.xxhash64("pair", "key", "s.pair", "s.key").alias("bucket")))
     both = plain.unionByName(finer)
     size = both.count() // SHARD_NODES + 1
@@ -223,9 +233,9 @@ def _search(radius: int):
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """v, m: links between distinct fingerprints with the components of all links."""
-    if not 0 <= radius <= 2:
-        raise ValueError("the pairs of quarters cover a radius from 0 to 2")
-    placed = shards(fps)
+    if not 0 <= radius <= MOST_RADIUS:
+        raise ValueError(f"buckets are bounded for a radius from 0 to {MOST_RADIUS}")
+    placed = shards(fps, radius)
     trees = written(placed.groupBy("shard").applyInPandas(_tree_of, "shard long, tree binary"), "simhash-trees")
     queries = (placed.groupBy("shard", F.pmod(F.xxhash64("fp"), F.lit(QUERY_PARTS)).alias("part"))
                .agg(F.collect_list("fp").alias("fps")))
