@@ -250,19 +250,11 @@ class Encoder:
         return out
 
     def learn(self, words: list[str]) -> None:
-        """Adds new words to the table. The pre-tokenizer cuts between a letter or digit and
-        punctuation, so a word that ends in punctuation is its stem and that end."""
+        """Adds new words to the table."""
         known = self.known
         known["\1"] = b""
-        ended, stems = [], dict.fromkeys(words)
-        for w in words:
-            stem = w.rstrip(PUNCTUATION)
-            if stem != w and stem[-1:].isalnum() and stem[-1] <= LATIN:
-                ended.append((w, stem, w[len(stem):]))
-                del stems[w]
-        stems.update(dict.fromkeys([x for _, x, _ in ended if x not in known]))
         spaced, lined, firsts = [], [], []
-        for w in stems:
+        for w in words:
             kind = lined if w[:1] == "\0" else firsts if w[:1] == "\1" else spaced
             rest = w if kind is spaced else w[1:]
             if rest and not WHITE.search(rest):
@@ -272,12 +264,34 @@ class Encoder:
         known.update(zip(spaced, self._together([" " + w for w in spaced])))
         known.update((w, self.line_bytes + x) for w, x in zip(lined, self._together([w[1:] for w in lined])))
         known.update(zip(firsts, self._together([w[1:] for w in firsts])))
-        new = list({x for _, _, x in ended}.difference(self.ends))
-        self.ends.update(zip(new, self._together(new)))
-        for w, stem, x in ended:
-            ids = known[stem]
-            known[w] = None if ids is None else ids + self.ends[x]
-        self.long += [w for w in (*words, *stems, *new) if len(w) > LONG]
+        self.long += [w for w in words if len(w) > LONG]
+
+    def _looked_up(self, distinct: pa.Array) -> list[bytes | None]:
+        """ids of each distinct word; None: not a plain word. The pre-tokenizer cuts between a
+        letter or digit and punctuation, so a word that ends in punctuation is its stem and
+        that end, and only stems are looked up."""
+        stem = pc.utf8_rtrim(distinct, PUNCTUATION)
+        last = pc.utf8_slice_codeunits(stem, -1)
+        ended = pc.and_(pc.not_equal(stem, distinct), pc.and_(
+            pc.utf8_is_alnum(last), pc.less_equal(last, pa.scalar(LATIN, pa.large_string()))))
+        base = pc.if_else(ended, stem, distinct).dictionary_encode()
+        listed = lambda x: x.to_numpy(zero_copy_only=False).tolist()
+        names, known = listed(base.dictionary), self.known
+        found = [known.get(w, NEW) for w in names]
+        new = [i for i, x in enumerate(found) if x is NEW]
+        self.learn([names[i] for i in new])
+        for i in new:
+            found[i] = known[names[i]]
+        ids = [found[i] for i in listed(base.indices)]
+        at = np.flatnonzero(ended.to_numpy(zero_copy_only=False)).tolist()
+        tails = [w[n:] for w, n in zip(listed(distinct.filter(ended)), listed(pc.utf8_length(stem.filter(ended))))]
+        unmet = list(set(tails).difference(self.ends))
+        self.ends.update(zip(unmet, self._together(unmet)))
+        self.long += [x for x in unmet if len(x) > LONG]
+        for i, x in zip(at, tails):
+            if ids[i] is not None:
+                ids[i] += self.ends[x]
+        return ids
 
     def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
         """ids of each text, as 16-bit integers. Each distinct word of the column is looked up
@@ -291,23 +305,18 @@ class Encoder:
         marked = pc.binary_join_element_wise(wide("\1"), pc.if_else(odd, wide(""), texts), wide(""))
         cut = pc.split_pattern(pc.replace_substring(marked, "\n", " \0"), " ")
         words = cut.flatten().dictionary_encode()
-        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         code = words.indices.to_numpy()
-        known = self.known
-        found = [known.get(w, NEW) for w in distinct]
-        new = [i for i, x in enumerate(found) if x is NEW]
-        self.learn([distinct[i] for i in new])
-        for i in new:
-            found[i] = known[distinct[i]]
+        found = self._looked_up(words.dictionary)
         plain = np.array([x is not None for x in found], bool)
         ids = [x or b"" for x in found]
         flat = np.frombuffer(b"".join(ids), "<u2")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        # Tokens of a portion are fewer than its bytes, which are below 2 ** 31.
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 2
         each = size[code]
-        upto = np.cumsum(each)
+        upto = np.cumsum(each, dtype=np.int32)
         # Where a token comes from: its place plus how far its word's ids lie from there.
-        place = np.repeat((np.cumsum(size) - size)[code] - (upto - each), each)
-        place += np.arange(len(place))
+        place = np.repeat((np.cumsum(size, dtype=np.int32) - size)[code] - (upto - each), each)
+        place += np.arange(len(place), dtype=np.int32)
         tokens = flat[place]
         last = np.cumsum(pc.list_value_length(cut).to_numpy())
         end = upto[last - 1] if len(last) else last
@@ -319,7 +328,7 @@ class Encoder:
         for i in np.flatnonzero(whole).tolist():
             out[i] = np.array(self._ids(texts[i].as_py()), "<u2")
         for w in self.long:
-            known.pop(w, None)
+            self.known.pop(w, None)
             self.ends.pop(w, None)
         self.long = []
         return out
