@@ -1,32 +1,23 @@
 """Smaller public functions, one short check each."""
 
-import io
 import os
 import tempfile
 import zipfile
-from decimal import Decimal as D
 
-from pyspark.sql import functions as F
 
 from tractlake.plans import books
 from tractlake.operators import catalog as cat
-from tractlake.operators import facts, feeds, listing, lookup
+from tractlake.operators import feeds, lookup
 from tractlake.sources import archives, files
 from tests.conftest import rows
 
 
-def test_read_archives_and_lines_from_disk(spark):
+def test_read_archives_from_disk(spark):
     d = tempfile.mkdtemp(prefix="tl-zip-")
     with zipfile.ZipFile(os.path.join(d, "a.zip"), "w") as z:
         z.writestr("x.txt", "l1\nl2\n")
     got = archives.read_archives(spark, d, keep_dirs=False)
     assert [(r.member, bytes(r.content)) for r in got.collect()] == [("x.txt", b"l1\nl2\n")]
-    t = os.path.join(d, "t.txt")
-    with open(t, "w") as f:
-        f.write("a\tb\nc\td\n")
-    lines = files.read_lines(spark, d, glob="*.txt")
-    assert sorted(r.value for r in lines.collect()) == ["a\tb", "c\td"]
-    assert all(r.file.endswith("t.txt") for r in lines.collect())
 
 
 def test_scan_table_and_layout_schema(spark):
@@ -37,37 +28,16 @@ def test_scan_table_and_layout_schema(spark):
     assert s.fieldNames()[:3] == ["id", "name", "state"]
 
 
-def test_member_path_and_sequence_measures(spark):
-    df = spark.createDataFrame([("raw/2017/a.zip", "e1.txt")], "p string, m string")
-    assert df.select(listing.member_path("p", "m")).first()[0] == "raw/2017/e1.txt"
+def test_sequence_measures(spark):
     lk = spark.createDataFrame([("B1", 1, 2), ("B2", 1, 1), ("B3", 2, 1)],
                                "varid string, seq int, ordinal int")
     assert rows(cat.sequence_measures(lk, ["B1", "B2", "B3"], 1)) == [("B1", 2), ("B2", 1)]
 
 
-def test_build_lookup_normalise_names_select_metrics(spark):
+def test_build_lookup(spark):
     a = spark.createDataFrame([("B1", 1, "x", 1)], "varid string, seq int, label string, ordinal int")
     b = spark.createDataFrame([("B9", 9, "y", 1)], "varid string, seq int, label string, ordinal int")
     assert lookup.build_lookup([a, b]).count() == 2
-    c = spark.createDataFrame([(" G ", " Name_A ")], "group_name string, metric_name string")
-    assert tuple(cat.normalise_names(c).first()) == ("g", "name_a")
-    m = spark.createDataFrame([(2017, "al", "1", D("4"), D("2"))],
-                              "year int, stusab_key string, logrecno string, "
-                              "a decimal(16,2), b decimal(16,2)")
-    out = facts.select_metrics(m, [("q", "a / NULLIF(b, 0)")]).first()
-    assert out.q == D(2)
-
-
-def test_measures_frame_keeps_every_key(spark):
-    s1 = spark.createDataFrame([("al", "1", 2017, D("1"))],
-                               "stusab string, logrecno string, year int, B1 decimal(16,2)")
-    s2 = spark.createDataFrame([("AL", "2", 2017, D("2"))],
-                               "stusab string, logrecno string, year int, B2 decimal(16,2)")
-    lk = [dict(varid="B1", seq=1, ordinal=1), dict(varid="B2", seq=2, ordinal=1)]
-    w = facts.measures_frame({1: s1, 2: s2}, lk, ["B1", "B2"])
-    assert rows(w, "stusab_key", "logrecno", "B1", "B2") == [
-        ("al", "1", D("1.00"), None), ("al", "2", None, D("2.00"))]
-    assert w.filter(F.col("stusab_key") == "al").count() == 2
 
 
 def test_read_workbook_sheets(spark):

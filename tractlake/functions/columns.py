@@ -71,11 +71,6 @@ def base_name(path) -> Column:
     return F.element_at(F.split(col_of(path), "/", -1), -1)
 
 
-def folder_of(path) -> Column:
-    """Everything up to and including the last slash."""
-    return F.regexp_extract(col_of(path), r"^(.*/)", 1)
-
-
 def date_after(ts, day: str) -> Column:
     """``to_date(ts) > day`` written as a range on the raw column.
 

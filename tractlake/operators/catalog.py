@@ -38,14 +38,6 @@ class CatalogError(ValueError):
 
 # ---------------------------------------------------------------- table ops
 
-def normalise_names(cat: DataFrame) -> DataFrame:
-    """Trim metric and group names and fold them to lower case."""
-    return cat.withColumns({
-        "group_name": F.lower(F.trim("group_name")),
-        "metric_name": F.lower(F.trim("metric_name")),
-    })
-
-
 def close_open_years(cat: DataFrame, load_year: int) -> DataFrame:
     """End year 9999 (still published) becomes the load year."""
     return cat.withColumn(

@@ -144,16 +144,6 @@ def _area_keys(geo: DataFrame) -> DataFrame:
                       region_key().alias("stusab_key"), "logrecno")
 
 
-def select_metrics(data: DataFrame, metrics, keep=JOIN_KEYS) -> DataFrame:
-    """``formula AS name`` for each metric, keys kept.
-
-    ``metrics`` are (name, sql) pairs whose sql already has earlier names of
-    the group expanded (see ``plan_groups``).
-    """
-    return data.select(*[F.col(k) for k in keep if k in data.columns],
-                       *[F.expr(sql).alias(name) for name, sql in metrics])
-
-
 def attach_area(data: DataFrame, geo: DataFrame, names) -> DataFrame:
     """RIGHT OUTER join of metric rows to the areas of their year.
 
@@ -208,40 +198,6 @@ def measure_homes(measures, lookup_rows, missing: str = "raise") -> dict:
     return out
 
 
-def sequence_plan(measures, lookup_rows, missing: str = "raise") -> dict:
-    """sequence → its wanted measures in column order."""
-    where = measure_sequences(lookup_rows)
-    unknown = sorted(m for m in measures if m not in where)
-    if unknown and missing == "raise":
-        raise CatalogError(f"measures not in the lookup: {', '.join(unknown)}")
-    plan: dict = {}
-    for m in measures:
-        if m in where:
-            plan.setdefault(where[m][0], []).append(m)
-    for s in plan:
-        plan[s].sort(key=lambda m: where[m][1])
-    return dict(sorted(plan.items()))
-
-
-def measures_frame(sequences: dict, lookup_rows, measures, years=None,
-                   missing: str = "raise") -> DataFrame:
-    """One row per key holding every wanted measure of every sequence."""
-    plan = sequence_plan(measures, lookup_rows, missing)
-    if not plan:
-        raise CatalogError("no sequence holds any wanted measure")
-    frames = []
-    for s, ms in plan.items():
-        f = prune_measures(sequences[s], ms)
-        if years is not None:
-            f = f.filter(F.col("year").between(years[0], years[1]))
-        frames.append(f)
-    wide = join_sequences(frames)
-    if missing != "raise":
-        absent = [m for m in measures if m not in wide.columns]
-        wide = wide.withColumns({m: F.lit(None).cast("decimal(16,2)") for m in absent})
-    return wide
-
-
 def group_frame(plan: GroupPlan, sequences: dict, lookup_rows, geo: DataFrame,
                 missing: str = "raise") -> DataFrame:
     """One group's metrics for every area of every year in its window.

@@ -88,12 +88,6 @@ def map_path(path, old_prefix: str, new_prefix: str) -> Column:
                   ).otherwise(p)
 
 
-def member_path(archive_path, member) -> Column:
-    """Archive's folder joined with a member name."""
-    a = col_of(archive_path)
-    return F.concat(F.regexp_extract(a, r"^(.*/)", 1), col_of(member))
-
-
 def new_files_only(listing: DataFrame, landed: DataFrame, key: str = "key") -> DataFrame:
     """Entries whose key is not landed yet; a rerun finds nothing new."""
     return listing.join(landed.select(key).distinct(), key, "left_anti")

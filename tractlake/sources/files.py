@@ -1,5 +1,5 @@
 """Text file sources and sinks: sequences, positional CSV, catalog, yearly
-folders, staged CSV, text lines with their file path."""
+folders, staged CSV."""
 
 from __future__ import annotations
 
@@ -98,15 +98,6 @@ def read_yearly(spark: SparkSession, years, path_for, fmt: str = "parquet",
     return df.withColumn("year", yr)
 
 
-def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Text lines with their file path: (file, value)."""
-    r = spark.read
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    df = r.text(path)
-    return df.select(F.col("_metadata.file_path").alias("file"), "value")
-
-
 def scan_table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """Whole-table read: a catalog table name, or a folder of files."""
     if "/" in name_or_path or ":" in name_or_path:
