@@ -285,13 +285,14 @@ def upsert_ranked(fact: DataFrame, stacked: DataFrame, key=("year", "geoid"),
 
     The same rows as one :func:`upsert_fact` per rank in ascending order, with
     one aggregate and one join for any number of them. A key repeated within
-    a rank fails the job.
+    a rank fails the job. The rows are dealt by ``key`` first, so the ranks are
+    counted where they lie, by hash aggregates only.
     """
     key = list(key)
     cols = [c for c in stacked.columns if c not in [*key, rank]]
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(rank))).alias(c) for c in cols]
-    agg = stacked.groupBy(*key).agg(*last, F.count(F.lit(1)).alias("_n"),
-                                    F.size(F.collect_set(rank)).alias("_ranks"))
+    agg = stacked.repartition(*key).groupBy(*key).agg(*last, F.count(F.lit(1)).alias("_n"),
+                                                      F.count_distinct(rank).alias("_ranks"))
     checked = agg.filter(F.when(F.col("_n") > F.col("_ranks"), F.raise_error(
         F.lit("duplicate key on the source side of an upsert"))).otherwise(F.lit(True)))
     return _overwrite(fact, checked.select(*key, *cols), key, cols)

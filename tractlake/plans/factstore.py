@@ -63,10 +63,16 @@ def read(spark: SparkSession, root: str, years=None) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*[folders[y] for y in sorted(folders)])
 
 
-def add_years(spark: SparkSession, root: str, fact: DataFrame) -> dict:
-    """The years of ``fact`` that are not stored yet, as a new version; stored ones stay as they are."""
+def years_of(df: DataFrame) -> set:
+    return {r["year"] for r in df.select(F.col("year").cast("int").alias("year")).distinct().collect()}
+
+
+def add_years(spark: SparkSession, root: str, fact: DataFrame, years=None) -> dict:
+    """The years of ``fact`` that are not stored yet, as a new version; stored ones stay as they are.
+
+    ``years`` are those that ``fact`` has, where the caller knows them; else they are looked up."""
     folders = manifest(spark, root)
-    years = sorted({r["year"] for r in fact.select("year").distinct().collect()} - set(folders))
+    years = sorted((years_of(fact) if years is None else set(years)) - set(folders))
     if not years:
         return {"version": ledger.current_version(spark, _versions(root)), "years": []}
     version = ledger.next_version(spark, _versions(root))
@@ -75,17 +81,18 @@ def add_years(spark: SparkSession, root: str, fact: DataFrame) -> dict:
     return {"version": version, "years": years}
 
 
-def upsert(spark: SparkSession, root: str, src: DataFrame, cols=None, rank: str | None = None) -> dict:
+def upsert(spark: SparkSession, root: str, src: DataFrame, cols=None, rank: str | None = None, years=None) -> dict:
     """Overwrite the stored cells with ``src`` where it is not NULL, as a new version.
 
     Only the years of ``src`` that are stored are read and written; areas that
     are not stored are not added, as with an UPDATE. ``src`` must be unique
     on (year, geoid), or, with ``rank`` (the name of a column), on these and the rank: then the
-    value of the highest rank wins, as with one upsert per rank. Returns the version and the
+    value of the highest rank wins, as with one upsert per rank. ``years`` are those that ``src``
+    has; without them ``src`` is computed once more to find them. Returns the version and the
     touched years; nothing is written if no stored year is touched.
     """
     folders = manifest(spark, root)
-    touched = sorted({r["year"] for r in src.select("year").distinct().collect()} & set(folders))
+    touched = sorted((years_of(src) if years is None else set(years)) & set(folders))
     if not touched:
         return {"version": ledger.current_version(spark, _versions(root)), "years": []}
     version = ledger.next_version(spark, _versions(root))

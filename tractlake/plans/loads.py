@@ -241,11 +241,14 @@ def update_fact_store(spark: SparkSession, root: str, areas: DataFrame, sequence
         if unknown:
             raise cat.CatalogError(f"groups not in the catalog: {', '.join(sorted(unknown))}")
         plans = [p for p in plans if p.name in wanted_groups]
-    added = factstore.add_years(spark, root, facts.empty_fact(areas, plans))["years"]
+    years = factstore.years_of(areas)
+    added = factstore.add_years(spark, root, facts.empty_fact(areas, plans), years)["years"]
     if all(p.empty for p in plans):
         return {"added": added, "updated": []}
     wanted = sorted({m for p in plans for m in p.measures})
     columns = [c for c in ("year", "varid", "seq", "ordinal") if c in lookup_df.columns]
     rows = lookup_df.filter(F.col("varid").isin(wanted)).select(*columns).collect()  # metadata
     stacked = facts.stacked_groups(plans, sequences, rows, areas)
-    return {"added": added, "updated": factstore.upsert(spark, root, stacked, rank="rank")["years"]}
+    # every area of a window's years has a row in the stack
+    years = {y for y in years if y is not None and any(p.first_year <= y <= p.last_year for p in plans if not p.empty)}
+    return {"added": added, "updated": factstore.upsert(spark, root, stacked, rank="rank", years=years)["years"]}

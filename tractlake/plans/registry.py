@@ -32,6 +32,18 @@ def _geo(spark, d):
     return geo.build_geo(S.geo_sheet(spark, d))
 
 
+def _landed_inputs(spark, d):
+    """The areas' keys and the sequences as stored tables, each built and written once, for
+    jobs that read them several times."""
+    root = scratch_dir(spark, "inputs")
+
+    def landed(df, name):
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    areas = landed(_geo(spark, d).select("year", "geoid", "stusab", "logrecno"), "areas")
+    return areas, {s: landed(df, f"seq_{s}") for s, df in S.sequences(spark, d).items()}
+
+
 def _spine(spark, d):
     return geo.build_spine(_geo(spark, d))
 

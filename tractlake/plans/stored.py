@@ -134,7 +134,8 @@ def fact_store_upsert(spark, d):
 @register("fact_store_groups", R._fact_sql(["legacy", "lines", "orders_mix", "shipping"]))
 def fact_store_groups(spark, d):
     """A stored fact built by two runs of the catalog: two of its groups, then the others."""
-    root, areas, seqs = scratch_dir(spark, "fact-groups"), R._geo(spark, d), S.sequences(spark, d)
+    root = scratch_dir(spark, "fact-groups")
+    areas, seqs = R._landed_inputs(spark, d)
     lookup_df = spark.createDataFrame(S.lookup_rows(), "varid string, seq int, label string, ordinal int")
     catalog_df = spark.createDataFrame(S.catalog_rows(), "group_name string, metric_name string, formula string, "
                                        "statistic string, start_year int, end_year int, ordinal int")
