@@ -49,3 +49,13 @@ def test_catalog_runs_read_stored_inputs(spark, monkeypatch):
     monkeypatch.setattr(loads, "update_fact_store", spy)
     E.queries()["fact_store_groups"](spark, SF_SMALL)
     assert len(seen) == 8 and all("/inputs-" in f for df in seen for f in df.inputFiles())
+
+
+def test_workbook_rows_take_arrow_batches(spark):
+    body = books.workbook_bytes([("S", ["a", "b"], [["x", 1], [None, 2]])])
+    (out,) = workbooks._rows([pa.RecordBatch.from_pydict({"path": ["p"], "content": [body]})])
+    assert out.to_pylist() == [
+        {"path": "p", "sheet": "S", "sheet_no": 0, "row_no": 1, "header": ["a", "b"], "values": ["x", "1"]},
+        {"path": "p", "sheet": "S", "sheet_no": 0, "row_no": 2, "header": ["a", "b"], "values": [None, "2"]}]
+    df = workbooks.read_workbook_rows(spark.createDataFrame([("p", bytearray(body))], "path string, content binary"))
+    assert df.count() == 2 and "MapInArrow" in plan(df)

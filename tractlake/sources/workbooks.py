@@ -13,7 +13,7 @@ import re
 import zipfile
 from xml.etree import ElementTree as ET
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,14 +104,21 @@ def _sheets(body: bytes):
             yield sh.get("name"), _sheet_rows(z, part, shared)
 
 
+def _batch(rows: list) -> pa.RecordBatch:
+    texts = pa.list_(pa.string())
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), texts, texts]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=ROW_SCHEMA.fieldNames())
+
+
 def _rows(batches, batch_rows: int = 1000):
     """Rows of every sheet, gathered across sheets and workbooks into Arrow
-    batches of at most ``batch_rows`` (many small files make few batches)."""
-    cols = ROW_SCHEMA.fieldNames()
+    batches of at most ``batch_rows`` (many small files make few batches).
+    Of a batch of workbooks only the one at hand is copied."""
     out = []
-    for pdf in batches:
-        for path, body in zip(pdf["path"], pdf["content"]):
-            for no, (sheet, rows) in enumerate(_sheets(body)):
+    for files in batches:
+        for path, body in zip(files["path"], files["content"]):
+            path = path.as_py()
+            for no, (sheet, rows) in enumerate(_sheets(body.as_py())):
                 first = next(rows, None)
                 if first is None:
                     continue
@@ -121,15 +128,15 @@ def _rows(batches, batch_rows: int = 1000):
                     names = header + [f"Unnamed: {j}" for j in range(len(header), len(r))]
                     out.append((path, sheet, no, i, names, r + [None] * (len(names) - len(r))))
                     if len(out) >= batch_rows:
-                        yield pd.DataFrame(out, columns=cols)
+                        yield _batch(out)
                         out = []
     if out:
-        yield pd.DataFrame(out, columns=cols)
+        yield _batch(out)
 
 
 def read_workbook_rows(files: DataFrame) -> DataFrame:
     """Rows of every sheet of every workbook in ``files`` (path, content)."""
-    return files.select("path", "content").mapInPandas(_rows, ROW_SCHEMA)
+    return files.select("path", "content").mapInArrow(_rows, ROW_SCHEMA)
 
 
 def stack_sheets(rows: DataFrame, names=None) -> DataFrame:
