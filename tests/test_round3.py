@@ -59,3 +59,12 @@ def test_workbook_rows_take_arrow_batches(spark):
         {"path": "p", "sheet": "S", "sheet_no": 0, "row_no": 2, "header": ["a", "b"], "values": [None, "2"]}]
     df = workbooks.read_workbook_rows(spark.createDataFrame([("p", bytearray(body))], "path string, content binary"))
     assert df.count() == 2 and "MapInArrow" in plan(df)
+
+
+def test_pack_takes_arrow_batches():
+    b = pa.RecordBatch.from_pydict({"n": ["a", "b", "c"], "t": ["x", None, "\u00e9"], "k": [3, 1, 2]})
+    got = [x.to_pylist()[0] for x in archives._pack([b], "f", "n", "t", "k", 2)]
+    assert [x["path"] for x in got] == ["f/archive-1.zip", "f/archive-2.zip"]
+    z = [zipfile.ZipFile(io.BytesIO(x["content"])) for x in got]
+    assert z[0].namelist() == ["pages/", "pages/a", "pages/b"] and z[0].read("pages/b") == b"None"
+    assert z[1].read("pages/c") == "\u00e9".encode()

@@ -14,6 +14,8 @@ import io
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,18 +135,19 @@ PACK_SCHEMA = T.StructType([T.StructField("path", T.StringType()),
 
 
 def _pack(batches, folder: str, name_col: str, body_col: str, key_col: str, per_zip: int):
-    for pdf in batches:
-        for start in range(0, len(pdf), per_zip):
-            chunk = pdf.iloc[start:start + per_zip]
+    """An archive per run of ``per_zip`` rows of a batch; only the member at hand is a Python object."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, per_zip):
+            chunk = batch.slice(start, per_zip)
             buf = io.BytesIO()
             with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
                 z.writestr("pages/", b"")
                 for name, body in zip(chunk[name_col], chunk[body_col]):
-                    z.writestr(f"pages/{name}",
+                    body = body.as_py()
+                    z.writestr(f"pages/{name.as_py()}",
                                body if isinstance(body, bytes) else str(body).encode())
-            key = str(chunk[key_col].min())
-            yield pd.DataFrame({"path": [f"{folder}/archive-{key}.zip"],
-                                "content": [buf.getvalue()]})
+            key = pc.min(chunk[key_col]).as_py()
+            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/archive-{key}.zip"], "content": [buf.getvalue()]})
 
 
 def pack_archives(df: DataFrame, folder: str, name_col: str, body_col: str,
@@ -153,5 +156,5 @@ def pack_archives(df: DataFrame, folder: str, name_col: str, body_col: str,
 
     Each archive holds one folder entry and one member per row.
     """
-    return df.select(name_col, body_col, key_col).mapInPandas(
+    return df.select(name_col, body_col, key_col).mapInArrow(
         lambda it: _pack(it, folder, name_col, body_col, key_col, per_zip), PACK_SCHEMA)
