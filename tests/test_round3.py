@@ -68,3 +68,19 @@ def test_pack_takes_arrow_batches():
     z = [zipfile.ZipFile(io.BytesIO(x["content"])) for x in got]
     assert z[0].namelist() == ["pages/", "pages/a", "pages/b"] and z[0].read("pages/b") == b"None"
     assert z[1].read("pages/c") == "\u00e9".encode()
+
+
+def test_lines_are_dealt_and_not_cells(spark, monkeypatch, tmp_path):
+    lookup = spark.createDataFrame([(1, "m1", 1), (1, "m2", 2)], "seq int, varid string, ordinal int").filter(F.rand() < 2)
+    lines = spark.createDataFrame([("p", "e", 2016, 1, "a,b,c,d,e,7,1,.")], "path string, kind string, year int, seq int, value string")
+    cells = sq.long_form(sq.together(lines), lookup)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = cells._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in p and "Exchange hashpartitioning(kind" in p.split("Generate", 1)[1]
+    sq.write_store(cells, str(tmp_path / "s"), dealt=True)
+    got = sq.read_store(spark, str(tmp_path / "s")).select("logrecno", "varid", "value").collect()
+    assert sorted((r[0], r[1], r[2] is None) for r in got) == [("7", "m1", False), ("7", "m2", True)]

@@ -110,7 +110,8 @@ def long_form(lines: DataFrame, lookup: DataFrame, sep: str = ",", null_text: st
     order = measure_order(lookup)
     keys = [c for c in order.columns if c != "varids"]
     n = len(FIXED_SEQ_COLUMNS)
-    rows = lines.withColumn("f", F.split("value", sep, -1)).join(order, keys)
+    # years times sequences, each as long as a file is wide: small, and the lines stay where they are
+    rows = lines.withColumn("f", F.split("value", sep, -1)).join(F.broadcast(order), keys)
     rows = rows.filter(F.when(
         F.size("f") != n + F.size("varids"),
         F.raise_error(F.concat(F.lit("line with "), F.size("f").cast("string"), F.lit(" fields where the lookup has "),
@@ -133,14 +134,20 @@ def unlisted(landed: DataFrame, lookup: DataFrame) -> DataFrame:
         lookup.select(*[F.col(k).cast("int").alias(k) for k in keys]).distinct(), keys, "left_anti")
 
 
-def write_store(cells: DataFrame, out: str, mode: str = "overwrite") -> None:
+def together(rows: DataFrame) -> DataFrame:
+    """Rows of a kind, year and sequence put together; many of them are split again, so that
+    no sequence has to fit one task."""
+    return rows.hint("rebalance", *STORE_KEYS)
+
+
+def write_store(cells: DataFrame, out: str, mode: str = "overwrite", dealt: bool = False) -> None:
     """The long table, partitioned by kind / year / seq, in one write.
 
-    The rebalance puts a partition's rows together so that it gets few files;
-    a large one is split again, so no sequence has to fit one task. With mode
-    ``overwrite`` only the partitions that ``cells`` has are replaced.
+    A partition's rows are put together so that it gets few files; with ``dealt`` they
+    already are. Do that with the lines, which are as many times fewer than the cells as a
+    file is wide. With mode ``overwrite`` only the partitions that ``cells`` has are replaced.
     """
-    (cells.hint("rebalance", *STORE_KEYS).write.mode(mode).partitionBy(*STORE_KEYS)
+    ((cells if dealt else together(cells)).write.mode(mode).partitionBy(*STORE_KEYS)
      .option("partitionOverwriteMode", "dynamic").parquet(out))
 
 

@@ -70,8 +70,8 @@ def load_sequence_store(spark: SparkSession, root: str, years, lookup_df: DataFr
     years = [int(y) for y in (years if isinstance(years, (list, tuple, range)) else [years])]
     lines = sequences.sequence_lines(spark, root).filter(F.col("year").isin(years))
     listing_df = _binary(spark, root, "g*").select("path")
-    cells = sequences.long_form(sequences.of_known_folders(lines, listing_df, years), lookup_df)
-    sequences.write_store(cells, out)
+    lines = sequences.together(sequences.of_known_folders(lines, listing_df, years))
+    sequences.write_store(sequences.long_form(lines, lookup_df), out, dealt=True)
     return sequences.unlisted(sequences.landed_files(spark, root).filter(F.col("year").isin(years)), lookup_df)
 
 

@@ -49,7 +49,8 @@ def _lookup_by_year(spark, d, only=None):
 
 def _store(spark, frames, lookup_df) -> str:
     root, out = _landed(spark, frames), scratch_dir(spark, "sequence-store")
-    sequences.write_store(sequences.long_form(sequences.sequence_lines(spark, root, None, _FOLDERS), lookup_df), out)
+    lines = sequences.together(sequences.sequence_lines(spark, root, None, _FOLDERS))
+    sequences.write_store(sequences.long_form(lines, lookup_df), out, dealt=True)
     return out
 
 
