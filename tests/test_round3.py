@@ -84,3 +84,10 @@ def test_lines_are_dealt_and_not_cells(spark, monkeypatch, tmp_path):
     sq.write_store(cells, str(tmp_path / "s"), dealt=True)
     got = sq.read_store(spark, str(tmp_path / "s")).select("logrecno", "varid", "value").collect()
     assert sorted((r[0], r[1], r[2] is None) for r in got) == [("7", "m1", False), ("7", "m2", True)]
+
+
+def test_sequence_files_are_landed_in_one_write(spark):
+    root = stored._landed(spark, stored._sequence_frames(spark, SF_SMALL))
+    files = spark.read.option("recursiveFileLookup", "true").text(root).inputFiles()
+    jobs = {f.rsplit("/", 1)[1].rsplit("-c", 1)[0].split("-", 2)[2] for f in files}
+    assert len(jobs) == 1 and {f.split("/seq=")[1][0] for f in files} == {"1", "2", "3"}

@@ -6,7 +6,9 @@ bucketed tables, ledger-bound streams. They add to the registry of
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tractlake.operators import catalog as cat
@@ -26,12 +28,15 @@ _FOLDERS = r"/kind=(?<kind>[em])/year=(?<year>\d+)/seq=(?<seq>\d+)/[^/]*$"
 
 
 def _landed(spark, frames) -> str:
-    """Sequence files of ``(kind, seq, frame, measures)``, one folder per kind, year and sequence."""
-    root = scratch_dir(spark, "sequence-files")
+    """Sequence files of ``(kind, seq, frame, measures)``, one folder per kind, year and sequence.
+
+    One write, so that what the frames have in common is computed once."""
+    root, parts = scratch_dir(spark, "sequence-files"), []
     for kind, seq, df, ms in frames:
         cells = [F.coalesce(F.col(c).cast("string"), F.lit(sequences.NULL_TEXT)) for c in [*FIXED_SEQ_COLUMNS, *ms]]
-        (df.select(F.concat_ws(",", *cells).alias("value"), F.lit(kind).alias("kind"), "year", F.lit(seq).alias("seq"))
-         .write.mode("append").partitionBy("kind", "year", "seq").text(root))
+        parts.append(df.select(F.concat_ws(",", *cells).alias("value"), F.lit(kind).alias("kind"), "year",
+                               F.lit(seq).alias("seq")))
+    reduce(DataFrame.union, parts).write.partitionBy("kind", "year", "seq").text(root)
     return root
 
 
