@@ -91,3 +91,8 @@ def test_sequence_files_are_landed_in_one_write(spark):
     files = spark.read.option("recursiveFileLookup", "true").text(root).inputFiles()
     jobs = {f.rsplit("/", 1)[1].rsplit("-c", 1)[0].split("-", 2)[2] for f in files}
     assert len(jobs) == 1 and {f.split("/seq=")[1][0] for f in files} == {"1", "2", "3"}
+
+
+def test_groups_read_stored_inputs(spark):
+    p = plan(E.queries()["fact_full_per_group"](spark, SF_SMALL))
+    assert "/inputs-" in p and "lineitem.parquet" not in p

@@ -714,8 +714,7 @@ def fact_full_per_group(spark, d):
     group, then one upsert per group in ascending name order. Same result
     as ``fact_full``; kept as the before side of the before/after bench."""
     plans = cat.plan_groups(S.catalog_rows(), S.LOAD_YEAR)
-    g = _geo(spark, d)
-    seqs = S.sequences(spark, d)
+    g, seqs = _landed_inputs(spark, d)
     fact = facts.empty_fact(g, plans)
     for p in plans:
         if not p.empty:
