@@ -96,3 +96,8 @@ def test_sequence_files_are_landed_in_one_write(spark):
 def test_groups_read_stored_inputs(spark):
     p = plan(E.queries()["fact_full_per_group"](spark, SF_SMALL))
     assert "/inputs-" in p and "lineitem.parquet" not in p
+
+
+def test_slices_read_stored_inputs(spark):
+    p = plan(E.queries()["fact_sliced"](spark, SF_SMALL))
+    assert "/inputs-" in p and "lineitem.parquet" not in p

@@ -165,7 +165,8 @@ def fact_bucketed(spark, d):
 @register("fact_sliced", R._fact_sql(["legacy", "lines", "orders_mix", "shipping"]))
 def fact_sliced(spark, d):
     """The flagship fact with its metrics in slices of at most twelve fields."""
-    return facts.build_fact(R._geo(spark, d), S.sequences(spark, d), S.lookup_rows(),
+    areas, seqs = R._landed_inputs(spark, d)  # every slice reads its measures of them
+    return facts.build_fact(areas, seqs, S.lookup_rows(),
                             cat.plan_groups(S.catalog_rows(), S.LOAD_YEAR), max_fields=12)
 
 
