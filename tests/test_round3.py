@@ -101,3 +101,14 @@ def test_groups_read_stored_inputs(spark):
 def test_slices_read_stored_inputs(spark):
     p = plan(E.queries()["fact_sliced"](spark, SF_SMALL))
     assert "/inputs-" in p and "lineitem.parquet" not in p
+
+
+def test_upserts_read_stored_inputs(spark, monkeypatch):
+    seen, frame = [], facts.group_frame
+
+    def spy(p, seqs, lookup_rows, geo):
+        seen.extend([geo, *seqs.values()])
+        return frame(p, seqs, lookup_rows, geo)
+    monkeypatch.setattr(facts, "group_frame", spy)
+    E.queries()["fact_store_upsert"](spark, SF_SMALL)
+    assert len(seen) == 8 and all("/inputs-" in f for df in seen for f in df.inputFiles())

@@ -129,11 +129,12 @@ def fact_sequence_of_one_year(spark, d):
 @register("fact_store_upsert", R._fact_sql(["legacy", "lines"]))
 def fact_store_upsert(spark, d):
     """A stored fact skeleton, then a version for each group's update of the years in its window."""
-    root, g = scratch_dir(spark, "fact-store"), R._geo(spark, d)
+    root = scratch_dir(spark, "fact-store")
+    g, seqs = R._landed_inputs(spark, d)
     plans = [R._group("legacy"), R._group("lines")]
     factstore.create(spark, root, facts.empty_fact(g, plans))
     for p in plans:
-        factstore.upsert(spark, root, facts.group_frame(p, S.sequences(spark, d), S.lookup_rows(), g))
+        factstore.upsert(spark, root, facts.group_frame(p, seqs, S.lookup_rows(), g))
     return factstore.read(spark, root)
 
 
